@@ -22,9 +22,9 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
         half_dlat * half_dlat
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
     )
-    # asin is undefined above 1, which rounding can reach at antipodes. LEAST
-    # ranks NaN above 1, so NaN positions are passed through on their own.
-    clamped = F.when(F.isnan(a), a).otherwise(F.least(F.lit(1.0), a))
+    # asin is undefined above 1, which rounding can reach at antipodes. NaN
+    # ranks above 1 too, but it and NULL must stay missing.
+    clamped = F.when((a > 1) & ~F.isnan(a), F.lit(1.0)).otherwise(a)
     return F.asin(F.sqrt(clamped)) * (2 * EARTH_RADIUS_KM)
 
 

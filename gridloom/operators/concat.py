@@ -73,10 +73,10 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
         return variants[0].cells
     ordered = concat_order(variants)
     dim = ordered[0].concat_dimension or DEFAULT_DIMENSION
-    if strict:
-        for v in ordered:
-            if v.cells.select(_axis(v.cells, dim)).isEmpty():
-                raise ValueError(f"Variant '{v.variant}' has no coordinates for dimension '{dim}'.")
+    for v in ordered:
+        axis = _axis(v.cells, dim)
+        if strict and v.cells.select(axis).isEmpty():
+            raise ValueError(f"Variant '{v.variant}' has no coordinates for dimension '{dim}'.")
     lowest = _lowest(ordered[0].cells.schema[dim].dataType)
     spark = ordered[0].cells.sparkSession
     kept, ends = [ordered[0].cells], []

@@ -119,4 +119,4 @@ def describe_dataset(df: DataFrame, dims, preview: bool = False) -> DataFrame:
 
 
 def _flat(attrs: dict) -> list[Column]:
-    return [F.lit(str(x)) for pair in attrs.items() for x in pair]
+    return [F.lit(str(x)) for pair in sorted(attrs.items()) for x in pair]

@@ -65,13 +65,13 @@ def org_resolve(requests: DataFrame, declared: DataFrame) -> DataFrame:
         F.col("collection").startswith(prefix),
         F.substring(F.col("collection"), F.length(prefix) + 1, F.length("collection")),
     )
+    org = F.struct("org_ord", "organization_id").alias("org")
+    spellings = F.array(*[F.struct(n.alias("name"), org) for n in (F.col("collection"), bare)])
     names = (
-        declared.select(
-            F.explode(F.array_compact(F.array("collection", bare))).alias("collection"),
-            F.struct("org_ord", "organization_id").alias("org"),
-        )
-        .groupBy("collection")
-        .agg(F.min("org")["organization_id"].alias("declaring"))
+        declared.select(F.explode(spellings).alias("spelt"))
+        .where(F.col("spelt.name").isNotNull())
+        .groupBy(F.col("spelt.name").alias("collection"))
+        .agg(F.min("spelt.org")["organization_id"].alias("declaring"))
     )
     found = keyed_lookup(_requests(requests), names, ["collection"], [F.col("request_id")])
     return found.select(*REQUEST, F.coalesce("organization", "declaring").alias("organization_id"))

@@ -22,6 +22,7 @@ from ..errors import StacLoadError
 from ..functions.stac import number_prop, string_list, string_prop
 from ..functions.text import blank_to_null
 from ..model import CatalogKeys
+from .sizing import keyed_lookup
 
 _LINKS = "links ARRAY<MAP<STRING, VARIANT>>"
 _NODE = f"id STRING, title STRING, {_LINKS}, bad STRING"
@@ -75,12 +76,14 @@ def _entries(links: DataFrame, prefix: str, *keep: str) -> DataFrame:
     )
 
 
-def _follow(links: DataFrame, documents: DataFrame) -> DataFrame:
-    return links.join(documents.withColumnRenamed("href", "target"), "target")
+def _follow_nodes(links: DataFrame, documents: DataFrame) -> DataFrame:
+    """Documents behind a few links; a large one is spread by its parts."""
+    nodes = documents.withColumnRenamed("href", "target")
+    return keyed_lookup(nodes, links, ["target"], [F.col("part")], how="inner")
 
 
 def _unreadable(links: DataFrame, documents: DataFrame, level: str) -> DataFrame:
-    readable = documents.select(F.col("href").alias("target"))
+    readable = documents.select(F.col("href").alias("target")).distinct()
     return links.join(readable, "target", "left_anti").select(
         F.lit(level).alias("level"), F.col("source").alias("parent_href"), F.col("target").alias("href")
     )
@@ -132,7 +135,7 @@ def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKey
         .distinct()
     )
 
-    org_docs = _follow(org_links.drop("link"), linked)
+    org_docs = _follow_nodes(org_links.drop("link"), linked)
     carried = ["organization_id", "organization_title", "org_ord"]
     collection_links = _out_links(
         org_docs.withColumnRenamed("source", "root").withColumnRenamed("target", "href"),
@@ -146,7 +149,7 @@ def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKey
         F.struct("org_ord", "part", "pos").alias("ord"),
         _href(F.col("link")).alias("target"),
     )
-    collection_docs = _follow(collection_links.drop("source"), linked)
+    collection_docs = _follow_nodes(collection_links.drop("source"), linked)
     found = collection_docs.groupBy(
         F.col("doc.id").alias("collection"), "organization_id", "organization_title"
     ).agg(F.max("doc.title").alias("title"), F.min("ord").alias("ord"))
@@ -175,14 +178,13 @@ def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKey
         F.struct("ord", "part", "pos").alias("ord"),
         _href(F.col("link")).alias("target"),
         string_prop(F.col("link"), keys["id"]).alias("id"),
-        number_prop(F.col("link"), keys["concat_priority"]).alias("concat_priority"),
-        string_prop(F.col("link"), keys["concat_dimension"]).alias("concat_dimension"),
+        number_prop(F.col("link"), keys["concatPriority"]).alias("concat_priority"),
+        string_prop(F.col("link"), keys["concatDimension"]).alias("concat_dimension"),
     )
     item_docs = _parse(docs, _ITEM)
     props = F.col("doc.properties")
-    items = _follow(
-        item_links.select("collection", "organization_id", "ord", "target"), item_docs
-    ).select(
+    places = item_links.select("collection", "organization_id", "ord", F.col("target").alias("href"))
+    items = places.join(item_docs, "href").select(
         "collection",
         F.col("organization_id").alias("organization"),
         "ord",
@@ -191,9 +193,9 @@ def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKey
         string_prop(props, keys["dataset_id"]).alias("dataset_id"),
         string_prop(props, keys["variant"]).alias("variant"),
         string_prop(props, keys["observation"]).alias("observation"),
-        string_prop(props, keys["latest_cid"]).alias("latest_cid"),
-        number_prop(props, keys["concat_priority"]).alias("concat_priority"),
-        string_prop(props, keys["concat_dimension"]).alias("concat_dimension"),
+        string_prop(props, keys["latest_dataset_cid"]).alias("latest_cid"),
+        number_prop(props, keys["concatPriority"]).alias("concat_priority"),
+        string_prop(props, keys["concatDimension"]).alias("concat_dimension"),
         F.col("doc.bbox").alias("bbox"),
         *[string_prop(props, c).alias(c) for c in ("start_datetime", "end_datetime", "datetime")],
     )

@@ -1,0 +1,132 @@
+import math
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from gridloom import GridDataset, InvalidSelectionError, NoDataFoundError
+from gridloom.operators.points import join_cells, points, points_missed, snap_points
+from gridloom.plans.nearest import Axis, snap
+from tests.conftest import collected, grid_rows, plan_of
+
+POINTS = "point_id long, latitude double, longitude double"
+
+
+def nearest(axis, x):
+    return min(axis, key=lambda a: (abs(a - x), a))
+
+
+@pytest.mark.parametrize(
+    "lats, lons, kw",
+    [
+        ([40.0, 40.5], [-74.0], {}),
+        ([], [], {}),
+        ([40.0], [-74.0], {"epsg_crs": 3857}),
+        (40.0, -74.0, {}),
+    ],
+)
+def test_point_lists_are_checked(small_grid, lats, lons, kw):
+    with pytest.raises(InvalidSelectionError):
+        GridDataset(small_grid).points(lats, lons, **kw)
+
+
+def test_points_on_and_off_the_grid(small_grid):
+    ds = GridDataset(small_grid)
+    got = ds.points([40.0, 40.5], [-74.0, -73.5])
+    assert collected(got.df, "point_id", "temperature", "humidity") == [(0, 20.0, 60.0), (1, 20.0, 67.0)]
+    assert got.variables == ["temperature", "humidity"]
+    off = ds.points([40.25], [-73.75]).df  # ties go to the lower values
+    assert collected(off, "latitude", "longitude", "temperature") == [(40.0, -74.0, 20.0)]
+
+
+def test_repeated_points_stay_repeated(small_grid):
+    got = GridDataset(small_grid).points([40.0, 40.0, 40.0], [-74.0, -74.0, -74.0])
+    assert collected(got.df, "point_id") == [(0,), (1,), (2,)]
+
+
+def test_no_snap_uses_the_tolerance(small_grid):
+    lats, lons = [40.0, 40.5 + 1e-4 / 2, 41.2], [-74.0, -73.5, -73.0]
+    ds = GridDataset(small_grid)
+    assert collected(ds.points(lats, lons, snap_to_grid=False).df, "point_id") == [(0,), (1,)]
+    wanted = small_grid.sparkSession.createDataFrame(list(zip(range(3), lats, lons)), POINTS)
+    assert collected(ds.points_missed(wanted)) == [(2, 41.2, -73.0)]
+    with pytest.raises(NoDataFoundError):
+        GridDataset(small_grid, strict=True).points(lats, lons, snap_to_grid=False)
+
+
+def test_missing_point_coordinates_are_misses(spark, small_grid):
+    wanted = spark.createDataFrame([(0, None, -74.0), (1, float("nan"), -74.0), (2, 40.0, -74.0)], POINTS)
+    assert collected(points(small_grid, wanted), "point_id") == [(2,)]
+    assert {r[0] for r in points_missed(small_grid, wanted).collect()} == {0, 1}
+
+
+def test_empty_grid(spark, small_grid):
+    empty = small_grid.where("false")
+    wanted = spark.createDataFrame([(0, 1.0, 2.0)], POINTS)
+    assert points(empty, wanted).count() == 0
+    assert points_missed(empty, wanted).count() == 1
+
+
+AXES = {
+    "regular": [i * 0.25 - 60 for i in range(500)],
+    "clustered": [1e-6 * i for i in range(300)] + [50.0, 1e6],
+    "geometric": [2.0**i for i in range(-20, 30)] + [-(2.0**i) for i in range(-20, 30)],
+    "single": [3.5],
+    "tenths": [39 + i * 0.15 for i in range(15)],
+}
+
+
+@pytest.mark.parametrize("name", AXES)
+@pytest.mark.parametrize("axis_rows", [65_536, 1])
+def test_snap_equals_brute_force(spark, name, axis_rows):
+    axis, rng = AXES[name], random.Random(3)
+    low, high = min(axis), max(axis)
+    wanted = [rng.uniform(low - 1, high + 1) for _ in range(300)]
+    wanted += [rng.choice(axis) + rng.choice([0, 1e-9, -1e-9]) for _ in range(100)]
+    wanted += [(a + b) / 2 for a, b in zip(sorted(axis), sorted(axis)[1:])][:100]
+    wanted += [low - 1e9, high + 1e9]
+    cells = spark.createDataFrame([(a,) for a in axis], "lat double")
+    table = spark.createDataFrame(list(enumerate(wanted)), "i long, x double")
+    got = snap(table, "x", Axis.of(cells, "lat"), "near", axis_rows).collect()
+    assert len(got) == len(wanted)
+    assert {r.i: r.near for r in got} == {i: nearest(axis, x) for i, x in enumerate(wanted)}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    axis=st.lists(st.floats(-1e6, 1e6, allow_subnormal=False), min_size=1, max_size=40, unique=True),
+    wanted=st.lists(st.floats(-2e6, 2e6, allow_subnormal=False), min_size=1, max_size=40),
+    sort=st.booleans(),
+)
+def test_snap_on_any_axis(spark, axis, wanted, sort):
+    cells = spark.createDataFrame([(a,) for a in axis], "lat double")
+    table = spark.createDataFrame(list(enumerate(wanted)), "i long, x double")
+    got = snap(table, "x", Axis.of(cells, "lat"), "near", 0 if sort else 65_536).collect()
+    assert {r.i: r.near for r in got} == {i: nearest(axis, x) for i, x in enumerate(wanted)}
+
+
+def test_large_and_small_joins_agree_under_skew(spark):
+    """A third of the points and most of the cells share one position."""
+    rows = [(a, b, v, k) for a, b, v in grid_rows(range(10), range(10), lambda i, j: i * 10 + j) for k in range(3)]
+    rows += [(5.0, 5.0, -1.0, k) for k in range(3, 400)]
+    cells = spark.createDataFrame(rows, "latitude double, longitude double, v double, step long")
+    rng = random.Random(5)
+    wanted = [(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(60)] + [(i, 5.1, 4.9) for i in range(60, 90)]
+    table = spark.createDataFrame(wanted, POINTS)
+    small = points(cells, table)
+    large = points(cells, table, axis_rows=1, limit=1)
+    assert "BroadcastHashJoin" in plan_of(small)
+    assert collected(small) == collected(large)
+    at = {(a, b): [r for r in rows if (r[0], r[1]) == (a, b)] for a in map(float, range(10)) for b in map(float, range(10))}
+    expected = sum(len(at[(nearest(range(10), y), nearest(range(10), x))]) for _, y, x in wanted)
+    assert small.count() == expected
+
+
+def test_snapped_points_are_not_shuffled(spark, small_grid):
+    wanted = spark.range(1000).selectExpr("id AS point_id", "id / 10 AS latitude", "-id / 10 AS longitude")
+    plan = plan_of(snap_points(small_grid, wanted))
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    joined = join_cells(small_grid, snap_points(small_grid, wanted))
+    assert "NestedLoop" not in plan_of(joined) and math.isfinite(joined.count())

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.plans.sizing import settle
+
 _ORG = "CASE p_partkey % 3 WHEN 0 THEN 'ecmwf' WHEN 1 THEN 'noaa' ELSE 'copernicus' END"
 _COLLECTION = f"concat({_ORG}, '_', replace(lower(p_brand), '#', ''))"
 _DATASET = "concat(lower(p_type), CASE WHEN p_size % 2 = 0 THEN '_land' ELSE '' END)"
@@ -213,6 +215,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items as a tree of catalog documents, some missing or cut short.
 
     Lists gathered in one document are bounded: organizations by the few
-    brands and types, collections by ``PART_ITEMS`` per part.
+    brands and types, collections by ``PART_ITEMS`` per part. The documents
+    are written once, as a published catalog would be.
     """
-    return spark.sql(_DOCS, items=fixture(spark, sf_dir, "items"), part_items=PART_ITEMS)
+    return settle(spark.sql(_DOCS, items=fixture(spark, sf_dir, "items"), part_items=PART_ITEMS))
