@@ -20,7 +20,7 @@ from .plans.resolution import (
     resolve_datasets,
     resolve_datasets_api,
 )
-from .plans.sizing import BROADCAST_ROWS, fits, hashable, keyed_lookup
+from .plans.sizing import BROADCAST_ROWS, fits, hashable, keyed_lookup, settle
 
 # Variants read one by one; a dataset with more is read as one tagged table.
 SEPARATE_SCANS = 64
@@ -178,8 +178,14 @@ class GridEngine:
         return joined.drop("_key", "_ord", "variant", "concat_priority", "cid")
 
     def _join_cells(self, chosen: DataFrame) -> DataFrame:
-        """Cells of every chosen ``cid``; unread partitions are pruned."""
+        """Cells of every chosen ``cid``; partitions of others are not read.
+
+        The choice is settled first, as it is both counted and joined. An
+        empty id names no dataset, and the predicate saying so is also what
+        makes the join prune partitions at run time.
+        """
         cells = self.store.table()
+        chosen = settle(chosen).where(F.col("cid") != "")
         if fits(chosen, BROADCAST_ROWS):
             return cells.join(F.broadcast(chosen), "cid")
         return keyed_lookup(cells, chosen, ["cid"], hashable(cells, ["cid"]), how="inner")
