@@ -185,7 +185,7 @@ class GridEngine:
         makes the join prune partitions at run time.
         """
         cells = self.store.table()
-        chosen = settle(chosen).where(F.col("cid") != "")
+        chosen = settle(chosen).where(F.col("cid") > "")
         if fits(chosen, BROADCAST_ROWS):
             return cells.join(F.broadcast(chosen), "cid")
         return keyed_lookup(cells, chosen, ["cid"], hashable(cells, ["cid"]), how="inner")
