@@ -47,6 +47,7 @@ class GridDataset:
     dims: tuple[str, ...] | None = None
     strict: bool = False
     axes: dict[str, DataFrame] = field(default_factory=dict)
+    _settled: dict = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __post_init__(self):
         if self.dims is None:
@@ -76,7 +77,7 @@ class GridDataset:
         return introspect.axis(self.axes.get(dim, self.df), dim)
 
     def sizes(self) -> DataFrame:
-        return introspect.sizes(self.df, self.dims)
+        return introspect.sizes(self.df, self.dims, self.axes)
 
     def attrs(self, variable: str) -> dict:
         return field_attrs(self.df, variable)
@@ -152,15 +153,33 @@ class GridDataset:
             wanted = latitudes
         else:
             wanted = point_ops.points_table(self.df.sparkSession, latitudes, longitudes, epsg_crs)
-        place = {"latitude": latitude_key, "longitude": longitude_key, "axes": self.axes}
+        snapped = self._snap(wanted, latitude_key, longitude_key)
+        reach = None if snap_to_grid else tolerance
         if self.strict and not snap_to_grid:
-            if not point_ops.points_missed(self.df, wanted, tolerance, **place).isEmpty():
+            if not point_ops.misses(snapped, latitude_key, longitude_key, reach).isEmpty():
                 raise NoDataFoundError("At least one point has no grid position within the tolerance.")
-        df = point_ops.points(self.df, wanted, snap_to_grid, tolerance, **place)
+        found = point_ops.hits(snapped, latitude_key, longitude_key, reach)
+        df = point_ops.join_cells(self.df, found, latitude_key, longitude_key)
         return self._with(df, dims=(*point_ops.POINT_COLUMNS, *self.dims))
 
-    def points_missed(self, wanted: DataFrame, tolerance: float = point_ops.TOLERANCE, **keys) -> DataFrame:
-        return point_ops.points_missed(self.df, wanted, tolerance, axes=self.axes, **keys)
+    def points_missed(
+        self,
+        wanted: DataFrame,
+        tolerance: float = point_ops.TOLERANCE,
+        latitude_key: str = "latitude",
+        longitude_key: str = "longitude",
+    ) -> DataFrame:
+        """The points of a table that no grid position is close enough to."""
+        snapped = self._snap(wanted, latitude_key, longitude_key)
+        return point_ops.misses(snapped, latitude_key, longitude_key, tolerance)
+
+    def _snap(self, wanted: DataFrame, latitude_key: str, longitude_key: str) -> DataFrame:
+        """Snapped points; the axes are settled once per dataset."""
+        selection.require_coords(self.df, latitude_key, longitude_key)
+        for dim in (latitude_key, longitude_key):
+            if dim not in self._settled:
+                self._settled[dim] = point_ops.settled_axis(self.df, dim, self.axes)
+        return point_ops.snap_points(self.df, wanted, latitude_key, longitude_key, self._settled)
 
     def circle(
         self,

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .dataset import GridDataset
 from .errors import DatasetNotFoundError, StacResolutionError
-from .model import DatasetMetadata, DatasetRequest, infer_dims, normalize_name
+from .model import CatalogKeys, DatasetMetadata, DatasetRequest, infer_dims, normalize_name
 from .operators.concat import DEFAULT_DIMENSION, VariantCells, concat_tagged, concat_variants
 from .plans.concatenable import concatenable_items, concatenation_groups
 from .plans.listing import available_datasets, list_datasets, list_datasets_api
@@ -21,6 +21,7 @@ from .plans.resolution import (
     resolve_datasets_api,
 )
 from .plans.sizing import BROADCAST_ROWS, fits, hashable, keyed_lookup, settle
+from .plans.walk import load_catalog
 
 # Variants read one by one; a dataset with more is read as one tagged table.
 SEPARATE_SCANS = 64
@@ -65,6 +66,23 @@ class GridEngine:
         self.resolver = resolver
         self.strict = strict
 
+    @classmethod
+    def from_documents(
+        cls, documents: DataFrame, root_href: str, store, keys: CatalogKeys = CatalogKeys(), **options
+    ) -> GridEngine:
+        """Engine over a tree of catalog documents (see ``catalog_walk``)."""
+        tree = load_catalog(documents, root_href, keys)
+        return cls(
+            documents.sparkSession,
+            tree.items,
+            store,
+            collections=tree.collections,
+            declared=tree.declared,
+            declared_datasets=tree.declared_datasets,
+            item_links=tree.item_links,
+            **options,
+        )
+
     # -- catalog ------------------------------------------------------------
 
     def list_available_datasets(self, form: str = "api") -> DataFrame:
@@ -86,6 +104,10 @@ class GridEngine:
             raise StacResolutionError(self._explain(request, found), found.status)
         return found
 
+    def resolve_cid(self, request: DatasetRequest) -> str:
+        """Content id of one request."""
+        return request.cid or self._resolve_one(request).cid
+
     def _explain(self, request: DatasetRequest, found) -> str:
         text = f"{request.collection}/{request.dataset}/{request.variant or ''}: {found.status}"
         if found.status == DATASET_NOT_FOUND:
@@ -148,7 +170,14 @@ class GridEngine:
         dimension = min(listed, key=lambda v: v.concat_priority).concat_dimension
         if len(listed) <= SEPARATE_SCANS:
             loaded = [
-                VariantCells(v.variant, self.store.read(v.cid), v.concat_priority, v.concat_dimension, v.cid)
+                VariantCells(
+                    v.variant,
+                    self.store.read(v.cid),
+                    v.concat_priority,
+                    v.concat_dimension,
+                    v.cid,
+                    self.store.axes(v.cid, [dimension]).get(dimension),
+                )
                 for v in listed
             ]
             cells, names = concat_variants(loaded, self.strict), tuple(v.variant for v in listed)

@@ -22,13 +22,18 @@ DEFAULT_DIMENSION = "time"
 
 @dataclass(frozen=True)
 class VariantCells:
-    """Cells of one variant with its place in the concatenation."""
+    """Cells of one variant with its place in the concatenation.
+
+    ``axis`` is an optional table of the values of the concatenation dimension,
+    from which the variant's end is read instead of from the cells.
+    """
 
     variant: str
     cells: DataFrame
     concat_priority: float | None = None
     concat_dimension: str | None = None
     cid: str | None = None
+    axis: DataFrame | None = None
 
 
 def concat_order(variants: list[VariantCells]) -> list[VariantCells]:
@@ -81,10 +86,12 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
     spark = ordered[0].cells.sparkSession
     kept, ends = [ordered[0].cells], []
     for earlier, current in zip(ordered, ordered[1:]):
-        last = earlier.cells.where(_not_nan(earlier.cells, dim)).agg(
-            F.coalesce(F.max(_axis(earlier.cells, dim)), lowest).alias("last")
+        known = earlier.cells if earlier.axis is None else earlier.axis
+        ends.append(
+            known.where(_not_nan(known, dim)).agg(
+                F.coalesce(F.max(_axis(known, dim)), lowest).alias("last")
+            )
         )
-        ends.append(last)
         cells = current.cells
         axis = _axis(cells, dim)
         if len(ends) == 1:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,12 +38,17 @@ def points_table(spark: SparkSession, lats, lons, epsg_crs: int = EPSG_WGS84) ->
     return spark.createDataFrame(rows, schema)
 
 
+def settled_axis(cells: DataFrame, dim: str, axes: dict[str, DataFrame | Axis] | None = None) -> Axis:
+    source = (axes or {}).get(dim, cells)
+    return source if isinstance(source, Axis) else Axis.of(source, dim)
+
+
 def snap_points(
     cells: DataFrame,
     points: DataFrame,
     latitude="latitude",
     longitude="longitude",
-    axes: dict[str, DataFrame] | None = None,
+    axes: dict[str, DataFrame | Axis] | None = None,
     axis_rows: int = AXIS_ROWS,
 ) -> DataFrame:
     """One row per point with the nearest latitude and longitude of the grid.
@@ -57,21 +62,33 @@ def snap_points(
         F.col("latitude").cast("double").alias("point_latitude"),
         F.col("longitude").cast("double").alias("point_longitude"),
     )
-    axes = axes or {}
-    lat_axis = Axis.of(axes.get(latitude, cells), latitude)
-    lon_axis = Axis.of(axes.get(longitude, cells), longitude)
+    lat_axis, lon_axis = (settled_axis(cells, dim, axes) for dim in (latitude, longitude))
     snapped = snap(wanted, "point_latitude", lat_axis, latitude, axis_rows)
     snapped = snap(snapped, "point_longitude", lon_axis, longitude, axis_rows)
     return snapped.select(*POINT_COLUMNS, latitude, longitude)
 
 
-def _hits(snapped: DataFrame, latitude: str, longitude: str, tolerance: float | None):
+def _near(latitude: str, longitude: str, tolerance: float | None) -> Column:
     close = F.col(latitude).isNotNull() & F.col(longitude).isNotNull()
     if tolerance is not None:
         limit = F.lit(float(tolerance))
         close = close & (F.abs(F.col(latitude) - F.col("point_latitude")) <= limit)
         close = close & (F.abs(F.col(longitude) - F.col("point_longitude")) <= limit)
-    return close
+    return F.coalesce(close, F.lit(False))
+
+
+def hits(snapped: DataFrame, latitude="latitude", longitude="longitude", tolerance=None) -> DataFrame:
+    """Snapped points that count: all, or those within the tolerance."""
+    return snapped.where(_near(latitude, longitude, tolerance))
+
+
+def misses(snapped: DataFrame, latitude="latitude", longitude="longitude", tolerance=None) -> DataFrame:
+    """The other points, as they were asked for."""
+    return snapped.where(~_near(latitude, longitude, tolerance)).select(
+        "point_id",
+        F.col("point_latitude").alias("latitude"),
+        F.col("point_longitude").alias("longitude"),
+    )
 
 
 def join_cells(
@@ -125,8 +142,8 @@ def points(
     Repeated input points stay repeated.
     """
     snapped = snap_points(cells, wanted, latitude, longitude, axes, axis_rows)
-    hits = snapped.where(_hits(snapped, latitude, longitude, None if snap_to_grid else tolerance))
-    return join_cells(cells, hits, latitude, longitude, limit)
+    found = hits(snapped, latitude, longitude, None if snap_to_grid else tolerance)
+    return join_cells(cells, found, latitude, longitude, limit)
 
 
 def points_missed(
@@ -140,9 +157,4 @@ def points_missed(
 ) -> DataFrame:
     """The points that have no grid position within the tolerance."""
     snapped = snap_points(cells, wanted, latitude, longitude, axes, axis_rows)
-    hit = F.coalesce(_hits(snapped, latitude, longitude, tolerance), F.lit(False))
-    return snapped.where(~hit).select(
-        "point_id",
-        F.col("point_latitude").alias("latitude"),
-        F.col("point_longitude").alias("longitude"),
-    )
+    return misses(snapped, latitude, longitude, tolerance)

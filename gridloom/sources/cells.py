@@ -61,8 +61,11 @@ def write_cells(
         .partitionBy(cid_column, YEAR_PARTITION)
         .parquet(f"{root}/cells")
     )
+    # Axes come from the columns just written; after an append only the new
+    # cells are looked at, and values already known are merely repeated.
+    written = df if mode == "append" else df.sparkSession.read.parquet(f"{root}/cells")
     for dim in dims:
-        axis = df.select(cid_column, dim).where(F.col(dim).isNotNull()).distinct()
+        axis = written.select(cid_column, dim).where(F.col(dim).isNotNull()).distinct()
         axis.write.mode(mode).partitionBy(cid_column).parquet(f"{root}/axes/{dim}")
 
 

@@ -142,6 +142,20 @@ def point_tolerance_query(spark, sf_dir):
     return grid(spark, sf_dir).point(10.1, -1.2, tolerance=0.125).df
 
 
+@query(
+    "infer_coord",
+    ctes("cube")
+    + f"""SELECT latitude AS "LAT", longitude AS "Lng", time AS "Valid Time", precipitation, temperature FROM cube
+WHERE latitude = {nearest_sql('cube', 'latitude', -41)} AND longitude = {nearest_sql('cube', 'longitude', 172)}
+  AND time >= TIMESTAMP '1998-01-01' AND time <= TIMESTAMP '1998-12-01'""",
+)
+def infer_coord_query(spark, sf_dir):
+    """Dimensions found under other spellings of their names."""
+    odd = {"latitude": "LAT", "longitude": "Lng", "time": "Valid Time"}
+    ds = GridDataset(fixture(spark, sf_dir, "cube").withColumnsRenamed(odd))
+    return ds.point(-41, 172).time_range("1998-01-01", "1998-12-01").df
+
+
 @query(
     "select_point_time",
     ctes("cube")
