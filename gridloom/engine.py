@@ -93,13 +93,25 @@ class GridEngine:
     list_catalog_entries = list_available_datasets
 
     def resolve(self, requests: DataFrame) -> DataFrame:
+        """Resolution of a table of requests; see ``resolve_datasets``."""
+        return self._resolve(requests, self.items)
+
+    def _resolve(self, requests: DataFrame, items: DataFrame) -> DataFrame:
         if self.resolver == "api":
-            return resolve_datasets_api(requests, self.items)
-        return resolve_datasets(requests, self.items, self.collections, self.declared)
+            return resolve_datasets_api(requests, items)
+        return resolve_datasets(requests, items, self.collections, self.declared)
 
     def _resolve_one(self, request: DatasetRequest):
         row = (0, request.collection, request.dataset, request.variant, request.organization)
-        found = self.resolve(self.spark.createDataFrame([row], _REQUEST_SCHEMA)).first()
+        items = self.items
+        if request.collection:
+            # Only collections of this name, bare or behind an organization,
+            # can be meant; the predicate reaches the scan of the items.
+            name = F.col("collection")
+            items = items.where((name == request.collection) | name.endswith(f"_{request.collection}"))
+            if request.organization:
+                items = items.where(name.isin(request.collection, f"{request.organization}_{request.collection}"))
+        found = self._resolve(self.spark.createDataFrame([row], _REQUEST_SCHEMA), items).first()
         if found.status != OK:
             raise StacResolutionError(self._explain(request, found), found.status)
         return found
