@@ -9,7 +9,14 @@ from pyspark.sql import types as T
 from .dataset import GridDataset
 from .errors import DatasetNotFoundError, StacResolutionError
 from .model import CatalogKeys, DatasetMetadata, DatasetRequest, infer_dims, normalize_name
-from .operators.concat import DEFAULT_DIMENSION, VariantCells, concat_tagged, concat_variants
+from .operators.concat import (
+    DEFAULT_DIMENSION,
+    VariantCells,
+    after_cutoff,
+    concat_variants,
+    place_variants,
+    variant_ends,
+)
 from .plans.concatenable import concatenable_items, concatenation_groups
 from .plans.listing import available_datasets, list_datasets, list_datasets_api
 from .plans.resolution import (
@@ -194,7 +201,8 @@ class GridEngine:
             ]
             cells, names = concat_variants(loaded, self.strict), tuple(v.variant for v in listed)
         else:
-            cells, names = self._concatenate_many(variants, dimension), None
+            cells = self._concatenate_many(variants, dimension).drop("cid", "variant", "concat_priority")
+            names = None
         metadata = DatasetMetadata(
             dataset=request.dataset,
             collection=found.collection_id,
@@ -208,15 +216,21 @@ class GridEngine:
         )
         return GridDataset(cells, metadata, strict=self.strict)
 
-    def _concatenate_many(self, variants: DataFrame, dimension: str) -> DataFrame:
-        once = variants.groupBy("cid", "variant").agg(
-            F.min("concat_priority").alias("concat_priority"), F.min("ord").alias("_ord")
-        )
-        tagged = self._join_cells(once)
-        joined = concat_tagged(
-            tagged.withColumn("_key", F.struct("variant", "cid")), "_key", dim=dimension, order="_ord"
+    def _concatenate_many(self, variants: DataFrame, dimension: str, group: tuple[str, ...] = ()) -> DataFrame:
+        """Variants joined into series, one per ``group``, in one pass.
+
+        The ends of the variants come from the axis tables, so the cut-offs are
+        known before the cells are read, and the cells are joined only once.
+        """
+        # An item listed twice adds nothing the second time.
+        once = variants.groupBy(*group, "variant", "cid").agg(
+            F.min("concat_priority").alias("priority"), F.min("ord").alias("tie")
         )
-        return joined.drop("_key", "_ord", "variant", "concat_priority", "cid")
+        ends = variant_ends(self.store.axis_table(dimension), "cid", dimension)
+        ended = keyed_lookup(once, ends, ["cid"], [F.col("variant"), *map(F.col, group)], how="inner")
+        placed = place_variants(ended, group, "variant", "cid")
+        chosen = placed.select("cid", *group, "variant", F.col("priority").alias("concat_priority"), "cutoff")
+        return after_cutoff(self._join_cells(chosen), dimension).drop("cutoff")
 
     def _join_cells(self, chosen: DataFrame) -> DataFrame:
         """Cells of every chosen ``cid``; partitions of others are not read.
@@ -247,18 +261,7 @@ class GridEngine:
         groups = concatenation_groups(listed).where(F.col("concat_dimension") == dimension)
         name = ["collection", "dataset"]
         several = keyed_lookup(listed, groups.select(*name), name, [F.col("cid")], how="left_semi")
-        once = several.groupBy(*name, "variant", "cid").agg(
-            F.min("concat_priority").alias("concat_priority"), F.min("ord").alias("ord")
-        )
-        tagged = self._join_cells(once)
-        joined = concat_tagged(
-            tagged.withColumn("_key", F.struct("variant", "cid")),
-            "_key",
-            dim=dimension,
-            group=("collection", "dataset"),
-            order="ord",
-        )
-        return joined.drop("_key", "ord")
+        return self._concatenate_many(several, dimension, tuple(name))
 
     def select_dataset(
         self, request: DatasetRequest, auto_concatenate: bool = False, **selection

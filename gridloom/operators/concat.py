@@ -116,22 +116,42 @@ def concat_cutoff(
     The window runs over one row per variant of a dataset; the cells are only
     pre-aggregated. ``cutoff`` is NULL for the first variant.
     """
-    tie = [F.min(order).alias("tie")] if order else [F.lit(0).alias("tie")]
+    tie = F.min(order) if order else F.lit(0)
     axis = F.when(_not_nan(tagged, dim), _axis(tagged, dim))
     summary = tagged.groupBy(*group, variant).agg(
-        F.min(priority).alias("priority"), *tie, F.max(axis).alias("last")
+        F.min(priority).alias("priority"), tie.alias("tie"), F.max(axis).alias("variant_last")
     )
-    place = Window.partitionBy(*group).orderBy(F.col("priority").asc_nulls_last(), "tie", variant)
+    return place_variants(summary, group, variant).select(
+        *group, variant, "concat_position", "variant_last", "cutoff"
+    )
+
+
+def place_variants(summary: DataFrame, group: tuple[str, ...], *last_tie: str) -> DataFrame:
+    """Add ``concat_position`` and ``cutoff`` to one row per variant.
+
+    ``summary`` has the ``group`` columns, ``priority``, ``tie`` and
+    ``variant_last``, the last coordinate of the variant.
+    """
+    place = Window.partitionBy(*group).orderBy(F.col("priority").asc_nulls_last(), "tie", *last_tie)
     before = place.rowsBetween(Window.unboundedPreceding, -1)
     return summary.select(
-        *group,
-        variant,
+        "*",
         F.row_number().over(place).alias("concat_position"),
-        F.col("last").alias("variant_last"),
-        F.max("last").over(before).alias("cutoff"),
+        F.max("variant_last").over(before).alias("cutoff"),
     )
 
 
+def after_cutoff(cells: DataFrame, dim: str) -> DataFrame:
+    """Cells of a first variant, or strictly after their ``cutoff``."""
+    return cells.where(F.col("cutoff").isNull() | (_axis(cells, dim) > F.col("cutoff")))
+
+
+def variant_ends(cells: DataFrame, key: str, dim: str) -> DataFrame:
+    """Last coordinate per ``key``; only these two columns are read."""
+    axis = F.when(_not_nan(cells, dim), _axis(cells, dim))
+    return cells.groupBy(key).agg(F.max(axis).alias("variant_last"))
+
+
 def concat_tagged(
     tagged: DataFrame,
     variant="variant",
@@ -151,5 +171,4 @@ def concat_tagged(
     )
     keys = [*group, variant]
     joined = checked_lookup(tagged, cutoffs, keys, hashable(tagged, keys), how="inner")
-    later = F.col("cutoff").isNull() | (_axis(tagged, dim) > F.col("cutoff"))
-    return joined.where(later).select(*tagged.columns)
+    return after_cutoff(joined, dim).select(*tagged.columns)

@@ -93,6 +93,10 @@ class CellStore:
         """Cells of all datasets with their ``cid``, for joins that prune on it."""
         return self.spark.read.parquet(f"{self.root}/cells")
 
+    def axis_table(self, dim: str) -> DataFrame:
+        """Axis values of all datasets with their ``cid``."""
+        return self.spark.read.parquet(f"{self.root}/axes/{dim}")
+
 
 @dataclass(frozen=True)
 class CellTable:
@@ -110,6 +114,9 @@ class CellTable:
     def table(self) -> DataFrame:
         return self.cells.withColumnRenamed(self.cid_column, CID)
 
+    def axis_table(self, dim: str) -> DataFrame:
+        return self.table().select(CID, dim)
+
 
 def read_cells(spark: SparkSession, root: str, cid: str) -> DataFrame:
     return CellStore(spark, root).read(cid)
