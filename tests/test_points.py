@@ -93,7 +93,7 @@ def test_snap_equals_brute_force(spark, name, axis_rows):
     assert {r.i: r.near for r in got} == {i: nearest(axis, x) for i, x in enumerate(wanted)}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     # Steps of a millionth: differences between axis values stay exact enough
     # for every way of comparing them.
