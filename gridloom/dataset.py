@@ -208,11 +208,11 @@ class GridDataset:
     ) -> GridDataset:
         df = selection.rectangle(self.df, min_lat, min_lon, max_lat, max_lon, latitude_key, longitude_key)
         if self.strict:
-            selection.check_axis_ranges(self.df, latitude_key, longitude_key)
+            selection.check_axis_ranges(self.df, latitude_key, longitude_key, self.axes)
         return self._with(df)
 
     def time_range(self, start, end, dimension: str = "time") -> GridDataset:
-        df = selection.time_range(self.df, start, end, dimension)
+        df = selection.time_range(self.df, start, end, dimension, self.dims)
         kept = self._with(df)
         if self.strict and kept.is_empty():
             raise InvalidSelectionError(f"No data between {start} and {end}.")
@@ -236,7 +236,7 @@ class GridDataset:
                 (time_range["start"], time_range["end"]) if isinstance(time_range, dict) else time_range
             )
             try:
-                key = selection.time_key(current.df)
+                key = selection.time_key(current.dims)
             except InvalidSelectionError:
                 if not point:
                     raise

@@ -75,17 +75,26 @@ def rectangle(
     )
 
 
-def check_axis_ranges(df, latitude="latitude", longitude="longitude") -> None:
-    """Raise unless the axes hold degrees: one aggregation over two columns."""
-    lat, lon = F.col(latitude).try_cast("double"), F.col(longitude).try_cast("double")
-    bad = F.when(lat.isNull() | F.isnan(lat) | lon.isNull() | F.isnan(lon), 1)
-    row = df.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon), F.count(bad), F.count("*")).first()
-    if row[5] == 0:
-        raise InvalidSelectionError("Latitude and longitude axes must not be empty.")
-    if row[4] or row[0] < -90 or row[1] > 90:
-        raise InvalidSelectionError(f"Latitudes must be numbers between -90 and 90: {row[0]}, {row[1]}.")
-    if row[2] < -180 or row[3] > 180:
-        raise InvalidSelectionError(f"Longitudes must be numbers between -180 and 180: {row[2]}, {row[3]}.")
+# Ranges in degrees an axis must keep to.
+LATITUDE_RANGE = (-90, 90)
+LONGITUDE_RANGE = (-180, 180)
+
+
+def check_axis_ranges(df, latitude="latitude", longitude="longitude", axes=None) -> None:
+    """Raise unless both axes hold degrees; known axes spare the cells."""
+    axes = axes or {}
+    for dim, (least, most) in ((latitude, LATITUDE_RANGE), (longitude, LONGITUDE_RANGE)):
+        value = F.col(dim).try_cast("double")
+        bad = F.count_if(value.isNull() | F.isnan(value))
+        count, low, high, unusable = (
+            axes.get(dim, df).agg(F.count("*"), F.min(value), F.max(value), bad).first()
+        )
+        if count == 0:
+            raise InvalidSelectionError(f"The {dim} axis must not be empty.")
+        if unusable or low < least or high > most:
+            raise InvalidSelectionError(
+                f"Values of {dim} must be numbers between {least} and {most}; found {low} to {high}."
+            )
 
 
 def circle_box(lat: Column, lon: Column, center_lat: float, center_lon: float, radius_km: float) -> Column:
@@ -192,17 +201,20 @@ def circle_masked(
     )
 
 
-def time_key(df: DataFrame, dimension: str | None = "time") -> str:
+def time_key(columns, dimension: str | None = "time") -> str:
     """The named dimension if present, else the first default time column."""
-    key = infer_coord(df.columns, [k for k in (dimension, *TIME_KEYS) if k])
+    key = infer_coord(columns, [k for k in (dimension, *TIME_KEYS) if k])
     if key is None:
         raise InvalidSelectionError(f'Coordinate "{dimension}" not found in dataset.')
     return key
 
 
-def time_range(df, start, end, dimension="time") -> DataFrame:
-    """Cells between two instants, both included, in either order."""
-    key = time_key(df, dimension)
+def time_range(df, start, end, dimension="time", dims=None) -> DataFrame:
+    """Cells between two instants, both included, in either order.
+
+    The time column is looked for among ``dims``, or all columns.
+    """
+    key = time_key(dims or df.columns, dimension)
     dtype = df.schema[key].dataType
     kept = df.where(within_time(F.col(key), dtype, start, end))
     if YEAR_PARTITION in df.columns and isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -272,6 +272,17 @@ def test_unknown_dimension_falls_back(sample):
     assert renamed.time_range("2023-01-07", "2023-01-08").df.count() == 1
 
 
+def test_a_variable_named_like_a_time_axis(spark):
+    """``t`` may be a variable; the dimensions then have to be named."""
+    rows = [(1.0, 2.0, "2024-01-01", 280.0), (1.0, 2.0, "2024-01-02", 281.0)]
+    df = spark.createDataFrame(rows, "lat double, lon double, step_time string, t double")
+    ds = GridDataset(df, dims=("lat", "lon", "step_time"))
+    assert ds.variables == ["t"]
+    assert collected(ds.time_range("2024-01-02", "2024-01-03", "step_time").df, "t") == [(281.0,)]
+    with pytest.raises(InvalidSelectionError):
+        ds.time_range("2024-01-02", "2024-01-03")
+
+
 # --- output and introspection ------------------------------------------------
 
 
