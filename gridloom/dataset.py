@@ -27,9 +27,9 @@ def read_bounds(bounds, options=None) -> tuple[float, float, float, float, dict]
             raise InvalidSelectionError("Bounds must be finite numbers: west, south, east, north.")
     west, south, east, north = sides
     if west >= east:
-        raise InvalidSelectionError(f"West ({west}) must be less than east ({east}).")
+        raise InvalidSelectionError(f"West {west} does not lie west of east {east}.")
     if south >= north:
-        raise InvalidSelectionError(f"South ({south}) must be less than north ({north}).")
+        raise InvalidSelectionError(f"South {south} does not lie below north {north}.")
     return west, south, east, north, dict(options or {})
 
 
@@ -73,7 +73,7 @@ class GridDataset:
 
     def axis(self, dim: str) -> DataFrame:
         if dim not in self.dims:
-            raise KeyError(f'Dimension "{dim}" not found in dataset.')
+            raise KeyError(f"No dimension named {dim}.")
         return introspect.axis(self.axes.get(dim, self.df), dim)
 
     def sizes(self) -> DataFrame:
@@ -96,7 +96,7 @@ class GridDataset:
 
     def ensure_has_data(self) -> GridDataset:
         if self.is_empty():
-            raise NoDataFoundError("Dataset selection contains no data points.")
+            raise NoDataFoundError("The selection holds no cells.")
         return self
 
     def infer_coord(self, candidates) -> str | None:
@@ -125,7 +125,7 @@ class GridDataset:
         lat = latitude_key or self.infer_coord(LATITUDE_KEYS)
         lon = longitude_key or self.infer_coord(LONGITUDE_KEYS)
         if not lat or not lon:
-            raise InvalidSelectionError("Latitude and longitude coordinates were not found in the dataset.")
+            raise InvalidSelectionError("No latitude and longitude columns among the dimensions.")
         if method == "exact":
             df = selection.point_exact(self.df, latitude, longitude, lat, lon)
         else:
@@ -227,7 +227,7 @@ class GridDataset:
         column keeps the point result.
         """
         if point and bounds:
-            raise InvalidSelectionError("Use either a point or bounds, not both.")
+            raise InvalidSelectionError("A selection takes a point or bounds, and got the two.")
         current = self
         if point:
             current = current.point(**point)

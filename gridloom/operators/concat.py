@@ -54,7 +54,7 @@ def _lowest(dtype: T.DataType) -> Column:
 
 def _axis(df: DataFrame, dim: str) -> Column:
     if dim not in df.columns:
-        raise ValueError(f"Variant has no coordinates for dimension '{dim}'.")
+        raise ValueError(f"A variant lacks the column {dim} to join along.")
     return to_comparable(F.col(dim), df.schema[dim].dataType)
 
 
@@ -73,7 +73,7 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
     groups before the cut-off are skipped, and nothing is shuffled or joined.
     """
     if not variants:
-        raise ValueError("Cannot concatenate an empty list of variants.")
+        raise ValueError("There are no variants to join.")
     if len(variants) == 1:
         return variants[0].cells
     ordered = concat_order(variants)
@@ -81,7 +81,7 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
     for v in ordered:
         axis = _axis(v.cells, dim)
         if strict and v.cells.select(axis).isEmpty():
-            raise ValueError(f"Variant '{v.variant}' has no coordinates for dimension '{dim}'.")
+            raise ValueError(f"Variant {v.variant} is empty along {dim}.")
     lowest = _lowest(ordered[0].cells.schema[dim].dataType)
     spark = ordered[0].cells.sparkSession
     kept, ends = [ordered[0].cells], []

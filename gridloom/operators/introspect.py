@@ -21,7 +21,7 @@ def variables(df: DataFrame, dims) -> list[str]:
 
 def get_variable(df: DataFrame, dims, name: str) -> DataFrame:
     if name not in variables(df, dims):
-        raise KeyError(f'Variable "{name}" not found in dataset.')
+        raise KeyError(f"No variable named {name}.")
     return df.select(*dims, name)
 
 

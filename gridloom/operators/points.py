@@ -22,9 +22,9 @@ POINT_COLUMNS = ("point_id", "point_latitude", "point_longitude")
 def points_table(spark: SparkSession, lats, lons, epsg_crs: int = EPSG_WGS84) -> DataFrame:
     """Point table of two equally long coordinate lists, ids in list order."""
     if not isinstance(lats, (list, tuple)) or not isinstance(lons, (list, tuple)) or len(lats) != len(lons):
-        raise InvalidSelectionError("Point latitudes and longitudes must be lists of equal length.")
+        raise InvalidSelectionError("Latitudes and longitudes of points come as two equally long lists.")
     if not lats:
-        raise InvalidSelectionError("At least one point coordinate is required.")
+        raise InvalidSelectionError("The list of points is empty.")
     if epsg_crs != EPSG_WGS84:
         raise InvalidSelectionError(f"Coordinates must be in EPSG:{EPSG_WGS84}.")
     schema = T.StructType(

@@ -14,7 +14,7 @@ FLOATS = (T.DoubleType, T.FloatType)
 def to_records(df: DataFrame, dims, variable: str, precision: int | None = None) -> DataFrame:
     """Dimensions and ``value`` of one variable; missing values are kept."""
     if variable not in df.columns or variable in dims:
-        raise KeyError(f'Variable "{variable}" not found in dataset.')
+        raise KeyError(f"No variable named {variable}.")
     value = F.col(variable)
     if precision is not None:
         value = F.round(value, precision)

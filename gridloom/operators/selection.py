@@ -121,7 +121,7 @@ def circle_box(lat: Column, lon: Column, center_lat: float, center_lon: float, r
 
 def _within(df, center_lat, center_lon, radius_km, latitude, longitude) -> tuple[Column, Column]:
     if not radius_km > 0:
-        raise InvalidSelectionError("Radius must be a positive number.")
+        raise InvalidSelectionError("A circle needs a radius above zero.")
     finite(center_lat, center_lon, radius_km)
     require_coords(df, latitude, longitude)
     lat, lon = F.col(latitude), F.col(longitude)
@@ -205,7 +205,7 @@ def time_key(columns, dimension: str | None = "time") -> str:
     """The named dimension if present, else the first default time column."""
     key = infer_coord(columns, [k for k in (dimension, *TIME_KEYS) if k])
     if key is None:
-        raise InvalidSelectionError(f'Coordinate "{dimension}" not found in dataset.')
+        raise InvalidSelectionError(f"No time column: neither {dimension} nor a default name is there.")
     return key
 
 

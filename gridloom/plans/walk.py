@@ -22,7 +22,7 @@ from ..errors import StacLoadError
 from ..functions.stac import number_prop, string_list, string_prop
 from ..functions.text import blank_to_null
 from ..model import CatalogKeys
-from .sizing import keyed_lookup
+from .sizing import keyed_lookup, settle
 
 _LINKS = "links ARRAY<MAP<STRING, VARIANT>>"
 _NODE = f"id STRING, title STRING, {_LINKS}, bad STRING"
@@ -89,14 +89,33 @@ def _unreadable(links: DataFrame, documents: DataFrame, level: str) -> DataFrame
     )
 
 
-def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKeys()) -> Catalog:
+def _linked_nodes(docs: DataFrame) -> DataFrame:
+    """Documents with links, cut down to the links that are followed.
+
+    A node without links cannot be followed and counts as unreadable. Settled,
+    since every level of the walk uses it and parsing is the dear part.
+    """
+    followed = F.filter("doc.links", lambda link: string_prop(link, "rel").isin("child", "item"))
+    nodes = _parse(docs, _NODE).where(F.col("doc.links").isNotNull())
+    return settle(
+        nodes.select(
+            "href",
+            "part",
+            F.struct(F.col("doc.id").alias("id"), F.col("doc.title").alias("title"), followed.alias("links")).alias("doc"),
+        )
+    )
+
+
+def catalog_walk(
+    docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKeys(), require_root: bool = False
+) -> Catalog:
+    """Flat tables of the tree under ``root_href``, lazy but for one parse."""
     if "part" not in docs.columns:
         docs = docs.withColumn("part", F.lit(0))
-    nodes = _parse(docs, _NODE)
-    # A node without links cannot be followed and counts as unreadable.
-    linked = nodes.where(F.col("doc.links").isNotNull())
-
+    linked = _linked_nodes(docs)
     root = linked.where(F.col("href") == root_href)
+    if require_root and root.isEmpty():
+        raise StacLoadError(f"The catalog root {root_href} cannot be read.")
     org_links = (
         _out_links(root, "child", "href", "part")
         .withColumn("organization_id", string_prop(F.col("link"), keys["id"]))
@@ -221,7 +240,4 @@ def catalog_walk(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKey
 
 def load_catalog(docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKeys()) -> Catalog:
     """``catalog_walk`` that raises when the root itself cannot be read."""
-    nodes = docs.where(F.col("href") == root_href).withColumn("part", F.lit(0))
-    if _parse(nodes, _NODE).where(F.col("doc.links").isNotNull()).isEmpty():
-        raise StacLoadError(f"The catalog root {root_href} cannot be read.")
-    return catalog_walk(docs, root_href, keys)
+    return catalog_walk(docs, root_href, keys, require_root=True)
