@@ -265,7 +265,7 @@ def concat_cutoff_join(spark, sf_dir):
 @query(
     "concat_cutoff",
     ctes("variants")
-    + """SELECT variant, row_number() OVER o AS concat_position, last AS variant_last,
+    + """SELECT variant, CAST(row_number() OVER o AS INT) AS concat_position, last AS variant_last,
   max(last) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cutoff
 FROM (SELECT variant, min(concat_priority) AS p, max(time) AS last FROM variants GROUP BY variant)
 WINDOW o AS (ORDER BY p)""",
