@@ -87,3 +87,52 @@ FROM counts LEFT JOIN bad ON counts.source = bad.source
 
 
 ORACLES["op6_host_rules"] = _host_rules()
+
+
+_LINK = r"""["'']?\x20*[:=]\x20*["'']?"""
+#: Kind, pattern, group that counts, its length, role: in the order of kinds.
+_PARTS = (
+    ("assign", rf"(?i:(password|passwd|secret|token|api_?key)){_LINK}([A-Za-z0-9+/_.=-]+)", 2, ">= 8", "secret"),
+    ("access", r"AKIA[A-Z0-9]+", 0, ">= 16", "name"),
+    ("hex", r"[0-9a-f]+", 0, ">= 32", "secret"),
+    ("user", rf"(?i:(access_?key_?id|client_?id|user_?name|user|login)){_LINK}([A-Za-z0-9_.@-]+)", 2, ">= 3", "name"),
+    ("key", r"[A-Za-z0-9+/]+", 0, "= 40", "secret"),
+    ("endpoint", r"[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", 0, ">= 8", "endpoint"),
+)
+
+
+def _credentials() -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, '{role}' AS role, i, e - length(m[i]) AS a, e AS b
+        FROM (SELECT *, sum(length(g[i]) + length(m[i])) OVER (PARTITION BY doc_id ORDER BY i) AS e
+          FROM (SELECT doc_id, m, n, g, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m,
+                         regexp_extract_all(text, '{pattern}', {group}) AS n,
+                         regexp_split_to_array(text, '{pattern}') AS g FROM texts)))
+        WHERE length(n[i]) {passes}"""
+        for rank, (kind, pattern, group, passes, role) in enumerate(_PARTS)
+    )
+    within = "p.doc_id = q.doc_id AND greatest(p.a - q.b, q.a - p.b) <= 200"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({parts}),
+judged AS (
+  SELECT *, exists(SELECT 1 FROM parts q WHERE {within} AND q.role = 'secret') AS by_secret,
+         exists(SELECT 1 FROM parts q WHERE {within} AND q.role = 'name') AS by_name,
+         exists(SELECT 1 FROM parts q WHERE p.doc_id = q.doc_id AND q.rank < 3 AND q.a < p.b AND p.a < q.b) AS taken
+  FROM parts p
+),
+spans AS (
+  SELECT * FROM judged WHERE rank < 3 OR NOT taken AND CASE role WHEN 'name' THEN by_secret
+    WHEN 'secret' THEN by_name ELSE by_name AND by_secret END
+)
+SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (rank >= 3) AS n_linked,
+       sha256(coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, rank)
+              FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, rank), '') AS spans
+FROM texts t LEFT JOIN spans s ON t.doc_id = s.doc_id GROUP BY t.doc_id
+"""
+
+
+ORACLES["op10_credentials"] = _credentials()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import host_rules, line_dedup
+from gridloom.llm import credentials, host_rules, line_dedup
 from gridloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,8 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op10_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secret_report(table(spark, sf_dir, "documents"))
