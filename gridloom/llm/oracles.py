@@ -136,3 +136,138 @@ FROM texts t LEFT JOIN spans s ON t.doc_id = s.doc_id GROUP BY t.doc_id
 
 
 ORACLES["op10_credentials"] = _credentials()
+
+ORACLES["op1_minhash_join"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, len(s) AS n FROM shingles
+), each AS (
+  SELECT doc_id, unnest(s) AS g FROM shingles
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT s.doc_id, n AS n_shingles, least(s.doc_id, coalesce(min(b), s.doc_id)) AS component_id,
+       s.doc_id <= coalesce(min(b), s.doc_id) AS kept
+FROM sizes s LEFT JOIN reach r ON s.doc_id = r.a GROUP BY s.doc_id, n
+"""
+
+ORACLES["op3_cross_polytope"] = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.93
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), n AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, least(vec_id, coalesce(min(b), vec_id)) AS component_id,
+       vec_id <= coalesce(min(b), vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN reach r ON e.vec_id = r.a GROUP BY vec_id
+"""
+
+
+def _host_trust(rounds: int = 12) -> str:
+    def host(url: str) -> str:
+        return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
+
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    rule = (
+        f"CASE WHEN {fits('example.net', '/en/')} THEN 'example.net/en/'"
+        f" WHEN {fits('example.com', '/de/')} THEN 'example.com/de/'"
+        f" WHEN {fits('org', '/fr/')} THEN 'org/fr/' WHEN {fits('net', '/')} THEN 'net/' END"
+    )
+    steps = "".join(
+        f""", s{k} AS (
+  SELECT host, kind, sum(score) AS score FROM (
+    SELECT * FROM s0 UNION ALL
+    SELECT taker AS host, kind, 0.85 * score * part FROM ways JOIN s{k - 1} s ON s.host = giver AND s.kind = way)
+  GROUP BY host, kind
+)"""
+        for k in range(1, rounds + 1)
+    )
+    return f"""
+WITH parts AS (
+  SELECT page_id, {host("coalesce(url, '')")} AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path, html FROM pages
+), ruled AS (
+  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS verdict
+  FROM (SELECT *, {rule} AS rule FROM parts)
+), found AS (
+  SELECT host AS source, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)) AS link
+  FROM parts
+), edges AS (
+  SELECT source, target, count(*) AS n FROM (
+    SELECT source, {host("CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END")} AS target FROM found)
+  WHERE source <> '' AND target <> '' AND source <> target GROUP BY ALL
+), ways AS (
+  SELECT 't' AS way, source AS giver, target AS taker, n / sum(n) OVER (PARTITION BY source) AS part FROM edges
+  UNION ALL
+  SELECT 'd', target, source, n / sum(n) OVER (PARTITION BY target) FROM edges
+), seeds AS (
+  SELECT host, count(*) FILTER (verdict = 'allow') / count(*) AS t, count(*) FILTER (verdict = 'block') / count(*) AS d
+  FROM ruled WHERE host <> '' GROUP BY host
+), s0 AS (
+  SELECT host, 't' AS kind, t * (1 - 0.85) AS score FROM seeds UNION ALL SELECT host, 'd', d * (1 - 0.85) FROM seeds
+){steps}, bad AS (
+  SELECT host, coalesce(sum(score) FILTER (kind = 'd'), 0) AS d, coalesce(sum(score) FILTER (kind = 't'), 0) AS t
+  FROM s{rounds} GROUP BY host HAVING d > t AND d >= 0.5 * (1 - 0.85)
+)
+SELECT page_id, r.host, path, rule, coalesce(verdict, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN bad ON r.host = bad.host
+"""
+
+
+ORACLES["op4_host_trust"] = _host_trust()
+
+ORACLES["op2_tool_chat"] = """
+WITH RECURSIVE calls AS (
+  SELECT conv_id, turn, conv_id || '-' || turn AS call_id, text,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS nth
+  FROM conversations WHERE role = 'user'
+), results AS (
+  SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS nth
+  FROM conversations WHERE role = 'assistant'
+), firsts AS (
+  SELECT * FROM calls WHERE nth = 1
+), levels AS (
+  SELECT conv_id, turn, CAST(0 AS BIGINT) AS level FROM firsts WHERE turn < 2
+  UNION ALL
+  SELECT f.conv_id, f.turn, level + 1 FROM firsts f JOIN levels l ON f.conv_id = l.conv_id AND f.turn = l.turn + 2
+), rows AS (
+  SELECT c.conv_id, c.turn, 'call' AS part, c.call_id,
+         CASE WHEN nth > 1 THEN 'repeated'
+              WHEN exists(SELECT 1 FROM results r WHERE r.call_id = c.call_id AND r.conv_id = c.conv_id) THEN 'answered'
+              ELSE 'open' END AS status,
+         CASE WHEN nth = 1 THEN level END AS level,
+         text IS NOT NULL AND length(text) BETWEEN 1 AND 300 AS valid,
+         '{"arguments":{' || coalesce('"question":' || CAST(to_json(text) AS VARCHAR) || ',', '') || '"turn":' || c.turn
+           || '},"id":"' || c.call_id || '","name":"ask","type":"call"}' AS line
+  FROM calls c LEFT JOIN levels l ON c.conv_id = l.conv_id AND c.turn = l.turn
+  UNION ALL
+  SELECT r.conv_id, r.turn, 'result', r.call_id,
+         CASE WHEN f.call_id IS NULL THEN 'orphan' WHEN r.nth = 1 THEN 'answer' ELSE 'repeated' END,
+         CASE WHEN r.nth = 1 THEN level END, NULL,
+         '{"content":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"id":"' || r.call_id || '","type":"result"}'
+  FROM results r LEFT JOIN firsts f ON r.conv_id = f.conv_id AND r.call_id = f.call_id
+  LEFT JOIN levels l ON l.conv_id = r.conv_id AND l.turn = r.turn - 1
+)
+SELECT conv_id, turn, part, call_id, status, level, valid, sha256(line) AS line_sha256 FROM rows
+"""

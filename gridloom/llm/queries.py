@@ -1,12 +1,24 @@
-"""The operators as named queries over the given tables, with their SQL."""
+"""The operators as named queries over the given tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridloom.llm import credentials, host_rules, line_dedup
+from gridloom.llm import (
+    credentials,
+    cross_polytope,
+    host_rules,
+    host_trust,
+    language,
+    line_dedup,
+    minhash_join,
+    packing,
+    pieces,
+    tool_chat,
+)
 from gridloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +31,31 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op2_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_chat.as_tool_use(table(spark, sf_dir, "conversations"))
+    rows = tool_chat.linked(calls, results, tool_chat.ASK)
+    return rows.select(
+        "conv_id", "turn", "part", "call_id", "status", "level", "valid", F.sha2("line", 256).alias("line_sha256")
+    )
+
+
+@query
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_trust.judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
@@ -32,6 +69,21 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secret_report(table(spark, sf_dir, "documents"))
