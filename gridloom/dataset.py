@@ -9,7 +9,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from .errors import InvalidSelectionError, NoDataFoundError
-from .model import LATITUDE_KEYS, LONGITUDE_KEYS, DatasetMetadata, field_attrs, infer_coord, infer_dims
+from .model import (
+    LATITUDE_KEYS,
+    LONGITUDE_KEYS,
+    YEAR_PARTITION,
+    DatasetMetadata,
+    field_attrs,
+    infer_coord,
+    infer_dims,
+)
 from .operators import introspect, points as point_ops, records, selection
 
 
@@ -27,9 +35,9 @@ def read_bounds(bounds, options=None) -> tuple[float, float, float, float, dict]
             raise InvalidSelectionError("Bounds must be finite numbers: west, south, east, north.")
     west, south, east, north = sides
     if west >= east:
-        raise InvalidSelectionError(f"West {west} does not lie west of east {east}.")
+        raise InvalidSelectionError(f"The west bound {west} must be less than the east bound {east}.")
     if south >= north:
-        raise InvalidSelectionError(f"South {south} does not lie below north {north}.")
+        raise InvalidSelectionError(f"The south bound {south} must be less than the north bound {north}.")
     return west, south, east, north, dict(options or {})
 
 
@@ -39,23 +47,37 @@ class GridDataset:
 
     With ``strict`` the empty and ill-formed cases raise, at the cost of one
     small job per selection. ``axes`` maps a dimension to a table of its
-    values; it is kept only by selections that leave those axes valid.
+    values; it is kept only by selections that leave those axes valid. Stored
+    ``cells`` may carry the directory of the UTC year of ``year_of`` along, so that
+    time ranges prune; ``df`` is without it.
     """
 
-    df: DataFrame
+    cells: DataFrame
     metadata: DatasetMetadata = field(default_factory=DatasetMetadata)
     dims: tuple[str, ...] | None = None
     strict: bool = False
     axes: dict[str, DataFrame] = field(default_factory=dict)
+    year_of: str | None = None
     _settled: dict = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __post_init__(self):
         if self.dims is None:
             object.__setattr__(self, "dims", infer_dims(self.df.schema))
 
-    def _with(self, df: DataFrame, **changes) -> GridDataset:
-        values = {"metadata": self.metadata, "dims": self.dims, "strict": self.strict, "axes": {}}
-        return GridDataset(df, **{**values, **changes})
+    @property
+    def df(self) -> DataFrame:
+        """The cells as a table of dimensions and variables."""
+        return self.cells.drop(YEAR_PARTITION) if self.year_of else self.cells
+
+    def _with(self, cells: DataFrame, **changes) -> GridDataset:
+        values = {
+            "metadata": self.metadata,
+            "dims": self.dims,
+            "strict": self.strict,
+            "axes": {},
+            "year_of": self.year_of,
+        }
+        return GridDataset(cells, **{**values, **changes})
 
     # -- introspection ------------------------------------------------------
 
@@ -86,7 +108,7 @@ class GridDataset:
         return introspect.get_variable(self.df, self.dims, name)
 
     def describe(self, preview: bool = False) -> DataFrame:
-        return introspect.describe_dataset(self.df, self.dims, preview)
+        return introspect.describe_dataset(self.df, self.dims, preview, self.axes)
 
     def is_empty(self) -> bool:
         return self.df.isEmpty()
@@ -127,9 +149,9 @@ class GridDataset:
         if not lat or not lon:
             raise InvalidSelectionError("No latitude and longitude columns among the dimensions.")
         if method == "exact":
-            df = selection.point_exact(self.df, latitude, longitude, lat, lon)
+            df = selection.point_exact(self.cells, latitude, longitude, lat, lon)
         else:
-            df = selection.point_nearest(self.df, latitude, longitude, lat, lon, tolerance, self.axes)
+            df = selection.point_nearest(self.cells, latitude, longitude, lat, lon, tolerance, self.axes)
         kept = {d: t for d, t in self.axes.items() if d not in (lat, lon)}
         picked = self._with(df, axes=kept)
         return picked.ensure_has_data() if self.strict else picked
@@ -159,7 +181,7 @@ class GridDataset:
             if not point_ops.misses(snapped, latitude_key, longitude_key, reach).isEmpty():
                 raise NoDataFoundError("At least one point has no grid position within the tolerance.")
         found = point_ops.hits(snapped, latitude_key, longitude_key, reach)
-        df = point_ops.join_cells(self.df, found, latitude_key, longitude_key)
+        df = point_ops.join_cells(self.cells, found, latitude_key, longitude_key)
         return self._with(df, dims=(*point_ops.POINT_COLUMNS, *self.dims))
 
     def points_missed(
@@ -192,7 +214,7 @@ class GridDataset:
     ) -> GridDataset:
         """Cells within a radius; ``masked`` keeps the sub-grid around them
         with the values outside set to NULL."""
-        args = (self.df, center_lat, center_lon, radius_km, latitude_key, longitude_key)
+        args = (self.cells, center_lat, center_lon, radius_km, latitude_key, longitude_key)
         if masked:
             return self._with(selection.circle_masked(*args, variables=self.variables))
         return self._with(selection.circle(*args))
@@ -206,13 +228,13 @@ class GridDataset:
         latitude_key: str = "latitude",
         longitude_key: str = "longitude",
     ) -> GridDataset:
-        df = selection.rectangle(self.df, min_lat, min_lon, max_lat, max_lon, latitude_key, longitude_key)
+        df = selection.rectangle(self.cells, min_lat, min_lon, max_lat, max_lon, latitude_key, longitude_key)
         if self.strict:
             selection.check_axis_ranges(self.df, latitude_key, longitude_key, self.axes)
         return self._with(df)
 
     def time_range(self, start, end, dimension: str = "time") -> GridDataset:
-        df = selection.time_range(self.df, start, end, dimension, self.dims)
+        df = selection.time_range(self.cells, start, end, dimension, self.dims, self.year_of)
         kept = self._with(df)
         if self.strict and kept.is_empty():
             raise InvalidSelectionError(f"No data between {start} and {end}.")
@@ -227,7 +249,7 @@ class GridDataset:
         column keeps the point result.
         """
         if point and bounds:
-            raise InvalidSelectionError("A selection takes a point or bounds, and got the two.")
+            raise InvalidSelectionError("A selection takes a point or bounds, not both.")
         current = self
         if point:
             current = current.point(**point)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .dataset import GridDataset
 from .errors import DatasetNotFoundError, StacResolutionError
-from .model import CatalogKeys, DatasetMetadata, DatasetRequest, infer_dims, normalize_name
+from .model import CatalogKeys, DatasetMetadata, DatasetRequest, normalize_name
 from .operators.concat import (
     DEFAULT_DIMENSION,
     VariantCells,
@@ -18,35 +18,37 @@ from .operators.concat import (
     variant_ends,
 )
 from .plans.concatenable import concatenable_items, concatenation_groups
-from .plans.listing import available_datasets, list_datasets, list_datasets_api
+from .plans.listing import list_datasets, list_datasets_api
 from .plans.resolution import (
     AMBIGUOUS_VARIANT,
     DATASET_NOT_FOUND,
     OK,
     VARIANT_NOT_FOUND,
+    available_variants,
+    items_by_id,
+    items_by_property,
+    resolve_api_then_items,
     resolve_datasets,
     resolve_datasets_api,
 )
-from .plans.sizing import BROADCAST_ROWS, fits, hashable, keyed_lookup, settle
+from .plans.sizing import BROADCAST_ROWS, fits, settle
 from .plans.walk import load_catalog
 
-# Variants read one by one; a dataset with more is read as one tagged table.
-SEPARATE_SCANS = 64
-
-# Names quoted in an error message.
-SHOWN_NAMES = 20
-
 _REQUEST_SCHEMA = T.StructType(
     [T.StructField("request_id", T.LongType())]
     + [T.StructField(c, T.StringType()) for c in ("collection", "dataset", "variant", "organization")]
 )
 
 
+RESOLVERS = ("items", "api", "api_then_items")
+
+
 class GridEngine:
     """Item table plus cell store.
 
     ``resolver`` picks the resolution rules: ``items`` (names from item ids,
-    ambiguous variants raise) or ``api`` (names from properties, first match).
+    ambiguous variants raise), ``api`` (names from properties, first match) or
+    ``api_then_items`` (the first of these two that succeeds).
     """
 
     def __init__(
@@ -61,8 +63,8 @@ class GridEngine:
         resolver: str = "items",
         strict: bool = False,
     ):
-        if resolver not in ("items", "api"):
-            raise ValueError("resolver is 'items' or 'api'.")
+        if resolver not in RESOLVERS:
+            raise ValueError(f"resolver is one of {', '.join(RESOLVERS)}.")
         self.spark = spark
         self.items = items
         self.store = store
@@ -106,6 +108,8 @@ class GridEngine:
     def _resolve(self, requests: DataFrame, items: DataFrame) -> DataFrame:
         if self.resolver == "api":
             return resolve_datasets_api(requests, items)
+        if self.resolver == "api_then_items":
+            return resolve_api_then_items(requests, items, self.collections, self.declared)
         return resolve_datasets(requests, items, self.collections, self.declared)
 
     def _resolve_one(self, request: DatasetRequest):
@@ -114,41 +118,44 @@ class GridEngine:
         if request.collection:
             # Only collections of this name, bare or behind an organization,
             # can be meant; the predicate reaches the scan of the items.
-            name = F.col("collection")
-            items = items.where((name == request.collection) | name.endswith(f"_{request.collection}"))
+            # Items that state no collection may be of any.
+            name, unstated = F.col("collection"), F.coalesce(F.col("collection") == "", F.lit(True))
+            items = items.where(unstated | (name == request.collection) | name.endswith(f"_{request.collection}"))
             if request.organization:
-                items = items.where(name.isin(request.collection, f"{request.organization}_{request.collection}"))
+                full = f"{request.organization}_{request.collection}"
+                items = items.where(unstated | name.isin(request.collection, full))
         found = self._resolve(self.spark.createDataFrame([row], _REQUEST_SCHEMA), items).first()
         if found.status != OK:
-            raise StacResolutionError(self._explain(request, found), found.status)
+            raise self._failure(request, found)
         return found
 
     def resolve_cid(self, request: DatasetRequest) -> str:
         """Content id of one request."""
         return request.cid or self._resolve_one(request).cid
 
-    def _explain(self, request: DatasetRequest, found) -> str:
+    def _failure(self, request: DatasetRequest, found) -> StacResolutionError:
+        """What went wrong, with every name that would have resolved.
+
+        The names are those that the resolver itself reads from the items of the
+        collection; ``available`` on the error is the same as a table.
+        """
         text = f"{request.collection}/{request.dataset}/{request.variant or ''}: {found.status}"
+        named = items_by_property(self.items) if self.resolver == "api" else items_by_id(self.items)
+        here = available_variants(named.where(F.col("collection_id") == found.collection_id))
         if found.status == DATASET_NOT_FOUND:
-            names = available_datasets(self.items).where(F.col("collection") == found.collection_id).select("dataset")
+            names = here.select("dataset").distinct()
         elif found.status in (VARIANT_NOT_FOUND, AMBIGUOUS_VARIANT):
-            names = (
-                list_datasets(self.items)
-                .where((F.col("collection") == found.collection_id) & (F.col("dataset") == request.dataset))
-                .select("variant")
-            )
+            names = here.where(F.col("dataset") == request.dataset).select("variant")
         else:
-            return text
-        shown = [r[0] for r in names.distinct().orderBy(names.columns[0]).limit(SHOWN_NAMES + 1).collect()]
-        more = ", ..." if len(shown) > SHOWN_NAMES else ""
-        return f"{text}; available: {', '.join(map(str, shown[:SHOWN_NAMES]))}{more}"
+            return StacResolutionError(text, found.status)
+        listed = [r[0] for r in names.orderBy(names.columns[0]).collect()]  # the names of one collection
+        return StacResolutionError(f"{text}; available: {', '.join(map(str, listed))}", found.status, names)
 
     # -- loading ------------------------------------------------------------
 
     def _open(self, cid: str, metadata: DatasetMetadata) -> GridDataset:
-        cells = self.store.read(cid)
-        dims = infer_dims(cells.schema)
-        return GridDataset(cells, metadata, dims, self.strict, self.store.axes(cid, dims))
+        opened = self.store.open(cid)
+        return GridDataset(opened.cells, metadata, opened.dims, self.strict, opened.axes, opened.year_of)
 
     def load_dataset(self, request: DatasetRequest, auto_concatenate: bool = False) -> GridDataset:
         """Dataset of one request: by content id, or through the catalog.
@@ -182,27 +189,24 @@ class GridEngine:
         variants = concatenable_items(self.items, self.item_links).where(
             (F.col("collection") == collection) & (F.col("dataset") == request.dataset)
         )
-        listed = variants.orderBy("ord").limit(SEPARATE_SCANS + 1).collect()
+        listed = variants.orderBy("ord").collect()  # the variants of one dataset
         if len(listed) < 2:
             return None
         found = self._resolve_one(request)
         dimension = min(listed, key=lambda v: v.concat_priority).concat_dimension
-        if len(listed) <= SEPARATE_SCANS:
-            loaded = [
-                VariantCells(
-                    v.variant,
-                    self.store.read(v.cid),
-                    v.concat_priority,
-                    v.concat_dimension,
-                    v.cid,
-                    self.store.axes(v.cid, [dimension]).get(dimension),
-                )
-                for v in listed
-            ]
-            cells, names = concat_variants(loaded, self.strict), tuple(v.variant for v in listed)
-        else:
-            cells = self._concatenate_many(variants, dimension).drop("cid", "variant", "concat_priority")
-            names = None
+        opened = [self.store.open(v.cid) for v in listed]
+        loaded = [
+            VariantCells(
+                v.variant,
+                GridDataset(o.cells, dims=o.dims, year_of=o.year_of).df,
+                v.concat_priority,
+                v.concat_dimension,
+                v.cid,
+                o.axes.get(dimension),
+            )
+            for v, o in zip(listed, opened, strict=True)
+        ]
+        cells, names = concat_variants(loaded, self.strict), tuple(v.variant for v in listed)
         metadata = DatasetMetadata(
             dataset=request.dataset,
             collection=found.collection_id,
@@ -214,7 +218,7 @@ class GridEngine:
             concatenated_variants=names,
             concat_dimension=dimension,
         )
-        return GridDataset(cells, metadata, strict=self.strict)
+        return GridDataset(cells, metadata, opened[0].dims, self.strict)
 
     def _concatenate_many(self, variants: DataFrame, dimension: str, group: tuple[str, ...] = ()) -> DataFrame:
         """Variants joined into series, one per ``group``, in one pass.
@@ -227,7 +231,7 @@ class GridEngine:
             F.min("concat_priority").alias("priority"), F.min("ord").alias("tie")
         )
         ends = variant_ends(self.store.axis_table(dimension), "cid", dimension)
-        ended = keyed_lookup(once, ends, ["cid"], [F.col("variant"), *map(F.col, group)], how="inner")
+        ended = once.join(ends, "cid")
         placed = place_variants(ended, group, "variant", "cid")
         chosen = placed.select("cid", *group, "variant", F.col("priority").alias("concat_priority"), "cutoff")
         return after_cutoff(self._join_cells(chosen), dimension).drop("cutoff")
@@ -241,9 +245,7 @@ class GridEngine:
         """
         cells = self.store.table()
         chosen = settle(chosen).where(F.col("cid") > "")
-        if fits(chosen, BROADCAST_ROWS):
-            return cells.join(F.broadcast(chosen), "cid")
-        return keyed_lookup(cells, chosen, ["cid"], hashable(cells, ["cid"]), how="inner")
+        return cells.join(F.broadcast(chosen) if fits(chosen, BROADCAST_ROWS) else chosen, "cid")
 
     def load_many(self, requests: DataFrame) -> DataFrame:
         """Cells of every request that resolves, tagged with ``request_id``.
@@ -260,7 +262,7 @@ class GridEngine:
         listed = concatenable_items(self.items, self.item_links)
         groups = concatenation_groups(listed).where(F.col("concat_dimension") == dimension)
         name = ["collection", "dataset"]
-        several = keyed_lookup(listed, groups.select(*name), name, [F.col("cid")], how="left_semi")
+        several = listed.join(groups.select(*name), name, "left_semi")
         return self._concatenate_many(several, dimension, tuple(name))
 
     def select_dataset(

@@ -32,6 +32,7 @@ class StacLoadError(StacCatalogError):
 class StacResolutionError(StacCatalogError):
     """A request does not resolve to one item of the catalog."""
 
-    def __init__(self, message, status=None):
+    def __init__(self, message, status=None, available=None):
         super().__init__(message)
         self.status = status
+        self.available = available

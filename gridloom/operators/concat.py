@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timing import to_comparable
-from ..plans.sizing import checked_lookup, hashable, settle
 
 DEFAULT_DIMENSION = "time"
 
@@ -84,22 +83,19 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
             raise ValueError(f"Variant {v.variant} is empty along {dim}.")
     lowest = _lowest(ordered[0].cells.schema[dim].dataType)
     spark = ordered[0].cells.sparkSession
-    kept, ends = [ordered[0].cells], []
+    kept, last = [ordered[0].cells], None
     for earlier, current in zip(ordered, ordered[1:]):
         known = earlier.cells if earlier.axis is None else earlier.axis
-        ends.append(
-            known.where(_not_nan(known, dim)).agg(
-                F.coalesce(F.max(_axis(known, dim)), lowest).alias("last")
-            )
+        end = known.where(_not_nan(known, dim)).agg(
+            F.coalesce(F.max(_axis(known, dim)), lowest).alias("last")
         )
+        # The end of all before is that of the last one and the end before it.
+        if last is not None:
+            end = spark.range(1).select(F.greatest(last.scalar(), end.scalar()).alias("last"))
+        last = end
         cells = current.cells
         axis = _axis(cells, dim)
-        if len(ends) == 1:
-            cutoff = ends[0].scalar()
-        else:
-            highest = spark.range(1).select(F.greatest(*[e.scalar() for e in ends]).alias("last"))
-            cutoff = highest.scalar()
-        kept.append(cells.where((axis > cutoff) & _not_nan(cells, dim)))
+        kept.append(cells.where((axis > last.scalar()) & _not_nan(cells, dim)))
     return reduce(DataFrame.unionByName, kept)
 
 
@@ -141,9 +137,9 @@ def place_variants(summary: DataFrame, group: tuple[str, ...], *last_tie: str) -
     )
 
 
-def after_cutoff(cells: DataFrame, dim: str) -> DataFrame:
+def after_cutoff(cells: DataFrame, dim: str, cutoff: str = "cutoff") -> DataFrame:
     """Cells of a first variant, or strictly after their ``cutoff``."""
-    return cells.where(F.col("cutoff").isNull() | (_axis(cells, dim) > F.col("cutoff")))
+    return cells.where(F.col(cutoff).isNull() | (_axis(cells, dim) > F.col(cutoff)))
 
 
 def variant_ends(cells: DataFrame, key: str, dim: str) -> DataFrame:
@@ -162,13 +158,9 @@ def concat_tagged(
 ) -> DataFrame:
     """Concatenation of variants kept in one table, for many datasets at once.
 
-    ``group`` names the columns of a dataset. The cut-offs are settled, counted
-    and broadcast when few; a long list of datasets is joined with salts, since
-    one variant may hold most of the cells.
+    ``group`` names the columns of a dataset. The cut-offs, one row per variant, are
+    joined to the cells.
     """
-    cutoffs = settle(
-        concat_cutoff(tagged, variant, priority, dim, group, order).select(*group, variant, "cutoff")
-    )
     keys = [*group, variant]
-    joined = checked_lookup(tagged, cutoffs, keys, hashable(tagged, keys), how="inner")
-    return after_cutoff(joined, dim).select(*tagged.columns)
+    cutoffs = concat_cutoff(tagged, variant, priority, dim, group, order).select(*keys, F.col("cutoff").alias("_cutoff"))
+    return after_cutoff(tagged.join(cutoffs, keys), dim, "_cutoff").select(*tagged.columns)

@@ -8,15 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import YEAR_PARTITION
-
 # Fixed value: coordinates shown from each end of an axis.
 PREVIEW = 3
 
 
 def variables(df: DataFrame, dims) -> list[str]:
     """Columns that are not dimensions; read from the schema."""
-    return [c for c in df.columns if c not in dims and c != YEAR_PARTITION]
+    return [c for c in df.columns if c not in dims]
 
 
 def get_variable(df: DataFrame, dims, name: str) -> DataFrame:
@@ -46,19 +44,23 @@ def is_dataset_empty(df: DataFrame, dims) -> bool:
 
 def as_text(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        fraction = F.rtrim(F.date_format(column, ".SSSSSS"), F.lit("0"))
+        return F.concat(whole, F.when(fraction == ".", "").otherwise(fraction))
     return column.cast("string")
 
 
-def coord_preview(df: DataFrame, dims, count: int = PREVIEW) -> DataFrame:
+def coord_preview(df: DataFrame, dims, count: int = PREVIEW, axes: dict[str, DataFrame] | None = None) -> DataFrame:
     """The first and last values of every axis, as text, with their positions.
 
-    Top-k from both ends of the distinct values, so no axis is sorted whole.
+    Top-k from both ends of the distinct values, so no axis is sorted whole; known
+    axes spare the cells.
     """
+    axes = axes or {}
     parts = []
     for dim in dims:
         dtype = df.schema[dim].dataType
-        values = axis(df, dim)
+        values = axis(axes.get(dim, df), dim)
         for side, order in (("first", F.col(dim).asc()), ("last", F.col(dim).desc())):
             ends = values.orderBy(order).limit(count)
             parts.append(
@@ -78,24 +80,27 @@ def _present(df: DataFrame, name: str) -> Column:
     return here
 
 
-def describe_dataset(df: DataFrame, dims, preview: bool = False) -> DataFrame:
+def describe_dataset(
+    df: DataFrame, dims, preview: bool = False, axes: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """One row per dimension and variable: kind, type, size, range, attributes.
 
     ``size`` counts distinct values of a dimension and present values of a
-    variable. All of it comes from a single aggregation. ``preview=True`` adds
-    the axis ends as text.
+    variable. Known axes spare the cells; all else comes from a single
+    aggregation. ``preview=True`` adds the axis ends as text.
     """
     names = [*dims, *variables(df, dims)]
-    aggs = []
+    known = axes or {}
+    aggs, scalars = [], []
     for i, name in enumerate(names):
         dtype = df.schema[name].dataType
         here = F.when(_present(df, name), F.col(name))
         size = F.count_distinct(here) if name in dims else F.count(here)
-        aggs += [
-            size.alias(f"n{i}"),
-            as_text(F.min(here), dtype).alias(f"a{i}"),
-            as_text(F.max(here), dtype).alias(f"z{i}"),
-        ]
+        made = {f"n{i}": size, f"a{i}": as_text(F.min(here), dtype), f"z{i}": as_text(F.max(here), dtype)}
+        if name in dims and name in known:
+            scalars += [known[name].agg(c).scalar().alias(alias) for alias, c in made.items()]
+        else:
+            aggs += [c.alias(alias) for alias, c in made.items()]
     rows = [
         F.struct(
             F.lit("dimension" if name in dims else "variable").alias("kind"),
@@ -110,11 +115,12 @@ def describe_dataset(df: DataFrame, dims, preview: bool = False) -> DataFrame:
         )
         for i, name in enumerate(names)
     ]
-    report = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    summary = df.agg(*aggs) if aggs else df.sparkSession.range(1)
+    report = summary.select("*", *scalars).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     if not preview:
         return report
     ends = (
-        coord_preview(df, dims)
+        coord_preview(df, dims, axes=axes)
         .groupBy("dim")  # six values per dimension
         .agg(F.array_sort(F.collect_list(F.struct("side", "position", "value"))).alias("p"))
         .select(F.col("dim").alias("name"), F.array_join(F.array_distinct("p.value"), ", ").alias("preview"))

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidSelectionError
 from ..plans.nearest import AXIS_ROWS, Axis, snap
-from ..plans.sizing import BROADCAST_ROWS, SALTS, hashable
 from .selection import require_coords
 
 # The only coordinate system, and the default miss tolerance in
@@ -91,38 +90,19 @@ def misses(snapped: DataFrame, latitude="latitude", longitude="longitude", toler
     )
 
 
-def join_cells(
-    cells: DataFrame,
-    snapped: DataFrame,
-    latitude="latitude",
-    longitude="longitude",
-    limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """All cells of every snapped point.
+def join_cells(cells: DataFrame, snapped: DataFrame, latitude="latitude", longitude="longitude") -> DataFrame:
+    """All cells of every snapped point, by an equi-join on both axes.
 
-    One small job counts the points and bounds them. A counted-small table is
-    broadcast and its bounds prune the scan; otherwise both sides shuffle and
-    the cells of one location are spread over salts.
+    The extremes of the points reach the scan of the cells as values. Few points are broadcast
+    by their measured size; a location hot on either side has its partition split.
     """
-    count, south, north, west, east = snapped.agg(
-        F.count("*"), F.min(latitude), F.max(latitude), F.min(longitude), F.max(longitude)
-    ).first()
-    if count == 0:
-        near = cells.where(F.lit(False))
-    else:
-        near = cells.where(
-            F.col(latitude).between(south, north) & F.col(longitude).between(west, east)
-        )
+    near = cells
+    for dim in (latitude, longitude):
+        low, high = snapped.agg(F.min(dim)).scalar(), snapped.agg(F.max(dim)).scalar()
+        near = near.where((F.col(dim) >= low) & (F.col(dim) <= high))
     keys = [latitude, longitude]
     others = [c for c in cells.columns if c not in keys]
-    order = [*POINT_COLUMNS, *keys, *others]
-    if count <= limit:
-        return near.join(F.broadcast(snapped), keys).select(*order)
-    # Cells of one location differ in their other dimensions and values.
-    salt = F.pmod(F.xxhash64(*(hashable(cells, keys) or keys)), F.lit(salts)).cast("int")
-    copies = snapped.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return near.withColumn("_salt", salt).join(copies, [*keys, "_salt"]).select(*order)
+    return near.join(snapped, keys).select(*POINT_COLUMNS, *keys, *others)
 
 
 def points(
@@ -134,7 +114,6 @@ def points(
     longitude="longitude",
     axes=None,
     axis_rows: int = AXIS_ROWS,
-    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Cells of every point: of the nearest grid position however far, or,
     without snapping, only where both axes match within the tolerance.
@@ -143,7 +122,7 @@ def points(
     """
     snapped = snap_points(cells, wanted, latitude, longitude, axes, axis_rows)
     found = hits(snapped, latitude, longitude, None if snap_to_grid else tolerance)
-    return join_cells(cells, found, latitude, longitude, limit)
+    return join_cells(cells, found, latitude, longitude)
 
 
 def points_missed(

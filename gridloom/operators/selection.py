@@ -20,7 +20,6 @@ from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 from ..functions.timing import normalize_time_range, within_time
 from ..model import TIME_KEYS, YEAR_PARTITION, infer_coord
 from ..plans.nearest import nearest_value
-from ..plans.sizing import checked_lookup, settle
 
 # Degrees added around a circle's box so that rounding cannot drop edge cells.
 BOX_MARGIN = 1e-6
@@ -159,40 +158,14 @@ def circle_masked(
     present = first.isNotNull()
     if isinstance(df.schema[variables[0]].dataType, (T.DoubleType, T.FloatType)):
         present = present & ~F.isnan(first)
-    # Both axes of the sub-grid from one scan: at most one row per axis value.
-    lines = settle(
-        df.where(box & inside & present)
-        .select(
-            F.explode(
-                F.array(
-                    F.struct(F.lit("lat").alias("side"), F.col(latitude).alias("v")),
-                    F.struct(F.lit("lon").alias("side"), F.col(longitude).alias("v")),
-                )
-            ).alias("line")
-        )
-        .select("line.side", "line.v")
-        .distinct()
-    )
-    extent = {
-        side: (rows, low, high)
-        for side, rows, low, high in lines.groupBy("side")
-        .agg(F.count("*"), F.min("v"), F.max("v"))
-        .collect()  # two rows at most
-    }
-    if not extent:
-        return df.where(F.lit(False))
+    hits = df.where(box & inside & present)
     kept = df
-    for side, dim in (("lat", latitude), ("lon", longitude)):
-        rows, low, high = extent[side]
-        values = lines.where(F.col("side") == side).select(F.col("v").alias(dim))
-        kept = checked_lookup(
-            kept.where(F.col(dim).between(low, high)),
-            values,
-            [dim],
-            [F.col(latitude), F.col(longitude)],
-            how="left_semi",
-            rows=rows,
-        )
+    for dim in (latitude, longitude):
+        # The extremes reach the scan as values; the lines between them are a semi join.
+        low, high = hits.agg(F.min(dim)).scalar(), hits.agg(F.max(dim)).scalar()
+        kept = kept.where((F.col(dim) >= low) & (F.col(dim) <= high))
+    for dim in (latitude, longitude):
+        kept = kept.join(hits.select(dim).distinct(), dim, "left_semi")
     return kept.select(
         *[
             F.when(inside, F.col(c)).alias(c, metadata=df.schema[c].metadata) if c in variables else F.col(c)
@@ -209,15 +182,18 @@ def time_key(columns, dimension: str | None = "time") -> str:
     return key
 
 
-def time_range(df, start, end, dimension="time", dims=None) -> DataFrame:
+def time_range(df, start, end, dimension="time", dims=None, year_of=None) -> DataFrame:
     """Cells between two instants, both included, in either order.
 
-    The time column is looked for among ``dims``, or all columns.
+    The time column is looked for among ``dims``, or all columns. ``year_of`` names the column
+    whose UTC year is the directory of stored cells: a range of that column, and of no
+    other, prunes directories.
     """
     key = time_key(dims or df.columns, dimension)
     dtype = df.schema[key].dataType
     kept = df.where(within_time(F.col(key), dtype, start, end))
-    if YEAR_PARTITION in df.columns and isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    dated = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    if dated and key == year_of and YEAR_PARTITION in df.columns:
         first, last = normalize_time_range(start, end, dtype)
         kept = kept.where(F.col(YEAR_PARTITION).between(first.year, last.year))
     return kept

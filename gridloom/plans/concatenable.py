@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import collection_by_split, dataset_by_split, strip_ipfs, variant_by_split
 from .items import with_properties
-from .sizing import keyed_lookup
 
 # Place and axis of an item that states none.
 DEFAULT_PRIORITY = 0.0
@@ -23,7 +22,7 @@ def link_meta_join(items: DataFrame, item_links: DataFrame) -> DataFrame:
         F.min(F.struct("ord", "concat_priority", "concat_dimension")).alias("meta")
     )
     full = with_properties(items, "concat_priority", "concat_dimension")
-    met = keyed_lookup(full, meta, ["collection", "id"], [F.xxhash64("data_href")])
+    met = full.join(meta, ["collection", "id"], "left")
     return met.withColumns(
         {
             "concat_priority": F.coalesce("concat_priority", "meta.concat_priority"),

@@ -21,7 +21,6 @@ from ..functions.text import (
     variant_by_split,
 )
 from .items import with_properties
-from .sizing import keyed_lookup
 
 KEY = ["collection", "dataset", "variant"]
 
@@ -51,9 +50,8 @@ def _extent_columns() -> list[Column]:
 
 
 def _with_collection_attrs(rows: DataFrame, attrs: DataFrame) -> DataFrame:
-    """Attach organization, title and category; one collection may be huge."""
-    joined = keyed_lookup(rows, attrs, ["collection"], [F.col("dataset"), F.col("variant"), F.col("cid")])
-    return joined.select(*LISTING)
+    """Attach organization, title and category."""
+    return rows.join(attrs, "collection", "left").select(*LISTING)
 
 
 def list_datasets(

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import SALTS, keyed_lookup, settle
+from .sizing import settle
 
 # Longest axis handled with a broadcast lookup; longer ones are sorted instead.
 AXIS_ROWS = 65_536
@@ -69,42 +69,24 @@ def snap(points: DataFrame, column: str, axis: Axis, out: str, axis_rows: int =
 
 
 def _snap_by_lookup(points: DataFrame, column: str, axis: Axis, out: str) -> DataFrame:
-    """Equal-width bins, each holding the axis values nearest to some point of
-    the bin. One broadcast row per bin, so points are neither shuffled nor
-    multiplied."""
-    bins = axis.size
-    width = (axis.high - axis.low) / bins
-
-    def bin_of(value: Column) -> Column:
-        if width == 0:
-            return F.lit(0)
-        position = (value - F.lit(axis.low)) / F.lit(width)
-        bounded = F.least(F.greatest(position, F.lit(0.0)), F.lit(float(bins - 1)))
-        return F.floor(bounded).cast("int")
-
-    # A value is nearest between the midpoints to its neighbours; one bin more
-    # on both sides absorbs rounding. The axis is known to be short here.
-    order = Window.orderBy(VALUE)
-    value = F.col(VALUE)
-    lower = F.coalesce((F.lag(VALUE).over(order) + value) / 2, F.lit(axis.low))
-    upper = F.coalesce((F.lead(VALUE).over(order) + value) / 2, F.lit(axis.high))
-    first = F.greatest(bin_of(lower) - 1, F.lit(0))
-    last = F.least(bin_of(upper) + 1, F.lit(bins - 1))
-    lookup = (
-        axis.values.select(value, first.alias("first"), last.alias("last"))
-        .select(VALUE, F.explode(F.sequence("first", "last")).alias("_bin"))
-        .groupBy("_bin")
-        .agg(F.collect_list(VALUE).alias("_near"))
-    )
+    """Binary search in the sorted axis, which every row sees as one array.
+
+    The array is a scalar subquery over a counted-short axis. The steps halve from the highest
+    power of two below its length, however unevenly its values lie.
+    """
+    sorted_axis = axis.values.agg(F.sort_array(F.collect_list(VALUE)).alias("v")).scalar()
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(axis.size.bit_length()))])
     wanted = F.col(column)
-    ranked = F.transform("_near", lambda v: F.struct(F.abs(v - wanted).alias("gap"), v.alias("v")))
-    usable = wanted.isNotNull() & ~F.isnan(wanted)
-    return (
-        points.withColumn("_bin", F.when(usable, bin_of(wanted)))
-        .join(F.broadcast(lookup), "_bin", "left")
-        .withColumn(out, F.array_min(ranked)["v"])
-        .drop("_bin", "_near")
+    rows = points.withColumn("_axis", sorted_axis)
+    at = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get("_axis", at + step - 1) <= wanted, at + step).otherwise(at),
     )
+    below, above = F.get("_axis", F.col("_at") - 1), F.get("_axis", F.col("_at"))
+    nearest = F.when(above.isNull() | (wanted - below <= above - wanted), below).otherwise(above)
+    usable = wanted.isNotNull() & ~F.isnan(wanted)
+    return rows.withColumn("_at", F.when(usable, at)).withColumn(out, F.when(usable, nearest)).drop("_axis", "_at")
 
 
 def _snap_by_sort(points: DataFrame, column: str, axis: Axis, out: str) -> DataFrame:
@@ -147,4 +129,4 @@ def _snap_by_sort(points: DataFrame, column: str, axis: Axis, out: str) -> DataF
         above.isNull() | (F.col("v") - below <= above - F.col("v")), below
     ).otherwise(above)
     found = sides.select(F.col("v").alias(column), nearest.alias(out))
-    return keyed_lookup(points, found, [column], [F.col(c) for c in points.columns], salts=SALTS)
+    return points.join(found, column, "left")

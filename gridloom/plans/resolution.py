@@ -2,7 +2,7 @@
 
 Items are pre-aggregated to one row per dataset and one per variant before any
 join, so a request meets at most one row however many items or requests share
-a key; the joins are salted by request.
+a key.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (
     blank_to_null,
+    collection_by_split,
     dataset_by_prefix,
     org_from_collection,
     qualify_collection,
@@ -20,7 +21,6 @@ from ..functions.text import (
     DEFAULT_VARIANT,
 )
 from .items import with_properties
-from .sizing import keyed_lookup
 
 # Variants preferred, in this order, when none is requested.
 PREFERRED_VARIANTS = ("default", "final", "finalized", "latest")
@@ -73,7 +73,7 @@ def org_resolve(requests: DataFrame, declared: DataFrame) -> DataFrame:
         .groupBy(F.col("spelt.name").alias("collection"))
         .agg(F.min("spelt.org")["organization_id"].alias("declaring"))
     )
-    found = keyed_lookup(_requests(requests), names, ["collection"], [F.col("request_id")])
+    found = _requests(requests).join(names, "collection", "left")
     return found.select(*REQUEST, F.coalesce("organization", "declaring").alias("organization_id"))
 
 
@@ -111,7 +111,7 @@ def resolve_collections(requests: DataFrame, collections: DataFrame, declared: D
     ).agg(first)
     named = collections.groupBy(F.col("collection").alias("name")).agg(first)
     lookup = owned.unionByName(named.withColumn("owner", anywhere))
-    met = keyed_lookup(opened, lookup, ["owner", "name"], [F.col("request_id")])
+    met = opened.join(lookup, ["owner", "name"], "left")
     best = F.min(F.when(F.col("ord").isNotNull(), F.struct("tier", "ord", "name")))
     return (
         met.groupBy(*REQUEST, "organization_id")  # five candidates per request
@@ -140,9 +140,8 @@ def _match(requests: DataFrame, items: DataFrame, take_first: bool) -> DataFrame
         .groupBy("collection_id", "dataset", "variant")
         .agg(F.min(chosen).alias("exact"))
     )
-    spread = [F.col("request_id")]
-    met = keyed_lookup(requests, by_dataset, ["collection_id", "dataset"], spread)
-    met = keyed_lookup(met, by_variant, ["collection_id", "dataset", "variant"], spread)
+    met = requests.join(by_dataset, ["collection_id", "dataset"], "left")
+    met = met.join(by_variant, ["collection_id", "dataset", "variant"], "left")
     unrivalled = F.when(F.lit(take_first) | (F.col("n_items") == 1), F.col("first"))
     open_choice = F.coalesce("preferred", unrivalled)
     item = F.when(F.col("variant").isNotNull(), F.col("exact")).otherwise(open_choice)
@@ -178,16 +177,11 @@ def _outcome(met: DataFrame, no_asset: Column) -> DataFrame:
     )
 
 
-def pick_variant(requests: DataFrame, items: DataFrame) -> DataFrame:
-    """Items form: names parsed from ids behind the collection prefix.
-
-    ``requests`` carries ``collection_id`` and ``organization_id``. Without a
-    requested variant: the only one, else the first preferred one, else the
-    request is ambiguous.
-    """
+def items_by_id(items: DataFrame) -> DataFrame:
+    """Items with the names that their ids give behind the collection's prefix."""
     item_id, collection = F.col("id"), F.col("collection")
     variant = variant_by_prefix(item_id, collection)
-    parsed = items.select(
+    return items.select(
         collection.alias("collection_id"),
         dataset_by_prefix(item_id, collection).alias("dataset"),
         variant.alias("variant"),
@@ -196,24 +190,46 @@ def pick_variant(requests: DataFrame, items: DataFrame) -> DataFrame:
         "id",
         "data_href",
     )
-    return _outcome(_match(requests, parsed, take_first=False), F.col("item.data_href").isNull())
 
 
-def pick_variant_api(requests: DataFrame, items: DataFrame) -> DataFrame:
-    """API form: names from properties, and the first match as last resort."""
+def items_by_property(items: DataFrame) -> DataFrame:
+    """Items with the names that their properties give.
+
+    An item without a collection is of the one that its id begins with, as in the listing.
+    """
+    item_id = F.col("id")
+    from_id = F.when(item_id.contains("-"), collection_by_split(item_id))
     full = with_properties(items, "dataset_id", "variant")
-    parsed = full.select(
+    full = full.withColumn("collection", F.coalesce(blank_to_null(F.col("collection")), from_id))
+    return full.select(
         F.col("collection").alias("collection_id"),
-        F.coalesce(
-            blank_to_null(F.col("dataset_id")), dataset_by_prefix(F.col("id"), F.col("collection"))
-        ).alias("dataset"),
+        F.coalesce(blank_to_null(F.col("dataset_id")), dataset_by_prefix(item_id, F.col("collection"))).alias("dataset"),
         "variant",
         F.coalesce("variant", F.lit(DEFAULT_VARIANT)).alias("shown"),
         "ord",
         "id",
         "data_href",
     )
-    met = _match(requests, parsed, take_first=True)
+
+
+def available_variants(named: DataFrame) -> DataFrame:
+    """Distinct variants of each dataset, of items named by id or by property."""
+    return named.select("collection_id", "dataset", F.col("shown").alias("variant")).distinct()
+
+
+def pick_variant(requests: DataFrame, items: DataFrame) -> DataFrame:
+    """Items form: names parsed from ids behind the collection prefix.
+
+    ``requests`` carries ``collection_id`` and ``organization_id``. Without a
+    requested variant: the only one, else the first preferred one, else the
+    request is ambiguous.
+    """
+    return _outcome(_match(requests, items_by_id(items), take_first=False), F.col("item.data_href").isNull())
+
+
+def pick_variant_api(requests: DataFrame, items: DataFrame) -> DataFrame:
+    """API form: names from properties, and the first match as last resort."""
+    met = _match(requests, items_by_property(items), take_first=True)
     href = F.col("item.data_href")
     return _outcome(met, href.isNull() | (href == ""))
 
@@ -257,13 +273,28 @@ def resolve_datasets_api(requests: DataFrame, items: DataFrame) -> DataFrame:
     return pick_variant_api(named, items)
 
 
+def resolve_api_then_items(
+    requests: DataFrame,
+    items: DataFrame,
+    collections: DataFrame | None = None,
+    declared: DataFrame | None = None,
+) -> DataFrame:
+    """The outcome of the item search where it succeeds, else that of the item tree."""
+    searched = resolve_datasets_api(requests, items)
+    row = F.struct(*[c for c in searched.columns if c != "request_id"])
+    first = searched.where(F.col("status") == OK).select("request_id", row.alias("api"))
+    second = resolve_datasets(requests, items, collections, declared).select("request_id", row.alias("tree"))
+    both = second.join(first, "request_id", "left")
+    return both.select("request_id", F.coalesce("api", "tree").alias("row")).select("request_id", "row.*")
+
+
 def resolve_join(requests: DataFrame, items: DataFrame) -> DataFrame:
     """Number of items matching each request's exact collection and dataset."""
     matched = items.groupBy(
         "collection", dataset_by_prefix(F.col("id"), F.col("collection")).alias("dataset")
     ).agg(F.count("*").alias("n_items"))
     asked = _requests(requests)
-    met = keyed_lookup(asked, matched, ["collection", "dataset"], [F.col("request_id")])
+    met = asked.join(matched, ["collection", "dataset"], "left")
     return met.select(
         "request_id", "collection", "dataset", F.coalesce("n_items", F.lit(0)).alias("n_items")
     )

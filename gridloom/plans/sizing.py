@@ -1,35 +1,32 @@
-"""Size checks and skew handling shared by the join-shaped operators.
+"""Where small derived tables are kept, and when one may be broadcast.
 
-A side is broadcast only after its rows were counted; beyond the limit the
-join shuffles, with the wide side spread over salts so that no key, however
-frequent, ends up in one task.
+Joins are plain equi-joins whose looked-up side has one row per key (or few): the
+engine broadcasts that side where its measured bytes allow, and else splits the
+partitions of hot keys. Only a narrow side that was counted is broadcast by force.
 """
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 # Most rows of narrow (few numbers or short names) rows that are broadcast.
 BROADCAST_ROWS = 200_000
 
-# Copies of the looked-up side, and therefore tasks sharing one hot key.
-SALTS = 16
-
-_SALT = "_salt"
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach; a local one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gridloom-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    """Folder all executors can reach, as ``spark.checkpoint.dir`` names it.
+
+    A session of one machine gets a temporary folder where none is set.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors reach.")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gridloom-"))
+    return context.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -40,49 +37,3 @@ def settle(df: DataFrame) -> DataFrame:
 
 def fits(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
-
-
-def hashable(df: DataFrame, leave_out=()) -> list[Column]:
-    """Columns whose hash can spread the rows of one key over salts."""
-    return [
-        F.col(f.name)
-        for f in df.schema
-        if f.name not in leave_out and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-
-
-def keyed_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread: list[Column],
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join a table to a lookup with one row (or few) per key.
-
-    The lookup may be large, so nothing is broadcast by force: rows of one key
-    are spread by a hash of ``spread`` and the lookup is repeated per salt.
-    """
-    salted = left.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
-
-
-def checked_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread: list[Column],
-    how: str = "left",
-    limit: int = BROADCAST_ROWS,
-    rows: int | None = None,
-) -> DataFrame:
-    """Same join, with a broadcast when a count proves ``right`` small.
-
-    Without a known number of ``rows`` the lookup is counted, so pass a
-    settled table or a cheap scan.
-    """
-    if rows <= limit if rows is not None else fits(right, limit):
-        return left.join(F.broadcast(right), on, how)
-    return keyed_lookup(left, right, on, spread, how)

@@ -22,14 +22,11 @@ from ..errors import StacLoadError
 from ..functions.stac import number_prop, string_list, string_prop
 from ..functions.text import blank_to_null
 from ..model import CatalogKeys
-from .sizing import keyed_lookup, settle
 
 _LINKS = "links ARRAY<MAP<STRING, VARIANT>>"
 _NODE = f"id STRING, title STRING, {_LINKS}, bad STRING"
-_ITEM = (
-    "id STRING, properties MAP<STRING, VARIANT>, bbox ARRAY<DOUBLE>,"
-    " assets MAP<STRING, STRUCT<href: STRING>>, bad STRING"
-)
+# Fields of open form are read as they are, so that an odd one costs no more than itself.
+_ITEM = "id STRING, properties MAP<STRING, VARIANT>, bbox VARIANT, assets VARIANT, bad STRING"
 
 
 @dataclass(frozen=True)
@@ -47,11 +44,17 @@ class Catalog:
 
 
 def _parse(docs: DataFrame, schema: str) -> DataFrame:
+    """The rows with ``doc`` for ``body``; those that are no JSON of the form are left out."""
     body = F.from_json("body", schema, {"columnNameOfCorruptRecord": "bad"})
-    parsed = docs.select("href", "part", body.alias("doc"))
+    parsed = docs.withColumn("doc", body).drop("body")
     return parsed.where(F.col("doc").isNotNull() & F.col("doc.bad").isNull())
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """Parsed documents with links; one without cannot be followed and counts as unreadable."""
+    return _parse(docs, _NODE).where(F.col("doc.links").isNotNull())
+
+
 def _out_links(nodes: DataFrame, rel: str, *keep: str) -> DataFrame:
     """Links of one relation with their place in the parent document."""
     links = nodes.select(*keep, F.posexplode("doc.links").alias("pos", "link"))
@@ -76,44 +79,25 @@ def _entries(links: DataFrame, prefix: str, *keep: str) -> DataFrame:
     )
 
 
-def _follow_nodes(links: DataFrame, documents: DataFrame) -> DataFrame:
-    """Documents behind a few links; a large one is spread by its parts."""
-    nodes = documents.withColumnRenamed("href", "target")
-    return keyed_lookup(nodes, links, ["target"], [F.col("part")], how="inner")
+def _behind(links: DataFrame, docs: DataFrame) -> DataFrame:
+    """Raw documents behind links: each level parses only what it follows."""
+    return docs.withColumnRenamed("href", "target").join(links, "target")
 
 
-def _unreadable(links: DataFrame, documents: DataFrame, level: str) -> DataFrame:
-    readable = documents.select(F.col("href").alias("target")).distinct()
+def _unreadable(links: DataFrame, followed: DataFrame, level: str) -> DataFrame:
+    readable = followed.select("target").distinct()
     return links.join(readable, "target", "left_anti").select(
         F.lit(level).alias("level"), F.col("source").alias("parent_href"), F.col("target").alias("href")
     )
 
 
-def _linked_nodes(docs: DataFrame) -> DataFrame:
-    """Documents with links, cut down to the links that are followed.
-
-    A node without links cannot be followed and counts as unreadable. Settled,
-    since every level of the walk uses it and parsing is the dear part.
-    """
-    followed = F.filter("doc.links", lambda link: string_prop(link, "rel").isin("child", "item"))
-    nodes = _parse(docs, _NODE).where(F.col("doc.links").isNotNull())
-    return settle(
-        nodes.select(
-            "href",
-            "part",
-            F.struct(F.col("doc.id").alias("id"), F.col("doc.title").alias("title"), followed.alias("links")).alias("doc"),
-        )
-    )
-
-
 def catalog_walk(
     docs: DataFrame, root_href: str, keys: CatalogKeys = CatalogKeys(), require_root: bool = False
 ) -> Catalog:
-    """Flat tables of the tree under ``root_href``, lazy but for one parse."""
-    if "part" not in docs.columns:
-        docs = docs.withColumn("part", F.lit(0))
-    linked = _linked_nodes(docs)
-    root = linked.where(F.col("href") == root_href)
+    """Flat tables of the tree under ``root_href``, all lazy."""
+    part = F.col("part") if "part" in docs.columns else F.lit(0)
+    docs = docs.select("href", "body", part.alias("part"))
+    root = _nodes(docs.where(F.col("href") == root_href))
     if require_root and root.isEmpty():
         raise StacLoadError(f"The catalog root {root_href} cannot be read.")
     org_links = (
@@ -154,7 +138,7 @@ def catalog_walk(
         .distinct()
     )
 
-    org_docs = _follow_nodes(org_links.drop("link"), linked)
+    org_docs = _nodes(_behind(org_links.drop("link"), docs))
     carried = ["organization_id", "organization_title", "org_ord"]
     collection_links = _out_links(
         org_docs.withColumnRenamed("source", "root").withColumnRenamed("target", "href"),
@@ -168,7 +152,7 @@ def catalog_walk(
         F.struct("org_ord", "part", "pos").alias("ord"),
         _href(F.col("link")).alias("target"),
     )
-    collection_docs = _follow_nodes(collection_links.drop("source"), linked)
+    collection_docs = _nodes(_behind(collection_links.drop("source"), docs))
     found = collection_docs.groupBy(
         F.col("doc.id").alias("collection"), "organization_id", "organization_title"
     ).agg(F.max("doc.title").alias("title"), F.min("ord").alias("ord"))
@@ -200,29 +184,28 @@ def catalog_walk(
         number_prop(F.col("link"), keys["concatPriority"]).alias("concat_priority"),
         string_prop(F.col("link"), keys["concatDimension"]).alias("concat_dimension"),
     )
-    item_docs = _parse(docs, _ITEM)
+    item_docs = _parse(_behind(item_links.select("collection", "organization_id", "ord", "target"), docs), _ITEM)
     props = F.col("doc.properties")
-    places = item_links.select("collection", "organization_id", "ord", F.col("target").alias("href"))
-    items = places.join(item_docs, "href").select(
+    items = item_docs.select(
         "collection",
         F.col("organization_id").alias("organization"),
         "ord",
         F.col("doc.id").alias("id"),
-        F.col("doc.assets").getItem("data")["href"].alias("data_href"),
+        F.try_variant_get("doc.assets", "$.data.href", "string").alias("data_href"),
         string_prop(props, keys["dataset_id"]).alias("dataset_id"),
         string_prop(props, keys["variant"]).alias("variant"),
         string_prop(props, keys["observation"]).alias("observation"),
         string_prop(props, keys["latest_dataset_cid"]).alias("latest_cid"),
         number_prop(props, keys["concatPriority"]).alias("concat_priority"),
         string_prop(props, keys["concatDimension"]).alias("concat_dimension"),
-        F.col("doc.bbox").alias("bbox"),
+        F.try_variant_get("doc.bbox", "$", "array<double>").alias("bbox"),
         *[string_prop(props, c).alias(c) for c in ("start_datetime", "end_datetime", "datetime")],
     )
     broken = reduce(
         DataFrame.unionByName,
         [
-            _unreadable(org_links, linked, "organization"),
-            _unreadable(collection_links, linked, "collection"),
+            _unreadable(org_links, org_docs, "organization"),
+            _unreadable(collection_links, collection_docs, "collection"),
             _unreadable(item_links, item_docs, "item"),
         ],
     )

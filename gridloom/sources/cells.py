@@ -1,26 +1,53 @@
-"""Cell store: one Parquet table, partitioned by content id and year.
+"""Cell store: Parquet tables by content id and year, with a table of what they hold.
 
-Layout under the root: ``cells/cid=<cid>/cell_year=<year>/`` and, per
-dimension, ``axes/<dimension>/cid=<cid>/``. Files are ranged by place and
-time, so row-group statistics prune boxes, circles and points; the year
-directories prune time ranges; and the axis tables answer nearest lookups
-without touching the cells.
+Layout under the root::
+
+    datasets/                                      one row per written dataset
+    cells/version=<v>/cid=<cid>/cell_year=<year>/
+    axes/<dimension>/version=<v>/cid=<cid>/
+
+A write makes a new version: first its cells, then its axes, and last the rows of
+``datasets`` that make both visible. What failed half-way is never seen, a replaced
+dataset is seen whole, and other datasets are left alone.
+
+Files are ranged by place and time, so row-group statistics prune boxes, circles
+and points; the year directories prune time ranges; and the axis tables answer
+nearest lookups without touching the cells.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import LATITUDE_KEYS, LONGITUDE_KEYS, TIME_KEYS, YEAR_PARTITION, infer_coord, infer_dims
 
 CID = "cid"
+VERSION = "version"
 TILE_DEGREES = 10.0
 
+ERROR, APPEND, OVERWRITE = "errorifexists", "append", "overwrite"
+
+#: One row per dataset and write: columns as JSON fields, dimensions among them, and the
+#: dimension whose UTC year is the directory.
+_DATASETS = T.StructType(
+    [
+        T.StructField(CID, T.StringType()),
+        T.StructField(VERSION, T.StringType()),
+        T.StructField("replaces", T.BooleanType()),
+        T.StructField("fields", T.ArrayType(T.StringType())),
+        T.StructField("dims", T.ArrayType(T.StringType())),
+        T.StructField("year_of", T.StringType()),
+    ]
+)
+
 
 def cid_required(cid: str | None) -> str:
     if not cid:
@@ -28,10 +55,31 @@ def cid_required(cid: str | None) -> str:
     return cid
 
 
-def _year(df: DataFrame, time_key: str | None) -> Column:
-    if time_key and isinstance(df.schema[time_key].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.year(time_key)
-    return F.lit(0)
+def utc_year(column: Column, dtype: T.DataType) -> Column:
+    """Year of the instant in UTC, whatever the zone of the session."""
+    if isinstance(dtype, T.TimestampType):
+        days = F.floor(F.unix_micros(column) / F.lit(86_400_000_000))
+        return F.year(F.date_from_unix_date(days.cast("int")))
+    return F.year(column)
+
+
+def _dated(df: DataFrame, dims) -> str | None:
+    """The first time dimension, if it holds dates or instants."""
+    key = infer_coord(dims, TIME_KEYS)
+    dated = key and isinstance(df.schema[key].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    return key if dated else None
+
+
+def _datasets(spark: SparkSession, root: str) -> DataFrame:
+    """The visible rows: from the last write that replaced a dataset on."""
+    try:
+        rows = spark.read.schema(_DATASETS).parquet(f"{root}/datasets")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return spark.createDataFrame([], _DATASETS)
+    newest = F.max(F.when(F.col("replaces"), F.col(VERSION))).over(Window.partitionBy(CID))
+    return rows.withColumn("_since", newest).where(F.col("_since").isNull() | (F.col(VERSION) >= F.col("_since"))).drop("_since")
 
 
 def write_cells(
@@ -40,33 +88,84 @@ def write_cells(
     cid_column: str = CID,
     dims=None,
     tile_degrees: float = TILE_DEGREES,
-    mode: str = "errorifexists",
+    mode: str = ERROR,
 ) -> None:
     """Write the cells of one or many datasets, and their axes.
 
+    ``dims`` are the dimensions (by default those with a coordinate's name); with the types and
+    attributes of all columns they are stored. ``mode`` is about the datasets in ``df`` alone:
+    ``errorifexists`` refuses those that are there, ``append`` adds cells to them, and
+    ``overwrite`` replaces them. Rows without a content id are refused.
+
     The range partitioning uses tile, time and position, so a dataset or tile
     with most of the cells is still cut into even files.
     """
-    dims = tuple(dims or infer_dims(df.schema))
+    if mode not in (ERROR, APPEND, OVERWRITE):
+        raise ValueError(f"mode is {ERROR}, {APPEND} or {OVERWRITE}.")
+    spark = df.sparkSession
+    cells = df.withColumnRenamed(cid_column, CID).withColumn(CID, F.col(cid_column).cast("string"))
+    if {VERSION, YEAR_PARTITION} & set(cells.columns):
+        raise ValueError(f"Columns called {VERSION} or {YEAR_PARTITION} cannot be stored.")
+    dims = tuple(dims or infer_dims(T.StructType([f for f in cells.schema if f.name != CID])))
+    present = cells.select(CID).distinct()
+    if not present.where(f"{CID} IS NULL OR {CID} = ''").isEmpty():
+        raise ValueError("Every cell needs a content id.")
+    if mode == ERROR and not present.join(_datasets(spark, root), CID, "left_semi").isEmpty():
+        raise ValueError("A dataset of this content id is stored already.")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     lat, lon = infer_coord(dims, LATITUDE_KEYS), infer_coord(dims, LONGITUDE_KEYS)
-    time_key = infer_coord(dims, TIME_KEYS)
+    time_key, year_of = infer_coord(dims, TIME_KEYS), _dated(cells, dims)
+    year = utc_year(F.col(year_of), cells.schema[year_of].dataType) if year_of else F.lit(0)
     tiles = [F.floor(F.col(d) / tile_degrees) for d in (lat, lon) if d]
     place = [d for d in (lat, lon) if d]
-    order = [cid_column, YEAR_PARTITION, *tiles, *[F.col(d) for d in (time_key, *place) if d]]
-    laid_out = df.withColumn(YEAR_PARTITION, _year(df, time_key))
+    order = [CID, YEAR_PARTITION, *tiles, *[F.col(d) for d in (time_key, *place) if d]]
     (
-        laid_out.repartitionByRange(*order)
-        .sortWithinPartitions(cid_column, YEAR_PARTITION, *place, *([time_key] if time_key else []))
-        .write.mode(mode)
-        .partitionBy(cid_column, YEAR_PARTITION)
-        .parquet(f"{root}/cells")
+        cells.withColumn(YEAR_PARTITION, year)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(CID, YEAR_PARTITION, *place, *([time_key] if time_key else []))
+        .write.partitionBy(CID, YEAR_PARTITION)
+        .parquet(f"{root}/cells/{VERSION}={version}")
     )
-    # Axes come from the columns just written; after an append only the new
-    # cells are looked at, and values already known are merely repeated.
-    written = df if mode == "append" else df.sparkSession.read.parquet(f"{root}/cells")
+    fields = [f for f in cells.schema if f.name != CID]
+    schema = T.StructType([*fields, T.StructField(CID, T.StringType())])
+    written = spark.read.schema(schema).parquet(f"{root}/cells/{VERSION}={version}")
     for dim in dims:
-        axis = written.select(cid_column, dim).where(F.col(dim).isNotNull()).distinct()
-        axis.write.mode(mode).partitionBy(cid_column).parquet(f"{root}/axes/{dim}")
+        axis = written.select(CID, dim).where(F.col(dim).isNotNull()).distinct()
+        # Ordered by dataset, so that the number of files follows the axes and not the tasks.
+        axis.repartitionByRange(CID, dim).write.partitionBy(CID).parquet(f"{root}/axes/{dim}/{VERSION}={version}")
+    rows = written.select(CID).distinct().select(
+        CID,
+        F.lit(version).alias(VERSION),
+        F.lit(mode != APPEND).alias("replaces"),
+        F.array(*[F.lit(f.json()) for f in fields]).cast("array<string>").alias("fields"),
+        F.array(*[F.lit(d) for d in dims]).cast("array<string>").alias("dims"),
+        F.lit(year_of).cast("string").alias("year_of"),
+    )
+    rows.write.mode("append").parquet(f"{root}/datasets")
+
+
+@dataclass(frozen=True)
+class OpenedCells:
+    """Cells of one dataset with what the store knows of them.
+
+    ``cells`` may carry the year directory as a column; it is the UTC year of ``year_of``.
+    """
+
+    cells: DataFrame
+    dims: tuple[str, ...] | None = None
+    axes: dict[str, DataFrame] = field(default_factory=dict)
+    year_of: str | None = None
+
+
+def _union_of(fields: list[str]) -> list[T.StructField]:
+    """Columns by name, from JSON fields; one name has one type."""
+    found: dict[str, T.StructField] = {}
+    for text in fields:
+        f = T.StructField.fromJson(json.loads(text))
+        known = found.setdefault(f.name, f)
+        if known.dataType != f.dataType:
+            raise ValueError(f"Column {f.name} is stored as {known.dataType.simpleString()} and {f.dataType.simpleString()}.")
+    return [T.StructField(f.name, f.dataType, True, f.metadata) for f in found.values()]
 
 
 @dataclass(frozen=True)
@@ -76,26 +175,66 @@ class CellStore:
     spark: SparkSession
     root: str
 
-    def read(self, cid: str) -> DataFrame:
-        """Lazy cells of one dataset; only its directory is listed."""
-        return self.spark.read.parquet(f"{self.root}/cells/{CID}={cid_required(cid)}")
+    def datasets(self) -> DataFrame:
+        """One row per visible write of a dataset: ``cid``, ``version``, columns and dimensions."""
+        return _datasets(self.spark, self.root)
 
-    def axes(self, cid: str, dims) -> dict[str, DataFrame]:
-        found = {}
+    def open(self, cid: str) -> OpenedCells:
+        """Lazy cells of one dataset; only its directories are listed."""
+        writes = self.datasets().where(F.col(CID) == cid_required(cid)).orderBy(VERSION).collect()  # a row per write
+        if not writes:
+            raise ValueError(f"No dataset {cid} is stored.")
+        fields = _union_of([f for w in writes for f in w["fields"]])
+        dims = tuple(dict.fromkeys(d for w in writes for d in w["dims"]))
+        years = {w["year_of"] for w in writes}
+        schema = T.StructType([*fields, T.StructField(YEAR_PARTITION, T.IntegerType())])
+        cells = self._read(schema, "cells", cid, writes)
+        axes = {}
         for dim in dims:
-            try:
-                found[dim] = self.spark.read.parquet(f"{self.root}/axes/{dim}/{CID}={cid_required(cid)}")
-            except AnalysisException:
-                continue
-        return found
+            having = [w for w in writes if dim in w["dims"]]
+            kind = next(f for f in fields if f.name == dim)
+            axis = self._read(T.StructType([kind]), f"axes/{dim}", cid, having)
+            axes[dim] = axis.distinct() if len(having) > 1 else axis
+        year_of = years.pop() if len(years) == 1 else None
+        return OpenedCells(cells if year_of else cells.drop(YEAR_PARTITION), dims, axes, year_of)
+
+    def _read(self, schema: T.StructType, part: str, cid: str, writes) -> DataFrame:
+        """One part of a dataset over all its writes."""
+        names = [f.name for f in schema]
+        whole = None
+        for w in writes:
+            path = f"{self.root}/{part}/{VERSION}={w[VERSION]}/{CID}={_escaped(cid)}"
+            read = self.spark.read.schema(schema).parquet(path).select(*names)
+            whole = read if whole is None else whole.unionByName(read)
+        return whole
+
+    def read(self, cid: str) -> DataFrame:
+        """The cells as they were written."""
+        return self.open(cid).cells.drop(YEAR_PARTITION)
 
     def table(self) -> DataFrame:
-        """Cells of all datasets with their ``cid``, for joins that prune on it."""
-        return self.spark.read.parquet(f"{self.root}/cells")
+        """Cells of all datasets with their ``cid``: a column that a dataset lacks is NULL."""
+        visible = self.datasets()
+        fields = _union_of([r[0] for r in visible.select(F.explode("fields")).distinct().collect()])  # a row per column
+        return self._visible("cells", fields, visible)
 
     def axis_table(self, dim: str) -> DataFrame:
         """Axis values of all datasets with their ``cid``."""
-        return self.spark.read.parquet(f"{self.root}/axes/{dim}")
+        visible = self.datasets().where(F.array_contains("dims", dim))
+        stored = [r[0] for r in visible.select(F.explode("fields")).distinct().collect()]
+        return self._visible(f"axes/{dim}", [f for f in _union_of(stored) if f.name == dim], visible).distinct()
+
+    def _visible(self, part: str, fields: list[T.StructField], visible: DataFrame) -> DataFrame:
+        directories = [T.StructField(VERSION, T.StringType()), T.StructField(CID, T.StringType())]
+        rows = self.spark.read.schema(T.StructType([*fields, *directories])).parquet(f"{self.root}/{part}")
+        seen = visible.select(CID, VERSION).where(F.col(VERSION) > "")
+        return rows.join(seen, [CID, VERSION], "left_semi").select(CID, *[f.name for f in fields])
+
+
+def _escaped(name: str) -> str:
+    """A directory's name as Spark writes it: control and special characters by their codes."""
+    special = "\"#%'*/:=?\\{}[]^\x7f"
+    return "".join(f"%{ord(c):02X}" if c in special or c < " " else c for c in name)
 
 
 @dataclass(frozen=True)
@@ -104,13 +243,14 @@ class CellTable:
 
     cells: DataFrame
     cid_column: str = CID
+    dims: tuple[str, ...] | None = None
+
+    def open(self, cid: str) -> OpenedCells:
+        return OpenedCells(self.read(cid), self.dims)
 
     def read(self, cid: str) -> DataFrame:
         return self.cells.where(F.col(self.cid_column) == cid_required(cid)).drop(self.cid_column)
 
-    def axes(self, cid: str, dims) -> dict[str, DataFrame]:
-        return {}
-
     def table(self) -> DataFrame:
         return self.cells.withColumnRenamed(self.cid_column, CID)
 

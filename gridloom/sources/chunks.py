@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import checked_lookup
-
 
 @dataclass(frozen=True)
 class ChunkAxis:
@@ -37,7 +35,8 @@ def explode_chunks(
     """One row per array element: coordinates, ``keep`` columns, value.
 
     Every chunk is exploded where it lies; a chunk is the unit of work, so no
-    shuffle is needed on regular axes.
+    shuffle is needed on regular axes. A position that an irregular axis does not
+    have keeps its cell, with a NULL coordinate.
     """
     keep = keep or {}
     position = F.col("_pos")
@@ -64,7 +63,6 @@ def explode_chunks(
     for axis in axes:
         if axis.values is not None:
             lookup = axis.values.select(F.col("position").alias(axis.name), F.col("value").alias("_at"))
-            spread = [F.col(c) for c in cells.columns if c != axis.name]
-            cells = checked_lookup(cells, lookup, [axis.name], spread, how="inner")
+            cells = cells.join(lookup, axis.name, "left")
             cells = cells.withColumn(axis.name, F.col("_at")).drop("_at")
     return cells.select(*[a.name for a in axes], *keep, variable)

@@ -109,12 +109,12 @@ def test_search_takes_the_first_when_none_is_preferred(spark):
 def test_resolution_under_one_hot_key(spark):
     """A third of items and requests share a dataset; no pairs are formed."""
     items = spark.range(3000).selectExpr(
-        "id AS ord", "'o_c' AS collection",
+        "id AS ord", "CASE WHEN id >= 0 THEN 'o_c' END AS collection",
         "concat('o_c-', CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('d', id % 50) END, '-v', id) AS id",
         "concat('ipfs://b', id) AS data_href",
     )
     requests = spark.range(3000).selectExpr(
-        "id AS request_id", "'o_c' AS collection",
+        "id AS request_id", "CASE WHEN id >= 0 THEN 'o_c' END AS collection",
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'nothing' END AS dataset",
         "CASE WHEN id % 3 = 0 THEN concat('v', id) END AS variant",
     )

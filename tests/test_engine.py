@@ -11,7 +11,6 @@ from gridloom import (
     read_cells,
     write_cells,
 )
-from gridloom import engine as engine_module
 from tests.conftest import collected, plan_of
 
 ITEMS = [
@@ -95,20 +94,17 @@ def test_direct_content_id(engine):
     assert ds.df.count() == 66
 
 
-def test_auto_concatenation(engine, monkeypatch):
+def test_auto_concatenation(engine):
     def load():
         ds = engine.load_dataset(ask("temp"), auto_concatenate=True)
         rows = collected(ds.df.select("time", "origin").distinct())
         return ds, [o for _, o in rows]
 
     ds, origins = load()
+    assert ds.variables == ["temperature", "origin"]
     assert origins == ["fin"] * 61 + ["non"] * 30
     assert ds.info.concatenated_variants == ("finalized", "non_finalized")
     assert (ds.info.source, ds.info.path, ds.info.variant) == ("stac_concatenated", "ecmwf_era5-temp", None)
-    # A dataset of very many variants is read as one table instead.
-    monkeypatch.setattr(engine_module, "SEPARATE_SCANS", 1)
-    again, same = load()
-    assert same == origins and collected(again.df.select(*ds.df.columns)) == collected(ds.df)
 
 
 def test_no_concatenation_when_not_asked_for(engine):
@@ -158,9 +154,10 @@ def test_store_layout_prunes(spark, cells, tmp_path):
     root = str(tmp_path / "grids")
     late = cells.where("cid = 'fin'").withColumn("time", F.expr("time + INTERVAL '3' YEAR"))
     write_cells(cells.unionByName(late.withColumn("cid", F.lit("fin"))), root)
+    assert "cell_year" not in CellStore(spark, root).table().columns
     engine = GridEngine(spark, None, CellStore(spark, root))
     ds = engine.load_dataset(DatasetRequest(cid="fin"))
-    assert set(ds.axes) == {"latitude", "longitude", "time"} and "cell_year" not in ds.variables
+    assert set(ds.axes) == {"latitude", "longitude", "time"} and "cell_year" not in ds.df.columns
     picked = ds.time_range("2026-01-01", "2026-01-02")
     plan = plan_of(picked.df)
     assert "PartitionFilters: [isnotnull(cell_year" in plan and picked.df.count() == 12
@@ -180,3 +177,50 @@ def test_load_many_prunes_partitions(spark, cells, tmp_path):
     got = GridEngine(spark, items, CellStore(spark, root)).load_many(requests)
     assert "dynamicpruning" in plan_of(got).lower()
     assert got.count() == 66
+
+
+def test_store_keeps_datasets_apart(spark, tmp_path):
+    root = str(tmp_path / "grids")
+    a = spark.createDataFrame([("007", 1.0, 5, 0.5), ("007", 2.0, 6, 0.25)], "cid string, lat double, level int, rain double")
+    a = a.withMetadata("rain", {"units": "mm"})
+    b = spark.createDataFrame([("7", 1.0, "x")], "cid string, lat double, name string")
+    write_cells(a, root, dims=("lat", "level"))
+    write_cells(b, root)
+    store = CellStore(spark, root)
+    ds = GridEngine(spark, None, store).load_dataset(DatasetRequest(cid="007"))
+    assert ds.dims == ("lat", "level") and ds.variables == ["rain"] and ds.attrs("rain") == {"units": "mm"}
+    assert collected(ds.to_records("rain")) == [(1.0, 5, 0.5), (2.0, 6, 0.25)]
+    assert collected(store.table(), "cid", "lat", "rain", "name") == [("007", 1.0, 0.5, None), ("007", 2.0, 0.25, None), ("7", 1.0, None, "x")]
+    assert collected(store.axis_table("level")) == [("007", 5), ("007", 6)]
+    with pytest.raises(ValueError):
+        write_cells(b, root)
+    write_cells(b.withColumn("lat", F.lit(9.0)), root, mode="append")
+    assert collected(store.read("7")) == [(1.0, "x"), (9.0, "x")]
+    write_cells(b.withColumn("lat", F.lit(3.0)), root, mode="overwrite")
+    assert collected(store.read("7")) == [(3.0, "x")] and store.read("007").count() == 2
+    assert collected(store.open("7").axes["lat"]) == [(3.0,)]
+    with pytest.raises(ValueError):
+        store.read("gone")
+    with pytest.raises(ValueError):
+        write_cells(b.withColumn("cid", F.lit(None).cast("string")), root)
+
+
+def test_search_resolver_takes_items_without_a_collection(spark, cells):
+    rows = [(0, None, "e_c-t-v", "ipfs://rain", None, "v"), (1, "e_c", "e_c-t-w", "ipfs://fin", "t", "w")]
+    items = spark.createDataFrame(rows, "ord long, collection string, id string, data_href string, dataset_id string, variant string")
+    engine = GridEngine(spark, items, CellTable(cells), resolver="api")
+    listed = collected(engine.list_available_datasets(), "collection", "dataset", "variant")
+    assert listed == [("e_c", "t", "v"), ("e_c", "t", "w")]
+    for _, dataset, variant in listed:
+        assert engine.load_dataset(DatasetRequest(dataset, "c", variant, "e")).info.variant == variant
+    with pytest.raises(StacResolutionError) as error:
+        engine.load_dataset(DatasetRequest("t", "c", "z", "e"))
+    assert "v, w" in str(error.value) and collected(error.value.available) == [("v",), ("w",)]
+
+
+def test_search_first_then_tree(spark, cells):
+    items = spark.createDataFrame(ITEMS, "ord long, collection string, id string, data_href string, concat_priority double")
+    engine = GridEngine(spark, items, CellTable(cells), resolver="api_then_items")
+    assert engine.load_dataset(ask("wind")).info.cid == "windx"  # the search takes the first
+    assert engine.load_dataset(ask("wind", "y")).info.cid == "windy"  # the search knows no variants here
+    assert engine.load_dataset(ask("temp", collection="era5", organization=None)).info.cid == "fin"

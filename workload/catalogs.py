@@ -221,9 +221,9 @@ def _resolution_sql(requests: str, items: str, first_match: bool) -> str:
 
 
 _TREE_ITEMS = "SELECT collection, ds, var, var AS shown, ord, id, data_href FROM parsed"
-_SEARCH_ITEMS = """SELECT collection, coalesce(dataset_id, ds) AS ds, variant AS var,
-  coalesce(variant, 'default') AS shown, ord, id, data_href
-  FROM (SELECT *, split_part(id, '-', 2) AS ds FROM search_items) WHERE collection IS NOT NULL"""
+_SEARCH_ITEMS = """SELECT coalesce(collection, split_part(id, '-', 1)) AS collection, coalesce(dataset_id, ds) AS ds,
+  variant AS var, coalesce(variant, 'default') AS shown, ord, id, data_href
+  FROM (SELECT *, split_part(id, '-', 2) AS ds FROM search_items)"""
 _PLACED = """SELECT request_id, collection, dataset, variant, split_part(collection, '_', 1) AS organization_id,
   collection AS collection_id FROM requests"""
 
