@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -14,20 +15,23 @@ from pyspark.sql import DataFrame
 #: The longest sequence; itself a power of two.
 MAX_LENGTH = 2048
 END_ID = 1
-#: Words and ids that a task remembers before it starts afresh.
-CACHE_WORDS, CACHE_IDS = 1 << 19, 1 << 23
+#: Words and ids that a worker remembers before it starts afresh, words encoded in one go, and
+#: characters of text looked up together.
+CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 20, 1 << 24, 1 << 12, 1 << 20
 
 
 class WordTokens:
     """Token ids of texts, one lookup per word.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so the
-    ids of a text are the ids of its words in order. Each distinct word is encoded once;
-    beyond a number of words or ids the memory of them is given up, which bounds it.
+    ids of a text are the ids of its words in order. Each distinct word is encoded once, many
+    in one call; beyond a number of words or ids the memory of them is given up, which bounds it.
     """
 
-    def __init__(self, encode_batch: Callable[[list[str]], list[list[int]]]) -> None:
-        self.encode_batch = encode_batch
+    def __init__(self, tokenizer: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         self.forget()
 
     def forget(self) -> None:
@@ -38,37 +42,64 @@ class WordTokens:
         self.used = 0
 
     def learn(self, words: list[bytes]) -> None:
-        for word, ids in zip(words, self.encode_batch([w.decode() for w in words]), strict=True):
-            k, n = len(self.at), len(ids)
-            while self.used + n > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            if k == len(self.begin):
-                self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.ids[self.used : self.used + n] = ids
-            self.begin[k], self.size[k] = self.used, n
-            self.at[word] = k
-            self.used += n
-
-    def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().split()
+        """Encode the words as one text; where an id's source begins tells its word."""
+        texts = [w.decode() for w in words]
+        encoded = self.model.encode(" ".join(texts), add_special_tokens=False)
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        source = np.fromiter((a for a, _ in encoded.offsets), np.int64)
+        sizes = np.bincount(np.searchsorted(begin, source, "right") - 1, minlength=len(words))
+        k, n = len(self.at), len(encoded.ids)
+        while self.used + n > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while k + len(words) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self.ids[self.used : self.used + n] = encoded.ids
+        self.size[k : k + len(words)] = sizes
+        self.begin[k : k + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.at.update(zip(words, range(k, k + len(words)), strict=True))
+        self.used += n
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        waiting: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            waiting.append((text or "").encode().split())
+            size += len(text or "")
+            if size > TOGETHER:
+                yield from self._looked_up(waiting)
+                waiting, size = [], 0
+        yield from self._looked_up(waiting)
+
+    def _looked_up(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
         if len(self.at) > CACHE_WORDS or self.used > CACHE_IDS:
             self.forget()
-        if new := set(words) - self.at.keys():
-            self.learn(sorted(new))
-        which = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        sizes = self.size[which]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(self.begin[which] - ends + sizes, sizes) + np.arange(total)
-        return self.ids[place]
+        words = list(chain.from_iterable(texts))
+        which = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(which < 0).tolist()
+        if unknown:
+            new = list({words[k] for k in unknown})
+            for k in range(0, len(new), ENCODED):
+                self.learn(new[k : k + ENCODED])
+            which[unknown] = [self.at[words[k]] for k in unknown]
+        begin, sizes = self.begin[which], self.size[which]
+        at = 0
+        for text in texts:
+            b, n = begin[at : at + len(text)], sizes[at : at + len(text)]
+            ends = np.cumsum(n)
+            yield self.ids[np.repeat(b - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
+            at += len(text)
+
 
+_known: dict[str, WordTokens] = {}
 
-def word_encoder(tokenizer: str) -> Callable[[list[str]], list[list[int]]]:
-    from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-    return lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+def tokens_of(tokenizer: str) -> WordTokens:
+    """One memory of words per worker process."""
+    if tokenizer not in _known:
+        _known[tokenizer] = WordTokens(tokenizer)
+    return _known[tokenizer]
 
 
 def binary_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -99,7 +130,7 @@ def pack(
     numbers = ["start", "length", "ids_crc32", "doc_tokens", "bucket", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(word_encoder(tokenizer))
+        tokens = tokens_of(tokenizer)
         task = TaskContext.get().partitionId()
         made = [0] * max_length.bit_length()
         for batch in batches:
@@ -116,8 +147,9 @@ def pack(
                     [batch.column(0).take(pa.array(from_row, pa.int64())), *columns], names=names
                 )
 
-            for row, text in enumerate(batch.column(1)):
-                ids = np.append(tokens.encode(text.as_py()), np.uint32(end_id)).astype("<u4")
+            texts = (x.as_py() for x in batch.column(1))
+            for row, found in enumerate(tokens.encode(texts)):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 start = 0
                 for length in binary_lengths(len(ids), max_length):
                     bucket = length.bit_length() - 1

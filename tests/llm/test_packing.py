@@ -22,10 +22,10 @@ def library():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("aA sS'tTéÉ́ \n\x85\x1c  <|endoftext|>Σς"), st.characters(exclude_categories=["Cs"])), max_size=50), max_size=4))
 def test_word_by_word_is_the_whole(texts):
-    tokens = packing.WordTokens(packing.word_encoder(NAME))
-    whole = Tokenizer.from_file(public_tokenizers.path(NAME))
-    for text in texts:
-        assert tokens.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    tokens = packing.tokens_of(NAME)
+    tokens.forget()
+    for text, ids in zip(texts, tokens.encode(texts), strict=True):
+        assert ids.tolist() == tokens.model.encode(text, add_special_tokens=False).ids
 
 
 @given(st.integers(1, 100_000))
@@ -38,10 +38,13 @@ def test_binary_lengths(n):
 
 def test_memory_is_given_up(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
-    tokens = packing.WordTokens(packing.word_encoder(NAME))
-    whole = Tokenizer.from_file(public_tokenizers.path(NAME))
-    for text in ["a b c d e", "f g a", "a b", "h i j k"]:
-        assert tokens.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "ENCODED", 2)
+    tokens = packing.WordTokens(NAME)
+    for together in (1, 1 << 20):
+        monkeypatch.setattr(packing, "TOGETHER", together)
+        texts = ["a b c d e", "f g a", "a b", None, "h i j k <|endoftext|>"]
+        for text, ids in zip(texts, tokens.encode(texts), strict=True):
+            assert ids.tolist() == tokens.model.encode(text or "", add_special_tokens=False).ids
 
 
 def test_pieces(spark, library):
