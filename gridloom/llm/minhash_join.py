@@ -20,7 +20,8 @@ WIDTH, NUMERATOR = 5, 85
 
 #: Documents of one posting list that a task compares at once; longer lists go in pairs of blocks.
 BLOCK = 1024
-#: Lists longer than this are first rid of documents that can have no partner in them.
+#: In lists longer than this, the shingles that one document alone has are counted, which tells
+#: most pairs that agree by signature but cannot be linked.
 LONG = 32
 
 _A, _B = numbers(11, COORDINATES) | np.uint64(1), numbers(12, COORDINATES)
@@ -132,8 +133,8 @@ def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "cls long, shingles binary")
 
 
-def hopeless(sets: DataFrame, numerator: int) -> DataFrame:
-    """Classes too much of whose set no other class among these has to be linked with any of them."""
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """``(cls, size, own)``: how many of a class's shingles no other of these classes has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,13 +149,22 @@ def hopeless(sets: DataFrame, numerator: int) -> DataFrame:
     alone = sets.mapInArrow(run, "shingle long, cls long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("cls").alias("cls"))
     alone = alone.where("n = 1").groupBy("cls").agg(F.count("*").alias("own"))
     size = sets.select("cls", (F.octet_length("shingles") / 8).cast("long").alias("size"))
-    return size.join(alone, "cls").where(F.col("own") * 100 > F.col("size") * (100 - numerator)).select("cls")
+    return size.join(alone, "cls", "left").select("cls", "size", F.coalesce("own", F.lit(0)).alias("own"))
 
 
-def candidate_pairs(posted: DataFrame, marks: DataFrame, matches: int, forest: bool) -> DataFrame:
+def possible(size: np.ndarray, own: np.ndarray, u: np.ndarray, v: np.ndarray, numerator: int) -> np.ndarray:
+    """Whether pairs can be linked, by their sizes and the shingles that only one of the two has.
+
+    No more than a set's other shingles can be common. ``own`` is -1 where it is not known.
+    """
+    most = np.minimum(size[u] - own[u], size[v] - own[v])
+    return (own[u] < 0) | (own[v] < 0) | (100 * most >= numerator * (size[u] + size[v] - most))
+
+
+def candidate_pairs(posted: DataFrame, marks: DataFrame, numerator: int, matches: int, forest: bool) -> DataFrame:
     """``(a, b)`` of different components that agree in ``matches`` coordinates or more.
 
-    ``posted`` has ``(cls, posting, mask, comp, list_size)``. Lists are cut in blocks and every
+    ``posted`` has ``(cls, posting, mask, comp, list_size)``, ``marks`` ``(cls, marks, size, own)``. Lists are cut in blocks and every
     pair of blocks is a run of sorted rows, so that a task holds two blocks at most. A pair
     counts in the list of its lowest common prefix coordinate only. With ``forest``, of the
     pairs in a run those that agree most are taken until they join all that can be joined;
@@ -180,15 +190,16 @@ def candidate_pairs(posted: DataFrame, marks: DataFrame, matches: int, forest: b
         for batch in batches:
             whole = pa.Table.from_batches([*held, batch]).combine_chunks()
             runs = _runs(whole)
-            a, b = _compared(whole, runs[:-1], matches, forest)
+            a, b = _compared(whole, runs[:-1], numerator, matches, forest)
             held = whole.slice(runs[-1][0]).to_batches() if runs else []
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
         if held:
             whole = pa.Table.from_batches(held).combine_chunks()
-            a, b = _compared(whole, _runs(whole), matches, forest)
+            a, b = _compared(whole, _runs(whole), numerator, matches, forest)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.select("posting", "i", "j", "right", "cls", "comp", "mask", "marks").mapInArrow(run, "a long, b long").distinct()
+    columns = ["posting", "i", "j", "right", "cls", "comp", "mask", "marks", "size", "own"]
+    return rows.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
 def _runs(whole: pa.Table) -> list[tuple[int, int]]:
@@ -204,12 +215,15 @@ def _runs(whole: pa.Table) -> list[tuple[int, int]]:
     return list(zip(begin.tolist(), [*begin[1:].tolist(), len(whole)], strict=True))
 
 
-def _compared(whole: pa.Table, runs: list[tuple[int, int]], matches: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+def _compared(
+    whole: pa.Table, runs: list[tuple[int, int]], numerator: int, matches: int, forest: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of all runs that agree enough; short runs are compared together."""
     none = np.zeros(0, np.int64)
     if not runs:
         return none, none
     cls, comp, mask, posting, i, j = (whole.column(c).to_numpy() for c in ("cls", "comp", "mask", "posting", "i", "j"))
+    size, own = whole.column("size").to_numpy(), whole.column("own").to_numpy()
     right = whole.column("right").to_numpy(zero_copy_only=False)
     coordinate = (posting.view(np.uint64) >> np.uint64(58)).astype(np.int64)
     prefix = (mask.view(np.uint64)[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1)).astype(bool)
@@ -222,8 +236,8 @@ def _compared(whole: pa.Table, runs: list[tuple[int, int]], matches: int, forest
         short.clear()
         for at in range(0, len(u), 1 << 15):
             p, q = u[at : at + (1 << 15)], v[at : at + (1 << 15)]
-            differ = comp[p] != comp[q]
-            p, q = p[differ], q[differ]
+            may = (comp[p] != comp[q]) & possible(size, own, p, q, numerator)
+            p, q = p[may], q[may]
             same = marks[p] == marks[q]
             agree = same.sum(1)
             common = same & prefix[p] & prefix[q]
@@ -255,6 +269,8 @@ def _compared(whole: pa.Table, runs: list[tuple[int, int]], matches: int, forest
             if k < coordinate[begin]:
                 owned &= ~(same & prefix[x, k][:, None] & prefix[y, k][None, :])
         u, v = np.nonzero(owned & (agree >= matches))
+        may = possible(size, own, x[u], y[v], numerator)
+        u, v = u[may], v[may]
         found.append((x[u], y[v], agree[u, v].astype(np.int64)))
     if short:
         compare_short()
@@ -313,8 +329,11 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int =
 
     1. Rows with equal sets of shingles form a class, so that copies are never paired.
     2. Classes are posted under their rarest coordinate values (``prefixes``).
-    3. In each list, the pairs that agree most, a forest of them, are confirmed on full sets.
-    4. Lists whose classes are all in one component by now are skipped; in the others every
+    3. Among the classes of long lists, shingles of one class alone bound what a pair can share:
+       a class with too many leaves those lists, and a pair with too many is passed over.
+       The bound holds for all their pairs, so no link is lost.
+    4. In each list, the pairs that agree most, a forest of them, are confirmed on full sets.
+    5. Lists whose classes are all in one component by now are skipped; in the others every
        pair of different components is counted and confirmed.
 
     ``component_id`` is the smallest ``doc_id`` that links reach (NULL ids are passed over);
@@ -333,19 +352,21 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int =
     active = posted.select("cls").distinct()
     sets = stored(full_sets(docs, classes.join(active, "cls", "left_semi")))
     long = posted.where(F.col("list_size") > LONG).select("cls").distinct()
-    lost = settled(hopeless(sets.join(long, "cls", "left_semi"), numerator)).withColumn("list", F.lit(True))
-    posted = posted.join(lost.withColumnRenamed("list", "_lost"), "cls", "left")
-    posted = posted.where((F.col("list_size") <= LONG) | F.col("_lost").isNull()).drop("_lost", "list_size")
+    own = settled(own_shingles(sets.join(long, "cls", "left_semi")))
+    lost = own.where(F.col("own") * 100 > F.col("size") * (100 - numerator)).select("cls", F.lit(True).alias("_lost"))
+    posted = posted.join(lost, "cls", "left").where((F.col("list_size") <= LONG) | F.col("_lost").isNull()).drop("_lost", "list_size")
     size = posted.groupBy("posting").agg(F.count("*").alias("list_size")).where("list_size > 1")
     posted = settled(posted.join(size, "posting"))
-    marks = stored(signs.select("cls", "marks").join(active, "cls", "left_semi"))
+    known = [F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("size", "own")]
+    marks = signs.select("cls", "marks").join(active, "cls", "left_semi").join(own, "cls", "left")
+    marks = stored(marks.select("cls", "marks", *known))
 
-    first = candidate_pairs(posted.withColumn("comp", F.col("cls")), marks, matches, forest=True)
+    first = candidate_pairs(posted.withColumn("comp", F.col("cls")), marks, numerator, matches, forest=True)
     links = settled(confirmed(first, sets, numerator))
     groups = settled(components(links)).select(F.col("id").alias("cls"), "component")
     placed = posted.join(groups, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     mixed = placed.groupBy("posting").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    rest = candidate_pairs(placed.join(mixed.select("posting"), "posting", "left_semi"), marks, matches, forest=False)
+    rest = candidate_pairs(placed.join(mixed.select("posting"), "posting", "left_semi"), marks, numerator, matches, forest=False)
     links = links.union(confirmed(rest, sets, numerator))
     groups = components(links).select(F.col("id").alias("cls"), F.col("component").alias("group"))
 
