@@ -1,6 +1,7 @@
 """Linking, ordering and checking of tool calls."""
 
 import json
+import random
 
 from gridloom.llm import tool_chat
 
@@ -87,3 +88,23 @@ def test_turns_as_tool_use(spark):
     calls, results = tool_chat.as_tool_use(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     out = {r.turn: r for r in tool_chat.linked(calls, results, tool_chat.ASK).collect()}
     assert [(out[t].status, out[t].level, out[t].valid) for t in (0, 1, 2)] == [("answered", 0, True), ("answer", 0, None), ("open", 1, False)]
+
+
+def test_levels_of_chains_and_joins(spark):
+    """Against longest paths, over long chains, trees, joins, loops and gaps."""
+    rng = random.Random(9)
+    needs = {f"a{i}": [f"a{i - 1}"] if i else [] for i in range(70)}
+    needs |= {f"b{i}": [f"a{rng.randrange(70)}"] for i in range(20)}
+    for i in range(40):
+        pool = list(needs)
+        needs[f"c{i}"] = sorted({rng.choice(pool) for _ in range(rng.randrange(4))})
+    needs |= {"l0": ["l2"], "l1": ["l0"], "l2": ["l1"], "after": ["l1"], "self": ["self"], "gap": ["nowhere"], "both": ["a1", "gap"], "m": ["l0", "a3"]}
+    level = {}
+    while True:
+        new = {c: 1 + max((level[x] for x in n), default=-1) for c, n in needs.items() if c not in level and all(x in level for x in n)}
+        if not new:
+            break
+        level |= new
+    df = spark.createDataFrame([(k, c, n) for k in (1, 2) for c, n in needs.items()], "conv_id long, call_id string, needs array<string>")
+    got = tool_chat.levels(df).collect()
+    assert len(got) == 2 * len(level) and all(r.level == level[r.call_id] for r in got)
