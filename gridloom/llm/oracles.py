@@ -90,13 +90,14 @@ ORACLES["op6_host_rules"] = _host_rules()
 
 
 _LINK = r"""["'']?\x20*[:=]\x20*["'']?"""
-#: Kind, pattern, group that counts, its length, role: in the order of kinds.
+#: Kind, pattern, group that counts, its length, role: in the order of kinds. A run that must
+#: have some length is asked for by that length, which matches the same whole runs.
 _PARTS = (
     ("assign", rf"(?i:(password|passwd|secret|token|api_?key)){_LINK}([A-Za-z0-9+/_.=-]+)", 2, ">= 8", "secret"),
-    ("access", r"AKIA[A-Z0-9]+", 0, ">= 16", "name"),
-    ("hex", r"[0-9a-f]+", 0, ">= 32", "secret"),
+    ("access", r"AKIA[A-Z0-9]{12,}", 0, ">= 16", "name"),
+    ("hex", r"[0-9a-f]{32,}", 0, ">= 32", "secret"),
     ("user", rf"(?i:(access_?key_?id|client_?id|user_?name|user|login)){_LINK}([A-Za-z0-9_.@-]+)", 2, ">= 3", "name"),
-    ("key", r"[A-Za-z0-9+/]+", 0, "= 40", "secret"),
+    ("key", r"[A-Za-z0-9+/]{40,}", 0, "= 40", "secret"),
     ("endpoint", r"[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", 0, ">= 8", "endpoint"),
 )
 
@@ -142,8 +143,8 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM documents
 ), shingles AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
   FROM words
 ), sizes AS (
   SELECT doc_id, len(s) AS n FROM shingles
