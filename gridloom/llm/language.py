@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched, chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -13,11 +14,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import stored
+
 UNKNOWN = "und"
-#: Runs of letters; what else ``\w`` has (digits, numbers, underscores) parts words.
+#: Runs of letters. Digits and underscores part words; the few numbers that are no digits do not.
 _WORD = re.compile(r"[^\W\d_]+")
-#: Words that a task remembers before it starts afresh, and the longest of them.
-CACHE_WORDS, CACHE_CHARS = 1 << 18, 40
+#: Words that a task remembers before it starts afresh, words that are cut into n-grams in one
+#: go, and characters of text looked up together.
+CACHE_WORDS, CUT, TOGETHER = 1 << 19, 1 << 14, 1 << 20
 
 ORDERS = (1, 2, 3, 4)
 #: Share of a language's n-grams of one order that an n-gram must have: at most 1 / MIN_SHARE of
@@ -32,27 +36,34 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w for w in _WORD.findall(text.lower()) if w.isalpha()] if text else []
+    return _WORD.findall(text.lower()) if text else []
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def grams(word: str) -> list[str]:
-    """All n-grams of the word between its ends, marked by spaces."""
-    padded = f" {word} "
-    return [padded[i : i + n] for n in ORDERS for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
-
+def grams(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each order, the 64-bit hashes of all n-grams of the words, and the word of each.
 
-def gram_hashes(found: list[str]) -> np.ndarray:
-    """64-bit hashes of n-grams of up to four characters, the same everywhere."""
-    out = np.zeros(len(found), np.uint64)
-    codes = np.array([[ord(c) + 1 for c in g] + [0] * (max(ORDERS) - len(g)) for g in found], np.uint64)
-    for column in codes.reshape(-1, max(ORDERS)).T:
-        out = (out ^ column) * _MIX
-        out ^= out >> np.uint64(29)
-    return out
+    A word stands between two spaces, which are characters of its n-grams; a space alone is none.
+    """
+    codes = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    space = codes == 0x20
+    # The word that a place belongs to; a space belongs to the word after it.
+    word = np.cumsum(space) - 1
+    h = np.zeros(len(codes), np.uint64)
+    for n in ORDERS:
+        size = len(codes) - n + 1
+        if size < 1:
+            break
+        h = (h[:size] ^ codes[n - 1 :]) * _MIX
+        h ^= h >> np.uint64(29)
+        whole = ~space[:size] if n == 1 else np.ones(size, bool)
+        for k in range(1, n - 1):
+            whole &= ~space[k : k + size]
+        whole &= word[:size] < len(words)
+        yield n, h[whole] + np.uint64(n), word[:size][whole]
 
 
 def filter_rows(hashes: np.ndarray, rows: int, k: int) -> np.ndarray:
@@ -78,12 +89,15 @@ class LanguageFilter:
     def bit(table: np.ndarray, i: int) -> np.ndarray:
         return (table[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).astype(bool)
 
-    def counts(self, word: str) -> np.ndarray:
-        """N-grams of the word, then how many of them each language's filter has."""
-        places = filter_rows(gram_hashes(grams(word)), len(self.table), self.hashes)
-        held = np.bitwise_and.reduce(self.table[places], axis=1)
-        each = [self.bit(held, i).sum() for i in range(len(self.languages))]
-        return np.array([len(places), *each], np.float64)
+    def counts(self, words: list[str]) -> np.ndarray:
+        """A row per word: its n-grams, then how many of them each language's filter has."""
+        out = np.zeros((len(words), 1 + len(self.languages)), np.float32)
+        for _, hashes, word in grams(words):
+            held = np.bitwise_and.reduce(self.table[filter_rows(hashes, len(self.table), self.hashes)], axis=1)
+            out[:, 0] += np.bincount(word, minlength=len(words))
+            for i in range(len(self.languages)):
+                out[:, 1 + i] += np.bincount(word, self.bit(held, i), len(words))
+        return out
 
     def decide(self, counts: np.ndarray) -> tuple[str, float]:
         """The language with most n-grams beyond what false positives give, and its share."""
@@ -94,35 +108,72 @@ class LanguageFilter:
         return self.languages[best], float(excess[best] / total) if total > 0 else 0.0
 
 
+class WordCounts:
+    """The counts of a filter for texts, looked up word by word; a bounded number is remembered."""
+
+    def __init__(self, model: LanguageFilter) -> None:
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((1 << 12, 1 + len(self.model.languages)), np.float32)
+
+    def sums(self, texts: list[list[str]]) -> np.ndarray:
+        """The summed counts of each list of words."""
+        if len(self.at) > CACHE_WORDS:
+            self.forget()
+        words = list(chain.from_iterable(texts))
+        which = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(which < 0).tolist()
+        new = list({words[k] for k in unknown})
+        for i in range(0, len(new), CUT):
+            part, k = new[i : i + CUT], len(self.at)
+            while k + len(part) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[k : k + len(part)] = self.model.counts(part)
+            self.at.update(zip(part, range(k, k + len(part)), strict=True))
+        if unknown:
+            which[unknown] = [self.at[words[k]] for k in unknown]
+        out = np.zeros((len(texts), self.rows.shape[1]))
+        at = 0
+        for i, text in enumerate(texts):
+            out[i] = self.rows[which[at : at + len(text)]].sum(0, dtype=np.float64)
+            at += len(text)
+        return out
+
+
 def fold(doc_id: Column | str = "doc_id", folds: int = 5) -> Column:
     """``crc32`` of the id as text, modulo the number of folds; 0 is held out. NULL has no fold."""
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % folds
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
-    """``(lang, n, gram, hash, count)`` over every word of every text with a language."""
+    """``(lang, n, gram, count)`` over every word of every text with a language; ``gram`` is a hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, of_lang in words.items():
-                total: Counter = Counter()
-                for word, times in of_lang.items():
-                    for gram in grams(word):
-                        total[gram] += times
-                found = list(total)
-                for i in range(0, len(found), 50_000):
-                    part = found[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(part), pa.string()),
-                            pa.array([len(g) for g in part], pa.int32()),
-                            pa.array(part, pa.string()),
-                            pa.array([total[g] for g in part], pa.int64()),
-                        ],
-                        names=["lang", "n", "gram", "count"],
-                    )
+                found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+                for cut in batched(of_lang, CUT):
+                    times = np.array([of_lang[w] for w in cut], np.float64)
+                    for n, hashes, word in grams(list(cut)):
+                        found.setdefault(n, []).append(_summed(hashes, times[word]))
+                for n, parts in found.items():
+                    hashes, sums = _summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))
+                    for i in range(0, len(hashes), 50_000):
+                        some = hashes[i : i + 50_000].view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([lang] * len(some), pa.string()),
+                                pa.array(np.full(len(some), n, np.int32)),
+                                pa.array(some),
+                                pa.array(sums[i : i + 50_000].astype(np.int64)),
+                            ],
+                            names=["lang", "n", "gram", "count"],
+                        )
             words.clear()
 
         for batch in batches:
@@ -132,10 +183,15 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    parts = labelled.select(F.col("lang").cast("string"), "text").mapInArrow(run, "lang string, n int, gram string, count long")
+    parts = labelled.select(F.col("lang").cast("string"), "text").mapInArrow(run, "lang string, n int, gram long, count long")
     return parts.groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
 
 
+def _summed(hashes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, which = np.unique(hashes, return_inverse=True)
+    return found, np.bincount(which, times, len(found))
+
+
 def member_bits(counts: DataFrame, languages: list[str], min_share: float, min_ratio: float) -> DataFrame:
     """``(gram, word, bits)``: the languages that hold each n-gram, 64 to a word."""
     order = counts.groupBy("lang", "n").agg(F.sum("count").alias("all"))
@@ -162,10 +218,7 @@ def train(
     Counts cover all rows. What reaches the driver is the filter itself, of a fixed number of
     rows, one long for each 64 languages.
     """
-    counts = gram_counts(labelled.where("lang IS NOT NULL"))
-    from gridloom.llm.common import stored
-
-    counts = stored(counts)
+    counts = stored(gram_counts(labelled.where("lang IS NOT NULL")))
     named = labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
     languages = [r["lang"] for r in named.collect()]  # the label set, one row per language
     if not languages:
@@ -174,7 +227,7 @@ def train(
 
     @F.pandas_udf("array<long>")
     def places(gram: pd.Series) -> pd.Series:
-        return pd.Series(list(filter_rows(gram_hashes(gram.tolist()), rows, hashes)), dtype=object)
+        return pd.Series(list(filter_rows(gram.to_numpy(np.int64).view(np.uint64), rows, hashes)), dtype=object)
 
     at = members.select(F.explode(places("gram")).alias("row"), "word", "bits")
     sliced = at.groupBy("row", "word").agg(F.bit_or("bits").alias("bits")).toPandas()
@@ -195,24 +248,25 @@ def predict(docs: DataFrame, model: LanguageFilter | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
-        known: dict[str, np.ndarray] = {}
+        known = None if model is None else WordCounts(model)
         for batch in batches:
-            said = []
+            said: list[tuple[str, float]] = []
+            waiting: list[list[str] | None] = []
+            size = 0
+
+            def look_up() -> None:
+                sums = iter(known.sums([w for w in waiting if w is not None])) if known else iter(())
+                said.extend((UNKNOWN, 0.0) if w is None else model.decide(next(sums)) for w in waiting)
+                waiting.clear()
+
             for text in batch.column(1):
                 text = text.as_py()
-                if model is None or not has_letter(text):
-                    said.append((UNKNOWN, 0.0))
-                    continue
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                total = np.zeros(len(model.languages) + 1)
-                for word, times in Counter(words_of(text)).items():
-                    if (of_word := known.get(word)) is None:
-                        of_word = model.counts(word)
-                        if len(word) <= CACHE_CHARS:
-                            known[word] = of_word
-                    total += times * of_word
-                said.append(model.decide(total))
+                waiting.append(words_of(text) if known and has_letter(text) else None)
+                size += len(text or "")
+                if size > TOGETHER:
+                    look_up()
+                    size = 0
+            look_up()
             names, scores = zip(*said, strict=True) if said else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],

@@ -54,28 +54,57 @@ def test_nothing_to_learn_from(spark):
     assert language.identify(docs.limit(0)).collect() == []
 
 
+def grams_of(word):
+    padded = f" {word} "
+    return [padded[i : i + n] for n in language.ORDERS for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
+
+
+def test_grams_are_those_inside_each_word():
+    """Equal n-grams and no others have equal hashes, whichever words stand beside them."""
+    words = ["a", "ab", "karo", "roka", "ñandú", "x", "a", "日本語", "karo"]
+    strings = {n: [] for n in language.ORDERS}
+    for k, word in enumerate(words):
+        for gram in grams_of(word):
+            strings[len(gram)].append((k, gram))
+    hash_of = {}
+    for n, hashes, word in language.grams(words):
+        alone = {k: [h for m, hs, _ in language.grams([w]) if m == n for h in hs.tolist()] for k, w in enumerate(words)}
+        for k in range(len(words)):
+            own = hashes[word == k].tolist()
+            assert sorted(own) == sorted(alone[k]) and len(own) == sum(i == k for i, _ in strings[n])
+            for gram, h in zip([g for i, g in strings[n] if i == k], own, strict=True):
+                assert hash_of.setdefault(gram, h) == h
+    assert len(set(hash_of.values())) == len(hash_of)
+    assert [x for x in language.grams([])] == [] or all(not len(h) for _, h, _ in language.grams([]))
+
+
 def test_gram_counts(spark):
     rows = [("xx", "Karo KA ka1ro"), ("xx", None), ("yy", "ka")]
-    got = {(r.lang, r.gram): r["count"] for r in language.gram_counts(spark.createDataFrame(rows, "lang string, text string")).collect()}
+    got = Counter()
+    for r in language.gram_counts(spark.createDataFrame(rows, "lang string, text string")).collect():
+        got[r.lang, r.n] += r["count"]
     want = Counter()
     for lang, text in rows:
         for word in language.words_of(text):
-            for gram in language.grams(word):
-                want[lang, gram] += 1
-    assert got == dict(want)
-    assert language.grams("ab") == ["a", "b", " a", "ab", "b ", " ab", "ab ", " ab "]
+            for gram in grams_of(word):
+                want[lang, len(gram)] += 1
+    assert got == want
 
 
 def test_filter_has_no_false_negatives_and_the_stated_false_positives():
-    grams = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    rng = np.random.default_rng(1)
+    grams, others = rng.integers(0, 2**63, 600).astype(np.uint64), rng.integers(0, 2**63, 2000).astype(np.uint64)
     table = np.zeros((4096, 2), np.uint64)
-    for i, gram in enumerate(grams):
+    for i, rows in enumerate(language.filter_rows(grams, 4096, 3)):
         bit = 70 if i % 2 else 1
-        for row in language.filter_rows(language.gram_hashes([gram]), 4096, 3)[0]:
-            table[row, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        table[rows, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
     model = language.LanguageFilter([f"l{i}" for i in range(71)], table, 3)
-    held = np.bitwise_and.reduce(table[language.filter_rows(language.gram_hashes(grams), 4096, 3)], axis=1)
+    held = np.bitwise_and.reduce(table[language.filter_rows(grams, 4096, 3)], axis=1)
     assert model.bit(held, 70)[1::2].all() and model.bit(held, 1)[0::2].all()
-    others = [f"{a}{b}" for a in "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
-    held = np.bitwise_and.reduce(table[language.filter_rows(language.gram_hashes(others), 4096, 3)], axis=1)
+    held = np.bitwise_and.reduce(table[language.filter_rows(others, 4096, 3)], axis=1)
     assert abs(model.bit(held, 70).mean() - model.false_rate[70]) < 0.01
+    words = ["karo", "ka", "日本"]
+    counts = model.counts(words)
+    assert counts[:, 0].tolist() == [len(grams_of(w)) for w in words]
+    looked_up = language.WordCounts(model).sums([["ka", "karo", "ka"], [], ["日本"]])
+    assert np.allclose(looked_up, [2 * counts[1] + counts[0], 0 * counts[0], counts[2]])
