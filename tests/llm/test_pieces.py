@@ -15,9 +15,12 @@ MODEL = "piece_bpe_32k.model"
 CHARS = "aetinoshAB é ßñ 日本語 😀 ▁ \n\t .,!? 0123 ́   \x00"
 
 
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
+
+
 @pytest.fixture(scope="module")
 def library():
-    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
+    return LIBRARY
 
 
 def ids_of(text):
@@ -27,8 +30,7 @@ def ids_of(text):
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(CHARS), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_ids_are_the_librarys(text):
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
-    assert ids_of(text) == model.encode(text)
+    assert ids_of(text) == LIBRARY.encode(text)
 
 
 def test_words_and_long_texts(library):
