@@ -50,6 +50,27 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``(row, id, hash)``: whole rows out of reach of clashing names, their id and text's hash."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The rows as ``docs`` has them, with another ``text`` if given (``n_chars`` follows, if there)."""
+    if text is not None:
+        rows = rows.select("row", text.alias("text"))
+    columns = []
+    for f in docs.schema:
+        column = F.col("row").getField(f.name)
+        if text is not None and f.name == "text":
+            column = F.col("text")
+        elif text is not None and f.name == "n_chars":
+            column = F.char_length("text").cast(f.dataType)
+        columns.append(column.alias(f.name))
+    return rows.select(*columns)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Each end of an edge with the smallest id that edges lead to: ``(id, component)``.
 

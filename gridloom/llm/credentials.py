@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import packed, unpacked
+
 _LINK = r"""["']?\x20*[:=]\x20*["']?"""
 
 #: Kind, pattern, the group whose length counts, the lengths that pass, and what the part is.
@@ -108,14 +110,6 @@ def spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return parts.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
-def with_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The documents with their ``spans`` (NULL: none); a column of that name or ``th`` is replaced."""
-    found = spans(docs, scope).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "spans")
-    docs = docs.drop("spans").withColumn("th", F.xxhash64("text"))
-    same = docs["doc_id"].eqNullSafe(found["_doc"]) & (docs["th"] == found["_th"])
-    return docs.join(found.hint("shuffle_hash"), same, "left").drop("_doc", "_th", "th")
-
-
 def _joined(spans: Column) -> Column:
     each = F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string")))
     return F.array_join(F.coalesce(each, F.array().cast("array<string>")), ",")
@@ -147,7 +141,6 @@ def redact(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     Spans that overlap or touch become one. The text is cut into blocks once, so that the work
     grows with its length and not with its length times its spans.
     """
-    columns = docs.columns
     parts = linked_parts(candidate_parts(docs), scope)
     along = Window.partitionBy("doc_id", "th").orderBy("start", "end")
     furthest = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
@@ -157,12 +150,13 @@ def redact(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     cuts = islands.groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts")
     )
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(cuts["_doc"]) & (rows["_hash"] == cuts["_th"])
-    rows = rows.join(cuts.hint("shuffle_hash"), same, "left")
-    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    rows = packed(docs)
+    same = rows["id"].eqNullSafe(cuts["_doc"]) & (rows["hash"] == cuts["_th"])
+    rows = rows.join(cuts.hint("shuffle_hash"), same, "left").select("row", "_cuts")
+    blocks = F.regexp_extract_all("row.text", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
     bounds = F.expr(
-        "arrays_zip(concat(array(0L), _cuts.end) AS a, concat(_cuts.start, array(CAST(char_length(text) AS LONG))) AS b)"
+        "zip_with(concat(array(0L), _cuts.end), concat(_cuts.start, array(CAST(char_length(row.text) AS LONG))),"
+        " (a, b) -> named_struct('a', a, 'b', b))"
     )
     pieces = F.expr(
         f"""transform(_bounds, x -> substring(
@@ -170,8 +164,5 @@ def redact(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataFrame:
             CAST(x.a % {_BLOCK} + 1 AS INT), CAST(x.b - x.a AS INT)))"""
     )
     rows = rows.withColumn("_blocks", F.when(F.col("_cuts").isNotNull(), blocks)).withColumn("_bounds", bounds)
-    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mask))
-    out = rows.withColumn("text", text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    text = F.when(F.col("_cuts").isNull(), F.col("row.text")).otherwise(F.array_join(pieces, mask))
+    return unpacked(rows, docs, text)

@@ -25,6 +25,8 @@ BASE_RULES = ("short", "repetitive")
 
 #: A host goes when the shrunk share of its documents that fail some rule is above this.
 MAX_RATE = 0.9
+#: The prior weighs as much as so many documents at least, so that one or two damn no host.
+MIN_STRENGTH = 2.0
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
@@ -114,7 +116,7 @@ def host_verdicts(counts: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
         chance = p * (1 - p)
         between = (F.col(f"q_{name}") - n * p * p - (k - 1) * chance) / (n - n2 / n)
         fitted = (k > 1) & (n > n2 / n) & (chance > 0) & (between > 0)
-        priors += [p.alias(f"p_{name}"), F.when(fitted, F.greatest(chance / between - 1, F.lit(0.0))).alias(f"s_{name}")]
+        priors += [p.alias(f"p_{name}"), F.when(fitted, F.greatest(chance / between - 1, F.lit(MIN_STRENGTH))).alias(f"s_{name}")]
     judged = hosts.crossJoin(F.broadcast(total.select(*priors)))  # one row beside each host
     rates = [
         F.coalesce(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WHITE, lower_ascii, stored
+from gridloom.llm.common import WHITE, lower_ascii, packed, stored, unpacked
 
 #: Documents of a key that one sorted run may hold, so that a hot key spreads over tasks.
 RUN_DOCS = 8192
@@ -72,16 +72,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def with_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """The documents with their ``dropped`` words (NULL: every line stays).
+    """``(row, dropped)``: each document as a struct, with its words (NULL: every line stays).
 
-    The texts move once, to be matched by hash; they are not sorted. Columns of the documents
-    called ``th`` or ``dropped`` are replaced.
+    The texts move once, to be matched by hash; they are not sorted.
     """
-    marked = keep_bitmaps(docs, min_chars, min_docs)
-    docs = docs.drop("dropped").withColumn("th", F.xxhash64("text"))
-    marks = marked.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "dropped")
-    same = docs["doc_id"].eqNullSafe(marks["_doc"]) & (docs["th"] == marks["_th"])
-    return docs.join(marks.hint("shuffle_hash"), same, "left").drop("_doc", "_th", "th")
+    marks = keep_bitmaps(docs, min_chars, min_docs)
+    rows = packed(docs)
+    same = rows["id"].eqNullSafe(marks["doc_id"]) & (rows["hash"] == marks["th"])
+    return rows.join(marks.hint("shuffle_hash"), same, "left").select("row", "dropped")
 
 
 def kept_text(text: Column, dropped: Column) -> Column:
@@ -94,13 +92,9 @@ def kept_text(text: Column, dropped: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """The documents with frequent lines gone from ``text`` (``n_chars`` follows, if there)."""
-    columns = docs.columns
     marked = with_bitmaps(docs, min_chars, min_docs)
-    text = F.when(F.col("text").isNotNull(), kept_text(F.col("text"), F.col("dropped")))
-    out = marked.withColumn("text", text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    text = F.when(F.col("row.text").isNotNull(), kept_text(F.col("row.text"), F.col("dropped")))
+    return unpacked(marked, docs, text)
 
 
 def line_report(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -110,8 +104,8 @@ def line_report(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         F.aggregate("dropped", F.lit(0).cast("long"), lambda total, w: total + F.bit_count(w)), F.lit(0)
     )
     return marked.select(
-        "doc_id",
-        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        "row.doc_id",
+        F.size(F.split(F.coalesce("row.text", F.lit("")), "\n")).cast("long").alias("n_lines"),
         dropped.cast("long").alias("n_dropped"),
-        F.sha2(kept_text(F.col("text"), F.col("dropped")), 256).alias("kept_sha256"),
+        F.sha2(kept_text(F.col("row.text"), F.col("dropped")), 256).alias("kept_sha256"),
     )

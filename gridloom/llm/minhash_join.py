@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, settled, stored
+from gridloom.llm.common import components, packed, settled, stored, unpacked
 from gridloom.llm.shingles import fingerprint, mix, numbers, shingle_sets
 
 #: Coordinates of a signature, and how many must agree for a pair to be confirmed on full sets.
@@ -396,9 +396,10 @@ def one_of_each(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """
     stay = near_duplicates(docs, numerator).where("stays").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"))
     stay = settled(stay.distinct())
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    out = rows.join(stay.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(stay["_doc"]) & (rows["_hash"] == stay["_th"]))
+    rows = packed(docs)
+    same = rows["id"].eqNullSafe(stay["_doc"]) & (rows["hash"] == stay["_th"])
+    out = rows.join(stay.hint("shuffle_hash"), same).select("row", "id", "hash")
     repeated = docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():
-        out = out.dropDuplicates(["doc_id", "_hash"])
-    return out.select(*docs.columns)
+        out = out.dropDuplicates(["id", "hash"])
+    return unpacked(out, docs)

@@ -44,8 +44,8 @@ def _host_rules() -> str:
     )
     rates = ", ".join(
         f"CASE WHEN k > 1 AND p_{r} > 0 AND p_{r} < 1 AND b_{r} > 0 THEN"
-        f" (f_{r} + p_{r} * greatest(p_{r} * (1 - p_{r}) / b_{r} - 1, 0))"
-        f" / (n_docs + greatest(p_{r} * (1 - p_{r}) / b_{r} - 1, 0)) ELSE p_{r} END"
+        f" (f_{r} + p_{r} * greatest(p_{r} * (1 - p_{r}) / b_{r} - 1, 2))"
+        f" / (n_docs + greatest(p_{r} * (1 - p_{r}) / b_{r} - 1, 2)) ELSE p_{r} END"
         for r in _RULES
     )
     return f"""
