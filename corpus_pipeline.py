@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.llm import credentials, host_rules, line_dedup, minhash_join, packing
 from gridloom.llm.common import shared_dir, table
 
+#: Documents are near duplicates when their five-word shingles have this similarity, in hundredths, or more.
+NEAR = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -29,7 +32,7 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group."""
-    return minhash_join.one_of_each(docs)
+    return minhash_join.one_of_each(docs, NEAR)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +13,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import components, packed, settled, stored, unpacked
 from gridloom.llm.shingles import fingerprint, mix, numbers, shingle_sets
 
-#: Coordinates of a signature, and how many must agree for a pair to be confirmed on full sets.
-#: At similarity 0.85 the number that agree is binomial (64, 0.85); fewer than 38 has probability
-#: below one in a million.
-COORDINATES, MATCHES = 64, 38
+#: Coordinates of a signature, and how often a pair at the threshold may agree in fewer than ``matches_for`` asks.
+COORDINATES, MISSED = 64, 5e-7
 WIDTH, NUMERATOR = 5, 85
 
 #: Documents of one posting list that a task compares at once; longer lists go in pairs of blocks.
@@ -27,6 +26,22 @@ LONG = 32
 _A, _B = numbers(11, COORDINATES) | np.uint64(1), numbers(12, COORDINATES)
 
 
+def matches_for(numerator: int) -> int:
+    """How many coordinates must agree for a pair to be confirmed on full sets.
+
+    At similarity s the number that agree is binomial (64, s). The most that a pair at the
+    threshold falls short of with a probability of ``MISSED`` at most: 38 at 0.85, 34 at 0.80.
+    """
+    p, fewer = numerator / 100, 0.0
+    for m in range(COORDINATES + 1):
+        fewer += comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m)
+        if fewer > MISSED:
+            break
+    if not m:
+        raise ValueError(f"{COORDINATES} coordinates cannot find pairs at a similarity of {p}")
+    return m
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least value of each of the hash functions over the set."""
     out = np.full(COORDINATES, np.uint64(2**64 - 1))
@@ -324,7 +339,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int = MATCHES) -> DataFrame:
+def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int | None = None) -> DataFrame:
     """``(doc_id, th, n_shingles, component_id, kept, stays)`` per row; ``th`` is ``xxhash64`` of the text.
 
     1. Rows with equal sets of shingles form a class, so that copies are never paired.
@@ -338,8 +353,10 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int =
 
     ``component_id`` is the smallest ``doc_id`` that links reach (NULL ids are passed over);
     ``kept`` is ``doc_id = component_id``. ``stays`` differs where ids repeat: it holds for one
-    text of each group. Rows without words are linked with nothing.
+    text of each group. Rows without words are linked with nothing. ``matches`` follows the
+    numerator unless given.
     """
+    matches = matches_for(numerator) if matches is None else matches
     rows = stored(signed(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id()))
     classes = settled(
         rows.where("n_shingles > 0")

@@ -36,6 +36,22 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, block, long):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rows if r.kept)
 
 
+@pytest.mark.parametrize("numerator", [60, 80])
+def test_lower_thresholds_lose_no_pair(spark, numerator):
+    sets = {i: shingles(t) for i, t in enumerate(near_texts(5, n_groups=6))}
+    ids = [i for i in sets if sets[i]]
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[:k] if 100 * len(sets[a] & sets[b]) >= numerator * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(list(enumerate(near_texts(5, n_groups=6))), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(docs, numerator).collect()}
+    assert found == grouped(list(sets), links)
+
+
+def test_matches_follow_the_threshold():
+    assert [minhash_join.matches_for(n) for n in (60, 80, 85, 100)] == [19, 34, 38, 64]
+    with pytest.raises(ValueError):
+        minhash_join.matches_for(10)
+
+
 def test_repeated_and_missing_ids(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(7, text), (7, text), (7, "other words " * 20), (None, text), (3, None), (3, None), (None, "alone one two")]

@@ -7,8 +7,10 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from gridloom.llm import minhash_join
 from gridloom.llm.oracles import ORACLES
 from gridloom.llm.queries import QUERIES
+from tests.llm.helpers import shingles
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -58,6 +60,19 @@ def test_stages_take_effect(spark):
     assert corpus_pipeline.run.__name__ == contract.queries()["pipeline"].__name__
 
 
+def test_near_copies_between_the_thresholds_go(spark):
+    """A pair at 105 of 127 shingles, 0.827, is one document in the pipeline and two in op1."""
+    words = [f"w{i}" for i in range(120)]
+    near = ["first", *words[1:]]
+    near[40], near[80] = "changed", "too"
+    a, b = " ".join(words), " ".join(near)
+    both = shingles(a), shingles(b)
+    assert 0.82 < len(both[0] & both[1]) / len(both[0] | both[1]) < 0.83
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a.upper() + " and more of it")], "doc_id long, text string")
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, docs, None).collect()} == {1}
+    assert {r.doc_id for r in minhash_join.one_of_each(docs).collect()} == {1, 2}
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, name):
