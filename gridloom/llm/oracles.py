@@ -272,3 +272,22 @@ WITH RECURSIVE calls AS (
 )
 SELECT conv_id, turn, part, call_id, status, level, valid, sha256(line) AS line_sha256 FROM rows
 """
+
+ORACLES["op2_tool_chat_whole"] = f"""
+WITH loose AS (SELECT * FROM conversations WHERE conv_id IS NULL OR turn IS NULL)
+SELECT * FROM ({ORACLES["op2_tool_chat"]}) WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+UNION ALL
+SELECT conv_id, turn, 'call', NULL, 'open', NULL, coalesce(length(text) BETWEEN 1 AND 300 AND turn >= 0, false),
+       sha256('{{"arguments":{{' || concat_ws(',', '"question":' || CAST(to_json(text) AS VARCHAR), '"turn":' || turn)
+         || '}},"id":null,"name":"ask","type":"call"}}')
+FROM loose WHERE role = 'user'
+UNION ALL
+SELECT conv_id, turn, 'result', NULL, 'orphan', NULL, NULL,
+       sha256('{{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"id":null,"type":"result"}}')
+FROM loose WHERE role = 'assistant'
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, NULL, NULL,
+       sha256('{{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":'
+         || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"type":"message"}}')
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""

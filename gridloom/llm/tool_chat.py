@@ -118,8 +118,8 @@ def levels(calls: DataFrame) -> DataFrame:
     return done.union(along.select(*key, (F.col("level") + F.col("steps")).alias("level")))
 
 
-def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row ``(conv_id, turn, part, call_id, status, level, valid, line)`` per call and per result.
+def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messages: DataFrame | None = None) -> DataFrame:
+    """One row ``(conv_id, turn, part, call_id, status, level, valid, line)`` per call, result and message.
 
     ``calls`` has ``(conv_id, turn, call_id, name, arguments, needs)``, ``results`` has
     ``(conv_id, turn, call_id, content)``. An identifier belongs to its first call, by turn and
@@ -131,7 +131,8 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
 
     ``level`` is the place of a first call in topological order (NULL: never ready), its answer
     has the same. ``valid`` tells whether a call's arguments are JSON and fit the schema of its
-    tool; unknown tools do not. ``line`` is canonical JSON of the row.
+    tool; unknown tools do not. ``line`` is canonical JSON of the row. ``messages`` has ``(conv_id,
+    turn, role, text)`` of rows that are neither; they have a ``line`` only.
     """
     key = ["conv_id", "call_id"]
     calls = stored(calls.withColumn("row", F.monotonically_increasing_id()))
@@ -170,7 +171,13 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
         F.lit(None).cast("string").alias("name"),
         F.col("content").alias("body"),
     )
-    return _written(said.unionByName(got), schemas)
+    rows = said.unionByName(got)
+    if messages is not None:
+        none = {c: F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c in ("call_id", "status", "level")}
+        part = F.lit("message").alias("part")
+        rest = messages.select("conv_id", "turn", part, *none.values(), F.col("role").alias("name"), F.col("text").alias("body"))
+        rows = rows.unionByName(rest)
+    return _written(rows, schemas)
 
 
 def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -186,6 +193,9 @@ def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                     value, sound = parsed(body)
                     valid.append(sound and name in schemas and not faults(value, schemas[name]))
                     lines.append(canonical({"arguments": value, "id": call, "name": name, "type": part}))
+                elif part == "message":
+                    valid.append(None)
+                    lines.append(canonical({"content": body, "role": name, "type": part}))
                 else:
                     valid.append(None)
                     lines.append(canonical({"content": body, "id": call, "type": part}))
@@ -215,15 +225,16 @@ ASK = {
 }
 
 
-def as_tool_use(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Turns of ``(conv_id, turn, role, text)`` as calls and results.
+def as_chat(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Turns of ``(conv_id, turn, role, text)`` as calls, results and messages, each in one of them.
 
     A user's turn is a call of ``ask`` that needs the call two turns before; an assistant's
-    turn is the result of the call one turn before. Other roles are neither.
+    turn is the result of the call one turn before. Without conversation or turn they have no
+    identifier. Turns of other roles or of none are messages.
     """
-    name = lambda back: F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
-    turns = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    calls = turns.where("role = 'user'").select(
+    keyed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    name = lambda back: F.when(keyed, F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string")))
+    calls = conversations.where("role = 'user'").select(
         "conv_id",
         "turn",
         name(0).alias("call_id"),
@@ -231,5 +242,12 @@ def as_tool_use(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.to_json(F.struct(F.col("text").alias("question"), "turn")).alias("arguments"),
         F.when(F.col("turn") >= 2, F.array(name(2))).otherwise(F.array().cast("array<string>")).alias("needs"),
     )
-    results = turns.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
+    results = conversations.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
+    messages = conversations.where("role IS NULL OR role NOT IN ('user', 'assistant')").select("conv_id", "turn", "role", "text")
+    return calls, results, messages
+
+
+def as_tool_use(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The calls and results of ``as_chat`` that have a conversation and a turn, and nothing else."""
+    calls, results, _ = as_chat(conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL"))
     return calls, results

@@ -4,6 +4,9 @@ import json
 import random
 
 from gridloom.llm import tool_chat
+from gridloom.llm.oracles import ORACLES
+from gridloom.llm.queries import QUERIES
+from tests.oracle import compare, connect
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>, extra string"
 RESULTS = "conv_id long, turn long, call_id string, content string, status string"
@@ -90,6 +93,27 @@ def test_turns_as_tool_use(spark):
     assert [(out[t].status, out[t].level, out[t].valid) for t in (0, 1, 2)] == [("answered", 0, True), ("answer", 0, None), ("open", 1, False)]
 
 
+def test_every_turn_has_a_row(spark, tmp_path):
+    """Other roles, no role, no conversation and no turn; also against the SQL."""
+    rows = [
+        (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "system", 'say "é"'), (1, 3, "tool", None), (1, 4, None, "n"),
+        (None, 0, "user", "q"), (None, 1, "assistant", "a"), (2, None, "user", "q"), (2, None, "assistant", None), (None, None, "system", "s"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}).to_parquet(tmp_path / "conversations.parquet")
+    calls, results, messages = tool_chat.as_chat(df)
+    out = tool_chat.linked(calls, results, tool_chat.ASK, messages).collect()
+    assert len(out) == len(rows)
+    said = {(r.conv_id, r.turn, r.part): (r.call_id, r.status, r.level, r.valid, r.line) for r in out}
+    assert said[1, 2, "message"] == (None, None, None, None, '{"content":"say \\"é\\"","role":"system","type":"message"}')
+    assert said[1, 3, "message"][-1] == '{"content":null,"role":"tool","type":"message"}'
+    assert said[1, 4, "message"][-1] == '{"content":"n","role":null,"type":"message"}'
+    assert said[None, 0, "call"][:4] == (None, "open", None, True) and said[2, None, "call"][:4] == (None, "open", None, False)
+    assert said[None, 1, "result"][:3] == said[2, None, "result"][:3] == (None, "orphan", None)
+    name = "op2_tool_chat_whole"
+    assert compare(spark, connect(str(tmp_path)), name, QUERIES[name], ORACLES[name], str(tmp_path)) is None
+
+
 def test_levels_of_chains_and_joins(spark):
     """Against longest paths, over long chains, trees, joins, loops and gaps."""
     rng = random.Random(9)
