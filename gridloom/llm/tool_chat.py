@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -24,35 +25,154 @@ _TYPES = {
 }
 
 
-def faults(value: Any, schema: dict, at: str = "$") -> list[str]:
-    """What in a value goes against a schema of type, enum, bounds, lengths, items and properties."""
-    kind = schema.get("type")
-    if kind and not _TYPES[kind](value):
-        return [f"{at}: not {kind}"]
-    out = []
-    if "enum" in schema and value not in schema["enum"]:
+#: Keywords that say nothing about a value, and those that are checked.
+_NOTES = {"title", "description", "default", "examples", "$comment", "$schema", "$defs", "definitions"}
+_LISTS, _SINGLE = ("allOf", "anyOf", "oneOf"), ("items", "additionalProperties", "not")
+_COUNTS = ("minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties")
+_BOUNDS = ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum")
+_CHECKED = {"type", "enum", "const", "pattern", "uniqueItems", "properties", "required", "$ref", *_LISTS, *_SINGLE, *_COUNTS, *_BOUNDS}
+
+
+def _number(value: Any) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, bool)
+
+
+def checked(schema: Any, root: Any = None, at: str = "$") -> None:
+    """Raise ``ValueError`` unless all keywords of the schema are known and well-formed.
+
+    ``$ref`` may name a place in ``$defs`` or ``definitions`` of the same schema; those are
+    checked once, from the top.
+    """
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: not a schema")
+    top = root is None
+    root = schema if top else root
+    if unknown := sorted(set(schema) - _NOTES - _CHECKED):
+        raise ValueError(f"{at}: unknown keywords {unknown}")
+    kinds = schema.get("type", [])
+    good = all(isinstance(k, str) and k in _TYPES for k in (kinds if isinstance(kinds, list) else [kinds]))
+    good &= all(isinstance(schema.get(k, 0), int) and schema.get(k, 0) >= 0 for k in _COUNTS)
+    good &= all(_number(schema.get(k, 0)) for k in _BOUNDS)
+    good &= isinstance(schema.get("enum", []), list) and isinstance(schema.get("uniqueItems", True), bool)
+    good &= isinstance(schema.get("required", []), list) and isinstance(schema.get("properties", {}), dict)
+    good &= all(isinstance(schema.get(k, []), list) for k in _LISTS) and isinstance(schema.get("pattern", ""), str)
+    if not good:
+        raise ValueError(f"{at}: a keyword has a value that it cannot have")
+    try:
+        re.compile(_ended(schema.get("pattern", "")))
+    except re.error as wrong:
+        raise ValueError(f"{at}: pattern {wrong}") from wrong
+    if "$ref" in schema:
+        ref = schema["$ref"]
+        _in_place(_referred(ref, root), root, (ref,))
+    for k in _LISTS:
+        for n, part in enumerate(schema.get(k, [])):
+            checked(part, root, f"{at}.{k}[{n}]")
+    for k in _SINGLE:
+        if k in schema:
+            checked(schema[k], root, f"{at}.{k}")
+    for name, part in schema.get("properties", {}).items():
+        checked(part, root, f"{at}.{name}")
+    if top:
+        for k in ("$defs", "definitions"):
+            for name, part in schema.get(k, {}).items():
+                checked(part, root, f"{at}.{k}.{name}")
+
+
+def _in_place(schema: Any, root: dict, through: tuple[str, ...]) -> None:
+    """Raise ``ValueError`` if a reference comes back to itself without a step into the value."""
+    if not isinstance(schema, dict):
+        return
+    if "$ref" in schema:
+        ref = schema["$ref"]
+        if ref in through:
+            raise ValueError(f"{ref} leads to itself")
+        _in_place(_referred(ref, root), root, (*through, ref))
+    for part in [*(p for k in _LISTS for p in schema.get(k, [])), schema.get("not")]:
+        _in_place(part, root, through)
+
+
+def _referred(ref: Any, root: dict) -> Any:
+    parts = ref.split("/") if isinstance(ref, str) else []
+    if len(parts) == 3 and parts[0] == "#" and parts[1] in ("$defs", "definitions") and parts[2] in root.get(parts[1], {}):
+        return root[parts[1]][parts[2]]
+    raise ValueError(f"unknown reference {ref!r}")
+
+
+def _ended(pattern: str) -> str:
+    """The pattern with ``$`` as the very end, not the place before a last line break."""
+    return re.sub(r"\\.|\[(?:\\.|[^\]\\])*\]|\$", lambda m: r"\Z" if m[0] == "$" else m[0], pattern)
+
+
+def _same(value: Any) -> Any:
+    """What equal JSON values share: 1 is 1.0 but not true."""
+    if isinstance(value, dict):
+        return "object", frozenset((k, _same(v)) for k, v in value.items())
+    if isinstance(value, list):
+        return "array", tuple(map(_same, value))
+    return isinstance(value, bool), value
+
+
+def faults(value: Any, schema: Any, at: str = "$", root: Any = None) -> list[str]:
+    """What in a value goes against a schema whose keywords are those that ``checked`` lets pass."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
+    root = schema if root is None else root
+    kinds = schema.get("type", [])
+    kinds = kinds if isinstance(kinds, list) else [kinds]
+    if kinds and not any(_TYPES[kind](value) for kind in kinds):
+        return [f"{at}: not {' or '.join(kinds)}"]
+    out = faults(value, _referred(schema["$ref"], root), at, root) if "$ref" in schema else []
+    if "enum" in schema and _same(value) not in map(_same, schema["enum"]):
         out.append(f"{at}: not in enum")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
+    if "const" in schema and _same(value) != _same(schema["const"]):
+        out.append(f"{at}: not the constant")
+    for part in schema.get("allOf", []):
+        out += faults(value, part, at, root)
+    if "anyOf" in schema and all(faults(value, part, at, root) for part in schema["anyOf"]):
+        out.append(f"{at}: fits none")
+    if "oneOf" in schema and sum(not faults(value, part, at, root) for part in schema["oneOf"]) != 1:
+        out.append(f"{at}: does not fit exactly one")
+    if "not" in schema and not faults(value, schema["not"], at, root):
+        out.append(f"{at}: fits what it must not")
+    if _number(value):
         if value < schema.get("minimum", value):
             out.append(f"{at}: below minimum")
         if value > schema.get("maximum", value):
             out.append(f"{at}: above maximum")
+        if "exclusiveMinimum" in schema and not value > schema["exclusiveMinimum"]:
+            out.append(f"{at}: not above minimum")
+        if "exclusiveMaximum" in schema and not value < schema["exclusiveMaximum"]:
+            out.append(f"{at}: not below maximum")
     if isinstance(value, str):
         if len(value) < schema.get("minLength", 0):
             out.append(f"{at}: too short")
         if len(value) > schema.get("maxLength", len(value)):
             out.append(f"{at}: too long")
-    if isinstance(value, list) and "items" in schema:
-        for i, item in enumerate(value):
-            out += faults(item, schema["items"], f"{at}[{i}]")
+        if not re.search(_ended(schema.get("pattern", "")), value):
+            out.append(f"{at}: not of the pattern")
+    if isinstance(value, list):
+        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", len(value)):
+            out.append(f"{at}: number of items")
+        if schema.get("uniqueItems") and len(set(map(_same, value))) < len(value):
+            out.append(f"{at}: repeated items")
+        for i, item in enumerate(value if "items" in schema else []):
+            out += faults(item, schema["items"], f"{at}[{i}]", root)
     if isinstance(value, dict):
+        if not schema.get("minProperties", 0) <= len(value) <= schema.get("maxProperties", len(value)):
+            out.append(f"{at}: number of properties")
         known = schema.get("properties", {})
         out += [f"{at}.{name}: missing" for name in schema.get("required", []) if name not in value]
+        more = schema.get("additionalProperties", True)
         for name, item in sorted(value.items()):
             if name in known:
-                out += faults(item, known[name], f"{at}.{name}")
-            elif schema.get("additionalProperties", True) is False:
+                out += faults(item, known[name], f"{at}.{name}", root)
+            elif more is False:
                 out.append(f"{at}.{name}: unknown")
+            else:
+                out += faults(item, more, f"{at}.{name}", root)
     return out
 
 
@@ -134,6 +254,8 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messa
     tool; unknown tools do not. ``line`` is canonical JSON of the row. ``messages`` has ``(conv_id,
     turn, role, text)`` of rows that are neither; they have a ``line`` only.
     """
+    for schema in schemas.values():
+        checked(schema)
     key = ["conv_id", "call_id"]
     calls = stored(calls.withColumn("row", F.monotonically_increasing_id()))
     results = stored(results.withColumn("row", F.monotonically_increasing_id()))

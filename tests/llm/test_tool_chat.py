@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 from gridloom.llm import tool_chat
 from gridloom.llm.oracles import ORACLES
 from gridloom.llm.queries import QUERIES
@@ -81,6 +83,40 @@ def test_faults():
     assert tool_chat.faults([], SCHEMAS["add"]) == ["$: not object"]
 
 
+@pytest.mark.parametrize(
+    "schema, good, bad",
+    [
+        ({"type": ["string", "null"]}, [None, "a"], [1]),
+        ({"const": 1}, [1, 1.0], [True, 2]),
+        ({"enum": [1, [True]]}, [1, [True]], [True, [1]]),
+        ({"pattern": "^a+$"}, ["aa", 3], ["ab", "a\n"]),
+        ({"exclusiveMinimum": 0, "exclusiveMaximum": 2}, [1], [0, 2]),
+        ({"minItems": 1, "maxItems": 2, "uniqueItems": True}, [[1, True]], [[], [1, 1.0], [1, 2, 3]]),
+        ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ["a", 3], [2]),
+        ({"oneOf": [{"minimum": 3}, {"maximum": 5}]}, [2, 6], [4]),
+        ({"allOf": [{"minimum": 3}], "not": {"const": 4}}, [3], [2, 4]),
+        ({"additionalProperties": {"type": "integer"}, "maxProperties": 1}, [{"a": 1}], [{"a": "b"}, {"a": 1, "b": 2}]),
+        ({"$ref": "#/$defs/n", "$defs": {"n": {"properties": {"n": {"$ref": "#/$defs/n"}}, "type": "object"}}}, [{"n": {}}], [{"n": {"n": 1}}]),
+    ],
+)
+def test_keywords(schema, good, bad):
+    tool_chat.checked(schema)
+    assert [v for v in good if tool_chat.faults(v, schema)] == []
+    assert [v for v in bad if not tool_chat.faults(v, schema)] == []
+
+
+@pytest.mark.parametrize(
+    "schema",
+    [
+        {"format": "date"}, {"items": {"if": {}}}, {"type": "text"}, {"pattern": "("}, {"$ref": "other.json"}, {"minItems": "1"},
+        {"$ref": "#/$defs/a", "$defs": {"a": {"anyOf": [{"$ref": "#/$defs/a"}]}}},
+    ],
+)
+def test_unknown_keywords_are_refused_before_the_job(schema):
+    with pytest.raises(ValueError):
+        tool_chat.linked(None, None, {"tool": schema})
+
+
 def test_empty(spark):
     none = tool_chat.linked(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), SCHEMAS)
     assert none.collect() == []
