@@ -291,3 +291,22 @@ SELECT conv_id, turn, 'message', NULL, NULL, NULL, NULL,
          || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"type":"message"}}')
 FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
+
+#: Holds where the traversal visits all rows, as it does up to ``multi_index.LEAST`` of them.
+ORACLES["op11_multi_index"] = """
+WITH sound AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM (SELECT * FROM sound WHERE vec_id % 100 = 0) q
+  JOIN sound c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

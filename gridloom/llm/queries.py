@@ -15,6 +15,7 @@ from gridloom.llm import (
     language,
     line_dedup,
     minhash_join,
+    multi_index,
     packing,
     pieces,
     tool_chat,
@@ -97,3 +98,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
