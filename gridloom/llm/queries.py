@@ -17,6 +17,7 @@ from gridloom.llm import (
     minhash_join,
     multi_index,
     packing,
+    periodic_runs,
     pieces,
     tool_chat,
 )
@@ -103,3 +104,9 @@ def op10_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts are damaged by the checksum of their ids, so that there are runs to be found."""
+    return periodic_runs.detect(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")))
