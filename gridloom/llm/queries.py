@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import (
+    conversation_repair,
     credentials,
     cross_polytope,
     host_rules,
@@ -110,3 +111,8 @@ def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts are damaged by the checksum of their ids, so that there are runs to be found."""
     return periodic_runs.detect(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
