@@ -10,6 +10,7 @@ from .errors import (
     StacCatalogError,
     StacLoadError,
     StacResolutionError,
+    WriteConflictError,
 )
 from .model import CatalogKeys, DatasetMetadata, DatasetRequest
-from .sources.cells import CellStore, CellTable, read_cells, write_cells
+from .sources.cells import CellStore, CellTable, read_cells, vacuum, write_cells

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -41,6 +42,26 @@ def read_bounds(bounds, options=None) -> tuple[float, float, float, float, dict]
     return west, south, east, north, dict(options or {})
 
 
+@dataclass(frozen=True)
+class Narrowing:
+    """Selections on stored cells: ``within`` opens the files that meet all ``conditions``, and
+    ``steps`` are the selections themselves, made again on what it gives."""
+
+    within: Callable[[list], DataFrame]
+    conditions: tuple = ()
+    steps: tuple[Callable[[DataFrame], DataFrame], ...] = ()
+
+    def then(self, step: Callable[[DataFrame], DataFrame], alternatives: list[dict] | None) -> Narrowing:
+        more = (alternatives,) if alternatives else ()
+        return Narrowing(self.within, (*self.conditions, *more), (*self.steps, step))
+
+    def cells(self) -> DataFrame:
+        found = self.within(list(self.conditions))
+        for step in self.steps:
+            found = step(found)
+        return found
+
+
 @dataclass(frozen=True)
 class GridDataset:
     """Lazy selections on cells; every selection returns a new dataset.
@@ -49,7 +70,9 @@ class GridDataset:
     small job per selection. ``axes`` maps a dimension to a table of its
     values; it is kept only by selections that leave those axes valid. Stored
     ``cells`` may carry the directory of the UTC year of ``year_of`` along, so that
-    time ranges prune; ``df`` is without it.
+    time ranges prune; ``df`` is without it. ``narrowing`` has the files of stored cells chosen by
+    their zones: a box, circle, exact point or time range then opens the files that meet it and
+    all selections before it, after a small job over the store's file table.
     """
 
     cells: DataFrame
@@ -58,6 +81,7 @@ class GridDataset:
     strict: bool = False
     axes: dict[str, DataFrame] = field(default_factory=dict)
     year_of: str | None = None
+    narrowing: Narrowing | None = None
     _settled: dict = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __post_init__(self):
@@ -79,6 +103,13 @@ class GridDataset:
         }
         return GridDataset(cells, **{**values, **changes})
 
+    def _selected(self, step: Callable[[DataFrame], DataFrame], alternatives: list[dict] | None = None, **changes) -> GridDataset:
+        """The dataset after a selection of rows, from the files that can hold any."""
+        if self.narrowing is None:
+            return self._with(step(self.cells), **changes)
+        after = self.narrowing.then(step, alternatives)
+        return self._with(after.cells() if alternatives else step(self.cells), narrowing=after, **changes)
+
     # -- introspection ------------------------------------------------------
 
     @property
@@ -116,6 +147,10 @@ class GridDataset:
     def is_dataset_empty(self) -> bool:
         return introspect.is_dataset_empty(self.df, self.dims)
 
+    def emptiness(self, wanted: DataFrame, keys: list[str]) -> DataFrame:
+        """The rows of a table of selections, by values of ``keys``, with whether each is empty."""
+        return introspect.emptiness(self.df, self.dims, keys, wanted)
+
     def ensure_has_data(self) -> GridDataset:
         if self.is_empty():
             raise NoDataFoundError("The selection holds no cells.")
@@ -148,12 +183,19 @@ class GridDataset:
         lon = longitude_key or self.infer_coord(LONGITUDE_KEYS)
         if not lat or not lon:
             raise InvalidSelectionError("No latitude and longitude columns among the dimensions.")
+        kept = {d: t for d, t in self.axes.items() if d not in (lat, lon)}
         if method == "exact":
-            df = selection.point_exact(self.cells, latitude, longitude, lat, lon)
+            picked = self._selected(
+                lambda cells: selection.point_exact(cells, latitude, longitude, lat, lon),
+                [{lat: (latitude, latitude), lon: (longitude, longitude)}],
+                axes=kept,
+            )
         else:
-            df = selection.point_nearest(self.cells, latitude, longitude, lat, lon, tolerance, self.axes)
-        kept = {d: t for d, t in self.axes.items() if d not in (lat, lon)}
-        picked = self._with(df, axes=kept)
+            # The nearest values are those of all cells of the dataset, not of the files that others left.
+            known = {**{d: self.df for d in (lat, lon) if d in self.df.columns}, **self.axes}
+            picked = self._selected(
+                lambda cells: selection.point_nearest(cells, latitude, longitude, lat, lon, tolerance, known), axes=kept
+            )
         return picked.ensure_has_data() if self.strict else picked
 
     def points(
@@ -214,10 +256,15 @@ class GridDataset:
     ) -> GridDataset:
         """Cells within a radius; ``masked`` keeps the sub-grid around them
         with the values outside set to NULL."""
-        args = (self.cells, center_lat, center_lon, radius_km, latitude_key, longitude_key)
-        if masked:
-            return self._with(selection.circle_masked(*args, variables=self.variables))
-        return self._with(selection.circle(*args))
+        args = (center_lat, center_lon, radius_km, latitude_key, longitude_key)
+        selection.check_circle(self.cells, *args)
+        zones = selection.circle_zones(*args)
+        if not masked:
+            return self._selected(lambda cells: selection.circle(cells, *args), zones)
+        variables = self.variables
+        found = self._selected(lambda cells: selection.circle_masked(cells, *args, variables=variables), zones)
+        # The lines that stay follow from all cells here: no later selection may take files away.
+        return self._with(found.cells)
 
     def rectangle(
         self,
@@ -228,14 +275,20 @@ class GridDataset:
         latitude_key: str = "latitude",
         longitude_key: str = "longitude",
     ) -> GridDataset:
-        df = selection.rectangle(self.cells, min_lat, min_lon, max_lat, max_lon, latitude_key, longitude_key)
+        sides = (min_lat, min_lon, max_lat, max_lon, latitude_key, longitude_key)
+        selection.check_rectangle(self.cells, *sides)
         if self.strict:
             selection.check_axis_ranges(self.df, latitude_key, longitude_key, self.axes)
-        return self._with(df)
+        return self._selected(
+            lambda cells: selection.rectangle(cells, *sides),
+            [{latitude_key: (min_lat, max_lat), longitude_key: (min_lon, max_lon)}],
+        )
 
     def time_range(self, start, end, dimension: str = "time") -> GridDataset:
-        df = selection.time_range(self.cells, start, end, dimension, self.dims, self.year_of)
-        kept = self._with(df)
+        kept = self._selected(
+            lambda cells: selection.time_range(cells, start, end, dimension, self.dims, self.year_of),
+            selection.time_zones(self.cells, start, end, dimension, self.dims),
+        )
         if self.strict and kept.is_empty():
             raise InvalidSelectionError(f"No data between {start} and {end}.")
         return kept

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .dataset import GridDataset
+from .dataset import GridDataset, Narrowing
 from .errors import DatasetNotFoundError, StacResolutionError
 from .model import CatalogKeys, DatasetMetadata, DatasetRequest, normalize_name
 from .operators.concat import (
@@ -155,7 +155,8 @@ class GridEngine:
 
     def _open(self, cid: str, metadata: DatasetMetadata) -> GridDataset:
         opened = self.store.open(cid)
-        return GridDataset(opened.cells, metadata, opened.dims, self.strict, opened.axes, opened.year_of)
+        narrowing = Narrowing(opened.within) if opened.within else None
+        return GridDataset(opened.cells, metadata, opened.dims, self.strict, opened.axes, opened.year_of, narrowing)
 
     def load_dataset(self, request: DatasetRequest, auto_concatenate: bool = False) -> GridDataset:
         """Dataset of one request: by content id, or through the catalog.
@@ -237,14 +238,14 @@ class GridEngine:
         return after_cutoff(self._join_cells(chosen), dimension).drop("cutoff")
 
     def _join_cells(self, chosen: DataFrame) -> DataFrame:
-        """Cells of every chosen ``cid``; partitions of others are not read.
+        """Cells of every chosen ``cid``; files of others are not opened.
 
-        The choice is settled first, as it is both counted and joined. An
+        The choice is settled first, as it is looked up, counted and joined. An
         empty id names no dataset, and the predicate saying so is also what
         makes the join prune partitions at run time.
         """
-        cells = self.store.table()
         chosen = settle(chosen).where(F.col("cid") > "")
+        cells = self.store.table(chosen)
         return cells.join(F.broadcast(chosen) if fits(chosen, BROADCAST_ROWS) else chosen, "cid")
 
     def load_many(self, requests: DataFrame) -> DataFrame:

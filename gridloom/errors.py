@@ -21,6 +21,10 @@ class NoDataFoundError(GridloomError):
     """The selection is valid but holds no cells."""
 
 
+class WriteConflictError(GridloomError, ValueError):
+    """Another write of the same datasets was finished first."""
+
+
 class StacCatalogError(GridloomError):
     """Base class of catalog failures."""
 

@@ -14,4 +14,4 @@ from .text import (
     variant_by_prefix,
     variant_by_split,
 )
-from .timing import coerce_time, normalize_time_range, to_comparable, within_time
+from .timing import coerce_time, normalize_time_range, normalized_time_range, to_comparable, within_time

@@ -33,6 +33,10 @@ def _epoch_ms(instant: datetime) -> float:
     return (instant - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(milliseconds=1)
 
 
+def epoch_micros(instant: datetime) -> int:
+    return (instant - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 def coerce_bound(value, dtype: T.DataType):
     """Bound as a Python value of the kind the time column holds."""
     if isinstance(dtype, T.NumericType):
@@ -103,3 +107,20 @@ def coerce_time(column: Column, target: str) -> Column:
     if target == "timestamp":
         return instant.cast("timestamp_ntz")
     return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def normalized_time_range(start: Column, end: Column, target: str) -> Column:
+    """Column form of ``normalize_time_range``: a struct of ``first`` and ``last``.
+
+    ``target`` is what the time column holds, as in ``coerce_time``. Bounds that cannot be read as
+    that leave both ends NULL. Where it holds ``text``, the bounds stay as they are spelt, and only
+    those that are instants in falling order change places, as normalised ISO text.
+    """
+    low, high = coerce_time(start, target), coerce_time(end, target)
+    if target == "text":
+        falls = F.coalesce(F.try_to_timestamp(start) > F.try_to_timestamp(end), F.lit(False))
+        return F.struct(
+            F.when(falls, high).otherwise(start).alias("first"), F.when(falls, low).otherwise(end).alias("last")
+        )
+    read = low.isNotNull() & high.isNotNull()
+    return F.struct(F.when(read, F.least(low, high)).alias("first"), F.when(read, F.greatest(low, high)).alias("last"))

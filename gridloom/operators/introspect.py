@@ -42,6 +42,25 @@ def is_dataset_empty(df: DataFrame, dims) -> bool:
     return not variables(df, dims) or df.isEmpty()
 
 
+def emptiness(df: DataFrame, dims, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` with ``is_empty``: whether the table has no cells with these values
+    of ``keys``, and ``is_dataset_empty``: or no variables.
+
+    One grouped existence test for any number of selections: the cells are reduced to their
+    distinct keys where they lie, and one join marks the rows. NULL keys name no cells.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    held = df.select(*(F.col(k).alias(n) for k, n in names.items())).distinct()
+    rows = wanted.select(F.struct(*(F.col(f"`{c}`") for c in wanted.columns)).alias("row"), *(F.col(k).alias(n) for k, n in names.items()))
+    marked = rows.join(held.withColumn("_here", F.lit(True)), list(names.values()), "left")
+    empty = F.col("_here").isNull()
+    return marked.select(
+        *(F.col("row").getField(c).alias(c) for c in wanted.columns),
+        empty.alias("is_empty"),
+        (empty | F.lit(not variables(df, dims))).alias("is_dataset_empty"),
+    )
+
+
 def as_text(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")

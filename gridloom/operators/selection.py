@@ -8,6 +8,8 @@ scan, and they accept streaming tables as well.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 from operator import or_
 
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidSelectionError
 from ..functions.geo import EARTH_RADIUS_KM, haversine_km
-from ..functions.timing import normalize_time_range, within_time
+from ..functions.timing import epoch_micros, normalize_time_range, within_time
 from ..model import TIME_KEYS, YEAR_PARTITION, infer_coord
 from ..plans.nearest import nearest_value
 
@@ -59,15 +61,19 @@ def point_nearest(
     return df.where((F.col(latitude) == at_lat) & (F.col(longitude) == at_lon))
 
 
-def rectangle(
-    df, min_lat, min_lon, max_lat, max_lon, latitude="latitude", longitude="longitude"
-) -> DataFrame:
-    """Cells inside the box, all four sides included."""
+def check_rectangle(df, min_lat, min_lon, max_lat, max_lon, latitude="latitude", longitude="longitude") -> None:
     if not min_lat < max_lat:
         raise InvalidSelectionError(f"South edge {min_lat} must lie below north edge {max_lat}.")
     if not min_lon < max_lon:
         raise InvalidSelectionError(f"West edge {min_lon} must lie below east edge {max_lon}.")
     require_coords(df, latitude, longitude)
+
+
+def rectangle(
+    df, min_lat, min_lon, max_lat, max_lon, latitude="latitude", longitude="longitude"
+) -> DataFrame:
+    """Cells inside the box, all four sides included."""
+    check_rectangle(df, min_lat, min_lon, max_lat, max_lon, latitude, longitude)
     return df.where(
         F.col(latitude).between(float(min_lat), float(max_lat))
         & F.col(longitude).between(float(min_lon), float(max_lon))
@@ -118,21 +124,111 @@ def circle_box(lat: Column, lon: Column, center_lat: float, center_lon: float, r
     return box | odd_latitude if abs(center_lat) <= 90 else F.lit(True)
 
 
-def _within(df, center_lat, center_lon, radius_km, latitude, longitude) -> tuple[Column, Column]:
+def circle_zones(center_lat, center_lon, radius_km, latitude="latitude", longitude="longitude") -> list[dict]:
+    """The circle's box as alternatives of bounds, for files of which only the extremes are known."""
+    if abs(center_lat) > 90:
+        return []
+    reach = radius_km / EARTH_RADIUS_KM
+    dlat = math.degrees(reach) + BOX_MARGIN
+    band = (center_lat - dlat, center_lat + dlat)
+    odd = [{latitude: (None, math.nextafter(-90.0, -180.0))}, {latitude: (math.nextafter(90.0, 180.0), None)}]
+    if abs(center_lat) + dlat >= 90 or reach >= math.pi / 2:
+        return [{latitude: band}, *odd]
+    dlon = math.degrees(math.asin(min(1.0, math.sin(reach) / math.cos(math.radians(center_lat))))) + BOX_MARGIN
+    base = math.remainder(center_lon, 360.0)
+    images = [(base + turn - dlon, base + turn + dlon) for turn in (-360.0, 0.0, 360.0)]
+    return [*({latitude: band, longitude: i} for i in (*images, (None, -360.0), (360.0, None))), *odd]
+
+
+# Bands of latitude that a circle is cut into.
+BANDS = 64
+
+
+@dataclass(frozen=True)
+class BandCover:
+    """Bands of latitude across a circle, lowest first, each with two half widths in degrees.
+
+    Cells no further from the centre's meridian than ``inner`` are in the circle, those
+    further than ``outer`` are not; only between the two does a distance decide.
+    """
+
+    low: float
+    height: float
+    inner: tuple[float, ...]
+    outer: tuple[float, ...]
+
+
+def half_width(lat: float, center_lat: float, reach: float) -> float:
+    """Degrees of longitude from the centre's meridian to the circle's edge at a latitude (radians);
+    -1 where the circle does not come to it, 180 where it goes all round."""
+    left = math.sin(reach / 2) ** 2 - math.sin((lat - center_lat) / 2) ** 2
+    if left < 0:
+        return -1.0
+    narrow = math.cos(lat) * math.cos(center_lat)
+    if left >= narrow:
+        return 180.0
+    return math.degrees(2 * math.asin(math.sqrt(left / narrow)))
+
+
+def band_cover(center_lat: float, radius_km: float, bands: int = BANDS) -> BandCover | None:
+    """None where the widths do not rise to one peak and fall again: then all distances decide."""
+    reach = radius_km / EARTH_RADIUS_KM
+    if abs(center_lat) > 90 or reach >= math.pi / 2:
+        return None
+    margin = math.degrees(reach) + BOX_MARGIN
+    low, high = max(-90.0, center_lat - margin), min(90.0, center_lat + margin)
+    height = (high - low) / bands
+    center = math.radians(center_lat)
+    peak_sine = math.sin(center) / math.cos(reach)
+    peak = math.asin(peak_sine) if abs(peak_sine) <= 1 else None
+    inner, outer = [], []
+    for k in range(bands):
+        # A little more than the band, as rounding may put a cell into the one beside it.
+        edges = [math.radians(max(-90.0, low + k * height - BOX_MARGIN)), math.radians(min(90.0, low + (k + 1) * height + BOX_MARGIN))]
+        widths = [half_width(e, center, reach) for e in edges]
+        top = [half_width(peak, center, reach)] if peak is not None and edges[0] < peak < edges[1] else []
+        # Close to the meridian a distance hardly changes with longitude, so it decides there.
+        sure = min(widths) - BOX_MARGIN
+        inner.append(181.0 if sure >= 180 - 2 * BOX_MARGIN else sure if sure > 1e-3 else -1.0)
+        widest = max(*widths, *top)
+        # The circle's end may lie within the first and last band, where both edges are outside.
+        touches = edges[0] - 1e-9 <= center + reach <= edges[1] + 1e-9 or edges[0] - 1e-9 <= center - reach <= edges[1] + 1e-9
+        outer.append(widest + BOX_MARGIN if widest >= 0 else 181.0 if touches else -1.0)
+    return BandCover(low, height, tuple(inner), tuple(outer))
+
+
+def check_circle(df, center_lat, center_lon, radius_km, latitude="latitude", longitude="longitude") -> None:
     if not radius_km > 0:
         raise InvalidSelectionError("A circle needs a radius above zero.")
     finite(center_lat, center_lon, radius_km)
     require_coords(df, latitude, longitude)
+
+
+def _within(df, center_lat, center_lon, radius_km, latitude, longitude) -> tuple[Column, Column]:
+    """A predicate for the scan, and the exact one, which computes distances at the edge only."""
+    check_circle(df, center_lat, center_lon, radius_km, latitude, longitude)
     lat, lon = F.col(latitude), F.col(longitude)
     distance = haversine_km(center_lat, center_lon, lat, lon)
     inside = (distance <= F.lit(float(radius_km))) & ~F.isnan(distance)
-    return circle_box(lat, lon, center_lat, center_lon, radius_km), inside
+    cover = band_cover(center_lat, radius_km)
+    if cover is not None:
+        at = F.least(F.floor((lat - cover.low) / cover.height).cast("int"), F.lit(len(cover.inner) - 1))
+        width = lambda widths: F.get(F.array(*map(F.lit, widths)), at)
+        off = lon - F.lit(float(center_lon))
+        off = F.abs(off - 360.0 * F.rint(off / 360.0))
+        in_bands = (lat >= cover.low) & ((off <= width(cover.inner)) | ((off <= width(cover.outer)) & inside))
+        inside = F.when(lat.between(-90.0, 90.0), in_bands).otherwise(inside)
+    return circle_box(lat, lon, center_lat, center_lon, radius_km), F.coalesce(inside, F.lit(False))
 
 
 def circle(
     df, center_lat, center_lon, radius_km, latitude="latitude", longitude="longitude"
 ) -> DataFrame:
-    """Cells whose great-circle distance to the centre is within the radius."""
+    """Cells whose great-circle distance to the centre is within the radius.
+
+    Bands of latitude tell most cells to be in or out by their longitude alone; a distance is
+    computed for those at the edge.
+    """
     box, inside = _within(df, center_lat, center_lon, radius_km, latitude, longitude)
     return df.where(box & inside)
 
@@ -149,7 +245,9 @@ def circle_masked(
     """The smallest sub-grid around a circle, with cells outside set to NULL.
 
     A latitude (longitude) stays when any of its cells inside the circle has a
-    value in the first of ``variables``.
+    value in the first of ``variables``. One pass over three columns finds the places
+    that have one, at most one row for each; both sets of lines come from it. The
+    second pass reads the cells of the box.
     """
     if not variables:
         raise InvalidSelectionError("A masked circle needs at least one variable.")
@@ -158,14 +256,13 @@ def circle_masked(
     present = first.isNotNull()
     if isinstance(df.schema[variables[0]].dataType, (T.DoubleType, T.FloatType)):
         present = present & ~F.isnan(first)
-    hits = df.where(box & inside & present)
-    kept = df
-    for dim in (latitude, longitude):
-        # The extremes reach the scan as values; the lines between them are a semi join.
-        low, high = hits.agg(F.min(dim)).scalar(), hits.agg(F.max(dim)).scalar()
-        kept = kept.where((F.col(dim) >= low) & (F.col(dim) <= high))
+    # The count, and the conditions that either join would add, keep the places one table for both
+    # sets of lines, so that they share one pass.
+    known = F.col(latitude).isNotNull() & F.col(longitude).isNotNull()
+    places = df.where(box & inside & present & known).groupBy(latitude, longitude).agg(F.count("*").alias("_n")).where("_n > 0")
+    kept = df.where(box)
     for dim in (latitude, longitude):
-        kept = kept.join(hits.select(dim).distinct(), dim, "left_semi")
+        kept = kept.join(places.select(dim).distinct(), dim, "left_semi")
     return kept.select(
         *[
             F.when(inside, F.col(c)).alias(c, metadata=df.schema[c].metadata) if c in variables else F.col(c)
@@ -182,6 +279,19 @@ def time_key(columns, dimension: str | None = "time") -> str:
     return key
 
 
+def time_zones(df, start, end, dimension="time", dims=None) -> list[dict] | None:
+    """Bounds that files of the time range meet, as zone numbers (microseconds for instants and
+    dates); None where the column is text, which has no zones."""
+    key = time_key(dims or df.columns, dimension)
+    dtype = df.schema[key].dataType
+    if isinstance(dtype, T.StringType):
+        return None
+    first, last = normalize_time_range(start, end, dtype)
+    if isinstance(first, datetime):
+        first, last = (epoch_micros(x) for x in (first, last))
+    return [{key: (first, last)}]
+
+
 def time_range(df, start, end, dimension="time", dims=None, year_of=None) -> DataFrame:
     """Cells between two instants, both included, in either order.
 

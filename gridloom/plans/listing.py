@@ -163,17 +163,25 @@ def available_datasets(items: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _same_key(left: Column, right: Column) -> Column:
+    """Keys of two listings are equal; the variant of a dataset without items is NULL on both sides."""
+    same = F.lit(True)
+    for name in KEY:
+        same = same & left[name].eqNullSafe(right[name])
+    return same
+
+
 def catalog_parity(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows on which two listings disagree.
 
     Compared by collection, dataset and variant: presence, cid, box, extents
     as instants, organization, title and category. Repeated variants count
-    with their last row.
+    with their last row; a declared dataset without items is a row with a NULL variant.
     """
     boxes = ["west", "south", "east", "north"]
     texts = ["organization", "title", "category"]
 
-    def keyed(listing: DataFrame) -> DataFrame:
+    def keyed(listing: DataFrame, name: str) -> DataFrame:
         row = F.struct(
             F.lit(True).alias("present"),
             "cid",
@@ -181,15 +189,11 @@ def catalog_parity(left: DataFrame, right: DataFrame) -> DataFrame:
             *[F.try_to_timestamp(F.col(c)).alias(c) for c in ("start", "end")],
             *texts,
         )
-        return (
-            listing.where(F.col("variant").isNotNull())
-            .groupBy(*KEY)
-            .agg(F.max_by(row, "position").alias("row"))
-        )
+        last = listing.groupBy(*KEY).agg(F.max_by(row, F.coalesce("position", F.lit(-1))).alias("row"))
+        return last.select(F.struct(*KEY).alias(f"{name}_key"), F.col("row").alias(name))
 
-    both = keyed(left).withColumnRenamed("row", "l").join(
-        keyed(right).withColumnRenamed("row", "r"), KEY, "full_outer"
-    )
+    same_key = _same_key(F.col("l_key"), F.col("r_key"))
+    both = keyed(left, "l").join(keyed(right, "r"), same_key, "full_outer")
 
     def same(*names: str) -> Column:
         equal = F.lit(True)
@@ -197,8 +201,9 @@ def catalog_parity(left: DataFrame, right: DataFrame) -> DataFrame:
             equal = equal & F.col("l")[name].eqNullSafe(F.col("r")[name])
         return equal
 
+    key = F.coalesce("l_key", "r_key")
     compared = both.select(
-        *KEY,
+        *[key[name].alias(name) for name in KEY],
         F.when(F.col("r").isNull(), "left_only")
         .when(F.col("l").isNull(), "right_only")
         .otherwise("both")
@@ -215,10 +220,9 @@ def catalog_parity(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def catalog_key_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Catalog keys that only one of two listings has."""
+    """Catalog keys that only one of two listings has; datasets without items by a NULL variant."""
     sides = [
-        listing.select(*KEY).where(F.col("variant").isNotNull()).withColumn("side", F.lit(side))
-        for side, listing in (("left", left), ("right", right))
+        listing.select(*KEY).withColumn("side", F.lit(side)) for side, listing in (("left", left), ("right", right))
     ]
     return (
         sides[0]
@@ -228,3 +232,24 @@ def catalog_key_differences(left: DataFrame, right: DataFrame) -> DataFrame:
         .where(F.col("low") == F.col("only_in"))
         .drop("low")
     )
+
+
+def catalog_set_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """What only one of two listings has, at each level: ``(level, collection, dataset, variant, only_in)``.
+
+    A collection that one side lacks is a row of level ``collection`` and all its datasets and
+    variants are rows as well. One aggregation over grouping sets, so a collection with most
+    of the items is summed where it lies.
+    """
+    sides = [
+        listing.select(*KEY, F.lit(side).alias("side")) for side, listing in (("left", left), ("right", right))
+    ]
+    sets = [[F.col("collection")], [F.col("collection"), F.col("dataset")], [F.col(c) for c in KEY]]
+    found = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupingSets(sets, *[F.col(c) for c in KEY])
+        .agg(F.grouping_id().alias("depth"), F.min("side").alias("low"), F.max("side").alias("only_in"))
+    )
+    level = F.when(F.col("depth") == 3, "collection").when(F.col("depth") == 1, "dataset").otherwise("variant")
+    return found.where(F.col("low") == F.col("only_in")).select(level.alias("level"), *KEY, "only_in")

@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 
 from gridloom import CatalogKeys, StacLoadError
 from gridloom.plans.concatenable import concatenable_items
-from gridloom.plans.listing import catalog_key_differences, catalog_parity, list_datasets, list_datasets_api
+from gridloom.plans.listing import (
+    catalog_key_differences,
+    catalog_parity,
+    catalog_set_differences,
+    list_datasets,
+    list_datasets_api,
+)
 from gridloom.plans.resolution import resolve_datasets, resolve_datasets_api
 from gridloom.plans.walk import catalog_walk, load_catalog
 from tests.conftest import collected, plan_of
@@ -174,6 +180,28 @@ def test_parity(spark):
     assert collected(catalog_key_differences(list_datasets(same), list_datasets_api(changed)), "dataset", "only_in") == [("d0", "left")]
 
 
+def test_sets_and_datasets_without_items(spark):
+    base = [item(i, f"o_c{i // 2}-d{i}-v", f"o_c{i // 2}", dataset_id=f"d{i}", variant="v", latest_cid=f"ipfs://bafy{i}") for i in range(4)]
+    left_items, right_items = spark.createDataFrame(base[:3], ITEM), spark.createDataFrame(base[:2], ITEM)
+    collections = spark.createDataFrame([("o_c0", "o", None, None), ("o_c1", "o", None, None)], "collection string, organization string, title string, category string")
+    declared = spark.createDataFrame([("o_c0", "soon"), ("o_c1", "soon")], "collection string, dataset string")
+    left, right = list_datasets(left_items, collections, declared), list_datasets_api(right_items)
+    got = collected(catalog_set_differences(left, right).select("level", "collection", *[F.coalesce(c, F.lit("-")) for c in ("dataset", "variant")], "only_in"))
+    assert got == [
+        ("collection", "o_c1", "-", "-", "left"),
+        ("dataset", "o_c0", "soon", "-", "left"),
+        ("dataset", "o_c1", "d2", "-", "left"),
+        ("dataset", "o_c1", "soon", "-", "left"),
+        ("variant", "o_c0", "soon", "-", "left"),
+        ("variant", "o_c1", "d2", "v", "left"),
+        ("variant", "o_c1", "soon", "-", "left"),
+    ]
+    parity = {(r.dataset, r.variant): r.presence for r in catalog_parity(left, right).collect()}
+    assert parity == {("soon", None): "left_only", ("d2", "v"): "left_only"} or len(parity) == 2
+    assert catalog_parity(left, left).count() == 0 and catalog_set_differences(left, left).count() == 0
+    assert catalog_key_differences(left, right).where("variant IS NULL").count() == 2
+
+
 # --- tree walk ---------------------------------------------------------------
 
 

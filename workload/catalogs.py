@@ -30,6 +30,7 @@ from gridloom.plans.listing import (
     available_datasets,
     catalog_key_differences,
     catalog_parity,
+    catalog_set_differences,
     collection_category,
     latest_variant_rows,
     list_datasets,
@@ -144,31 +145,109 @@ def collection_category_query(spark, sf_dir):
     return collection_category(search_items_of(spark, sf_dir))
 
 
-@query(
-    "catalog_parity",
+# Two forms of one catalog that differ on some items: the tree (left), and the search (right) with
+# other boxes, instants in another spelling or a day late, other titles, and collections of its own.
+_TWO_FORMS = (
     ctes("items")
     + _PARSED
     + """
-, l AS (SELECT collection, ds AS dataset, var AS variant, arg_max(replace(data_href, 'ipfs://', ''), ord) AS cid
-  FROM parsed WHERE data_href IS NOT NULL GROUP BY 1, 2, 3)
-, r AS (SELECT collection, dataset, variant,
-    arg_max(CASE WHEN ord % 11 <> 0 THEN 'bafy' || ord ELSE '' END, ord) AS cid FROM items GROUP BY 1, 2, 3)
-, c AS (SELECT collection, CASE WHEN min(observation) = max(observation) THEN min(observation) END AS category
-  FROM items GROUP BY 1)
-SELECT collection, dataset, variant,
-  CASE WHEN l.cid IS NULL THEN 'right_only' WHEN r.cid IS NULL THEN 'left_only' ELSE 'both' END AS presence,
-  l.cid IS NOT DISTINCT FROM nullif(r.cid, '') AS same_cid, true AS same_bbox, true AS same_extent,
-  l.cid IS NOT NULL AND r.cid IS NOT NULL AS same_organization, true AS same_title,
-  coalesce(r.cid IS NULL OR c.category IS NULL, true) AS same_category
-FROM l FULL OUTER JOIN r USING (collection, dataset, variant) JOIN c USING (collection)
-WHERE presence <> 'both' OR NOT same_cid OR NOT same_category""",
+, left_items AS (
+  SELECT *, CAST(ord % 90 AS DOUBLE) AS edge, concat('20', CAST(10 + ord % 10 AS VARCHAR(20)), '-01-01T00:00:00Z') AS began
+  FROM parsed WHERE data_href IS NOT NULL)
+, l AS (
+  SELECT collection, ds AS dataset, var AS variant, arg_max(struct_pack(
+    cid := replace(data_href, 'ipfs://', ''), box := [-edge, -edge / 2, edge, edge / 2], moment := CAST(began AS TIMESTAMP)), ord) AS x
+  FROM left_items GROUP BY 1, 2, 3
+  UNION ALL SELECT DISTINCT collection, 'planned', CAST(NULL AS VARCHAR), CAST(NULL AS STRUCT(cid VARCHAR, box DOUBLE[], moment TIMESTAMP)) FROM items)
+, right_items AS (
+  SELECT *, CASE WHEN ord % 97 = 0 THEN 'esa_extra' ELSE collection END AS col, CAST(ord % 90 AS DOUBLE) AS edge,
+    CAST(concat('20', CAST(10 + ord % 10 AS VARCHAR(20)), '-01-01T00:00:00Z') AS TIMESTAMP)
+      + CASE WHEN ord % 41 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS moment
+  FROM items WHERE collection NOT LIKE '%5')
+, r AS (
+  SELECT col AS collection, dataset, variant, arg_max(struct_pack(
+    cid := CASE WHEN ord % 11 <> 0 THEN 'bafy' || ord END,
+    box := [-edge, -edge / 2, edge + CASE WHEN ord % 37 = 0 THEN 1 ELSE 0 END, edge / 2], moment := moment), ord) AS x
+  FROM right_items GROUP BY 1, 2, 3)
+, lc AS (SELECT collection, CASE WHEN min(observation) = max(observation) THEN min(observation) END AS category FROM items GROUP BY 1)
+, rc AS (SELECT col AS collection, CASE WHEN min(observation) = max(observation) THEN min(observation) END AS category FROM right_items GROUP BY 1)
+"""
 )
-def catalog_parity_query(spark, sf_dir):
+
+
+def two_listings(spark, sf_dir):
+    """The tree form and the search form of the items."""
     items = fixture(spark, sf_dir, "items")
-    search = items.withColumn(
-        "latest_cid", F.when(F.col("ord") % 11 != 0, F.concat(F.lit("ipfs://bafy"), F.col("ord")))
-    ).withColumnRenamed("dataset", "dataset_id")
-    return catalog_parity(list_datasets(items_of(spark, sf_dir)), list_datasets_api(search))
+    edge = (F.col("ord") % 90).cast("double")
+    began = F.concat(F.lit("20"), (10 + F.col("ord") % 10).cast("string"), F.lit("-01-01T00:00:00"))
+    tree = items.select(
+        "ord", "collection", "id", "data_href", F.array(-edge, -edge / 2, edge, edge / 2).alias("bbox"),
+        F.concat(began, F.lit("Z")).alias("datetime"),
+    )
+    observed = F.when(F.min("observation") == F.max("observation"), F.min("observation"))
+    collections = items.groupBy("collection").agg(observed.alias("category")).select(
+        "collection", org_from_collection(F.col("collection")).alias("organization"),
+        F.concat(F.lit("About "), "collection").alias("title"), "category",
+    )
+    planned = collections.select("collection", F.lit("planned").alias("dataset"))
+    left = list_datasets(tree, collections, planned)
+
+    late = F.date_add(F.to_date(F.substring(began, 1, 10)), F.when(F.col("ord") % 41 == 0, 1).otherwise(0))
+    search = items.where(~F.col("collection").endswith("5")).select(
+        "ord",
+        F.when(F.col("ord") % 97 == 0, "esa_extra").otherwise(F.col("collection")).alias("collection"),
+        "id",
+        F.col("dataset").alias("dataset_id"),
+        "variant",
+        "observation",
+        F.when(F.col("ord") % 11 != 0, F.concat(F.lit("ipfs://bafy"), F.col("ord"))).alias("latest_cid"),
+        F.array(-edge, -edge / 2, edge + F.when(F.col("ord") % 37 == 0, 1).otherwise(0), edge / 2).alias("bbox"),
+        F.concat(late.cast("string"), F.lit("T02:00:00+02:00")).alias("start_datetime"),  # midnight in another zone
+        F.concat(late.cast("string"), F.lit("T00:00:00.000Z")).alias("end_datetime"),
+    )
+    titles = search.select("collection").distinct().select(
+        "collection",
+        F.concat(F.when(F.col("collection").endswith("2"), "Of ").otherwise("About "), "collection").alias("title"),
+    )
+    return left, list_datasets_api(search, titles)
+
+
+@query(
+    "catalog_parity",
+    _TWO_FORMS
+    + """
+SELECT collection, dataset, variant, presence, same_cid, same_bbox, same_extent, same_organization, same_title, same_category FROM (
+SELECT coalesce(l.collection, r.collection) AS collection, coalesce(l.dataset, r.dataset) AS dataset,
+  coalesce(l.variant, r.variant) AS variant,
+  CASE WHEN r.collection IS NULL THEN 'left_only' WHEN l.collection IS NULL THEN 'right_only' ELSE 'both' END AS presence,
+  l.x.cid IS NOT DISTINCT FROM r.x.cid AS same_cid, l.x.box IS NOT DISTINCT FROM r.x.box AS same_bbox,
+  l.x.moment IS NOT DISTINCT FROM r.x.moment AS same_extent, presence = 'both' AS same_organization,
+  presence = 'both' AND l.collection NOT LIKE '%2' AS same_title,
+  lc.category IS NOT DISTINCT FROM rc.category AS same_category
+FROM l FULL OUTER JOIN r ON l.collection = r.collection AND l.dataset = r.dataset AND l.variant = r.variant
+LEFT JOIN lc ON lc.collection = l.collection LEFT JOIN rc ON rc.collection = r.collection)
+WHERE presence <> 'both' OR NOT (same_cid AND same_bbox AND same_extent AND same_organization AND same_title AND same_category)""",
+)
+def catalog_parity_query(spark, sf_dir):
+    return catalog_parity(*two_listings(spark, sf_dir))
+
+
+_LEVELS = " UNION ALL ".join(
+    f"""SELECT '{level}' AS level, {keys}, only_in FROM (
+  SELECT DISTINCT {distinct}, 'left' AS only_in FROM l WHERE ({distinct_key}) NOT IN (SELECT ({distinct_key}) FROM r)
+  UNION ALL SELECT DISTINCT {distinct}, 'right' FROM r WHERE ({distinct_key}) NOT IN (SELECT ({distinct_key}) FROM l))"""
+    for level, keys, distinct, distinct_key in (
+        ("collection", "collection, NULL AS dataset, NULL AS variant", "collection", "collection"),
+        ("dataset", "collection, dataset, NULL AS variant", "collection, dataset", "collection, dataset"),
+        ("variant", "collection, dataset, variant", "collection, dataset, variant", "collection, dataset, coalesce(variant, '')"),
+    )
+)
+
+
+@query("catalog_set_differences", _TWO_FORMS + _LEVELS)
+def catalog_set_differences_query(spark, sf_dir):
+    """Collections, datasets and variants that only one form has."""
+    return catalog_set_differences(*two_listings(spark, sf_dir))
 
 
 @query(

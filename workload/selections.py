@@ -10,6 +10,7 @@ from gridloom.functions import (
     coerce_time,
     haversine_km,
     haversine_km_arrays,
+    normalized_time_range,
     retrieval_status,
     to_comparable,
 )
@@ -502,20 +503,48 @@ def coerce_time_query(spark, sf_dir):
     )
 
 
-@query(
-    "normalize_time_range",
-    """SELECT o_orderkey, least(o_orderdate, l_shipdate) AS first, greatest(o_orderdate, l_shipdate) AS last,
-  l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
-)
+# Each order and shipping date is a range, the second spelt in four ways by the line's number.
+_RANGES = """
+WITH ranges AS (
+  SELECT o_orderkey, l_linenumber, l_quantity, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000Z') AS start,
+    CASE l_linenumber % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
+      WHEN 2 THEN 'soon' ELSE CAST(epoch_ms(o_orderdate) AS VARCHAR) END AS stop
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+, read AS (
+  SELECT *, try_cast(start AS TIMESTAMP) AS t1, CASE WHEN l_linenumber % 4 < 2 THEN try_cast(stop AS TIMESTAMP) END AS t2,
+    CAST(epoch_ms(t1) AS DOUBLE) AS n1, coalesce(try_cast(stop AS DOUBLE), CAST(epoch_ms(t2) AS DOUBLE)) AS n2
+  FROM ranges)
+SELECT o_orderkey, l_linenumber, l_quantity,
+  CASE WHEN n2 IS NOT NULL THEN least(n1, n2) END AS first_ms, CASE WHEN n2 IS NOT NULL THEN greatest(n1, n2) END AS last_ms,
+  CASE WHEN t2 IS NOT NULL THEN least(t1, t2) END AS first_instant, CASE WHEN t2 IS NOT NULL THEN greatest(t1, t2) END AS last_instant,
+  CASE WHEN t1 > t2 THEN strftime(t2, '%Y-%m-%dT%H:%M:%S.000Z') ELSE start END AS first_text,
+  CASE WHEN t1 > t2 THEN start ELSE stop END AS last_text
+FROM read"""
+
+
+@query("normalize_time_range", _RANGES)
 def normalize_time_range_query(spark, sf_dir):
-    """Row form of the reordering; each order and shipping date is a range."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    ends = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
-    return ends.select(
+    way, ordered = F.col("l_linenumber") % 4, F.col("o_orderdate")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    ranges = orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
+        "o_orderkey",
+        "l_linenumber",
+        "l_quantity",
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("start"),
+        F.when(way == 0, F.date_format(ordered, "yyyy-MM-dd"))
+        .when(way == 1, F.date_format(ordered, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(way == 2, "soon")
+        .otherwise(F.timestamp_diff("MILLISECOND", epoch, ordered.cast("timestamp_ntz")).cast("string"))
+        .alias("stop"),
+    )
+    ends = {t: normalized_time_range(F.col("start"), F.col("stop"), t) for t in ("number", "timestamp", "text")}
+    names = {"number": "ms", "timestamp": "instant", "text": "text"}
+    return ranges.select(
         "o_orderkey",
-        F.least("o_orderdate", "l_shipdate").alias("first"),
-        F.greatest("o_orderdate", "l_shipdate").alias("last"),
         "l_linenumber",
+        "l_quantity",
+        *[ends[t][side].alias(f"{side}_{name}") for t, name in names.items() for side in ("first", "last")],
     )
 
 

@@ -15,7 +15,7 @@ from gridloom.plans.resolution import (
     resolve_datasets,
 )
 from gridloom.plans.sizing import shared_dir
-from gridloom.sources.cells import write_cells
+from gridloom.sources.cells import vacuum, write_cells
 
 from .catalogs import (
     _ORG_PLACED,
@@ -283,18 +283,111 @@ def resolve_datasets_skewed(spark, sf_dir):
     return resolve_datasets(requests, items_of(spark, sf_dir), declared=_declared(spark, sf_dir))
 
 
+_PLACES = """SELECT CAST(c_custkey % 400 AS DOUBLE) AS latitude, c_custkey AS ask, CAST(c_nationkey AS DOUBLE) AS rain FROM customer"""
+
+
 @query(
     "dataset_emptiness",
-    """SELECT n_regionkey AS latitude, false AS is_empty, false AS is_dataset_empty FROM nation GROUP BY 1
-UNION ALL SELECT 99, true, true""",
+    f"""WITH asked AS ({_PLACES}), held AS (SELECT DISTINCT CAST(l_suppkey % 300 AS DOUBLE) AS latitude FROM lineitem WHERE l_quantity > 45)
+SELECT ask, latitude, rain, latitude NOT IN (SELECT latitude FROM held) AS is_empty,
+  latitude NOT IN (SELECT latitude FROM held) AS is_dataset_empty FROM asked""",
 )
 def dataset_emptiness(spark, sf_dir):
-    """``is_empty`` and ``is_dataset_empty`` of the cells at each latitude, and at none."""
-    nations = table(spark, sf_dir, "nation")
-    cells = nations.select(F.col("n_regionkey").cast("double").alias("latitude"), F.col("n_nationkey").cast("double").alias("longitude"), "n_name")
-    ds = GridDataset(cells)
-    rows = []
-    for latitude in [*[r[0] for r in nations.select("n_regionkey").distinct().collect()], 99]:
-        picked = ds._with(ds.df.where(F.col("latitude") == float(latitude)))
-        rows.append((int(latitude), picked.is_empty(), picked.is_dataset_empty()))
-    return spark.createDataFrame(rows, "latitude long, is_empty boolean, is_dataset_empty boolean")
+    """Whether there are cells at each of many latitudes, asked for in one table."""
+    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 45")
+    ds = GridDataset(
+        lines.select(
+            (F.col("l_suppkey") % 300).cast("double").alias("latitude"), F.col("l_shipdate").alias("time"), F.col("l_tax").alias("rain")
+        )
+    )
+    customers = table(spark, sf_dir, "customer")
+    wanted = customers.select(
+        (F.col("c_custkey") % 400).cast("double").alias("latitude"),
+        F.col("c_custkey").alias("ask"),
+        F.col("c_nationkey").cast("double").alias("rain"),  # a name that the cells have as well
+    )
+    return ds.emptiness(wanted, ["latitude"])
+
+
+_MANY = """
+SELECT concat('set', CAST(l_partkey % 40 AS VARCHAR(20))) AS cid, CAST((l_suppkey % 19) * 10 - 90 AS DOUBLE) AS latitude,
+       CAST((l_orderkey % 36) * 10 - 180 AS DOUBLE) AS longitude, l_shipdate AS time, max(l_quantity) AS rain
+FROM {lineitem} GROUP BY 1, 2, 3, 4"""
+
+
+def many_datasets(spark, sf_dir) -> CellStore:
+    """A store of forty datasets."""
+    root = new_root(spark)
+    write_cells(spark.sql(_MANY, lineitem=table(spark, sf_dir, "lineitem")), root)
+    return CellStore(spark, root)
+
+
+@query(
+    "store_box_files",
+    f"""SELECT latitude, longitude, time, rain FROM ({_MANY.format(lineitem='lineitem')}) WHERE cid = 'set7'
+AND latitude BETWEEN -35 AND 20 AND longitude BETWEEN -60 AND 100 AND time BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '1997-02-01'""",
+)
+def store_box_files(spark, sf_dir):
+    """A box and a time range of one dataset of many: the file table names the files to open."""
+    ds = opened(many_datasets(spark, sf_dir), "set7")
+    return ds.rectangle(-35, -60, 20, 100).time_range("1995-06-01", "1997-02-01").df
+
+
+@query(
+    "store_file_zones",
+    f"""SELECT cid, year(time) AS year, count(*) AS n, min(latitude) AS south, max(latitude) AS north, min(time) AS first, max(time) AS last
+FROM ({_MANY.format(lineitem='lineitem')}) GROUP BY 1, 2""",
+)
+def store_file_zones(spark, sf_dir):
+    """What the file table tells of each dataset and year, without a look at the cells."""
+    zone = lambda dim: F.col("zones")[dim]
+    instant = lambda micros: F.timestamp_micros(micros.cast("long")).cast("timestamp_ntz")
+    return many_datasets(spark, sf_dir).files().groupBy("cid", "year").agg(
+        F.sum("n").alias("n"),
+        F.min(zone("latitude")["low"]).alias("south"),
+        F.max(zone("latitude")["high"]).alias("north"),
+        instant(F.min(zone("time")["low"])).alias("first"),
+        instant(F.max(zone("time")["high"])).alias("last"),
+    )
+
+
+@query(
+    "store_emptiness",
+    """SELECT p_partkey, concat('set', CAST(p_partkey % 60 AS VARCHAR)) AS cid,
+  p_partkey % 60 NOT IN (SELECT l_partkey % 40 FROM lineitem) AS is_empty,
+  p_partkey % 60 NOT IN (SELECT l_partkey % 40 FROM lineitem) AS is_dataset_empty FROM part""",
+)
+def store_emptiness(spark, sf_dir):
+    """Which of many datasets are there and have cells, out of the store's own tables."""
+    wanted = table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lit("set"), (F.col("p_partkey") % 60).cast("string")).alias("cid")
+    )
+    return many_datasets(spark, sf_dir).emptiness(wanted)
+
+
+@query(
+    "store_commits",
+    """SELECT CAST(l_suppkey % 5 AS VARCHAR) AS cid, CAST(l_orderkey AS DOUBLE) AS latitude, max(l_tax) * 3 AS rain
+FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY 1, 2
+UNION ALL
+SELECT CAST(l_suppkey % 5 AS VARCHAR), CAST(l_orderkey AS DOUBLE), max(l_tax) FROM lineitem WHERE l_suppkey % 5 = 1 GROUP BY 1, 2
+UNION ALL
+SELECT CAST(l_suppkey % 5 AS VARCHAR), CAST(l_orderkey AS DOUBLE), max(l_tax) * 2 FROM lineitem WHERE l_suppkey % 5 IN (1, 2) GROUP BY 1, 2""",
+)
+def store_commits(spark, sf_dir):
+    """Writes that replace and add, then a vacuum: reads are what the order of commits says."""
+    cells = table(spark, sf_dir, "lineitem").groupBy(
+        (F.col("l_suppkey") % 5).cast("string").alias("cid"), F.col("l_orderkey").cast("double").alias("latitude")
+    )
+    cells = cells.agg(F.max("l_tax").alias("rain"))
+    root = new_root(spark)
+
+    def of(cids, factor):
+        return cells.where(F.col("cid").isin(*cids)).withColumn("rain", F.col("rain") * factor)
+
+    write_cells(of(["0", "1"], 1), root)
+    write_cells(of(["0"], 2), root, mode="overwrite")
+    write_cells(of(["1", "2"], 2), root, mode="append")
+    write_cells(of(["0"], 3), root, mode="overwrite")
+    vacuum(spark, root, retain_seconds=-60)
+    return CellStore(spark, root).table()
