@@ -16,8 +16,14 @@ from gridloom.llm.common import components, settled, stored
 #: bucket joins two cross-polytope hashes, so that there are (2 d)**2 of them to a label.
 TABLES, PROBES = 16, 6
 THRESHOLD = 0.93
-#: Vectors of one bucket that a task compares at once; larger buckets go in pairs of blocks.
-BLOCK = 1024
+#: Vectors of one label that share a shelf on average; a label with more has more shelves, on which
+#: its vectors are put by coarser hashes of their own tables and probes.
+SHELF, SHELF_TABLES, SHELF_PROBES = 8192, 6, 4
+#: Vectors of a shelf that a task holds of either side; fuller shelves go in pairs of blocks.
+BLOCK = 4096
+#: Members up to which the pairs of a bucket are listed; the members of larger ones are compared
+#: as matrices of this many rows.
+LISTED, MATRIX = 64, 1024
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -94,79 +100,135 @@ def unit_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stored(classes)
 
 
-def posted(classes: DataFrame, tables: int, probes: int) -> DataFrame:
-    """``(cls, label, unit, dim, keys)``: unit vectors as doubles, and all their buckets."""
+def shelf_keys(x: np.ndarray, shelves: int, tables: int = SHELF_TABLES, probes: int = SHELF_PROBES) -> np.ndarray:
+    """``(n, tables * probes)`` shelf numbers of unit rows, for about ``shelves`` shelves to a table.
+
+    As ``bucket_keys``, but a hash looks at the first few axes of the rotated vector only, so
+    that their number follows the rows of the label.
+    """
+    n, d = x.shape
+    width = 1 << max(0, (d - 1).bit_length())
+    if width != d:
+        x = np.concatenate([x, np.zeros((n, width - d))], axis=1)
+    axes = [min(width, max(1, shelves // 2))]
+    if shelves > 2 * width:
+        axes.append(min(width, max(1, -(-shelves // (2 * width)) // 2)))
+    out = np.empty((n, tables, probes), np.int64)
+    for t in range(tables):
+        both, lose = np.zeros((n, 1), np.int64), np.zeros((n, 1))
+        for h, kept in enumerate(axes):
+            best, more = ranked_vertices(rotated(x, 1_000 + 2 * t + h)[:, :kept], min(4, 2 * kept))
+            both = (both[:, :, None] * (2 * kept) + best[:, None, :]).reshape(n, -1)
+            lose = (lose[:, :, None] + more[:, None, :]).reshape(n, -1)
+        take = np.argsort(lose, axis=1, kind="stable")[:, :probes]
+        found = np.take_along_axis(both, take, 1)
+        if found.shape[1] < probes:
+            found = np.concatenate([found, np.repeat(found[:, :1], probes - found.shape[1], 1)], 1)
+        out[:, t] = found + (t << 40)
+    return out.reshape(n, -1)
+
+
+def units(vectors: list[np.ndarray]) -> np.ndarray:
+    x = np.stack(vectors)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # neither overflows nor vanishes when squared
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def shelved(classes: DataFrame) -> DataFrame:
+    """``(cls, label, copies, unit, dim, shelves)``: unit vectors as doubles, and their shelves.
+
+    A label of at most ``SHELF`` classes has one shelf, and its vectors go there once.
+    """
+    sized = classes.withColumn("dim", F.size("v"))
+    large = stored(sized.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > SHELF))
+    sized = sized.join(large, ["label", "dim"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = [np.array(v.as_py(), np.float64) for v in batch.column(2)]
-            units: list[bytes] = [b""] * len(vectors)
-            keys: list[np.ndarray] = [np.zeros(0, np.int64)] * len(vectors)
-            for d in {len(v) for v in vectors}:
-                at = [i for i, v in enumerate(vectors) if len(v) == d]
-                x = np.stack([vectors[i] for i in at])
-                x = x / np.abs(x).max(axis=1, keepdims=True)  # neither overflows nor vanishes when squared
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                for i, u, k in zip(at, x, bucket_keys(x, tables, probes).reshape(len(at), -1), strict=True):
-                    units[i], keys[i] = u.tobytes(), k
+            sizes = [v or 0 for v in batch.column(4).to_pylist()]
+            made: list[bytes] = [b""] * len(vectors)
+            keys: list[np.ndarray] = [np.zeros(1, np.int64)] * len(vectors)
+            groups: dict[tuple[int, int], list[int]] = {}
+            for i, (v, n) in enumerate(zip(vectors, sizes, strict=True)):
+                shelves = 1 << (-(-n // SHELF) - 1).bit_length() if n > SHELF else 1
+                groups.setdefault((len(v), shelves), []).append(i)
+            for (_, shelves), at in groups.items():
+                x = units([vectors[i] for i in at])
+                found = shelf_keys(x, shelves) if shelves > 1 else np.zeros((len(at), 1), np.int64)
+                for i, u, k in zip(at, x, found, strict=True):
+                    made[i], keys[i] = u.tobytes(), np.unique(k)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     batch.column(3),
-                    pa.array(units, pa.binary()),
+                    pa.array(made, pa.binary()),
                     pa.array([len(v) for v in vectors], pa.int32()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["cls", "label", "copies", "unit", "dim", "keys"],
+                names=["cls", "label", "copies", "unit", "dim", "shelves"],
             )
 
     kind = dict(classes.dtypes)["label"]
-    return classes.select("cls", "label", "v", "copies").mapInArrow(
-        run, f"cls long, label {kind}, copies long, unit binary, dim int, keys array<long>"
+    return sized.select("cls", "label", "v", "copies", "n").mapInArrow(
+        run, f"cls long, label {kind}, copies long, unit binary, dim int, shelves array<long>"
     )
 
 
-def linked_pairs(signed: DataFrame, threshold: float, tables: int, probes: int) -> tuple[DataFrame, DataFrame]:
+def linked_pairs(classes: DataFrame, threshold: float, tables: int, probes: int) -> tuple[DataFrame, DataFrame]:
     """Links found in shared buckets: ``(cls, links)`` sums, and ``(a, b)`` edges that span them.
 
-    Every vector lies in ``probes`` buckets of each table, and two are compared where such
-    buckets meet. Buckets are cut into blocks, and each pair of blocks is a run of sorted rows.
-    A pair counts in its lowest common bucket only, so a task adds up links without listing
-    them, and hands on no more edges than join what its links join.
+    A vector moves once for each of its shelves (one, unless its label is large), and its buckets
+    are made where it arrives: two vectors are compared where buckets of theirs meet. Shelves are
+    cut into blocks, and each pair of blocks is a run of sorted rows. A pair counts on its lowest
+    common shelf only, so a task adds up links without listing them, and hands on no more
+    edges than join what its links join.
     """
-    entry = signed.select("cls", "label", "dim", F.explode(F.array_distinct("keys")).alias("key"))
-    size = entry.groupBy("label", "dim", "key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = entry.join(size, ["label", "dim", "key"])
-    blocks = F.ceil(F.col("n") / BLOCK)
+    run_of = ["label", "dim", "shelf", "i", "j"]
+    rows = shelved(classes).withColumn("shelf", F.explode("shelves"))
+    full = shelved(classes).select("label", "dim", F.explode("shelves").alias("shelf"))
+    full = stored(full.groupBy("label", "dim", "shelf").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK))
+    rows = rows.join(full, ["label", "dim", "shelf"], "left")
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1))
     rows = rows.withColumn("of", F.pmod(F.xxhash64("cls"), blocks))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     rows = rows.select(
         "label",
         "dim",
-        "key",
+        "shelf",
         F.least("of", "with").alias("i"),
         F.greatest("of", "with").alias("j"),
         (F.col("of") > F.col("with")).alias("right"),
         "cls",
+        "copies",
+        "unit",
+        "shelves",
     )
-    run_of = ["label", "dim", "key", "i", "j"]
-    n = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = signed.select("cls", "copies", "unit", F.array_sort(F.array_distinct("keys")).alias("keys"))
-    rows = rows.join(whole, "cls").repartition(n, *run_of).sortWithinPartitions(*run_of)
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, *run_of).sortWithinPartitions(*run_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def emit(table: pa.Table, runs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-            a, b, links = _linked(table, runs, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
+            for begin, end in runs:
+                a, b, links = _linked(table.slice(begin, end - begin), threshold, tables, probes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"]
+                )
 
         for batch in batches:
-            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            held.append(batch)
+            last = {c: batch.column(c)[batch.num_rows - 1].as_py() for c in run_of}
+            if all(batch.column(c)[0].as_py() == last[c] for c in run_of) and all(
+                held[0].column(c)[0].as_py() == last[c] for c in run_of
+            ):
+                continue  # one run so far: wait for its end
+            table = pa.Table.from_batches(held).combine_chunks()
             runs = _runs(table, run_of)
             yield from emit(table, runs[:-1])
-            held = table.slice(runs[-1][0]).to_batches() if runs else []
+            held = table.slice(runs[-1][0]).to_batches()
         if held:
             table = pa.Table.from_batches(held).combine_chunks()
             yield from emit(table, _runs(table, run_of))
@@ -188,83 +250,134 @@ def _runs(table: pa.Table, columns: list[str]) -> list[tuple[int, int]]:
     return list(zip(begin.tolist(), [*begin[1:].tolist(), len(table)], strict=True))
 
 
-def _linked(table: pa.Table, runs: list[tuple[int, int]], threshold: float) -> tuple[list, list, list]:
-    """Rows ``(cls, None, links)`` and ``(a, b, None)`` of the pairs that each run owns."""
-    a: list[int] = []
-    b: list[int | None] = []
-    links: list[int | None] = []
-    cls, copies, key, dim, i, j = (table.column(c).to_numpy() for c in ("cls", "copies", "key", "dim", "i", "j"))
-    right = table.column("right").to_numpy(zero_copy_only=False)
-    unit, keys = table.column("unit"), table.column("keys")
-    total: dict[int, int] = {}
-    root: dict[int, int] = {}
-
-    def find(c: int) -> int:
-        while (up := root.get(c, c)) != c:
-            root[c] = root.get(up, up)
-            c = up
-        return c
-
-    for begin, end in runs:
-        n = end - begin
-        if n < 2:
-            continue
-        x = np.frombuffer(b"".join(u.as_py() for u in unit.slice(begin, n)), np.float64).reshape(n, dim[begin])
-        at = np.arange(n)
-        both = i[begin] != j[begin]
-        left, other = (at[~right[begin:end]], at[right[begin:end]]) if both else (at, at)
-        if not len(left) or not len(other):
-            continue
-        near = x[left] @ x[other].T >= threshold
-        if not both:
-            near &= left[:, None] < other[None, :]
-        if not near.any():
+def _bucket_pairs(keys: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs ``(a, b)`` of rows that share a bucket with few members, each once, and the rows of
+    the other buckets. ``right`` (if there are two sides) leaves pairs of one side out."""
+    n, width = keys.shape
+    flat = keys.ravel()
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], order // width
+    begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    size = np.diff(np.append(begin, len(flat)))
+    full = np.repeat(size > LISTED, size)
+    crowd = np.unique(row[full])
+    flat, row = flat[~full], row[~full]
+    found = []
+    for lag in range(1, int(size[size <= LISTED].max(initial=1))):
+        same = np.flatnonzero(flat[lag:] == flat[:-lag])
+        a, b = row[same], row[same + lag]
+        keep = a != b if right is None else right[a] != right[b]
+        a, b = a[keep], b[keep]
+        found.append(np.unique(np.minimum(a, b) * n + np.maximum(a, b)))
+    codes = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    a, b = codes // n, codes % n
+    crowded = np.zeros(n, bool)
+    crowded[crowd] = True
+    apart = ~(crowded[a] & crowded[b])  # the others are compared with their crowd
+    return a[apart], b[apart], crowd
+
+
+def _spanning(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (row, column) that join what a matrix of links joins, rows and columns being apart."""
+    edges = []
+    rows_left, columns_left = near.any(axis=1), near.any(axis=0)
+    for start in range(len(near)):
+        if not rows_left[start]:
             continue
-        p, q = np.nonzero(near)
-        p, q = left[p], other[q]
-        mine = np.ones(len(p), bool)
-        sets = {}
-        for k in np.unique(np.concatenate([p, q])).tolist():
-            have = keys[begin + k].values.to_numpy()
-            sets[k] = have[have < key[begin]]
-        lower = sorted({int(v) for s in sets.values() for v in s})
-        if lower:
-            held = np.zeros((n, len(lower)), np.float32)
-            for k, s in sets.items():
-                held[k, np.searchsorted(lower, s)] = 1
-            shared = held[left] @ held[other].T > 0
-            where = {int(k): r for r, k in enumerate(left)}
-            there = {int(k): r for r, k in enumerate(other)}
-            mine = ~shared[[where[int(k)] for k in p], [there[int(k)] for k in q]]
+        rows_left[start] = False
+        waiting = [start]
+        while waiting:
+            row = waiting.pop()
+            columns = np.flatnonzero(near[row] & columns_left)
+            columns_left[columns] = False
+            edges += [(row, c) for c in columns.tolist()]
+            if not len(columns):
+                continue
+            reached = near[:, columns] & rows_left[:, None]
+            rows = np.flatnonzero(reached.any(axis=1))
+            edges += [(r, int(columns[reached[r].argmax()])) for r in rows.tolist()]
+            rows_left[rows] = False
+            waiting += rows.tolist()
+    return edges
+
+
+def _lowest(a: np.ndarray, b: np.ndarray, shelf: int) -> np.ndarray:
+    """Whether the pairs of rows of two matrices of shelves have no common one below ``shelf``."""
+    mine = np.ones(len(a), bool)
+    for k in range(a.shape[1]):
+        below = np.flatnonzero((a[:, k] < shelf) & mine)
+        mine[below[(b[below] == a[below, k : k + 1]).any(axis=1)]] = False
+    return mine
+
+
+def _linked(table: pa.Table, threshold: float, tables: int, probes: int) -> tuple[list, list, list]:
+    """Rows ``(cls, None, links)`` and ``(a, b, None)`` of the pairs that one run owns."""
+    n = len(table)
+    if n < 2:
+        return [], [], []
+    cls, copies = (table.column(c).to_numpy() for c in ("cls", "copies"))
+    dim, shelf, i, j = (table.column(c)[0].as_py() for c in ("dim", "shelf", "i", "j"))
+    x = np.frombuffer(b"".join(u.as_py() for u in table.column("unit")), np.float64).reshape(n, dim)
+    right = table.column("right").to_numpy(zero_copy_only=False) if i != j else None
+    lists = table.column("shelves").to_pylist()
+    # Padded with numbers above any shelf, no two alike, so that padding is never common.
+    wide = max(map(len, lists))
+    shelves = np.array([k + [(1 << 50) + r] * (wide - len(k)) for r, k in enumerate(lists)], np.int64)
+    total = np.zeros(n, np.int64)
+    edges: list[tuple[int, int]] = []
+
+    a, b, crowd = _bucket_pairs(bucket_keys(x, tables, probes).reshape(n, -1), right)
+    for lo in range(0, len(a), 1 << 17):
+        p, q = a[lo : lo + (1 << 17)], b[lo : lo + (1 << 17)]
+        near = np.einsum("ij,ij->i", x[p], x[q]) >= threshold
+        p, q = p[near], q[near]
+        mine = _lowest(shelves[p], shelves[q], shelf)
         p, q = p[mine], q[mine]
-        weight = copies[begin:end]
-        sums = np.bincount(p, weight[q], n) + np.bincount(q, weight[p], n)
-        for k in np.flatnonzero(sums).tolist():
-            c = int(cls[begin + k])
-            total[c] = total.get(c, 0) + int(sums[k])
-        for u, v in zip(cls[begin + p].tolist(), cls[begin + q].tolist(), strict=True):
-            ru, rv = find(u), find(v)
-            if ru != rv:
-                root[ru] = rv
-                a.append(u)
-                b.append(v)
-                links.append(None)
-    a.extend(total)
-    b.extend([None] * len(total))
-    links.extend(total.values())
-    return a, b, links
+        np.add.at(total, p, copies[q])
+        np.add.at(total, q, copies[p])
+        edges += zip(p.tolist(), q.tolist(), strict=True)
+
+    sides = (crowd, crowd) if right is None else (crowd[~right[crowd]], crowd[right[crowd]])
+    for lo in range(0, len(sides[0]), MATRIX):
+        p = sides[0][lo : lo + MATRIX]
+        for hi in range(lo if right is None else 0, len(sides[1]), MATRIX):
+            q = sides[1][hi : hi + MATRIX]
+            near = x[p] @ x[q].T >= threshold
+            if right is None and lo == hi:
+                near &= np.arange(len(p))[:, None] < np.arange(len(q))[None]
+            if wide > 1 and near.any():
+                u, v = np.nonzero(near)
+                near[u, v] = _lowest(shelves[p[u]], shelves[q[v]], shelf)
+            total[p] += near @ copies[q]
+            total[q] += copies[p] @ near
+            edges += [(int(p[u]), int(q[v])) for u, v in _spanning(near)]
+
+    root = np.arange(n)
+    joined: list[tuple[int, int]] = []
+    for u, v in edges:
+        ru, rv = u, v
+        while root[ru] != ru:
+            root[ru] = ru = root[root[ru]]
+        while root[rv] != rv:
+            root[rv] = rv = root[root[rv]]
+        if ru != rv:
+            root[ru] = rv
+            joined.append((u, v))
+    have = np.flatnonzero(total)
+    first = [int(cls[u]) for u, _ in joined] + cls[have].tolist()
+    second = [int(cls[v]) for _, v in joined] + [None] * len(have)
+    return first, second, [None] * len(joined) + total[have].tolist()
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``(vec_id, embedding, label)``.
 
     Vectors of one label link at a cosine of ``threshold`` or more, in double precision; every
-    pair that shares a bucket is checked. Copies of a vector are hashed once, and each counts
+    pair that shares a bucket (and, of a large label, a shelf) is checked. Copies of a vector are hashed once, and each counts
     as a link. Vectors that ``unit_classes`` leaves out have no links and are kept.
     """
     rows, classes = unit_classes(vectors)
-    signed = stored(posted(classes, tables, probes))
-    sums, edges = linked_pairs(signed, threshold, tables, probes)
+    sums, edges = linked_pairs(classes, threshold, tables, probes)
     groups = components(edges).select(F.col("id").alias("cls"), F.col("component").alias("group"))
     of_class = classes.join(sums, "cls", "left").join(groups, "cls", "left")
     of_class = of_class.select(

@@ -48,8 +48,9 @@ def vectors(seed, d=64):
 def test_links_are_those_of_all_pairs(spark, monkeypatch):
     rows = vectors(4)
     df = spark.createDataFrame([(*r, 5, "z") for r in rows], SCHEMA)
-    for block in (1024, 5):
-        monkeypatch.setattr(cross_polytope, "BLOCK", block)
+    for block, shelf, listed, matrix in ((4096, 8192, 64, 1024), (5, 8192, 64, 1024), (9, 20, 3, 4), (4096, 8192, 1, 7), (4096, 16, 64, 1024)):
+        for name, value in (("BLOCK", block), ("SHELF", shelf), ("LISTED", listed), ("MATRIX", matrix)):
+            monkeypatch.setattr(cross_polytope, name, value)
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cross_polytope.near_vectors(df).collect()}
         assert got == expected(rows)
 
@@ -58,18 +59,46 @@ def test_empty_table(spark):
     assert cross_polytope.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_recall_just_above_the_threshold():
-    """Pairs at a cosine of 0.93 meet in some bucket, all but very few."""
+def pairs_at_the_threshold(n):
     rng = np.random.default_rng(7)
-    x = rng.normal(size=(3000, 64))
+    x = rng.normal(size=(n, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     side = rng.normal(size=x.shape)
     side -= (side * x).sum(1, keepdims=True) * x
     side /= np.linalg.norm(side, axis=1, keepdims=True)
-    y = 0.93 * x + math.sqrt(1 - 0.93**2) * side
+    return x, 0.93 * x + math.sqrt(1 - 0.93**2) * side
+
+
+def share_met(a, b):
+    return sum(bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True)) / len(a)
+
+
+def test_recall_just_above_the_threshold():
+    """Pairs at a cosine of 0.93 meet in some bucket, all but very few."""
+    x, y = pairs_at_the_threshold(3000)
     a, b = (cross_polytope.bucket_keys(v, cross_polytope.TABLES, cross_polytope.PROBES).reshape(len(v), -1) for v in (x, y))
-    met = sum(bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True))
-    assert met >= 0.999 * len(x)
+    assert share_met(a, b) >= 0.999
+
+
+def test_recall_of_shelves():
+    """And on some shelf, however many a label has; a shelf's rows stay as many as rows grow."""
+    x, y = pairs_at_the_threshold(3000)
+    for shelves in (2, 8, 64, 128, 1024, 8192):
+        a, b = (cross_polytope.shelf_keys(v, shelves) for v in (x, y))
+        assert share_met(a, b) >= 0.99, shelves
+        sizes = np.unique(np.concatenate([np.unique(row) for row in a]), return_counts=True)[1]
+        assert len(sizes) > 0.5 * shelves
+        assert sizes.mean() <= 3000 * cross_polytope.SHELF_PROBES / shelves * 2.5 + 1
+
+
+def test_spanning_edges_join_what_links_join():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        near = rng.random((9, 7)) < 0.15
+        links = [(r, 9 + c) for r, c in zip(*np.nonzero(near), strict=True)]
+        edges = [(r, 9 + c) for r, c in cross_polytope._spanning(near)]
+        assert set(edges) <= set(links) and grouped(range(16), edges) == grouped(range(16), links)
+        assert len(edges) == 16 - len(set(grouped(range(16), links).values()))
 
 
 def test_rotations_keep_lengths():
