@@ -207,11 +207,14 @@ class GridDataset:
         tolerance: float = point_ops.TOLERANCE,
         latitude_key: str = "latitude",
         longitude_key: str = "longitude",
-    ) -> GridDataset:
+        expand: bool = True,
+    ) -> GridDataset | point_ops.PointCells:
         """Cells at many positions: two lists, or a table of points.
 
         A table has ``point_id``, ``latitude`` and ``longitude`` and may be of
-        any size. Strict datasets refuse a miss when not snapping.
+        any size. Strict datasets refuse a miss when not snapping. ``expand=False`` keeps
+        points, places and cells apart (see ``PointCells``), so that points on one place share
+        its cells.
         """
         if isinstance(latitudes, DataFrame):
             wanted = latitudes
@@ -223,6 +226,8 @@ class GridDataset:
             if not point_ops.misses(snapped, latitude_key, longitude_key, reach).isEmpty():
                 raise NoDataFoundError("At least one point has no grid position within the tolerance.")
         found = point_ops.hits(snapped, latitude_key, longitude_key, reach)
+        if not expand:
+            return point_ops.factorised(self.df, found, latitude_key, longitude_key)
         df = point_ops.join_cells(self.cells, found, latitude_key, longitude_key)
         return self._with(df, dims=(*point_ops.POINT_COLUMNS, *self.dims))
 

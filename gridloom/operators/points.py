@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,3 +139,56 @@ def points_missed(
     """The points that have no grid position within the tolerance."""
     snapped = snap_points(cells, wanted, latitude, longitude, axes, axis_rows)
     return misses(snapped, latitude, longitude, tolerance)
+
+
+@dataclass(frozen=True)
+class PointCells:
+    """Cells at points, kept as what they are made of.
+
+    ``points`` has one row per point with its grid place, ``places`` one per place with the number
+    of points on it, and ``cells`` the cells of the places, each once. A million points at one
+    place cost its series once, until ``expand`` repeats it for each.
+    """
+
+    points: DataFrame
+    places: DataFrame
+    cells: DataFrame
+    keys: tuple[str, str]
+
+    def expand(self) -> DataFrame:
+        """A row per point and cell, as ``points`` returns them."""
+        others = [c for c in self.cells.columns if c not in self.keys]
+        return self.cells.join(self.points, list(self.keys)).select(*POINT_COLUMNS, *self.keys, *others)
+
+    def per_point(self, *aggregates: Column, by: tuple[str, ...] = ()) -> DataFrame:
+        """Aggregates of each point's cells (by further columns): made once for each place, then
+        joined to its points. Points without cells have no row."""
+        made = self.cells.groupBy(*self.keys, *by).agg(*aggregates)
+        rest = [c for c in made.columns if c not in self.keys]
+        return made.join(self.points, list(self.keys)).select(*POINT_COLUMNS, *self.keys, *rest)
+
+    def totals(self, variable: str, by: tuple[str, ...] = ()) -> DataFrame:
+        """Count, sum, mean and extremes of a variable over all points, by columns of the cells.
+
+        A cell counts as often as there are points on its place; no row is repeated for that. NULL
+        and NaN are missing.
+        """
+        value = F.nanvl(F.col(variable).cast("double"), F.lit(None).cast("double"))
+        weighed = self.cells.join(self.places, list(self.keys)).withColumn("_v", value).where("_v IS NOT NULL")
+        n = F.sum("n_points")
+        total = F.sum(F.col("_v") * F.col("n_points"))
+        return weighed.groupBy(*by).agg(
+            n.alias("n"), total.alias("total"), (total / n).alias("mean"), F.min("_v").alias("lowest"), F.max("_v").alias("highest")
+        )
+
+
+def factorised(cells: DataFrame, snapped: DataFrame, latitude="latitude", longitude="longitude") -> PointCells:
+    """Snapped points and the cells of their distinct places."""
+    keys = (latitude, longitude)
+    # Points are counted where they lie first: a place with most of them is one row from each task.
+    places = snapped.groupBy(*keys).agg(F.count("*").alias("n_points"))
+    near = cells
+    for dim in keys:
+        low, high = places.agg(F.min(dim)).scalar(), places.agg(F.max(dim)).scalar()
+        near = near.where((F.col(dim) >= low) & (F.col(dim) <= high))
+    return PointCells(snapped, places, near.join(places.select(*keys), list(keys), "left_semi"), keys)

@@ -1,2 +1,2 @@
 from .cells import stream_cells
-from .rollup import retrieval_rollup
+from .rollup import histogram_quantile, merge_histograms, retrieval_histogram, retrieval_rollup

@@ -4,6 +4,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gridloom import GridDataset, InvalidSelectionError, NoDataFoundError
 from gridloom.operators.points import join_cells, points, points_missed, snap_points
@@ -131,3 +132,29 @@ def test_snapped_points_are_not_shuffled(spark, small_grid):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     joined = join_cells(small_grid, snap_points(small_grid, wanted))
     assert "NestedLoop" not in plan_of(joined) and math.isfinite(joined.count())
+
+
+def test_points_apart_from_cells(spark):
+    """Most points on one place, some places shared by none, some points beyond every cell with a value."""
+    rows = [(float(a), float(b), k, None if (a + b + k) % 5 == 0 else float(a * 100 + b * 10 + k)) for a in range(8) for b in range(8) for k in range(6)]
+    rows.append((3.0, 3.0, 9, float("nan")))
+    cells = spark.createDataFrame(rows, "latitude double, longitude double, step long, v double")
+    rng = random.Random(9)
+    wanted = [(i, 3.2, 2.9) for i in range(40)] + [(i, rng.uniform(-1, 9), rng.uniform(-1, 9)) for i in range(40, 60)]
+    ds = GridDataset(cells)
+    table = spark.createDataFrame(wanted, POINTS)
+    whole, apart = ds.points(table).df, ds.points(table, expand=False)
+    assert apart.expand().columns == whole.columns
+    assert sorted(map(repr, apart.expand().collect())) == sorted(map(repr, whole.collect()))
+    places = {(r.latitude, r.longitude): r.n_points for r in apart.places.collect()}
+    assert sum(places.values()) == 60 and places[(3.0, 3.0)] >= 40
+    assert apart.cells.count() == sum(6 + (p == (3.0, 3.0)) for p in places)
+    stats = [F.count("v").alias("n"), F.max("step").alias("m")]
+    want = whole.groupBy("point_id", "point_latitude", "point_longitude", "latitude", "longitude").agg(*stats)
+    assert collected(apart.per_point(*stats)) == collected(want)
+    by_step = whole.where("v IS NOT NULL AND NOT isnan(v)").groupBy("step").agg(F.count("v"), F.sum("v"), F.avg("v"), F.min("v"), F.max("v"))
+    assert [tuple(round(x, 9) for x in r) for r in collected(apart.totals("v", ("step",)))] == [tuple(round(x, 9) for x in r) for r in collected(by_step)]
+    missing = ds.points(spark.createDataFrame([(0, 3.4, 3.4)], POINTS), snap_to_grid=False, expand=False)
+    assert missing.expand().count() == 0 and missing.places.count() == 0
+    plan = plan_of(apart.totals("v"))
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom import DatasetMetadata, GridDataset, InvalidSelectionError, NoDataFoundError
 from gridloom.functions import haversine_km
+from gridloom.operators import introspect
 from gridloom.operators.selection import circle, circle_box
 from tests.conftest import collected, grid_rows, plan_of
 from tests.test_functions import km
@@ -327,6 +328,47 @@ def test_description(small_grid):
     assert rows["temperature"].attrs == '{"description":"Temperature","units":"celsius"}'
 
 
+def odd_axes(spark):
+    rows = [(0.0, "b", 3, 1.5), (-0.0, "a", None, None), (float("nan"), None, 2, float("nan")), (None, "c", 1, -1.0), (7.5, "d", 9, 2.0), (1.0, "e", 5, 0.0)]
+    return spark.createDataFrame(rows, "latitude double, name string, level int, v double")
+
+
+@pytest.mark.parametrize("values", [200_000, 0])
+def test_axes_are_summed_up_in_one_aggregation(spark, monkeypatch, values):
+    """As sets of one aggregation, or as tables of their own where an axis is long."""
+    monkeypatch.setattr(introspect, "SET_VALUES", values)
+    dims = ["latitude", "name", "level"]
+    report = introspect.describe_dataset(odd_axes(spark), dims, preview=True)
+    got = {r.name: (r.size, r.lowest, r.highest, r.preview) for r in report.collect()}
+    assert got == {
+        "latitude": (3, "0.0", "7.5", "0.0, 1.0, 7.5"),
+        "name": (5, "a", "e", "a, b, c, d, e"),
+        "level": (5, "1", "9", "1, 2, 3, 5, 9"),
+        "v": (4, "-1.0", "2.0", None),
+    }
+    ends = introspect.coord_preview(odd_axes(spark), dims, count=2)
+    assert collected(ends.where("dim = 'level'")) == [("level", "first", 0, "1"), ("level", "first", 1, "2"), ("level", "last", 0, "5"), ("level", "last", 1, "9")]
+    for df in (report, ends):
+        plan = plan_of(df)
+        assert "Expand" not in plan
+        if values:
+            assert "Exchange hashpartitioning" not in plan and plan.count("ObjectHashAggregate") <= 4
+    empty = introspect.describe_dataset(odd_axes(spark).where("false"), dims, preview=True)
+    assert {(r.size, r.lowest, r.preview) for r in empty.collect()} == {(0, None, None)}
+    known = {"level": spark.createDataFrame([(4,), (6,)], "level int")}
+    rows = {r.name: r for r in introspect.describe_dataset(odd_axes(spark), dims, True, known).collect()}
+    assert (rows["level"].size, rows["level"].preview, rows["name"].size) == (2, "4, 6", 5)
+
+
+def test_emptiness_of_many_selections(spark, small_grid):
+    wanted = spark.createDataFrame([(40.0, 1, 2.0), (40.0, 2, 3.0), (99.0, 3, None), (None, 4, 1.0)], "latitude double, ask int, temperature double")
+    got = GridDataset(small_grid).emptiness(wanted, ["latitude"])
+    assert collected(got.select("ask", "is_empty", "is_dataset_empty")) == [(1, False, False), (2, False, False), (3, True, True), (4, True, True)]
+    assert got.columns == ["latitude", "ask", "temperature", "is_empty", "is_dataset_empty"]
+    bare = GridDataset(small_grid.select("latitude", "longitude")).emptiness(wanted, ["latitude"])
+    assert collected(bare.select("ask", "is_empty", "is_dataset_empty"))[0] == (1, False, True)
+
+
 # --- plans -------------------------------------------------------------------
 
 

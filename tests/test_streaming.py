@@ -1,7 +1,12 @@
+import math
+import random
+from datetime import datetime, timedelta
+
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom import GridDataset
-from gridloom.streaming import retrieval_rollup, stream_cells
+from gridloom.streaming import histogram_quantile, merge_histograms, retrieval_histogram, retrieval_rollup, stream_cells
 from tests.conftest import collected, grid_rows
 
 
@@ -53,3 +58,62 @@ def test_rollup_percentiles(spark):
     )
     row = retrieval_rollup(log, percentiles=(0.5, 0.95)).first()
     assert (row.requests, row.min_ms, row.max_ms, row.sum_ms, row.p50_ms, row.p95_ms) == (101, 0, 100, 5050, 50, 95)
+
+
+def request_log(spark, n=2000):
+    rng = random.Random(5)
+    rows = [
+        (
+            datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(6 * 24 * 60)),
+            rng.choice(["a", "a", "a", "b"]),
+            rng.choice(["s", None]),
+            rng.choice([None, None, "timed out", "bad"]),
+            rng.choice([None, float("nan"), 5.0, 10.0, rng.lognormvariate(4, 2), 1e6]),
+        )
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(rows, "ts timestamp_ntz, gateway string, store_type string, message string, duration_ms double")
+
+
+def rounded(df):
+    return sorted(
+        (tuple(round(v, 6) if isinstance(v, float) else tuple(v) if isinstance(v, list) else v for v in r) for r in df.collect()), key=repr
+    )
+
+
+def test_days_from_hours_equal_days_from_the_log(spark):
+    log = request_log(spark)
+    hourly = retrieval_histogram(log, "1 hour")
+    daily = merge_histograms(hourly, "1 day")
+    assert rounded(daily) == rounded(retrieval_histogram(log, "1 day"))
+    assert rounded(merge_histograms(daily)) == rounded(merge_histograms(hourly)) == rounded(retrieval_histogram(log))
+    assert rounded(merge_histograms(daily, "3 days")) == rounded(retrieval_histogram(log, "3 days"))
+    for r in daily.collect():
+        assert sum(r.buckets) == r.measured <= r.requests
+    assert merge_histograms(hourly.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        retrieval_histogram(log, boundaries=(5, 5))
+
+
+def test_quantiles_lie_in_the_right_bucket(spark):
+    rng = random.Random(8)
+    values = [rng.lognormvariate(5, 1.5) for _ in range(999)]
+    log = spark.createDataFrame([(datetime(2024, 1, 1), "a", "s", None, v) for v in values], "ts timestamp_ntz, gateway string, store_type string, message string, duration_ms double")
+    quantiles = (0.0, 0.01, 0.5, 0.9, 0.99, 1.0)
+    got = retrieval_histogram(log).select(*[histogram_quantile(q) for q in quantiles]).first()
+    edges = [min(values), *(b for b in (5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 7500, 10_000) if min(values) < b < max(values)), max(values)]
+    for q, found in zip(quantiles, got, strict=True):
+        true = sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+        low, high = next((a, b) for a, b in zip(edges, edges[1:]) if a <= true <= b)
+        assert low - 1e-9 <= found <= high + 1e-9
+    none = log.withColumn("duration_ms", F.lit(None).cast("double"))
+    assert retrieval_histogram(none).select(histogram_quantile(0.5)).first()[0] is None
+
+
+def test_histograms_of_a_stream(spark, tmp_path):
+    path = str(tmp_path / "requests")
+    log = request_log(spark, 300).withColumn("ts", F.col("ts").cast("timestamp"))
+    log.repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = drain(retrieval_histogram(stream, "1 hour", "10 days"), "hours", "complete")
+    assert rounded(merge_histograms(got, "1 day")) == rounded(retrieval_histogram(log, "1 day"))

@@ -17,8 +17,9 @@ from gridloom.functions import (
 from gridloom.operators import introspect
 from gridloom.operators.concat import VariantCells, concat_cutoff, concat_tagged, concat_variants
 from gridloom.operators.points import points, points_missed, snap_points
-from gridloom.sources.chunks import ChunkAxis, explode_chunks
-from gridloom.streaming import retrieval_rollup
+from gridloom.plans.sizing import settle
+from gridloom.sources.chunks import ChunkAxis, ChunkGrid, explode_chunks
+from gridloom.streaming import merge_histograms, retrieval_histogram, retrieval_rollup
 
 from .fixtures import ctes, fixture, table
 from .registry import query
@@ -239,6 +240,53 @@ def points_missed_query(spark, sf_dir):
     return points_missed(*_points(spark, sf_dir), tolerance=0.05)
 
 
+# Points of which a third is on one place.
+_CROWD = """, query_points AS (
+  SELECT c_custkey AS point_id,
+    CASE WHEN c_custkey % 3 = 0 THEN 10.1 ELSE CAST((c_custkey * 37 % 500) * 0.25 - 60 AS DOUBLE) + 0.03125 END AS latitude,
+    CASE WHEN c_custkey % 3 = 0 THEN -1.2 ELSE CAST((c_custkey * 11 % 64) * 0.25 - 8 AS DOUBLE) - 0.0625 END AS longitude
+  FROM customer)"""
+
+
+def crowd(spark, sf_dir):
+    """The same points, kept apart from the cells of their places."""
+    key = F.col("c_custkey")
+    wanted = table(spark, sf_dir, "customer").select(
+        key.alias("point_id"),
+        F.when(key % 3 == 0, 10.1).otherwise((key * 37 % 500) * 0.25 - 60 + 0.03125).alias("latitude"),
+        F.when(key % 3 == 0, -1.2).otherwise((key * 11 % 64) * 0.25 - 8 - 0.0625).alias("longitude"),
+    )
+    return grid(spark, sf_dir).points(wanted, expand=False)
+
+
+@query(
+    "points_per_point",
+    ctes("grid")
+    + _CROWD
+    + _SNAP
+    + """SELECT point_id, point_latitude, point_longitude, latitude, longitude, count(*) AS n, max(temperature) AS warmest, min(time) AS since
+FROM snapped JOIN grid USING (latitude, longitude) GROUP BY ALL""",
+)
+def points_per_point(spark, sf_dir):
+    """A summary of each point's cells, made once for all the points of a place."""
+    return crowd(spark, sf_dir).per_point(
+        F.count("*").alias("n"), F.max("temperature").alias("warmest"), F.min("time").alias("since")
+    )
+
+
+@query(
+    "points_totals",
+    ctes("grid")
+    + _CROWD
+    + _SNAP
+    + """SELECT time, count(humidity) AS n, sum(humidity) AS total, sum(humidity) / count(humidity) AS mean, min(humidity) AS lowest,
+  max(humidity) AS highest FROM snapped JOIN grid USING (latitude, longitude) GROUP BY time""",
+)
+def points_totals(spark, sf_dir):
+    """Totals over all points by time, weighted by the points of each place."""
+    return crowd(spark, sf_dir).totals("humidity", by=("time",))
+
+
 # --- concatenation -----------------------------------------------------------
 
 _CONCAT = """SELECT variant, event_id, latitude, longitude, time, value FROM variants
@@ -454,6 +502,38 @@ def explode_chunks_irregular(spark, sf_dir):
     return explode_chunks(table(spark, sf_dir, "embeddings"), "embedding", "temperature", axes, keep)
 
 
+_CHUNK_SQL = """SELECT CAST((vec_id % 500) * 0.25 - 60 AS DOUBLE) AS latitude,
+  CAST(j * 0.25 - 8 AS DOUBLE) AS longitude, CAST(vec_id // 500 AS BIGINT) AS step, CAST(v AS DOUBLE) AS temperature
+FROM (SELECT vec_id, unnest(range(len(embedding))) AS j, unnest(embedding) AS v FROM embeddings)"""
+
+
+def chunk_grid(spark, sf_dir) -> ChunkGrid:
+    """Each vector as a chunk of one latitude."""
+    vec = F.col("vec_id")
+    axes = [
+        ChunkAxis("latitude", F.pmod(vec, F.lit(500)) * F.lit(0.25) - F.lit(60.0), F.lit(0.25), 1),
+        ChunkAxis("longitude", -8.0, 0.25, size=64),
+    ]
+    keep = {"step": F.floor(vec / 500).cast("long")}
+    return ChunkGrid(table(spark, sf_dir, "embeddings"), "embedding", "temperature", axes, keep)
+
+
+@query("chunk_box", f"SELECT * FROM ({_CHUNK_SQL}) WHERE latitude BETWEEN -31.1 AND 12.25 AND longitude BETWEEN -3 AND 1.6")
+def chunk_box(spark, sf_dir):
+    """A box over chunks: those outside are left alone, the others are cut before the explosion."""
+    return chunk_grid(spark, sf_dir).select({"latitude": (-31.1, 12.25), "longitude": (-3, 1.6)})
+
+
+@query(
+    "chunk_nearest",
+    f"""WITH cells AS ({_CHUNK_SQL}) SELECT * FROM cells WHERE latitude = {nearest_sql('cells', 'latitude', 10.125)}
+  AND longitude = {nearest_sql('cells', 'longitude', 3.3)}""",
+)
+def chunk_nearest(spark, sf_dir):
+    """The nearest place of a grid in chunks, found from their origins."""
+    return chunk_grid(spark, sf_dir).nearest({"latitude": 10.125, "longitude": 3.3})
+
+
 # --- functions ---------------------------------------------------------------
 
 
@@ -588,3 +668,26 @@ def retrieval_rollup_query(spark, sf_dir):
 def retrieval_rollup_daily(spark, sf_dir):
     rows = retrieval_rollup(fixture(spark, sf_dir, "retrieval_log"), window="1 day")
     return rows.withColumn("sum_ms", F.round("sum_ms", 2))
+
+
+_BUCKETS = ", ".join(
+    f"count(*) FILTER (duration_ms > {low} AND duration_ms <= {high}) AS upto_{high}" for low, high in ((-1e9, 5), (5, 50), (50, 250))
+)
+
+
+@query(
+    "retrieval_histogram_daily",
+    ctes("retrieval_log")
+    + f"""SELECT date_trunc('day', ts) AS window_start, gateway, store_type, {_STATUS} AS status, count(*) AS requests,
+  count(duration_ms) AS measured, min(duration_ms) AS min_ms, max(duration_ms) AS max_ms, round(sum(duration_ms), 2) AS sum_ms,
+  {_BUCKETS}, count(*) FILTER (duration_ms > 250) AS above FROM retrieval_log GROUP BY 1, 2, 3, 4""",
+)
+def retrieval_histogram_daily(spark, sf_dir):
+    """Daily distributions of durations, rolled up from an hourly state and not from the log."""
+    boundaries = (5, 50, 250)
+    hourly = settle(retrieval_histogram(fixture(spark, sf_dir, "retrieval_log"), "1 hour", boundaries=boundaries))
+    daily = merge_histograms(hourly, "1 day", boundaries)
+    names = [f"upto_{b}" for b in boundaries] + ["above"]
+    return daily.withColumn("sum_ms", F.round("sum_ms", 2)).select(
+        *[c for c in daily.columns if c != "buckets"], *[F.get("buckets", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    )
