@@ -33,6 +33,7 @@ from .plans.resolution import (
 )
 from .plans.sizing import BROADCAST_ROWS, fits, settle
 from .plans.walk import load_catalog
+from .sources.series import KeptSeries
 
 _REQUEST_SCHEMA = T.StructType(
     [T.StructField("request_id", T.LongType())]
@@ -266,6 +267,30 @@ class GridEngine:
         several = listed.join(groups.select(*name), name, "left_semi")
         return self._concatenate_many(several, dimension, tuple(name))
 
+    def update_series(self, series: KeptSeries, since: int = 0) -> int:
+        """Bring a kept series up to date with the writes after a commit of the store; returns the
+        store's last commit, to go on from.
+
+        The series are those of ``auto_concatenate_many``. Of datasets that were only added to, the
+        added cells are read, of replaced ones all, and of others what a falling cut-off uncovers.
+        """
+        head = self.store.head()
+        listed = concatenable_items(self.items, self.item_links)
+        groups = concatenation_groups(listed).where(F.col("concat_dimension") == series.dim)
+        name = ["collection", "dataset"]
+        once = listed.join(groups.select(*name), name, "left_semi").groupBy(*name, "variant", "cid").agg(
+            F.min("concat_priority").alias("concat_priority"), F.min("ord").alias("ord")
+        )
+        once = settle(once.where(F.col("cid") > ""))
+        changed = settle(once.join(self.store.changes(since), "cid"))
+        source = self.store.table(once).join(once, "cid").drop("cid")
+        for mode, replaced in (("overwrite", True), ("append", False)):
+            part = changed.where(F.col("replaced") == replaced).drop("replaced")
+            if not part.isEmpty():
+                cells = self.store.table(part, since=since).join(part, "cid").drop("cid")
+                series.apply(cells, mode, source)
+        return head
+
     def select_dataset(
         self, request: DatasetRequest, auto_concatenate: bool = False, **selection
     ) -> GridDataset:

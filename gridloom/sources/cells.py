@@ -309,14 +309,25 @@ class CellStore:
         """One row per visible write of a dataset: ``cid``, columns, dimensions, ``token`` and ``number``."""
         return _datasets(self.spark, self.root)
 
-    def files(self, bounds: Bounds | None = None, cids: DataFrame | None = None) -> DataFrame:
+    def head(self) -> int:
+        """Number of the last commit; 0 before the first."""
+        return CommitLog(self.spark, self.root).head()
+
+    def changes(self, since: int = 0) -> DataFrame:
+        """``(cid, replaced)`` of the datasets written after a commit: replaced, or only added to."""
+        later = self.datasets().where(F.col("number") > since)
+        return later.groupBy(CID).agg(F.bool_or(F.col("mode") != APPEND).alias("replaced"))
+
+    def files(self, bounds: Bounds | None = None, cids: DataFrame | None = None, since: int = 0) -> DataFrame:
         """One row per visible file: ``cid``, ``year``, ``path``, rows ``n`` and ``zones``.
 
         ``bounds`` keeps the files that may hold a cell within them, ``cids`` those of the
-        datasets of a table with a ``cid`` column. Ends are numbers as ``zone_number`` makes them.
+        datasets of a table with a ``cid`` column, ``since`` those of later commits. Ends are numbers
+        as ``zone_number`` makes them.
         """
         rows = _read(self.spark, f"{self.root}/files", _FILES)
-        rows = rows.join(self.datasets().select(CID, TOKEN), [CID, TOKEN], "left_semi")
+        visible = self.datasets().where(F.col("number") > since)
+        rows = rows.join(visible.select(CID, TOKEN), [CID, TOKEN], "left_semi")
         if bounds:
             rows = rows.where(_meets([[bounds]]))
         return rows.join(cids.select(CID), CID, "left_semi") if cids is not None else rows
@@ -385,17 +396,17 @@ class CellStore:
         """The cells as they were written."""
         return self.open(cid).cells.drop(YEAR_PARTITION)
 
-    def table(self, cids: DataFrame | None = None, bounds: Bounds | None = None) -> DataFrame:
+    def table(self, cids: DataFrame | None = None, bounds: Bounds | None = None, since: int = 0) -> DataFrame:
         """Cells of all datasets with their ``cid``: a column that a dataset lacks is NULL.
 
-        ``cids`` (a table with a ``cid`` column) and ``bounds`` leave out files that hold nothing
-        else; they are no filter on the cells of the files that stay. Superseded
+        ``cids`` (a table with a ``cid`` column), ``bounds`` and ``since`` (a commit) leave out files that hold
+        nothing else; they are no filter on the cells of the files that stay. Superseded
         writes and other datasets are not listed: the file table names what is opened.
         """
         visible = self.datasets()
         fields = _union_of([r[0] for r in visible.select(F.explode("fields")).distinct().collect()])  # a row per column
         schema = T.StructType([*fields, T.StructField(CID, T.StringType())])
-        chosen = [r[0] for r in self.files(bounds, cids).select("path").collect()]  # the files to be opened
+        chosen = [r[0] for r in self.files(bounds, cids, since).select("path").collect()]  # the files to be opened
         return self._opened(schema, chosen).select(CID, *[f.name for f in fields])
 
     def axis_table(self, dim: str) -> DataFrame:

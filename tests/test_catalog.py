@@ -1,9 +1,10 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom import CatalogKeys, StacLoadError
+from gridloom import CatalogKeys, StacLoadError, WriteConflictError
 from gridloom.plans.concatenable import concatenable_items
 from gridloom.plans.listing import (
     catalog_key_differences,
@@ -14,6 +15,8 @@ from gridloom.plans.listing import (
 )
 from gridloom.plans.resolution import resolve_datasets, resolve_datasets_api
 from gridloom.plans.walk import catalog_walk, load_catalog
+from gridloom.sources.commits import CommitLog
+from gridloom.sources.nodes import CatalogStore
 from tests.conftest import collected, plan_of
 
 ITEM = (
@@ -296,3 +299,77 @@ def test_resolution_through_the_walked_tree(spark, docs):
     assert collected(out.select("request_id", "status", F.coalesce("collection_id", F.lit("-")))) == [
         (0, "ok", "one_a"), (1, "no_data_asset", "two_c"), (2, "dataset_not_found", "one_b"), (3, "ambiguous_variant", "one_a"),
     ]
+
+
+# --- kept catalogs -----------------------------------------------------------
+
+TABLES = ("organizations", "collections", "item_links", "items", "declared", "declared_datasets", "categories", "broken_links")
+
+
+def all_rows(tree):
+    return {t: sorted(map(repr, getattr(tree, t).collect())) for t in TABLES}
+
+
+def test_kept_catalog_equals_a_full_walk_after_any_edits(spark, tmp_path):
+    rng = random.Random(12)
+    keys = CatalogKeys("x")
+    store = CatalogStore(spark, str(tmp_path / "nodes"), keys)
+    documents = {(href, 0): json.dumps(body) for href, body in tree_documents().items()}
+    documents["i8", 0] = '{"id": "cut'
+    held = {}
+    for step in range(4):
+        df = spark.createDataFrame([(h, p, b, "extra") for (h, p), b in documents.items()], "href string, part int, body string, hash string")
+        got = store.refresh(df)
+        differ = {k for k in documents.keys() | held.keys() if documents.get(k) != held.get(k)}
+        assert {(r.href, r.part) for r in got.changes.collect()} == differ
+        assert got.number == step + 1
+        # Only what differs was parsed and written.
+        batch = spark.read.parquet(f"{store.root}/nodes").join(CommitLog(spark, store.root).entries(), "token").where(F.col("number") == got.number)
+        assert {(r.href, r.part): r.gone for r in batch.collect()} == {k: k not in documents for k in differ}
+        assert all_rows(store.walk("r")) == all_rows(catalog_walk(df, "r", keys))
+        held = dict(documents)
+        links = tree_documents()["c1"]["links"]
+        for _ in range(3):
+            act = rng.randrange(5)
+            name = rng.choice(["i1", "i2", "i3", "c2", "i9", "o1"])
+            if act == 0:
+                documents.pop((name, 0), None)
+            elif act == 1:
+                documents[name, 0] = json.dumps({"id": f"one_a-n{step}", "properties": {"x:variant": f"v{step}"}, "assets": {"data": {"href": f"ipfs://{step}"}}})
+            elif act == 2:
+                documents["c1", 0] = json.dumps({"id": "one_a", "title": f"T{step}", "links": rng.sample(links, 3)})
+            elif act == 3:
+                documents["c1", 1] = json.dumps({"id": "one_a", "links": rng.sample(links, 2)})
+            else:
+                documents[name, 0] = "no json"
+        documents["i3", 0] = json.dumps({"id": f"two_c-t{step}", "properties": {}, "assets": {}})
+    assert store.refresh(spark.createDataFrame([(h, p, b) for (h, p), b in held.items()], "href string, part int, body string")).number is None
+    before = all_rows(store.walk("r"))
+    store.compact()
+    assert all_rows(store.walk("r")) == before and CommitLog(spark, store.root).entries().count() == 1
+    assert store.refresh(spark.createDataFrame([], "href string, body string")).number == 6
+    assert store.parsed().count() == 0
+
+
+def test_repeated_and_nameless_documents(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "nodes"), CatalogKeys("x"))
+    rows = [("a", '{"id": "1", "links": []}'), ("a", '{"id": "1", "links": []}'), (None, "{}"), ("b", None)]
+    df = spark.createDataFrame(rows, "href string, body string")
+    assert collected(store.refresh(df).changes) == [("a", 0, "inserted"), ("b", 0, "inserted")]
+    assert store.refresh(df).number is None and store.parsed().count() == 2
+
+
+def test_two_refreshes_at_once(spark, tmp_path, monkeypatch):
+    store = CatalogStore(spark, str(tmp_path / "nodes"), CatalogKeys("x"))
+    one, two = (spark.createDataFrame([(h, "{}")], "href string, body string") for h in "ab")
+    append = CommitLog.append
+
+    def late(self, number, token, mode):
+        monkeypatch.setattr(CommitLog, "append", append)
+        store.refresh(two)
+        return append(self, number, token, mode)
+
+    monkeypatch.setattr(CommitLog, "append", late)
+    with pytest.raises(WriteConflictError):
+        store.refresh(one)
+    assert collected(store.hashes().select("href")) == [("b",)]

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators.concat import VariantCells, concat_order, concat_tagged, concat_variants
+from gridloom.sources.commits import CommitLog
+from gridloom.sources.series import KeptSeries
 from tests.conftest import collected, plan_of
 
 SCHEMA = "latitude double, time double, v string"
@@ -130,3 +132,84 @@ def test_cutoff_reaches_the_scan(spark, tmp_path):
     plan = plan_of(joined)
     assert "Join" not in plan and "GreaterThan(time,ScalarSubquery" in plan
     assert joined.count() == 51 + 40
+
+
+# --- kept series ---------------------------------------------------------------
+
+TAGGED = "g string, variant string, concat_priority double, ord long, time double, v string"
+
+
+def joined_by_hand(source):
+    """The series of each group, as ``by_hand`` makes it of all variants in it."""
+    out = []
+    for g in {k[0] for k in source}:
+        mine = sorted((k[1], x) for k, x in source.items() if k[0] == g)
+        ranked = sorted(mine, key=lambda m: (float("inf") if m[1]["p"] is None else m[1]["p"], m[1]["ord"], m[0]))
+        last = None
+        for name, x in ranked:
+            out += [(g, name, t, v) for t, v in x["rows"] if last is None or t > last]
+            last = max([t for t, _ in x["rows"]] + ([] if last is None else [last]), default=None)
+    return sorted(out)
+
+
+def tagged_rows(spark, source, names):
+    rows = [(g, n, source[g, n]["p"], source[g, n]["ord"], t, v) for g, n in names for t, v in source[g, n]["rows"]]
+    return spark.createDataFrame(rows, TAGGED)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_kept_series_equal_a_full_join_after_any_writes(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    series = KeptSeries(spark, str(tmp_path / "series"), group=("g",))
+    priorities = {n: rng.choice([None, 1.0, 2.0, 2.0, 5.0]) for n in "abcd"}
+    source = {}
+    for step in range(7):
+        mode = rng.choice(["append", "append", "overwrite"])
+        names = {(rng.choice("xy"), rng.choice("abcd")) for _ in range(rng.choice([1, 1, 2]))}
+        delta = {}
+        for k in names:
+            first = rng.randrange(0, 30)
+            rows = [(float(t), f"{k}{step}:{t}") for t in rng.sample(range(first, first + 12), rng.randrange(1, 6))]
+            delta[k] = {"p": priorities[k[1]], "ord": "dbca".index(k[1]), "rows": rows}
+            old = source.get(k, {"rows": []})["rows"] if mode == "append" else []
+            source[k] = {**delta[k], "rows": old + rows}
+        number = series.apply(tagged_rows(spark, delta, sorted(delta)), mode, tagged_rows(spark, source, sorted(source)))
+        assert number == step + 1
+        assert collected(series.read()) == joined_by_hand(source), step
+    series.compact()
+    assert collected(series.read()) == joined_by_hand(source)
+    for k in source:
+        source[k]["rows"] = source[k]["rows"][:1]
+    series.apply(tagged_rows(spark, source, sorted(source)), "overwrite")
+    assert collected(series.read()) == joined_by_hand(source)
+
+
+def test_an_update_writes_what_it_adds(spark, tmp_path):
+    series = KeptSeries(spark, str(tmp_path / "series"), group=("g",))
+    source = {
+        ("x", "fin"): {"p": 1.0, "ord": 0, "rows": [(float(t), f"f{t}") for t in range(50)]},
+        ("x", "non"): {"p": 2.0, "ord": 1, "rows": [(float(t), f"n{t}") for t in range(40, 80)]},
+    }
+
+    def batch(number):
+        token = {r.number: r.token for r in CommitLog(spark, series.root).entries().collect()}[number]
+        return spark.read.parquet(f"{series.root}/cells/token={token}")
+
+    series.apply(tagged_rows(spark, source, sorted(source)))
+    assert batch(1).count() == 80
+    # The preferred variant reaches further: its cells are added, the other's are only hidden.
+    more = {("x", "fin"): {"p": 1.0, "ord": 0, "rows": [(float(t), f"f{t}") for t in range(50, 70)]}}
+    series.apply(tagged_rows(spark, more, sorted(more)))
+    assert batch(2).count() == 20 and series.read().where("variant = 'non'").count() == 10
+    # Replaced by a shorter one: of the other variant only what is not held is fetched.
+    short = {**source, ("x", "fin"): {"p": 1.0, "ord": 0, "rows": [(float(t), f"s{t}") for t in range(45)]}}
+    with pytest.raises(ValueError):
+        series.apply(tagged_rows(spark, short, [("x", "fin")]), "overwrite")
+    series.apply(tagged_rows(spark, short, [("x", "fin")]), "overwrite", tagged_rows(spark, short, sorted(short)))
+    assert batch(3).count() == 45 + 5
+    assert collected(series.read()) == joined_by_hand(short)
+    with pytest.raises(ValueError):
+        series.apply(spark.createDataFrame([("x", "fin", 1.0, 0, "2020", "v")], TAGGED.replace("time double", "time string")))
+    odd = spark.createDataFrame([("x", "odd", None, 9, None, "a"), ("x", "odd", None, 9, float("nan"), "b"), ("x", "odd", None, 9, 99.0, "c")], TAGGED)
+    series.apply(odd)
+    assert collected(series.read().where("variant = 'odd'"), "time") == [(99.0,)]

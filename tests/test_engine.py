@@ -11,6 +11,7 @@ from gridloom import (
     read_cells,
     write_cells,
 )
+from gridloom.sources.series import KeptSeries
 from tests.conftest import collected, plan_of
 
 ITEMS = [
@@ -150,6 +151,29 @@ def test_concatenate_all(engine):
     ]
 
 
+def test_series_follow_the_store(spark, cells, tmp_path):
+    root = str(tmp_path / "grids")
+    late = cells.where("cid = 'fin' AND time > '2023-02-10'")
+    write_cells(cells.join(late, ["cid", "latitude", "longitude", "time"], "left_anti"), root)
+    items = spark.createDataFrame(ITEMS, "ord long, collection string, id string, data_href string, concat_priority double")
+    engine = GridEngine(spark, items, CellStore(spark, root))
+    series = KeptSeries(spark, str(tmp_path / "series"))
+
+    def same():
+        columns = ["collection", "dataset", "variant", "latitude", "longitude", "time", "temperature", "origin"]
+        assert collected(series.read(), *columns) == collected(engine.auto_concatenate_many(), *columns)
+
+    seen = engine.update_series(series)
+    same()
+    write_cells(late, root, mode="append")
+    assert engine.update_series(series, seen) == seen + 1
+    same()
+    write_cells(cells.where("cid = 'fin' AND time < '2023-01-20'"), root, mode="overwrite")
+    assert engine.update_series(series, seen + 1) == seen + 2
+    same()
+    assert engine.update_series(series, seen + 2) == seen + 2 and series.read().count() > 0
+
+
 def test_store_layout_prunes(spark, cells, tmp_path):
     root = str(tmp_path / "grids")
     late = cells.where("cid = 'fin'").withColumn("time", F.expr("time + INTERVAL '3' YEAR"))

@@ -49,6 +49,7 @@ from gridloom.plans.resolution import (
 from gridloom.plans.sizing import shared_dir
 from gridloom.plans.walk import load_catalog
 from gridloom.sources.cells import write_cells
+from gridloom.sources.nodes import CatalogStore
 
 from .fixtures import ROOT, ctes, documents, fixture, table
 from .registry import query
@@ -448,6 +449,24 @@ def catalog_walk_query(spark, sf_dir):
     )
 
 
+@query(
+    "catalog_refresh",
+    ctes("items")
+    + f"""SELECT collection, id, replace(variant, 'finalized', 'patched') AS variant, data_href
+FROM items WHERE {_READABLE} AND ord % 10 <> 3""",
+)
+def catalog_refresh_query(spark, sf_dir):
+    """The items of a kept catalog after an edit: some documents gone, some changed, the others not read again."""
+    docs = documents(spark, sf_dir)
+    store = CatalogStore(spark, f"{shared_dir(spark)}/nodes-{uuid.uuid4()}", KEYS)
+    store.refresh(docs)
+    item = F.col("href").startswith("ipfs://item-")
+    gone = item & F.col("href").endswith("3")
+    edited = docs.where(~gone).withColumn("body", F.when(item, F.regexp_replace("body", '(variant":"[a-z_]*)finalized', "$1patched")).otherwise(F.col("body")))
+    store.refresh(edited)
+    return store.walk(ROOT).items.select("collection", "id", "variant", "data_href")
+
+
 @query(
     "walk_join",
     ctes("items")

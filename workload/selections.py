@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +19,9 @@ from gridloom.functions import (
 from gridloom.operators import introspect
 from gridloom.operators.concat import VariantCells, concat_cutoff, concat_tagged, concat_variants
 from gridloom.operators.points import points, points_missed, snap_points
-from gridloom.plans.sizing import settle
+from gridloom.plans.sizing import settle, shared_dir
 from gridloom.sources.chunks import ChunkAxis, ChunkGrid, explode_chunks
+from gridloom.sources.series import KeptSeries
 from gridloom.streaming import merge_histograms, retrieval_histogram, retrieval_rollup
 
 from .fixtures import ctes, fixture, table
@@ -323,6 +326,20 @@ def concat_cutoff_query(spark, sf_dir):
     return concat_cutoff(fixture(spark, sf_dir, "variants"))
 
 
+@query("kept_series", ctes("variants") + _CONCAT)
+def kept_series(spark, sf_dir):
+    """The same series, kept and brought up to date by three writes in another order."""
+    tagged = fixture(spark, sf_dir, "variants").select(
+        F.lit("events").alias("collection"), "variant", "concat_priority", F.lit(0).alias("ord"), "event_id", "latitude", "longitude", "time", "value"
+    )
+    series = KeptSeries(spark, f"{shared_dir(spark)}/series-{uuid.uuid4()}", group=("collection",))
+    final, early = F.col("variant") == "finalized", F.col("time") < F.lit("2024-01-17").cast("timestamp_ntz")
+    series.apply(tagged.where(final & early))
+    series.apply(tagged.where(~final))
+    series.apply(tagged.where(final & ~early))
+    return series.read().drop("collection")
+
+
 @query(
     "concat_order",
     ctes("items")
