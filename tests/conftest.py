@@ -30,12 +30,12 @@ def grid_rows(lats, lons, value):
 @pytest.fixture(scope="session")
 def small_grid(spark):
     """Three by three grid with two variables and their attributes."""
-    temperature = [[20, 21, 22], [19, 20, 21], [18, 19, 20]]
-    humidity = [[60, 65, 70], [62, 67, 72], [64, 69, 74]]
+    temperature = [[11, 14, 13], [9, 12.5, 16], [8, 7, 15]]
+    humidity = [[41, 38, 55], [47, 33, 52], [36, 58, 49]]
     rows = [
         (lat, lon, float(temperature[i][j]), float(humidity[i][j]))
-        for i, lat in enumerate((40.0, 40.5, 41.0))
-        for j, lon in enumerate((-74.0, -73.5, -73.0))
+        for i, lat in enumerate((50.0, 50.5, 51.0))
+        for j, lon in enumerate((6.0, 6.5, 7.0))
     ]
     df = spark.createDataFrame(rows, "latitude double, longitude double, temperature double, humidity double")
     return df.withMetadata("temperature", {"units": "celsius", "description": "Temperature"}).withMetadata(
@@ -47,10 +47,10 @@ def small_grid(spark):
 def sample(spark):
     """Four records of one variable at two places."""
     rows = [
-        (40.75, -73.99, "2023-01-01T00:00:00Z", 10.0),
-        (40.75, -73.99, "2023-01-04T00:00:00Z", 12.0),
-        (40.75, -73.99, "2023-01-07T00:00:00Z", 9.0),
-        (34.05, -118.25, "2023-01-01T00:00:00Z", 2.0),
+        (50.75, 6.01, "2023-01-01T00:00:00Z", 4.25),
+        (50.75, 6.01, "2023-01-04T00:00:00Z", 6.5),
+        (50.75, 6.01, "2023-01-07T00:00:00Z", 3.0),
+        (-12.5, 77.0, "2023-01-01T00:00:00Z", 1.5),
     ]
     df = spark.createDataFrame(rows, "latitude double, longitude double, time string, precipitation double")
     return df.withColumn("time", df.time.cast("timestamp"))

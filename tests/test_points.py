@@ -21,10 +21,10 @@ def nearest(axis, x):
 @pytest.mark.parametrize(
     "lats, lons, kw",
     [
-        ([40.0, 40.5], [-74.0], {}),
+        ([50.0, 50.5], [6.0], {}),
         ([], [], {}),
-        ([40.0], [-74.0], {"epsg_crs": 3857}),
-        (40.0, -74.0, {}),
+        ([50.0], [6.0], {"epsg_crs": 3857}),
+        (50.0, 6.0, {}),
     ],
 )
 def test_point_lists_are_checked(small_grid, lats, lons, kw):
@@ -34,30 +34,30 @@ def test_point_lists_are_checked(small_grid, lats, lons, kw):
 
 def test_points_on_and_off_the_grid(small_grid):
     ds = GridDataset(small_grid)
-    got = ds.points([40.0, 40.5], [-74.0, -73.5])
-    assert collected(got.df, "point_id", "temperature", "humidity") == [(0, 20.0, 60.0), (1, 20.0, 67.0)]
+    got = ds.points([50.0, 50.5], [6.0, 6.5])
+    assert collected(got.df, "point_id", "temperature", "humidity") == [(0, 11.0, 41.0), (1, 12.5, 33.0)]
     assert got.variables == ["temperature", "humidity"]
-    off = ds.points([40.25], [-73.75]).df  # ties go to the lower values
-    assert collected(off, "latitude", "longitude", "temperature") == [(40.0, -74.0, 20.0)]
+    off = ds.points([50.25], [6.25]).df  # ties go to the lower values
+    assert collected(off, "latitude", "longitude", "temperature") == [(50.0, 6.0, 11.0)]
 
 
 def test_repeated_points_stay_repeated(small_grid):
-    got = GridDataset(small_grid).points([40.0, 40.0, 40.0], [-74.0, -74.0, -74.0])
+    got = GridDataset(small_grid).points([50.0, 50.0, 50.0], [6.0, 6.0, 6.0])
     assert collected(got.df, "point_id") == [(0,), (1,), (2,)]
 
 
 def test_no_snap_uses_the_tolerance(small_grid):
-    lats, lons = [40.0, 40.5 + 1e-4 / 2, 41.2], [-74.0, -73.5, -73.0]
+    lats, lons = [50.0, 50.5 + 1e-4 / 2, 51.2], [6.0, 6.5, 7.0]
     ds = GridDataset(small_grid)
     assert collected(ds.points(lats, lons, snap_to_grid=False).df, "point_id") == [(0,), (1,)]
     wanted = small_grid.sparkSession.createDataFrame(list(zip(range(3), lats, lons)), POINTS)
-    assert collected(ds.points_missed(wanted)) == [(2, 41.2, -73.0)]
+    assert collected(ds.points_missed(wanted)) == [(2, 51.2, 7.0)]
     with pytest.raises(NoDataFoundError):
         GridDataset(small_grid, strict=True).points(lats, lons, snap_to_grid=False)
 
 
 def test_missing_point_coordinates_are_misses(spark, small_grid):
-    wanted = spark.createDataFrame([(0, None, -74.0), (1, float("nan"), -74.0), (2, 40.0, -74.0)], POINTS)
+    wanted = spark.createDataFrame([(0, None, 6.0), (1, float("nan"), 6.0), (2, 50.0, 6.0)], POINTS)
     assert collected(points(small_grid, wanted), "point_id") == [(2,)]
     assert {r[0] for r in points_missed(small_grid, wanted).collect()} == {0, 1}
 
