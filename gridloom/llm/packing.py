@@ -18,6 +18,12 @@ END_ID = 1
 #: Words and ids that a worker remembers before it starts afresh, words encoded in one go, and
 #: characters of text looked up together.
 CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 20, 1 << 24, 1 << 12, 1 << 20
+#: Rows of a batch that a task hands on.
+ROWS = 20_000
+
+
+#: Stands for the end of a document among its words, which hold no white space.
+END = b" "
 
 
 class WordTokens:
@@ -28,18 +34,19 @@ class WordTokens:
     in one call; beyond a number of words or ids the memory of them is given up, which bounds it.
     """
 
-    def __init__(self, tokenizer: str) -> None:
+    def __init__(self, tokenizer: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
+        self.end_id = end_id
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[bytes, int] = {}
+        self.at: dict[bytes, int] = {END: 0}
         self.ids = np.empty(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.ids[0], self.size[0], self.used = self.end_id, 1, 1
 
     def learn(self, words: list[bytes]) -> None:
         """Encode the words as one text; where an id's source begins tells its word."""
@@ -60,52 +67,60 @@ class WordTokens:
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
         self.used += n
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
+    def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For groups of texts, all their ids one after the other, each text's with the end id
+        after them, and how many ids each text has."""
         waiting: list[list[bytes]] = []
         size = 0
         for text in texts:
-            waiting.append((text or "").encode().split())
+            words = (text or "").encode().split()  # bytes split at exactly the ASCII white space
+            words.append(END)
+            waiting.append(words)
             size += len(text or "")
             if size > TOGETHER:
-                yield from self._looked_up(waiting)
+                yield self._looked_up(waiting)
                 waiting, size = [], 0
-        yield from self._looked_up(waiting)
+        if waiting:
+            yield self._looked_up(waiting)
 
-    def _looked_up(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
+    def _looked_up(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.at) > CACHE_WORDS or self.used > CACHE_IDS:
             self.forget()
         words = list(chain.from_iterable(texts))
         which = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(which < 0).tolist()
         if unknown:
-            new = list({words[k] for k in unknown})
+            new = list({words[k]: None for k in unknown})
             for k in range(0, len(new), ENCODED):
                 self.learn(new[k : k + ENCODED])
             which[unknown] = [self.at[words[k]] for k in unknown]
         begin, sizes = self.begin[which], self.size[which]
-        at = 0
-        for text in texts:
-            b, n = begin[at : at + len(text)], sizes[at : at + len(text)]
-            ends = np.cumsum(n)
-            yield self.ids[np.repeat(b - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
-            at += len(text)
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1])]
+        last = ends[np.cumsum([len(t) for t in texts]) - 1]
+        return ids, np.diff(last, prepend=0)
 
 
-_known: dict[str, WordTokens] = {}
+_known: dict[tuple[str, int], WordTokens] = {}
 
 
-def tokens_of(tokenizer: str) -> WordTokens:
+def tokens_of(tokenizer: str, end_id: int = END_ID) -> WordTokens:
     """One memory of words per worker process."""
-    if tokenizer not in _known:
-        _known[tokenizer] = WordTokens(tokenizer)
-    return _known[tokenizer]
+    if (tokenizer, end_id) not in _known:
+        _known[tokenizer, end_id] = WordTokens(tokenizer, end_id)
+    return _known[tokenizer, end_id]
 
 
-def binary_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
-    """``n`` as powers of two in falling order: the longest as often as it fits, then its bits."""
-    rest = n % longest
-    return [longest] * (n // longest) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
+def binary_lengths(lengths: np.ndarray, longest: int = MAX_LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Which text, and how long, each piece is: for every text the longest length as often as it
+    fits, then the powers of two of what is left, in falling order."""
+    whole, rest = lengths // longest, lengths % longest
+    powers = 1 << np.arange(longest.bit_length() - 2, -1, -1)
+    of, power = np.nonzero(rest[:, None] & powers)
+    text = np.concatenate([np.repeat(np.arange(len(lengths)), whole), of])
+    size = np.concatenate([np.full(int(whole.sum()), longest), powers[power]])
+    order = np.argsort(text, kind="stable")
+    return text[order], size[order]
 
 
 def pack(
@@ -130,42 +145,34 @@ def pack(
     numbers = ["start", "length", "ids_crc32", "doc_tokens", "bucket", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(tokenizer)
+        tokens = tokens_of(tokenizer, end_id)
         task = TaskContext.get().partitionId()
-        made = [0] * max_length.bit_length()
+        made = np.zeros(max_length.bit_length(), np.int64)
         for batch in batches:
-            rows: list[tuple[int, ...]] = []
-            from_row: list[int] = []
-            pieces: list[np.ndarray] = []
-
-            def flush():
-                table = np.array(rows, np.int64).reshape(-1, len(numbers))
-                columns = [pa.array(c) for c in table.T.copy()]
+            row = 0
+            for ids, lengths in tokens.encode(x.as_py() for x in batch.column(1)):
+                text, size = binary_lengths(lengths, max_length)
+                ends = np.cumsum(size)
+                begin = ends - size
+                start = begin - (np.cumsum(lengths) - lengths)[text]
+                bucket = np.log2(size).astype(np.int64)
+                nth = np.empty_like(size)
+                for b in np.unique(bucket).tolist():
+                    here = np.flatnonzero(bucket == b)
+                    nth[here] = made[b] + np.arange(len(here))
+                    made[b] += len(here)
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                sums = [zlib.crc32(data[a:b]) for a, b in zip((4 * begin).tolist(), (4 * ends).tolist(), strict=True)]
+                sequence = bucket << 58 | task << 32 | nth
+                columns = [start, size, np.array(sums, np.int64), lengths[text], bucket, sequence, np.zeros_like(size)]
+                arrays = [batch.column(0).take(pa.array(row + text)), *(pa.array(c, pa.int64()) for c in columns)]
                 if with_ids:
-                    columns.append(pa.array(pieces, pa.list_(pa.int32())))
-                return pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(from_row, pa.int64())), *columns], names=names
-                )
-
-            texts = (x.as_py() for x in batch.column(1))
-            for row, found in enumerate(tokens.encode(texts)):
-                ids = np.append(found, np.uint32(end_id)).astype("<u4")
-                start = 0
-                for length in binary_lengths(len(ids), max_length):
-                    bucket = length.bit_length() - 1
-                    part = ids[start : start + length]
-                    sequence = bucket << 58 | task << 32 | made[bucket]
-                    made[bucket] += 1
-                    rows.append((start, length, zlib.crc32(part.tobytes()), len(ids), bucket, sequence, 0))
-                    from_row.append(row)
-                    if with_ids:
-                        pieces.append(part.astype(np.int32))
-                    start += length
-                    if len(rows) == 20_000:
-                        yield flush()
-                        rows, from_row, pieces = [], [], []
-            if rows:
-                yield flush()
+                    cuts = pa.array(np.concatenate([[0], ends]), pa.int32())
+                    arrays.append(pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32))))
+                row += len(lengths)
+                whole = pa.RecordBatch.from_arrays(arrays, names=names)
+                for k in range(0, len(size), ROWS):
+                    yield whole.slice(k, ROWS)
 
     names = ["doc_id", *numbers, *(["ids"] if with_ids else [])]
     schema = ", ".join([f"doc_id {kind}", *(f"{c} long" for c in numbers), *(["ids array<int>"] if with_ids else [])])

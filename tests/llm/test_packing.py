@@ -24,13 +24,27 @@ def library():
 def test_word_by_word_is_the_whole(texts):
     tokens = packing.tokens_of(NAME)
     tokens.forget()
-    for text, ids in zip(texts, tokens.encode(texts), strict=True):
-        assert ids.tolist() == tokens.model.encode(text, add_special_tokens=False).ids
+    assert encoded(tokens, texts) == [tokens.model.encode(text, add_special_tokens=False).ids + [1] for text in texts]
+
+
+def encoded(tokens, texts):
+    """The ids of each text, of whatever groups they come in."""
+    out = []
+    for ids, lengths in tokens.encode(texts):
+        assert len(ids) == lengths.sum()
+        out += [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+    return out
+
+
+def lengths_of(n):
+    text, size = packing.binary_lengths(np.array([3, n, 2048]))
+    assert text.tolist() == sorted(text.tolist()) and size[text == 0].tolist() == [2, 1] and size[text == 2].tolist() == [2048]
+    return size[text == 1].tolist()
 
 
 @given(st.integers(1, 100_000))
 def test_binary_lengths(n):
-    lengths = packing.binary_lengths(n)
+    lengths = lengths_of(n)
     assert sum(lengths) == n and lengths == sorted(lengths, reverse=True)
     assert all(x & (x - 1) == 0 and x <= 2048 for x in lengths)
     assert len(set(lengths)) == len([x for x in lengths if x < 2048]) + (2048 in lengths)
@@ -39,26 +53,28 @@ def test_binary_lengths(n):
 def test_memory_is_given_up(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
     monkeypatch.setattr(packing, "ENCODED", 2)
-    tokens = packing.WordTokens(NAME)
+    tokens = packing.WordTokens(NAME, 1)
     for together in (1, 1 << 20):
         monkeypatch.setattr(packing, "TOGETHER", together)
         texts = ["a b c d e", "f g a", "a b", None, "h i j k <|endoftext|>"]
-        for text, ids in zip(texts, tokens.encode(texts), strict=True):
-            assert ids.tolist() == tokens.model.encode(text or "", add_special_tokens=False).ids
+        want = [tokens.model.encode(text or "", add_special_tokens=False).ids + [1] for text in texts]
+        assert encoded(tokens, texts) == want
 
 
-def test_pieces(spark, library):
+def test_pieces(spark, library, monkeypatch):
     texts = [None, "", "one two three", "word " * 5000, "one two three", "Ünïcode!! 12 <|endoftext|> x"]
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, length int")
-    rows = packing.pack(docs).collect()
+    monkeypatch.setattr(packing, "ROWS", 3)
+    rows = packing.pack(docs, with_ids=True).collect()
     assert len({r.sequence_id for r in rows}) == len(rows)
     for i, text in enumerate(texts):
         ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
-        assert [r.length for r in own] == packing.binary_lengths(len(ids))
+        assert [r.length for r in own] == lengths_of(len(ids))
         for r in own:
             assert r.doc_tokens == len(ids) and r.offset == 0 and 1 << r.bucket == r.length
             assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+            assert r.ids == ids[r.start : r.start + r.length].tolist()
     assert packing.pack(docs.limit(0)).collect() == []
 
 
