@@ -1,7 +1,8 @@
 """Encoding by a SentencePiece BPE model, with the place of every piece in the original bytes.
 
 The model file is read here; its normalisation, its merges and the projection of pieces back
-to the text are done by this module. Only decoding calls the library.
+to the text are done by this module. Ids of plain texts are decoded here as well, by what each
+of them stands for; the tests hold that to the library's decoding.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ import heapq
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +24,9 @@ from pyspark.sql import DataFrame
 SPACE = "▁"  # stands for a space inside pieces
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Chunks that a task remembers before it starts afresh, and the longest of them in characters.
-CACHE_CHUNKS, CACHE_CHARS = 1 << 19, 64
+CACHE_CHUNKS, CACHE_CHARS = 1 << 20, 64
+#: Pieces that such a memory may hold in all, and characters of text that are looked up together.
+CACHE_PIECES, TOGETHER = 1 << 24, 1 << 20
 
 
 class CharacterMap:
@@ -148,7 +151,8 @@ class PieceModel:
         self.cut_spaces = all(SPACE not in p.lstrip(SPACE) for p in self.ids)
         self.cut_lines = all("\n" not in p or p == "\n" for p in self.ids)
         self.plain = not self.normalizer.characters.units and spec.add_dummy_prefix and spec.escape_whitespaces
-        self.plain = self.plain and not spec.remove_extra_whitespaces and self.cut_spaces and self.cut_lines
+        self.plain = self.plain and not spec.remove_extra_whitespaces and self.cut_spaces and self.cut_lines and SPACE in self.ids
+        self.plain = self.plain and len(self.bytes) == 256
         self.known: dict[str, tuple[tuple[int, ...], str, tuple[int, ...]]] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -257,7 +261,102 @@ class PieceModel:
         return out
 
 
+    def normal(self, text: str) -> list[str] | None:
+        """The chunks of a text whose normal form only adds a space and writes spaces as pieces have
+        them; None for any other, which the normaliser has to see."""
+        if not self.plain or SPACE in text:
+            return None
+        if not text:
+            return []
+        normal = SPACE + text.replace(" ", SPACE)
+        if f"{SPACE}{SPACE}" in normal:
+            return self.chunks(normal)
+        return [c for c in normal.replace(SPACE, f" {SPACE}").replace("\n", " \n ").split(" ") if c]
+
+
+class ChunkTable:
+    """The ids of the chunks of plain texts, one after the other, and where each chunk's begin.
+
+    What follows from ids alone is kept by id: decimal text, decoded bytes, and the bytes of the
+    original text that a piece covers. Byte pieces never cross a character, and decoding drops the
+    first space of a text, so a text is decoded by joining the bytes of its ids.
+    """
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model = model
+        n = 1 + max(*model.ids.values(), *model.bytes.values(), model.unknown)
+        self.decimal = [b"%d" % i for i in range(n)]
+        self.decoded = [b""] * n
+        self.covers = np.zeros(n, np.int32)
+        for piece, i in model.ids.items():
+            self.decoded[i] = piece.replace(SPACE, " ").encode()
+        for byte, i in model.bytes.items():
+            self.decoded[i] = bytes([byte])
+        self.covers[:] = [len(d) for d in self.decoded]
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.begin = np.zeros(1 << 14, np.int64)
+        self.count = np.zeros(1 << 14, np.int64)
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.used = 0
+
+    def learn(self, chunks: list[str]) -> None:
+        """Merge chunks that are not known yet."""
+        model, k = self.model, len(self.at)
+        ids: list[int] = []
+        counts: list[int] = []
+        for chunk in chunks:
+            before = len(ids)
+            for symbol in model.merge(chunk):
+                if (piece := model.ids.get(symbol)) is not None:
+                    ids.append(piece)
+                else:
+                    ids.extend(model.bytes[b] for b in symbol.encode())
+            counts.append(len(ids) - before)
+        while k + len(chunks) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.at.update(zip(chunks, range(k, k + len(chunks)), strict=True))
+        self.count[k : k + len(chunks)] = counts
+        self.begin[k : k + len(chunks)] = self.used + np.cumsum([0, *counts[:-1]])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def report(self, texts: list[list[str]]) -> Iterator[tuple[int, str, str, int]]:
+        """Number of ids, digests of ids and decoded text, and checksum of the ends of all pieces."""
+        if len(self.at) > CACHE_CHUNKS or self.used > CACHE_PIECES:
+            self.forget()
+        chunks = list(chain.from_iterable(texts))
+        which = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unknown = np.flatnonzero(which < 0).tolist()
+        if unknown:
+            self.learn(list({chunks[i]: None for i in unknown}))
+            which[unknown] = [self.at[chunks[i]] for i in unknown]
+        begin, count = self.begin[which], self.count[which]
+        at = 0
+        for text in texts:
+            to = at + len(text)
+            b, n = begin[at:to], count[at:to]
+            last = np.cumsum(n)
+            ids = self.ids[np.repeat(b - last + n, n) + np.arange(last[-1] if len(n) else 0)]
+            listed = ids.tolist()
+            # The first byte counted is that of the prefix, which is not in the text.
+            ends = np.cumsum(self.covers[ids], dtype=np.int64) - 1
+            yield (
+                len(listed),
+                hashlib.sha256(b",".join(map(self.decimal.__getitem__, listed))).hexdigest(),
+                hashlib.sha256(b"".join(map(self.decoded.__getitem__, listed))[1:]).hexdigest(),
+                zlib.crc32(ends.astype("<i8", copy=False).tobytes()),
+            )
+            at = to
+
+
 _model: dict[str, PieceModel] = {}
+_table: dict[str, ChunkTable] = {}
 
 
 def model_of(name: str) -> PieceModel:
@@ -267,6 +366,48 @@ def model_of(name: str) -> PieceModel:
     return _model[name]
 
 
+def table_of(name: str) -> ChunkTable:
+    """One memory of chunks per worker process."""
+    if name not in _table:
+        _table[name] = ChunkTable(model_of(name))
+    return _table[name]
+
+
+def reports(texts: Iterable[str | None], model: str) -> Iterator[tuple[int, str, str, int]]:
+    """``ChunkTable.report`` of each text, plain ones together; others go by the normaliser."""
+    pieces, table = model_of(model), table_of(model)
+    waiting: list[list[str] | str] = []
+    size = 0
+
+    def flush() -> Iterator[tuple[int, str, str, int]]:
+        plain = table.report([w for w in waiting if not isinstance(w, str)])
+        for w in waiting:
+            yield odd_report(pieces, w) if isinstance(w, str) else next(plain)
+
+    for text in texts:
+        text = text or ""
+        chunks = pieces.normal(text)
+        waiting.append(text if chunks is None else chunks)
+        size += len(text)
+        if size > TOGETHER:
+            yield from flush()
+            waiting, size = [], 0
+    yield from flush()
+
+
+def odd_report(pieces: PieceModel, text: str) -> tuple[int, str, str, int]:
+    """The same for a text that the normaliser has to see."""
+    spans = pieces.spans(text)
+    ids = [i for i, _, _ in spans]
+    ends = np.array([end for _, _, end in spans], "<i8")
+    return (
+        len(ids),
+        hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+        hashlib.sha256(pieces.decode(ids).encode()).hexdigest(),
+        zlib.crc32(ends.tobytes()),
+    )
+
+
 def plain_spans(found: list, text: str) -> np.ndarray:
     """Ends of all pieces in original bytes, where the normal form only writes spaces as three bytes."""
     sizes = np.fromiter(chain.from_iterable(f[2] for f in found), np.int64)
@@ -286,26 +427,8 @@ def encoded(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = model_of(model)
         for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                text = text.as_py() or ""
-                found, plain = pieces.encode(text)
-                ids = list(chain.from_iterable(f[0] for f in found))
-                decimal = ",".join([f[1] for f in found])
-                if plain:
-                    ends = plain_spans(found, text)
-                else:
-                    ends = np.array([end for _, _, end in pieces.spans(text)], np.int64)
-                rows.append(
-                    (
-                        len(ids),
-                        hashlib.sha256(decimal.encode()).hexdigest(),
-                        hashlib.sha256(pieces.decode(ids).encode()).hexdigest(),
-                        zlib.crc32(ends.astype("<i8").tobytes()),
-                    )
-                )
+            rows = list(reports((text.as_py() for text in batch.column(1)), model))
             n, a, b, c = zip(*rows, strict=True) if rows else ((), (), (), ())
             arrays = [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import struct
+import zlib
 
 import public_tokenizers
 import pytest
@@ -33,6 +35,22 @@ def test_ids_are_the_librarys(text):
     assert ids_of(text) == LIBRARY.encode(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(CHARS), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=6), st.integers(1, 60))
+def test_reports_are_what_the_library_encodes_and_decodes(texts, together):
+    """Also in small groups and with a memory that is given up all the time."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "TOGETHER", together)
+        patch.setattr(pieces, "CACHE_CHUNKS", together)
+        got = list(pieces.reports([None, *texts], MODEL))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for text, (n, ids_sha, decoded_sha, crc) in zip(["", *texts], got, strict=True):
+        ids = LIBRARY.encode(text)
+        ends = [end for _, _, end in pieces.model_of(MODEL).spans(text)]
+        assert (n, ids_sha, decoded_sha) == (len(ids), sha(",".join(map(str, ids))), sha(LIBRARY.decode(ids))), text
+        assert crc == zlib.crc32(struct.pack(f"<{len(ends)}q", *ends))
+
+
 def test_words_and_long_texts(library):
     rng = random.Random(5)
     for n in (0, 1, 2, 50, 5000):
