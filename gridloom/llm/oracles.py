@@ -237,7 +237,7 @@ FROM ruled r LEFT JOIN bad ON r.host = bad.host
 
 ORACLES["op4_host_trust"] = _host_trust()
 
-ORACLES["op2_tool_chat"] = """
+_LINKED = """
 WITH RECURSIVE calls AS (
   SELECT conv_id, turn, conv_id || '-' || turn AS call_id, text,
          row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS nth
@@ -273,9 +273,9 @@ WITH RECURSIVE calls AS (
 SELECT conv_id, turn, part, call_id, status, level, valid, sha256(line) AS line_sha256 FROM rows
 """
 
-ORACLES["op2_tool_chat_whole"] = f"""
+ORACLES["op2_tool_chat"] = f"""
 WITH loose AS (SELECT * FROM conversations WHERE conv_id IS NULL OR turn IS NULL)
-SELECT * FROM ({ORACLES["op2_tool_chat"]}) WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+SELECT * FROM ({_LINKED}) WHERE conv_id IS NOT NULL AND turn IS NOT NULL
 UNION ALL
 SELECT conv_id, turn, 'call', NULL, 'open', NULL, coalesce(length(text) BETWEEN 1 AND 300 AND turn >= 0, false),
        sha256('{{"arguments":{{' || concat_ws(',', '"question":' || CAST(to_json(text) AS VARCHAR), '"turn":' || turn)

@@ -42,16 +42,7 @@ def op1_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = tool_chat.as_tool_use(table(spark, sf_dir, "conversations"))
-    rows = tool_chat.linked(calls, results, tool_chat.ASK)
-    return rows.select(
-        "conv_id", "turn", "part", "call_id", "status", "level", "valid", F.sha2("line", 256).alias("line_sha256")
-    )
-
-
-@query
-def op2_tool_chat_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per row of the table, where ``op2_tool_chat`` has keyed user and assistant turns only."""
+    """One row per row of the table: calls, results, and messages of other roles."""
     calls, results, messages = tool_chat.as_chat(table(spark, sf_dir, "conversations"))
     rows = tool_chat.linked(calls, results, tool_chat.ASK, messages)
     return rows.select(

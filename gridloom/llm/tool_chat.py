@@ -16,7 +16,7 @@ from gridloom.llm.common import settled, stored
 
 _TYPES = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
     "boolean": lambda v: isinstance(v, bool),
     "array": lambda v: isinstance(v, list),
@@ -176,16 +176,44 @@ def faults(value: Any, schema: Any, at: str = "$", root: Any = None) -> list[str
     return out
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value: Any) -> str:
-    """JSON with sorted keys, no white space, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """JSON with sorted keys, no white space, and characters as they are; halves of surrogate pairs,
+    which UTF-8 cannot hold, are escaped."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _LONE.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
+def _finite(digits: str) -> float:
+    value = float(digits)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError(f"{digits} is beyond any number")
+    return value
+
+
+def _no_number(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
 
 
 def parsed(text: str | None) -> tuple[Any, bool]:
+    """The value of a JSON text and True, or the text itself and False: where it is no JSON (NaN and
+    infinities are none), holds a number beyond doubles, or is nested too deep to be written again."""
     try:
-        return json.loads(text), True
+        value = json.loads(text, parse_constant=_no_number, parse_float=_finite)
+        canonical(value)
     except (TypeError, ValueError, RecursionError):
         return text, False
+    return value, True
+
+
+def fits(value: Any, schema: Any) -> bool:
+    """Whether a value has no faults. One that is nested too deep to be checked does not fit."""
+    try:
+        return not faults(value, schema)
+    except RecursionError:
+        return False
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -249,6 +277,8 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messa
     without an identifier are ``open`` and ``orphan``. Only first ones are compared, each
     found by an aggregation, so repeated identifiers never multiply.
 
+    Arguments that are no JSON (see ``parsed``) are kept as text and are not valid; 1.0 is an integer.
+
     ``level`` is the place of a first call in topological order (NULL: never ready), its answer
     has the same. ``valid`` tells whether a call's arguments are JSON and fit the schema of its
     tool; unknown tools do not. ``line`` is canonical JSON of the row. ``messages`` has ``(conv_id,
@@ -313,7 +343,7 @@ def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                 part, call, name, body = (x.as_py() for x in (part, call, name, body))
                 if part == "call":
                     value, sound = parsed(body)
-                    valid.append(sound and name in schemas and not faults(value, schemas[name]))
+                    valid.append(sound and name in schemas and fits(value, schemas[name]))
                     lines.append(canonical({"arguments": value, "id": call, "name": name, "type": part}))
                 elif part == "message":
                     valid.append(None)
@@ -367,9 +397,3 @@ def as_chat(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     results = conversations.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
     messages = conversations.where("role IS NULL OR role NOT IN ('user', 'assistant')").select("conv_id", "turn", "role", "text")
     return calls, results, messages
-
-
-def as_tool_use(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The calls and results of ``as_chat`` that have a conversation and a turn, and nothing else."""
-    calls, results, _ = as_chat(conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL"))
-    return calls, results

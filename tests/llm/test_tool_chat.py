@@ -117,6 +117,30 @@ def test_unknown_keywords_are_refused_before_the_job(schema):
         tool_chat.linked(None, None, {"tool": schema})
 
 
+def test_odd_arguments_do_not_end_the_job(spark):
+    """Halves of surrogate pairs, no numbers, numbers beyond doubles, deep and long values."""
+    deep = "[" * 500 + "]" * 500
+    schemas = {
+        "any": {},
+        "tree": {"$ref": "#/$defs/n", "$defs": {"n": {"type": "array", "items": {"$ref": "#/$defs/n"}}}},
+        "whole": {"properties": {"n": {"type": "integer", "enum": [1, 2]}}},
+    }
+    given = [
+        ("any", '{"q":"\\ud800"}', True), ("any", '{"q":NaN}', False), ("any", '{"q":-Infinity}', False), ("any", '{"q":1e400}', False),
+        ("any", "[" * 100_000, False), ("any", "[" * 50_000 + "]" * 50_000, False), ("any", '"' + "x" * 2_000_000 + '"', True),
+        ("any", deep, True), ("tree", "[[],[[]]]", True), ("tree", "[[1]]", False), ("whole", '{"n":1.0}', True), ("whole", '{"n":1.5}', False),
+        ("any", "1" * 5000, False), ("any", '"\\ud83d\\ude00"', True), ("any", None, False), ("any", "", False),
+    ]
+    calls = [(1, k, f"c{k}", name, body, None, "e") for k, (name, body, _) in enumerate(given)]
+    calls.append((1, 99, "c99", "tree", deep, None, "e"))
+    rows = {r.turn: r for r in tool_chat.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), schemas).collect()}
+    assert {k: rows[k].valid for k in range(len(given))} == {k: want for k, (_, _, want) in enumerate(given)}
+    assert rows[99].valid in (True, False)
+    assert '"q":"\\ud800"' in rows[0].line and '"q":NaN' not in rows[1].line.replace('\\"', "") and "😀" in rows[13].line
+    for r in rows.values():
+        json.loads(r.line, parse_constant=lambda name: pytest.fail(name))
+
+
 def test_empty(spark):
     none = tool_chat.linked(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), SCHEMAS)
     assert none.collect() == []
@@ -124,8 +148,10 @@ def test_empty(spark):
 
 def test_turns_as_tool_use(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", None), (1, 2, "system", "s"), (None, 0, "user", "q"), (1, None, "user", "q")]
-    calls, results = tool_chat.as_tool_use(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    out = {r.turn: r for r in tool_chat.linked(calls, results, tool_chat.ASK).collect()}
+    calls, results, messages = tool_chat.as_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    found = tool_chat.linked(calls, results, tool_chat.ASK, messages).collect()
+    assert len(found) == len(rows)
+    out = {r.turn: r for r in found if r.conv_id == 1 and r.part != "message"}
     assert [(out[t].status, out[t].level, out[t].valid) for t in (0, 1, 2)] == [("answered", 0, True), ("answer", 0, None), ("open", 1, False)]
 
 
@@ -146,7 +172,7 @@ def test_every_turn_has_a_row(spark, tmp_path):
     assert said[1, 4, "message"][-1] == '{"content":"n","role":null,"type":"message"}'
     assert said[None, 0, "call"][:4] == (None, "open", None, True) and said[2, None, "call"][:4] == (None, "open", None, False)
     assert said[None, 1, "result"][:3] == said[2, None, "result"][:3] == (None, "orphan", None)
-    name = "op2_tool_chat_whole"
+    name = "op2_tool_chat"
     assert compare(spark, connect(str(tmp_path)), name, QUERIES[name], ORACLES[name], str(tmp_path)) is None
 
 
