@@ -11,6 +11,8 @@ _LINK = r"""["']?\x20*[:=]\x20*["']?"""
 
 #: Kind, pattern, the group whose length counts, the lengths that pass, and what the part is.
 #: Where only runs of some length pass, the pattern asks for it: such a match is the whole run.
+#: Every repeat that may fail after it is bounded, so that the work grows with the text alone; a
+#: scheme has at most 32 characters for that.
 BASE = (
     ("assign", rf"(?i:(password|passwd|secret|token|api_?key)){_LINK}([A-Za-z0-9+/_.=-]+)", 2, "n >= 8", "secret"),
     ("access", r"AKIA[A-Z0-9]{12,}", 0, "n >= 16", "name"),
@@ -19,7 +21,7 @@ BASE = (
 WEAK = (
     ("user", rf"(?i:(access_?key_?id|client_?id|user_?name|user|login)){_LINK}([A-Za-z0-9_.@-]+)", 2, "n >= 3", "name"),
     ("key", r"[A-Za-z0-9+/]{40,}", 0, "n = 40", "secret"),
-    ("endpoint", r"[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", 0, "n >= 8", "endpoint"),
+    ("endpoint", r"[a-z][a-z0-9+.-]{0,31}://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", 0, "n >= 8", "endpoint"),
 )
 KINDS = BASE + WEAK
 
@@ -84,7 +86,8 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     text = Window.partitionBy("doc_id", "th")
     order = ["start", "rank", "end"]
     before = text.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    after = text.orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    # Backwards, as a frame that reaches to the end would be gone through again for each row.
+    after = text.orderBy(*map(F.desc, order)).rowsBetween(Window.unboundedPreceding, -1)
 
     def gap(which: Column) -> Column:
         back = F.col("start") - F.max(F.when(which, F.col("end"))).over(before)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from gridloom.llm import credentials
 
@@ -13,7 +14,7 @@ KINDS = [
     ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 32, "secret"),
     ("user", re.compile(rf"((?i:access_?key_?id|client_?id|user_?name|user|login)){LINK}([A-Za-z0-9_.@-]+)", re.A), lambda m: len(m[2]) >= 3, "name"),
     ("key", re.compile(r"[A-Za-z0-9+/]+"), lambda m: len(m[0]) == 40, "secret"),
-    ("endpoint", re.compile(r"[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+"), lambda m: len(m[0]) >= 8, "endpoint"),
+    ("endpoint", re.compile(r"[a-z][a-z0-9+.-]{0,31}://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+"), lambda m: len(m[0]) >= 8, "endpoint"),
 ]
 
 
@@ -102,3 +103,21 @@ def test_repeated_rows_and_missing_ids(spark):
     assert got == sorted([("1", "assign:0:17"), ("1", "assign:0:17"), ("1", "assign:0:15"), ("None", "assign:0:17"), ("None", "")])
     assert len(credentials.redact(docs).collect()) == 5
     assert credentials.secret_report(docs.limit(0)).collect() == []
+
+
+def test_a_megabyte_without_a_break_takes_no_long(spark):
+    runs = ["a", "f0", "A+", "token ", "user: ", "x.", "://", "AKIA", "password=", "a:/"]
+    docs = spark.createDataFrame([(k, r * (1_000_000 // len(r))) for k, r in enumerate(runs)], "doc_id long, text string")
+    begin = time.monotonic()
+    got = {r.doc_id: r for r in credentials.secret_report(docs).collect()}
+    assert time.monotonic() - begin < 120
+    assert got[1].spans == got[0].spans == "hex:0:1000000"
+
+
+def test_schemes_have_a_bound(spark):
+    near = "user: bob password=hunter22 "
+    for n in (1, 31, 32, 33, 80):
+        text = near + "z" * n + "://host/x"
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert credentials.secret_report(docs).first().spans == joined(found(text))
+        assert f"endpoint:{len(near) + max(0, n - 32)}:" in joined(found(text))
