@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridloom.llm.common import WHITE
+from gridloom.llm.common import WHITE, stored
 
 SYMBOLS = "[#*$%&|<>]"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -133,10 +134,12 @@ def judge(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """``(doc_id, source, *COUNTS, base_failed, host_failed, kept)``, one row per document.
 
     A document is kept unless it fails a base rule itself or its host fails. Documents
-    without a source have no host. Only hosts that failed are joined back.
+    without a source have no host. Texts of any length are measured once, to a narrow table that
+    both hosts and rows are judged from. Only hosts that failed are joined back, as a stored table, so
+    that few of them are broadcast by their measured size and many are not.
     """
-    counts = measured(docs)
-    failed = host_verdicts(counts, max_rate).where("host_failed").select("source", "host_failed")
+    counts = stored(measured(docs))
+    failed = stored(host_verdicts(counts, max_rate).where("host_failed").select("source", "host_failed"))
     base = " OR ".join(f"({RULES[name]})" for name in BASE_RULES)
     out = counts.withColumn("base_failed", F.expr(base)).join(failed, "source", "left")
     out = out.withColumn("host_failed", F.coalesce("host_failed", F.lit(False)))
@@ -144,18 +147,33 @@ def judge(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     return out.select(*columns, (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"))
 
 
-def keep_good(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns.
-
-    Base rules are decided beside the text, so that only host verdicts have to be joined.
-    """
-    failed = host_verdicts(measured(docs), max_rate).where("host_failed").select("source")
+def marked(docs: DataFrame) -> DataFrame:
+    """``(row, source, *COUNTS, good)``: each document measured once; those that fail a base rule
+    leave their counts and no ``row``."""
 
-    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            rows = [text_counts(x.as_py()) for x in batch.column(at)]
+            rows = [text_counts(x.as_py()) for x in batch.column(2)]
             good = [n >= 50 and not 100 * repeats > 50 * n for n, *_, repeats in rows]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            counts = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 6
+            kept = batch.column(0).take(pa.array([i if g else None for i, g in enumerate(good)], pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept, batch.column(1), *counts, pa.array(good, pa.bool_())], names=names)
 
-    return docs.mapInArrow(passes, docs.schema).join(failed, "source", "left_anti").select(*docs.columns)
+    names = ["row", "source", *COUNTS, "good"]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "source", "text")
+    fields = [rows.schema["row"], rows.schema["source"], *(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("good", T.BooleanType())]
+    nullable = [T.StructField(f.name, f.dataType, True) for f in fields]
+    return rows.mapInArrow(run, T.StructType(nullable))
+
+
+def keep_good(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
+    """The documents that ``judge`` keeps, with all their columns.
+
+    One pass measures the texts and writes those that pass the base rules; hosts are judged from the
+    counts beside them. No text is dealt by its host: the hosts that failed come as a stored table, and
+    if they are too many to be broadcast, the engine splits what a hot one has.
+    """
+    rows = stored(marked(docs))
+    failed = stored(host_verdicts(rows.select("source", *COUNTS), max_rate).where("host_failed").select("source"))
+    kept = rows.where("good").join(failed, "source", "left_anti")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
