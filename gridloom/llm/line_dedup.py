@@ -49,8 +49,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = Window.partitionBy("h1", "h2", "run").orderBy(F.desc_nulls_last("doc_id"))
+    # Stored, as dealing in ranges looks at its rows twice and would split and hash all lines twice.
     seen = stored(
-        line_occurrences(docs, min_chars)
+        stored(line_occurrences(docs, min_chars))
         .repartitionByRange(n, "h1", "h2", "run")
         .sortWithinPartitions("h1", "h2", "run", F.desc_nulls_last("doc_id"), "pos")
         .withColumn("nth_doc", F.dense_rank().over(run))
@@ -58,8 +59,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     runs = seen.where("doc_id IS NOT NULL").groupBy("h1", "h2", "run")
     firsts = runs.agg(F.max("doc_id").alias("first"), F.max("nth_doc").alias("docs"))
     keys = firsts.groupBy("h1", "h2").agg(F.max("first").alias("keeper"), F.sum("docs").alias("docs"))
-    frequent = keys.where(F.col("docs") >= min_docs)
-    lost = seen.join(frequent, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    frequent = keys.where(F.col("docs") >= min_docs).select("h1", "h2", "keeper")
+    # Each run learns its keeper, so that the occurrences of a hot key meet it run by run.
+    every = seen.select("h1", "h2", "run").where("run IS NULL").distinct()  # of rows without an id
+    keeper = firsts.select("h1", "h2", "run").union(every).join(frequent, ["h1", "h2"]).select(
+        "h1", "h2", F.coalesce("run", F.lit(-(2**62))).alias("run"), "keeper"
+    )
+    dealt = seen.withColumn("run", F.coalesce("run", F.lit(-(2**62))))
+    lost = dealt.join(keeper, ["h1", "h2", "run"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     words = lost.groupBy("doc_id", "th", F.expr("pos div 64").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")
     )
