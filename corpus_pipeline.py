@@ -41,8 +41,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as pieces of power-of-two lengths, one sequence each."""
-    return packing.pack(docs)
+    """The documents' token ids as pieces of power-of-two lengths, one sequence each; pieces of one
+    ``bucket`` have one length and can be batched as they are."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
