@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import batched, chain, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: Words that a task remembers before it starts afresh, words that are cut into n-grams in one
 #: go, and characters of text looked up together.
 CACHE_WORDS, CUT, TOGETHER = 1 << 19, 1 << 14, 1 << 20
+#: Characters of the words that a task remembers, and characters that are cut into n-grams in one
+#: go: a text without breaks is one word, however long it is.
+CACHE_CHARS, PIECE = 1 << 25, 1 << 18
 
 ORDERS = (1, 2, 3, 4)
 #: Share of a language's n-grams of one order that an n-gram must have: at most 1 / MIN_SHARE of
@@ -43,11 +46,48 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def cut_words(words: Iterable[str]) -> Iterator[list[str]]:
+    """The words in lists of a bounded number of words and characters, or of one long word."""
+    part: list[str] = []
+    size = 0
+    for word in words:
+        if part and (len(part) == CUT or size + len(word) > PIECE):
+            yield part
+            part, size = [], 0
+        part.append(word)
+        size += len(word)
+    if part:
+        yield part
+
+
+def _long_grams(word: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``grams`` of one word, piece by piece: each n-gram is in the piece that it begins in."""
+    padded = f" {word} "
+    for begin in range(0, len(padded), PIECE):
+        piece = padded[begin : begin + PIECE + max(ORDERS) - 1]
+        codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        h = np.zeros(len(codes), np.uint64)
+        for n in ORDERS:
+            size = len(codes) - n + 1
+            if size < 1:
+                break
+            h = (h[:size] ^ codes[n - 1 :]) * _MIX
+            h ^= h >> np.uint64(29)
+            mine = h[:PIECE] + np.uint64(n)
+            if n == 1:
+                mine = mine[codes[: len(mine)] != 0x20]
+            yield n, mine, np.zeros(len(mine), np.int64)
+
+
 def grams(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each order, the 64-bit hashes of all n-grams of the words, and the word of each.
 
     A word stands between two spaces, which are characters of its n-grams; a space alone is none.
+    One long word comes in pieces, each order several times.
     """
+    if len(words) == 1 and len(words[0]) > PIECE:
+        yield from _long_grams(words[0])
+        return
     codes = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     space = codes == 0x20
     # The word that a place belongs to; a space belongs to the word after it.
@@ -117,18 +157,19 @@ class WordCounts:
 
     def forget(self) -> None:
         self.at: dict[str, int] = {}
+        self.chars = 0
         self.rows = np.zeros((1 << 12, 1 + len(self.model.languages)), np.float32)
 
     def sums(self, texts: list[list[str]]) -> np.ndarray:
         """The summed counts of each list of words."""
-        if len(self.at) > CACHE_WORDS:
+        if len(self.at) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self.forget()
         words = list(chain.from_iterable(texts))
         which = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(which < 0).tolist()
-        new = list({words[k] for k in unknown})
-        for i in range(0, len(new), CUT):
-            part, k = new[i : i + CUT], len(self.at)
+        for part in cut_words({words[k]: None for k in unknown}):
+            k = len(self.at)
+            self.chars += sum(map(len, part))
             while k + len(part) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             self.rows[k : k + len(part)] = self.model.counts(part)
@@ -157,9 +198,9 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, of_lang in words.items():
                 found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-                for cut in batched(of_lang, CUT):
+                for cut in cut_words(of_lang):
                     times = np.array([of_lang[w] for w in cut], np.float64)
-                    for n, hashes, word in grams(list(cut)):
+                    for n, hashes, word in grams(cut):
                         found.setdefault(n, []).append(_summed(hashes, times[word]))
                 for n, parts in found.items():
                     hashes, sums = _summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))
@@ -176,11 +217,18 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                         )
             words.clear()
 
+        chars = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words.setdefault(lang, Counter()).update(words_of(text.as_py()))
+                said = text.as_py()
+                words.setdefault(lang, Counter()).update(words_of(said))
+                chars += len(said or "")
+                if chars > CACHE_CHARS:  # of all words, also those that are known: a bound
+                    yield from flush()
+                    chars = 0
             if sum(map(len, words.values())) > CACHE_WORDS:
                 yield from flush()
+                chars = 0
         yield from flush()
 
     parts = labelled.select(F.col("lang").cast("string"), "text").mapInArrow(run, "lang string, n int, gram long, count long")
@@ -241,7 +289,8 @@ def predict(docs: DataFrame, model: LanguageFilter | None) -> DataFrame:
 
     Texts that are NULL or have no letter, and all texts where nothing was learnt, are ``und``
     with score 0. Where no n-gram is known or languages tie, the one with most documents to
-    learn from wins.
+    learn from wins. Texts may be of any length, also one word without a break: what a task holds of
+    them beside the text is bounded by characters.
     """
     kind = dict(docs.dtypes)["doc_id"]
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by its rows

@@ -108,3 +108,63 @@ def test_filter_has_no_false_negatives_and_the_stated_false_positives():
     assert counts[:, 0].tolist() == [len(grams_of(w)) for w in words]
     looked_up = language.WordCounts(model).sums([["ka", "karo", "ka"], [], ["日本"]])
     assert np.allclose(looked_up, [2 * counts[1] + counts[0], 0 * counts[0], counts[2]])
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
+def test_long_words_in_pieces(monkeypatch, piece):
+    words = ["karoka", "x", "日本語ñandú" * 3, "ab"]
+    whole = {w: sorted((n, h) for n, hs, _ in language.grams([w]) for h in hs.tolist()) for w in words}
+    monkeypatch.setattr(language, "PIECE", piece)
+    for w in words:
+        assert sorted((n, h) for n, hs, at in language.grams([w]) for h in hs.tolist()) == whole[w]
+    monkeypatch.setattr(language, "CUT", 2)
+    parts = list(language.cut_words(words))
+    assert [w for p in parts for w in p] == words and all(len(p) == 1 or len(p) <= 2 and sum(map(len, p)) <= piece for p in parts)
+
+
+def test_a_text_without_a_break(spark):
+    """Four million letters in one word take no more memory than is bounded, and count like any."""
+    before = language.CACHE_CHARS
+    rows = [(i, t, lang) for i, t, lang in documents(60)] + [(500, "karomi" * 700_000, None), (501, "karomi" * 5, None)]
+    said = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert said[500].lang_pred == said[501].lang_pred == "xx" and said[500].score == pytest.approx(said[501].score, abs=0.2)
+    assert language.CACHE_CHARS == before
+
+
+def by_hand(rows):
+    """All of ``identify`` with sets for filters, which have no false positives."""
+    counts, docs = {}, Counter()
+    for i, text, lang in rows:
+        if lang is None or i is None or zlib.crc32(str(i).encode()) % 5 == 0:
+            continue
+        docs[lang] += 1
+        for word in language.words_of(text):
+            for gram in grams_of(word):
+                counts.setdefault((lang, len(gram)), Counter())[gram] += 1
+    share = {}
+    for (lang, _), found in counts.items():
+        for gram, n in found.items():
+            share.setdefault(gram, {})[lang] = n / found.total()
+    held = {}
+    for gram, of in share.items():
+        most = max(of.values())
+        if most >= language.MIN_SHARE:
+            low = language.MIN_RATIO * max(language.MIN_SHARE, most)
+            held[gram] = {lang for lang, x in of.items() if x >= low}
+    languages = sorted(docs, key=lambda lang: (-docs[lang], lang))
+    out = []
+    for i, text, _ in rows:
+        if not language.has_letter(text):
+            out.append((i, "und", 0.0))
+            continue
+        hits = Counter(lang for word in language.words_of(text) for gram in grams_of(word) for lang in held.get(gram, ()))
+        best = max(languages, key=lambda lang: hits[lang])
+        out.append((i, best, hits[best] / hits.total() if hits else 0.0))
+    return out
+
+
+def test_identify_against_plain_python(spark):
+    rows = documents(200) + [(900, None, "xx"), (901, "KARO el", None), (902, "zzz qqq", None), (903, "12", "yy"), (904, "la ka en", None)]
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    for (i, lang, score), (j, want, share) in zip(got, sorted(by_hand(rows)), strict=True):
+        assert (i, lang) == (j, want) and score == pytest.approx(share, abs=2e-3)
