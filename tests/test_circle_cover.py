@@ -24,23 +24,25 @@ def scattered(spark):
 
 @pytest.mark.parametrize("center", CENTERS)
 def test_same_cells_as_by_distance(scattered, center):
-    for radius in (0.5, 40, 111.2, 700, 3000, 9000, 11000, 25000):
-        distance = haversine_km(*center, F.col("latitude"), F.col("longitude"))
-        want = scattered.where((distance <= radius) & ~F.isnan(distance))
-        assert collected(circle(scattered, *center, radius)) == collected(want), (center, radius)
-
-
-@pytest.mark.parametrize("center", CENTERS)
-def test_zones_hold_every_cell(scattered, center):
-    for radius in (5, 300, 2500):
-        zones = circle_zones(*center, radius)
-        met = F.lit(False)
-        for bounds in zones:
+    """For circles of all sizes at once; and the zones of each hold every cell of it."""
+    lat, lon = F.col("latitude"), F.col("longitude")
+    wrong = []
+    for radius in (0.5, 5, 40, 111.2, 300, 700, 2500, 3000, 9000, 11000, 25000):
+        distance = haversine_km(*center, lat, lon)
+        exact = F.coalesce((distance <= radius) & ~F.isnan(distance), F.lit(False))
+        box, inside = _within(scattered, *center, radius, "latitude", "longitude")
+        wrong.append(F.count_if(F.coalesce(box & inside, F.lit(False)) != exact).alias(f"cells{radius}"))
+        met = F.lit(not circle_zones(*center, radius))
+        for bounds in circle_zones(*center, radius):
             here = F.lit(True)
             for dim, (low, high) in bounds.items():
                 here = here & (F.lit(True) if low is None else F.col(dim) >= low) & (F.lit(True) if high is None else F.col(dim) <= high)
             met = met | here
-        assert circle(scattered, *center, radius).where(~met).count() == 0
+        wrong.append(F.count_if(exact & ~met).alias(f"zones{radius}"))
+    got = scattered.agg(*wrong).first().asDict()
+    assert {name: n for name, n in got.items() if n} == {}
+    near = haversine_km(*center, lat, lon) <= 700
+    assert collected(circle(scattered, *center, 700)) == collected(scattered.where(near & ~F.isnan(haversine_km(*center, lat, lon))))
 
 
 def test_few_cells_need_a_distance(spark):
