@@ -17,7 +17,7 @@ MAX_LENGTH = 2048
 END_ID = 1
 #: Words and ids that a worker remembers before it starts afresh, words encoded in one go, and
 #: characters of text looked up together.
-CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 20, 1 << 24, 1 << 12, 1 << 20
+CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 21, 1 << 24, 1 << 12, 1 << 20
 #: Rows of a batch that a task hands on.
 ROWS = 20_000
 
