@@ -13,6 +13,7 @@ from .operators.concat import (
     DEFAULT_DIMENSION,
     VariantCells,
     after_cutoff,
+    concat_keyed,
     concat_variants,
     place_variants,
     variant_ends,
@@ -33,6 +34,7 @@ from .plans.resolution import (
 )
 from .plans.sizing import BROADCAST_ROWS, fits, settle
 from .plans.walk import load_catalog
+from .sources.cells import CellTable, cid_required
 from .sources.series import KeptSeries
 
 _REQUEST_SCHEMA = T.StructType(
@@ -196,19 +198,26 @@ class GridEngine:
             return None
         found = self._resolve_one(request)
         dimension = min(listed, key=lambda v: v.concat_priority).concat_dimension
-        opened = [self.store.open(v.cid) for v in listed]
-        loaded = [
-            VariantCells(
-                v.variant,
-                GridDataset(o.cells, dims=o.dims, year_of=o.year_of).df,
-                v.concat_priority,
-                v.concat_dimension,
-                v.cid,
-                o.axes.get(dimension),
-            )
-            for v, o in zip(listed, opened, strict=True)
-        ]
-        cells, names = concat_variants(loaded, self.strict), tuple(v.variant for v in listed)
+        if isinstance(self.store, CellTable):
+            # One table holds them all: it is read no more often for many variants than for two.
+            held, dims = self.store.cells, self.store.dims
+            loaded = [VariantCells(v.variant, held, v.concat_priority, v.concat_dimension, cid_required(v.cid)) for v in listed]
+            cells = concat_keyed(held, self.store.cid_column, loaded, self.strict)
+        else:
+            opened = [self.store.open(v.cid) for v in listed]
+            loaded = [
+                VariantCells(
+                    v.variant,
+                    GridDataset(o.cells, dims=o.dims, year_of=o.year_of).df,
+                    v.concat_priority,
+                    v.concat_dimension,
+                    v.cid,
+                    o.axes.get(dimension),
+                )
+                for v, o in zip(listed, opened, strict=True)
+            ]
+            cells, dims = concat_variants(loaded, self.strict), opened[0].dims
+        names = tuple(v.variant for v in listed)
         metadata = DatasetMetadata(
             dataset=request.dataset,
             collection=found.collection_id,
@@ -220,7 +229,7 @@ class GridEngine:
             concatenated_variants=names,
             concat_dimension=dimension,
         )
-        return GridDataset(cells, metadata, opened[0].dims, self.strict)
+        return GridDataset(cells, metadata, dims, self.strict)
 
     def _concatenate_many(self, variants: DataFrame, dimension: str, group: tuple[str, ...] = ()) -> DataFrame:
         """Variants joined into series, one per ``group``, in one pass.

@@ -99,6 +99,31 @@ def concat_variants(variants: list[VariantCells], strict: bool = False) -> DataF
     return reduce(DataFrame.unionByName, kept)
 
 
+def concat_keyed(cells: DataFrame, key: str, variants: list[VariantCells], strict: bool = False) -> DataFrame:
+    """What ``concat_variants`` gives for variants that one table holds, each under its ``cid``.
+
+    The table is read twice however many variants there are: for their ends, one row each, and for
+    the cells, which meet their cut-off in a broadcast table. A content id listed again adds nothing.
+    """
+    ordered = concat_order(variants)
+    dim = ordered[0].concat_dimension or DEFAULT_DIMENSION
+    of = cells.where(F.col(key).isin([v.cid for v in ordered]))
+    axis, not_nan = _axis(of, dim), _not_nan(of, dim)
+    if strict:
+        there = {str(r[0]) for r in of.select(key).distinct().collect()}  # the variants of one dataset
+        for v in ordered:
+            if v.cid not in there:
+                raise ValueError(f"Variant {v.variant} is empty along {dim}.")
+    first = {v.cid: at for at, v in reversed(list(enumerate(ordered)))}
+    places = cells.sparkSession.createDataFrame([(cid, at) for cid, at in first.items()], "_cid string, _at int")
+    ends = of.groupBy(F.col(key).alias("_key")).agg(F.max(F.when(not_nan, axis)).alias("_end"))
+    end = F.coalesce("_end", _lowest(cells.schema[dim].dataType))
+    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    cut = places.join(ends, F.col("_cid") == F.col("_key"), "left").select("_cid", "_at", F.max(end).over(before).alias("_last"))
+    met = of.join(F.broadcast(cut), F.col(key) == F.col("_cid"))
+    return met.where((F.col("_at") == 0) | ((axis > F.col("_last")) & not_nan)).select(*(of[c] for c in of.columns if c != key))
+
+
 def concat_cutoff(
     tagged: DataFrame,
     variant="variant",

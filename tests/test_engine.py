@@ -248,3 +248,39 @@ def test_search_first_then_tree(spark, cells):
     assert engine.load_dataset(ask("wind")).info.cid == "windx"  # the search takes the first
     assert engine.load_dataset(ask("wind", "y")).info.cid == "windy"  # the search knows no variants here
     assert engine.load_dataset(ask("temp", collection="era5", organization=None)).info.cid == "fin"
+
+
+def many_variants(spark, n=40):
+    """Variants of growing ends, one without cells, one without ends, one listed twice."""
+    listed = [(k, "noaa_sst", f"noaa_sst-sst-v{k}", f"ipfs://c{k % (n - 1)}", None if k % 7 == 3 else float(k % 5)) for k in range(n)]
+    items = spark.createDataFrame(listed, "ord long, collection string, id string, data_href string, concat_priority double")
+    nan = float("nan")
+    steps = {f"c{k}": [float(k + s) for s in range(3)] + ([nan] if k % 4 == 0 else []) for k in range(n)}
+    steps |= {"c0": [nan, None], "c5": [], "c10": [nan]}
+    rows = [(cid, 1.0, time, i) for cid, times in steps.items() for i, time in enumerate(times)]
+    cells = spark.createDataFrame(rows, "cid string, latitude double, time double, value int")
+    ordered = sorted(listed, key=lambda r: (r[4] is None and 0.0 or r[4] or 0.0))
+    want, last = [], float("-inf")
+    for at, item in enumerate(ordered):
+        of = [r for r in rows if r[0] == item[3].removeprefix("ipfs://")]
+        want += [r[1:] for r in of if at == 0 or (r[2] is not None and r[2] == r[2] and r[2] > last)]
+        last = max([last, *(r[2] for r in of if r[2] is not None and r[2] == r[2])])
+    return items, cells, want
+
+
+def test_many_variants_of_one_table_are_read_together(spark):
+    items, cells, want = many_variants(spark)
+    ds = GridEngine(spark, items, CellTable(cells), resolver="api").load_dataset(
+        DatasetRequest("sst", "noaa_sst"), auto_concatenate=True
+    )
+    assert ds.df.columns == ["latitude", "time", "value"]
+    assert sorted(map(str, (tuple(r) for r in ds.df.collect()))) == sorted(map(str, want))
+    assert len(ds.info.concatenated_variants) == 40
+    assert plan_of(ds.df).count("Scan") <= 6
+
+
+def test_strict_asks_for_cells_of_every_variant(spark):
+    items, cells, _ = many_variants(spark)
+    engine = GridEngine(spark, items, CellTable(cells), resolver="api", strict=True)
+    with pytest.raises(ValueError, match="Variant v5 is empty along time"):
+        engine.load_dataset(DatasetRequest("sst", "noaa_sst"), auto_concatenate=True)
