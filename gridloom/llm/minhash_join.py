@@ -19,6 +19,8 @@ WIDTH, NUMERATOR = 5, 85
 
 #: Documents of one posting list that a task compares at once; longer lists go in pairs of blocks.
 BLOCK = 1024
+#: Pairs that a task compares and holds at once, however long its lists are.
+PAIRS = 1 << 18
 #: In lists longer than this, the shingles that one document alone has are counted, which tells
 #: most pairs that agree by signature but cannot be linked.
 LONG = 32
@@ -205,12 +207,14 @@ def candidate_pairs(posted: DataFrame, marks: DataFrame, numerator: int, matches
         for batch in batches:
             whole = pa.Table.from_batches([*held, batch]).combine_chunks()
             runs = _runs(whole)
-            a, b = _compared(whole, runs[:-1], numerator, matches, forest)
+            yield from pairs(whole, runs[:-1])
             held = whole.slice(runs[-1][0]).to_batches() if runs else []
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
         if held:
             whole = pa.Table.from_batches(held).combine_chunks()
-            a, b = _compared(whole, _runs(whole), numerator, matches, forest)
+            yield from pairs(whole, _runs(whole))
+
+    def pairs(whole: pa.Table, runs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+        for a, b in _compared(whole, runs, numerator, matches, forest):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     columns = ["posting", "i", "j", "right", "cls", "comp", "mask", "marks", "size", "own"]
@@ -232,21 +236,53 @@ def _runs(whole: pa.Table) -> list[tuple[int, int]]:
 
 def _compared(
     whole: pa.Table, runs: list[tuple[int, int]], numerator: int, matches: int, forest: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of all runs that agree enough; short runs are compared together."""
-    none = np.zeros(0, np.int64)
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of all runs that agree enough, about ``PAIRS`` at a time; of a forest, all at once."""
     if not runs:
-        return none, none
-    cls, comp, mask, posting, i, j = (whole.column(c).to_numpy() for c in ("cls", "comp", "mask", "posting", "i", "j"))
+        return
+    cls, comp = (whole.column(c).to_numpy() for c in ("cls", "comp"))
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def take() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What is held; of a forest only the edges, as no later pair makes another one of them."""
+        u, v, agree = (np.concatenate(part) for part in zip(*held, strict=True))
+        held.clear()
+        if not forest:
+            return u, v, agree
+        order = np.argsort(-agree, kind="stable")
+        taken = order[_forest(u[order], v[order], comp)]
+        return u[taken], v[taken], agree[taken]
+
+    for part in _agreeing(whole, runs, numerator, matches):
+        held.append(part)
+        n += len(part[0])
+        if n >= PAIRS:
+            u, v, agree = take()
+            n = 0
+            if forest:
+                held.append((u, v, agree))
+            else:
+                yield np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
+    if held:
+        u, v, _ = take()
+        yield np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
+
+
+def _agreeing(
+    whole: pa.Table, runs: list[tuple[int, int]], numerator: int, matches: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of pairs and their agreement; short runs are compared together, long ones in slices."""
+    comp, mask, posting, i, j = (whole.column(c).to_numpy() for c in ("comp", "mask", "posting", "i", "j"))
     size, own = whole.column("size").to_numpy(), whole.column("own").to_numpy()
     right = whole.column("right").to_numpy(zero_copy_only=False)
     coordinate = (posting.view(np.uint64) >> np.uint64(58)).astype(np.int64)
     prefix = (mask.view(np.uint64)[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1)).astype(bool)
     marks = np.frombuffer(b"".join(whole.column("marks").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     short: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
 
-    def compare_short() -> None:
+    def compare_short() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         u, v = (np.concatenate(side) for side in zip(*short, strict=True))
         short.clear()
         for at in range(0, len(u), 1 << 15):
@@ -257,7 +293,19 @@ def _compared(
             agree = same.sum(1)
             common = same & prefix[p] & prefix[q]
             owned = (np.argmax(common, 1) == coordinate[p]) & (agree >= matches)
-            found.append((p[owned], q[owned], agree[owned]))
+            yield p[owned], q[owned], agree[owned]
+
+    def compare_long(x: np.ndarray, y: np.ndarray, k0: int, owned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        agree = np.zeros(owned.shape, np.uint8)
+        for k in range(COORDINATES):
+            same = marks[x, k][:, None] == marks[y, k][None, :]
+            agree += same
+            if k < k0:
+                owned &= ~(same & prefix[x, k][:, None] & prefix[y, k][None, :])
+        u, v = np.nonzero(owned & (agree >= matches))
+        may = possible(size, own, x[u], y[v], numerator)
+        u, v = u[may], v[may]
+        return x[u], y[v], agree[u, v].astype(np.int64)
 
     for begin, end in runs:
         n = end - begin
@@ -266,40 +314,27 @@ def _compared(
         if i[begin] == j[begin] and n <= 64:
             u, v = np.triu_indices(n, 1)
             short.append((u + begin, v + begin))
-            if len(short) >= 2000:
-                compare_short()
+            waiting += len(u)
+            if len(short) >= 2000 or waiting >= PAIRS:
+                yield from compare_short()
+                waiting = 0
             continue
         at = np.arange(begin, end)
         both = i[begin] != j[begin]
-        x, y = (at[~right[begin:end]], at[right[begin:end]]) if both else (at, at)
-        owned = comp[x][:, None] != comp[y][None, :]
-        if not both:
-            owned &= x[:, None] < y[None, :]
-        if not owned.any():
-            continue
-        agree = np.zeros(owned.shape, np.uint8)
-        for k in range(COORDINATES):
-            same = marks[x, k][:, None] == marks[y, k][None, :]
-            agree += same
-            if k < coordinate[begin]:
-                owned &= ~(same & prefix[x, k][:, None] & prefix[y, k][None, :])
-        u, v = np.nonzero(owned & (agree >= matches))
-        may = possible(size, own, x[u], y[v], numerator)
-        u, v = u[may], v[may]
-        found.append((x[u], y[v], agree[u, v].astype(np.int64)))
+        left, y = (at[~right[begin:end]], at[right[begin:end]]) if both else (at, at)
+        step = max(1, PAIRS // max(1, len(y)))
+        for x in (left[s : s + step] for s in range(0, len(left), step)):
+            owned = comp[x][:, None] != comp[y][None, :]
+            if not both:
+                owned &= x[:, None] < y[None, :]
+            if owned.any():
+                yield compare_long(x, y, coordinate[begin], owned)
     if short:
-        compare_short()
-    if not found:
-        return none, none
-    u, v, agree = (np.concatenate(part) for part in zip(*found, strict=True))
-    if forest:
-        order = np.argsort(-agree, kind="stable")
-        u, v = _forest(u[order], v[order], comp)
-    return np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
+        yield from compare_short()
 
 
-def _forest(u: np.ndarray, v: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The edges, in order, that join what no earlier one has joined."""
+def _forest(u: np.ndarray, v: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Which edges, in order, join what no earlier one has joined."""
     root: dict[int, int] = {}
 
     def find(c: int) -> int:
@@ -314,7 +349,7 @@ def _forest(u: np.ndarray, v: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray,
         if p != q:
             root[p] = q
             taken.append(k)
-    return u[taken], v[taken]
+    return np.array(taken, np.int64)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:

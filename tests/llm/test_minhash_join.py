@@ -1,6 +1,7 @@
 """MinHash join against all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import minhash_join
@@ -80,3 +81,33 @@ def test_signatures_of_long_and_short_sets_agree():
     for s, row in zip(sets, minhash_join.signatures_of(sets), strict=True):
         if len(s):
             assert (minhash_join.signature(s) == row).all()
+
+
+def test_long_lists_are_compared_some_pairs_at_a_time(monkeypatch):
+    monkeypatch.setattr(minhash_join, "PAIRS", 1 << 12)
+    n, lists = 300, 3
+    rng = np.random.default_rng(3)
+    each = rng.integers(0, 2**32, (n, minhash_join.COORDINATES)).astype(np.uint32)
+    each[:200] = each[0]
+    each[:200, 50:] += rng.integers(0, 2, (200, 14)).astype(np.uint32)
+    top = np.arange(lists, dtype=np.uint64).repeat(n) << np.uint64(58)
+    whole = pa.table(
+        {
+            "posting": top.view(np.int64),
+            "i": np.zeros(n * lists, np.int64),
+            "j": np.zeros(n * lists, np.int64),
+            "right": np.zeros(n * lists, bool),
+            "cls": np.tile(np.arange(n), lists),
+            "comp": np.tile(np.arange(n), lists),
+            "mask": np.tile(1 << np.arange(n) % lists, lists),
+            "marks": pa.array([x.tobytes() for x in each] * lists, pa.binary()),
+            "size": np.full(n * lists, -1),
+            "own": np.full(n * lists, -1),
+        }
+    )
+    runs = minhash_join._runs(whole)
+    parts = list(minhash_join._compared(whole, runs, 85, 38, False))
+    assert len(parts) > 1 and max(len(a) for a, _ in parts) <= 2 << 12
+    assert {(a, b) for part in parts for a, b in zip(*part)} == {(a, b) for a in range(200) for b in range(a + 1, 200)}
+    ((a, b),) = minhash_join._compared(whole, runs, 85, 38, True)
+    assert len(a) == 199 and set(grouped(range(200), zip(a.tolist(), b.tolist())).values()) == {0}
