@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, packed, settled, stored, unpacked
+from gridloom.llm.common import PART_EDGES, components, gathered, hits, packed, settled, stored, unpacked
 from gridloom.llm.shingles import fingerprint, mix, numbers, shingle_sets
 
 #: Coordinates of a signature, and how often a pair at the threshold may agree in fewer than ``matches_for`` asks.
@@ -24,6 +24,8 @@ PAIRS = 1 << 18
 #: In lists longer than this, the shingles that one document alone has are counted, which tells
 #: most pairs that agree by signature but cannot be linked.
 LONG = 32
+#: Classes whose postings are kept in one partition, where there are partitions enough.
+PART_CLASSES = 2000
 
 _A, _B = numbers(11, COORDINATES) | np.uint64(1), numbers(12, COORDINATES)
 
@@ -113,13 +115,13 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
 
 
-def prefixes(classes: DataFrame, matches: int) -> DataFrame:
+def prefixes(classes: DataFrame, matches: int, most: int) -> DataFrame:
     """``(cls, posting, list_size, mask)``: the lists in which a class can meet a partner.
 
     Postings that one class alone has go first. A class then needs at least ``matches`` others;
     of these, in order from the rarest, all but the last ``matches - 1`` are its prefix. Two
     classes that agree in ``matches`` coordinates share a posting of both prefixes. Bit k of
-    ``mask`` tells that coordinate k is in the prefix.
+    ``mask`` tells that coordinate k is in the prefix. There are ``most`` classes at most.
     """
     each = classes.select("cls", F.explode("postings").alias("posting"))
     often = each.groupBy("posting").agg(F.count("*").alias("df")).where("df > 1")
@@ -127,15 +129,17 @@ def prefixes(classes: DataFrame, matches: int) -> DataFrame:
     shared = shared.where(F.size("p") >= matches)
     prefix = shared.select("cls", F.expr(f"slice(p, 1, size(p) - {matches - 1}).posting").alias("p"))
     mask = F.expr("aggregate(p, 0L, (m, x) -> m | shiftleft(1L, CAST(shiftrightunsigned(x, 58) AS INT)))")
-    posted = settled(prefix.select("cls", mask.alias("mask"), F.explode("p").alias("posting")))
+    posted = prefix.select("cls", mask.alias("mask"), F.explode("p").alias("posting"))
+    posted = settled(gathered(posted, most // PART_CLASSES + 1))
     size = posted.groupBy("posting").agg(F.count("*").alias("list_size")).where("list_size > 1")
-    return posted.join(size, "posting")
+    return gathered(posted.join(size, "posting"), posted.count() // PART_EDGES + 1)
 
 
 def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``(cls, shingles)`` of the classes, sorted 64-bit hashes, from the text of one of their documents."""
     want = classes.select("cls", F.col("of.doc_id").alias("_doc"), F.col("of.th").alias("_th"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    rows = hits(rows, ["doc_id", "th"], want, ["_doc", "_th"]).where("hit")
     same = rows["doc_id"].eqNullSafe(want["_doc"]) & (rows["th"] == want["_th"])
     rows = rows.join(want.hint("shuffle_hash"), same).select("cls", "text")
 
@@ -393,29 +397,30 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, matches: int |
     """
     matches = matches_for(numerator) if matches is None else matches
     rows = stored(signed(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id()))
-    classes = settled(
-        rows.where("n_shingles > 0")
-        .groupBy("fp")
-        .agg(F.min("row").alias("cls"), F.min_by(F.struct("doc_id", "th"), "row").alias("of"))
-    )
+    n = rows.count()
+    classes = rows.where("n_shingles > 0").groupBy("fp")
+    classes = classes.agg(F.min("row").alias("cls"), F.min_by(F.struct("doc_id", "th"), "row").alias("of"))
+    classes = settled(gathered(classes, n // PART_EDGES + 1))
     signs = rows.select("row", "postings", "marks").join(classes.select(F.col("cls").alias("row")), "row", "left_semi")
     signs = signs.withColumnRenamed("row", "cls")
-    posted = settled(prefixes(signs, matches))
+    posted = settled(prefixes(signs, matches, n))
+    # Each table down to the first links has about as many rows at most, so that small ones go in few files.
+    files = posted.count() // PART_EDGES + 1
     active = posted.select("cls").distinct()
-    sets = stored(full_sets(docs, classes.join(active, "cls", "left_semi")))
+    sets = stored(gathered(full_sets(docs, classes.join(active, "cls", "left_semi")), files))
     long = posted.where(F.col("list_size") > LONG).select("cls").distinct()
-    own = settled(own_shingles(sets.join(long, "cls", "left_semi")))
+    own = settled(gathered(own_shingles(sets.join(long, "cls", "left_semi")), files))
     lost = own.where(F.col("own") * 100 > F.col("size") * (100 - numerator)).select("cls", F.lit(True).alias("_lost"))
     posted = posted.join(lost, "cls", "left").where((F.col("list_size") <= LONG) | F.col("_lost").isNull()).drop("_lost", "list_size")
     size = posted.groupBy("posting").agg(F.count("*").alias("list_size")).where("list_size > 1")
-    posted = settled(posted.join(size, "posting"))
+    posted = settled(gathered(posted.join(size, "posting"), files))
     known = [F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("size", "own")]
     marks = signs.select("cls", "marks").join(active, "cls", "left_semi").join(own, "cls", "left")
-    marks = stored(marks.select("cls", "marks", *known))
+    marks = stored(gathered(marks.select("cls", "marks", *known), files))
 
     first = candidate_pairs(posted.withColumn("comp", F.col("cls")), marks, numerator, matches, forest=True)
-    links = settled(confirmed(first, sets, numerator))
-    groups = settled(components(links)).select(F.col("id").alias("cls"), "component")
+    links = settled(gathered(confirmed(first, sets, numerator), files))
+    groups = settled(gathered(components(links, most=links.count()), files)).select(F.col("id").alias("cls"), "component")
     placed = posted.join(groups, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     mixed = placed.groupBy("posting").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     rest = candidate_pairs(placed.join(mixed.select("posting"), "posting", "left_semi"), marks, numerator, matches, forest=False)
@@ -446,12 +451,14 @@ def one_of_each(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
 
     A row that repeats both ``doc_id`` and text is the same document and stays once.
     """
-    stay = near_duplicates(docs, numerator).where("stays").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"))
-    stay = settled(stay.distinct())
-    rows = packed(docs)
-    same = rows["id"].eqNullSafe(stay["_doc"]) & (rows["hash"] == stay["_th"])
-    out = rows.join(stay.hint("shuffle_hash"), same).select("row", "id", "hash")
-    repeated = docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        out = out.dropDuplicates(["id", "hash"])
+    found = near_duplicates(docs, numerator).groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"))
+    found = found.agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    # Texts that go, and those that stay once; all others stay without a shuffle of their rows.
+    listed = settled(found.where("NOT stays OR n > 1").select("_doc", "_th", "stays"))
+    rows = hits(packed(docs), ["id", "hash"], listed, ["_doc", "_th"])
+    same = rows["id"].eqNullSafe(listed["_doc"]) & (rows["hash"] == listed["_th"])
+    looked = rows.where("hit").join(listed.hint("shuffle_hash"), same, "left").select("row", "id", "hash", "stays")
+    out = rows.where("NOT hit").select("row").union(looked.where("stays IS NULL").select("row"))
+    if not listed.where("stays").isEmpty():
+        out = out.union(looked.where("stays").dropDuplicates(["id", "hash"]).select("row"))
     return unpacked(out, docs)

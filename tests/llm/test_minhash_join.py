@@ -3,8 +3,9 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from gridloom.llm import minhash_join
+from gridloom.llm import common, minhash_join
 from tests.llm.helpers import grouped, near_texts, shingles
 
 SCHEMA = "doc_id long, text string, n_shingles string, cls int, component string"
@@ -111,3 +112,48 @@ def test_long_lists_are_compared_some_pairs_at_a_time(monkeypatch):
     assert {(a, b) for part in parts for a, b in zip(*part)} == {(a, b) for a in range(200) for b in range(a + 1, 200)}
     ((a, b),) = minhash_join._compared(whole, runs, 85, 38, True)
     assert len(a) == 199 and set(grouped(range(200), zip(a.tolist(), b.tolist())).values()) == {0}
+
+
+def words(key, n=40):
+    return " ".join(f"{key}x{i}" for i in range(n))
+
+
+def test_documents_without_a_near_duplicate_stay_where_they_are(spark):
+    texts = [words(i) for i in range(90)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i]) for i in range(9)] + [(200, words(200))] * 2 + [(None, words(300)), (None, words(301))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")
+    was = {r.text: r.p for r in docs.select("text", F.spark_partition_id().alias("p")).collect()}
+    out = minhash_join.one_of_each(docs).select("doc_id", "text", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.text for r in out) == sorted(set(was)) and all(r.doc_id is None or r.doc_id < 90 or r.doc_id == 200 for r in out)
+    alone = [r for r in out if r.doc_id is None or r.doc_id < 90]
+    assert sum(was[r.text] == r.p for r in alone) >= 0.9 * len(alone)
+
+
+@pytest.mark.parametrize("n_words", [1, 1 << 18])
+def test_wanted_keys_hit_and_few_others_do(spark, monkeypatch, n_words):
+    monkeypatch.setattr(common, "WORDS", n_words)
+    rows = spark.createDataFrame([(None if i % 50 == 0 else i, str(i)) for i in range(1000)], "id long, name string")
+    wanted = rows.where("id IS NULL OR id % 7 = 0").toDF("a", "b")
+    found = common.hits(rows, ["id", "name"], wanted, ["a", "b"]).collect()
+    assert len(found) == 1000 and found[0].asDict().keys() == {"id", "name", "hit"}
+    assert all(r.hit for r in found if r.id is None or r.id % 7 == 0)
+    others = [r.hit for r in found if not (r.id is None or r.id % 7 == 0)]
+    assert n_words == 1 or sum(others) <= 10
+    assert not any(r.hit for r in common.hits(rows, ["id", "name"], wanted.limit(0), ["a", "b"]).collect())
+
+
+def test_few_rows_are_kept_in_few_files(spark, monkeypatch):
+    made = []
+    for name, owner in (("settled", minhash_join), ("stored", minhash_join), ("settled", common)):
+        monkeypatch.setattr(owner, name, lambda df, f=getattr(owner, name): made.append((df := f(df)).rdd.getNumPartitions()) or df)
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(list(enumerate(near_texts(3))), "doc_id long, text string").coalesce(1)
+        minhash_join.near_duplicates(docs).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sum(n >= 24 for n in made) <= 1
