@@ -24,6 +24,9 @@ RULES = {
 }
 BASE_RULES = ("short", "repetitive")
 
+#: Rows with their texts that a task copies and hands on at once.
+ROWS = 512
+
 #: A host goes when the shrunk share of its documents that fail some rule is above this.
 MAX_RATE = 0.9
 #: The prior weighs as much as so many documents at least, so that one or two damn no host.
@@ -152,12 +155,13 @@ def marked(docs: DataFrame) -> DataFrame:
     leave their counts and no ``row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [text_counts(x.as_py()) for x in batch.column(2)]
-            good = [n >= 50 and not 100 * repeats > 50 * n for n, *_, repeats in rows]
-            counts = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 6
-            kept = batch.column(0).take(pa.array([i if g else None for i, g in enumerate(good)], pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept, batch.column(1), *counts, pa.array(good, pa.bool_())], names=names)
+        for whole in batches:
+            for batch in (whole.slice(k, ROWS) for k in range(0, len(whole), ROWS)):
+                rows = [text_counts(x.as_py()) for x in batch.column(2)]
+                good = [n >= 50 and not 100 * repeats > 50 * n for n, *_, repeats in rows]
+                counts = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                kept = batch.column(0).take(pa.array([i if g else None for i, g in enumerate(good)], pa.int64()))
+                yield pa.RecordBatch.from_arrays([kept, batch.column(1), *counts, pa.array(good, pa.bool_())], names=names)
 
     names = ["row", "source", *COUNTS, "good"]
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "source", "text")

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 #: The longest sequence; itself a power of two.
 MAX_LENGTH = 2048
 END_ID = 1
-#: Words and ids that a worker remembers before it starts afresh, words encoded in one go, and
-#: characters of text looked up together.
-CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 21, 1 << 24, 1 << 12, 1 << 20
+#: Words that a worker remembers, unless told otherwise, before it drops those that it met only once,
+#: and ids for each of them; words encoded in one go, and characters of text looked up together.
+CACHE_WORDS, CACHE_IDS, ENCODED, TOGETHER = 1 << 21, 8, 1 << 12, 1 << 18
 #: Rows of a batch that a task hands on.
 ROWS = 20_000
 
@@ -30,23 +30,35 @@ class WordTokens:
     """Token ids of texts, one lookup per word.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so the
-    ids of a text are the ids of its words in order. Each distinct word is encoded once, many
-    in one call; beyond a number of words or ids the memory of them is given up, which bounds it.
+    ids of a text are the ids of its words in order. New words are encoded many in one call and
+    remembered. Beyond ``remembered`` words, or ``CACHE_IDS`` ids for each, only those met again since
+    the last time stay, up to half of that number. A million words take about 170 MB.
     """
 
-    def __init__(self, tokenizer: str, end_id: int) -> None:
+    def __init__(self, tokenizer: str, end_id: int, remembered: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        self.end_id = end_id
-        self.forget()
+        self.most = CACHE_WORDS if remembered is None else remembered
+        self.at: dict[bytes, int] = {END: 0}
+        self.ids = np.full(1, end_id, np.uint32)
+        self.begin = np.arange(2)  # of each word among the ids, and where the last one's end
+        self.again = np.zeros(1, bool)
 
     def forget(self) -> None:
-        self.at: dict[bytes, int] = {END: 0}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
-        self.ids[0], self.size[0], self.used = self.end_id, 1, 1
+        """Keep the words that were met again, the oldest of them; the end, the first, always stays."""
+        self.again[0] = True
+        words = list(self.at)
+        kept = np.flatnonzero(self.again[: len(words)])[: max(1, self.most // 2)]
+        size = self.begin[kept + 1] - self.begin[kept]
+        within = np.cumsum(size) <= max(1, CACHE_IDS * self.most // 2)
+        kept, size = kept[within], size[within]
+        ends = np.cumsum(size)
+        self.ids = self.ids[np.repeat(self.begin[kept] - ends + size, size) + np.arange(ends[-1])]
+        self.begin = np.concatenate([[0], ends])
+        self.again = np.zeros(len(kept), bool)
+        self.at = {}  # not held beside the new one
+        self.at = {words[k]: i for i, k in enumerate(kept.tolist())}
 
     def learn(self, words: list[bytes]) -> None:
         """Encode the words as one text; where an id's source begins tells its word."""
@@ -56,16 +68,16 @@ class WordTokens:
         source = np.fromiter((a for a, _ in encoded.offsets), np.int64)
         sizes = np.bincount(np.searchsorted(begin, source, "right") - 1, minlength=len(words))
         k, n = len(self.at), len(encoded.ids)
-        while self.used + n > len(self.ids):
+        used = int(self.begin[k])
+        while used + n > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while k + len(words) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        self.ids[self.used : self.used + n] = encoded.ids
-        self.size[k : k + len(words)] = sizes
-        self.begin[k : k + len(words)] = self.used + np.cumsum(sizes) - sizes
+        while k + len(words) >= len(self.begin):
+            self.begin = np.concatenate([self.begin, np.empty_like(self.begin)])
+        while k + len(words) > len(self.again):
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
+        self.ids[used : used + n] = encoded.ids
+        self.begin[k + 1 : k + len(words) + 1] = used + np.cumsum(sizes)
         self.at.update(zip(words, range(k, k + len(words)), strict=True))
-        self.used += n
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For groups of texts, all their ids one after the other, each text's with the end id
@@ -84,31 +96,34 @@ class WordTokens:
             yield self._looked_up(waiting)
 
     def _looked_up(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.at) > CACHE_WORDS or self.used > CACHE_IDS:
+        if len(self.at) > self.most or self.begin[len(self.at)] > CACHE_IDS * self.most:
             self.forget()
         words = list(chain.from_iterable(texts))
         which = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        self.again[which[which >= 0]] = True
         unknown = np.flatnonzero(which < 0).tolist()
         if unknown:
             new = list({words[k]: None for k in unknown})
             for k in range(0, len(new), ENCODED):
                 self.learn(new[k : k + ENCODED])
             which[unknown] = [self.at[words[k]] for k in unknown]
-        begin, sizes = self.begin[which], self.size[which]
+        begin = self.begin[which]
+        sizes = self.begin[which + 1] - begin
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1])]
         last = ends[np.cumsum([len(t) for t in texts]) - 1]
         return ids, np.diff(last, prepend=0)
 
 
-_known: dict[tuple[str, int], WordTokens] = {}
+_known: dict[tuple[str, int, int | None], WordTokens] = {}
 
 
-def tokens_of(tokenizer: str, end_id: int = END_ID) -> WordTokens:
+def tokens_of(tokenizer: str, end_id: int = END_ID, remembered: int | None = None) -> WordTokens:
     """One memory of words per worker process."""
-    if (tokenizer, end_id) not in _known:
-        _known[tokenizer, end_id] = WordTokens(tokenizer, end_id)
-    return _known[tokenizer, end_id]
+    key = (tokenizer, end_id, remembered)
+    if key not in _known:
+        _known[key] = WordTokens(*key)
+    return _known[key]
 
 
 def binary_lengths(lengths: np.ndarray, longest: int = MAX_LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +144,7 @@ def pack(
     max_length: int = MAX_LENGTH,
     end_id: int = END_ID,
     with_ids: bool = False,
+    remembered: int | None = None,
 ) -> DataFrame:
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens, bucket, sequence_id, offset)``.
 
@@ -140,12 +156,14 @@ def pack(
     ``sequence_id`` has the bucket in its top bits, then the task, then a running number: no
     shuffle is needed for it, sequences of a bucket are neighbours, and a task that runs
     again over the same split gives the same ids. ``with_ids`` adds the ids themselves.
+    A worker keeps up to ``remembered`` words (``CACHE_WORDS``, if not given), also while it runs
+    other stages later: fewer take less memory and more time, and give the same ids.
     """
     kind = dict(docs.dtypes)["doc_id"]
     numbers = ["start", "length", "ids_crc32", "doc_tokens", "bucket", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(tokenizer, end_id)
+        tokens = tokens_of(tokenizer, end_id, remembered)
         task = TaskContext.get().partitionId()
         made = np.zeros(max_length.bit_length(), np.int64)
         for batch in batches:

@@ -83,3 +83,17 @@ def test_buckets_hold_one_length(spark, tmp_path):
     packing.write_buckets(packing.pack(docs, with_ids=True), str(tmp_path / "out"))
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert all(len(r.ids) == r.length == 1 << r.bucket for r in rows)
+
+
+def test_few_words_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 100)
+    tokens = packing.WordTokens(NAME, 1, 500)
+    texts = [f"often {' '.join(f'w{20 * i + k}' for k in range(20))} seldom{i}" for i in range(200)]
+    want = [tokens.model.encode(text, add_special_tokens=False).ids + [1] for text in texts]
+    assert encoded(tokens, texts) == want
+    held = len(tokens.at)
+    assert held <= 500 + 22 and len(tokens.again) <= 2 * held + 22 and b"often" in tokens.at and b"w0" not in tokens.at
+    assert list(tokens.at.values()) == list(range(held))
+    tokens.forget()
+    assert list(tokens.at)[:2] == [packing.END, b"often"]
+    assert encoded(tokens, texts) == want
