@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from gridloom.llm import cross_polytope
 from tests.llm.helpers import grouped
@@ -104,3 +105,71 @@ def test_spanning_edges_join_what_links_join():
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).normal(size=(5, 64))
     assert np.allclose(np.linalg.norm(cross_polytope.rotated(x, 3), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_large_labels_move_few_small_rows():
+    """A vector of a label with millions moves as a few sketches, not as whole vectors; pairs still meet."""
+    x, y = pairs_at_the_threshold(20_000)
+    size = len(cross_polytope.sketches(x[:1])[0])
+    assert size <= 0.3 * 4 * 64
+    for n, copies in ((10_256, 1), (400_000, 1), (1_500_000, 5), (2_300_000, 5), (9_000_000, 7)):
+        shelves = cross_polytope.shelves_of(n, 64)
+        if shelves == 1:
+            assert copies == 1
+            continue
+        a, b = (cross_polytope.shelf_keys(v, shelves, probes=shelves.bit_length()) for v in (x, y))
+        assert a.shape[1] <= copies and n * copies / shelves <= 2 * cross_polytope.SHELF
+        assert share_met(a, b) >= 0.9999
+
+
+def test_sketches_bound_products():
+    x = cross_polytope.units(np.random.default_rng(3).normal(size=(300, 10)) * np.geomspace(1, 1e-3, 10))
+    rows = np.arange(len(x))
+    sketch = cross_polytope.Sketches(np.frombuffer(b"".join(cross_polytope.sketches(x)), np.uint8).reshape(len(x), -1))
+    z, bounds, cosine = sketch.units(rows), sketch.bounds(rows), x @ x.T
+    near = cosine >= 0.93
+    assert near.sum() > len(x) and (z @ z.T)[near].min() >= sketch.cut(rows, 0.93)
+    assert (bounds @ bounds.T >= z @ z.T - 1e-6).all()
+
+
+def run_of(x):
+    n = len(x)
+    none = np.zeros(n, np.int64)
+    return pa.table(
+        {"cls": np.arange(n), "unit": pa.array(cross_polytope.sketches(x), pa.binary()), "i": none, "j": none, "right": none.astype(bool)}
+    )
+
+
+def test_candidates_of_a_run_join_its_links(monkeypatch):
+    """Pairs at the threshold, among a large group that fills its buckets."""
+    x, y = pairs_at_the_threshold(1500)
+    rng = np.random.default_rng(5)
+    group = cross_polytope.units(rng.normal(size=64) + 0.07 * rng.normal(size=(900, 64)))
+    vectors = np.concatenate([x, y, group])
+    for listed, matrix in ((64, 1024), (16, 100), (5000, 1024)):
+        monkeypatch.setattr(cross_polytope, "LISTED", listed)
+        monkeypatch.setattr(cross_polytope, "MATRIX", matrix)
+        a, b = cross_polytope._candidates([run_of(vectors)], 0.93, cross_polytope.TABLES, cross_polytope.PROBES)
+        root = grouped(range(len(vectors)), zip(a.tolist(), b.tolist(), strict=True))
+        assert all(root[i] == root[1500 + i] for i in range(1500))
+        assert len({root[3000 + i] for i in range(900)}) == 1
+        assert len(a) < 1.2 * (1500 + 899)
+
+
+def test_groups_in_blocks(spark, monkeypatch):
+    """Links of groups that are larger than a task holds, with copies of vectors in several files."""
+    rows = vectors(6)
+    rows += [(1000 + i, v, label) for i, v, label in rows[:40]]
+    expect = expected(rows)
+    df = spark.createDataFrame([(*r, 5, "z") for r in rows], SCHEMA).repartition(5)
+    for group, shelf in ((3, 8192), (7, 10)):
+        monkeypatch.setattr(cross_polytope, "GROUP", group)
+        monkeypatch.setattr(cross_polytope, "SHELF", shelf)
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cross_polytope.near_vectors(df).collect()}
+        assert got == expect
+
+
+def test_classes_with_one_number_get_others():
+    one, other = cross_polytope.Classes(0), cross_polytope.Classes(1)
+    assert one.of(3, b"12345678") == cross_polytope.Classes(0).of(3, b"12345678") != other.of(3, b"12345678")
+    assert len({one.of(label, v) for label in (3, 4, "3", None) for v in (b"1", b"2", b"12")}) == 12
